@@ -35,3 +35,184 @@ def flatten_market_trades(messages: DataFrame, value_col: str = "value",
                   .select("*", F.explode("_msg.events").alias("_ev"))
                   .select("*", F.explode("_ev.trades").alias("_t"))
                   .drop("_msg", "_ev"))
+
+
+# --- framed Avro (P-1..P-3, K-5) ------------------------------------------------
+
+def _arrow_type(avro_t: str):
+    import pyarrow as pa
+    return {"string": pa.string(), "double": pa.float64(), "float": pa.float32(),
+            "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(),
+            "bytes": pa.binary()}[avro_t]
+
+
+def encode_frames(df: DataFrame, schema_json: str, schema_id: int = 1,
+                  value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """Rows of the record schema -> framed Avro ``value`` (+ ``keep`` columns)."""
+    from candlewick.functions.avro_codec import encode_body, frame
+    from candlewick.schemas import avro_field_types
+
+    fields = avro_field_types(schema_json)
+    keep = list(keep or [])
+    names = [f[0] for f in fields]
+    in_df = df.select(*dict.fromkeys(names + keep))
+    out_schema = T.StructType([in_df.schema[k] for k in keep] +
+                              [T.StructField(value_col, T.BinaryType(), True)])
+
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            cols = {n: b.column(n).to_pylist() for n in names}
+            vals = []
+            for i in range(b.num_rows):
+                rec = {n: cols[n][i] for n in names}
+                try:
+                    vals.append(frame(schema_id, encode_body(fields, rec)))
+                except (ValueError, TypeError, OverflowError):
+                    vals.append(None)
+            arrays = [b.column(k) for k in keep] + [pa.array(vals, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=keep + [value_col])
+
+    return in_df.mapInArrow(run, out_schema)
+
+
+def decode_frames(df: DataFrame, schema_json: str, value_col: str = "value",
+                  keep: list[str] | None = None, mode: str = "permissive",
+                  error_col: str = "_error") -> DataFrame:
+    """Framed Avro ``value`` -> record columns (P-1..P-3).
+
+    ``permissive``: an undecodable frame gives null fields and its cause in
+    ``error_col`` (``too_short`` / ``bad_magic`` / ``parse_failure``); the raw bytes
+    stay in ``value_col`` for the dead-letter sink.  ``failfast``: the task fails
+    on the first bad frame (the reference's default).
+    """
+    if mode not in ("permissive", "failfast"):
+        raise ValueError("mode must be 'permissive' or 'failfast'")
+    from candlewick.functions.avro_codec import decode_frame
+    from candlewick.schemas import avro_field_types, avro_schema_to_struct
+
+    fields = avro_field_types(schema_json)
+    struct = avro_schema_to_struct(schema_json)
+    keep = [k for k in (keep or []) if k != value_col]
+    in_df = df.select(*keep, value_col)
+    out_fields = ([in_df.schema[k] for k in keep] + [in_df.schema[value_col]] +
+                  [T.StructField(f.name, f.dataType, True) for f in struct.fields] +
+                  [T.StructField(error_col, T.StringType(), True)])
+    out_schema = T.StructType(out_fields)
+    failfast = mode == "failfast"
+
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            raw = b.column(value_col).to_pylist()
+            cols = {n: [] for n, _, _ in fields}
+            errs = []
+            for buf in raw:
+                rec, err = decode_frame(fields, buf)
+                if err and failfast:
+                    raise ValueError(f"malformed record ({err})")
+                errs.append(err)
+                for n, _, _ in fields:
+                    cols[n].append(None if rec is None else rec[n])
+            arrays = [b.column(k) for k in keep] + [b.column(value_col)]
+            arrays += [pa.array(cols[n], _arrow_type(t)) for n, t, _ in fields]
+            arrays += [pa.array(errs, pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in out_fields])
+
+    return in_df.mapInArrow(run, out_schema)
+
+
+def to_log_rows(df: DataFrame, key_col: str = "symbol", fmt: str = "json",
+                schema_json: str | None = None, schema_id: int = 1,
+                keep: list[str] | None = None) -> DataFrame:
+    """Records -> keyed log rows ``key, value`` (K-5): JSON text of the whole row,
+    or framed Avro.  The key is the UTF-8 bytes of ``key_col``.  Write the result
+    with ``format("kafka")`` when that package is present, else to files."""
+    keep = list(keep or [])
+    if fmt == "json":
+        cols = [c for c in df.columns if c not in keep]
+        return df.select(*keep, F.col(key_col).cast("binary").alias("key"),
+                         F.to_json(F.struct(*cols)).cast("binary").alias("value"))
+    if fmt == "avro":
+        if schema_json is None:
+            raise ValueError("avro needs schema_json")
+        withkey = df.withColumn("_key", F.col(key_col).cast("binary"))
+        enc = encode_frames(withkey, schema_json, schema_id, keep=keep + ["_key"])
+        return enc.select(*keep, F.col("_key").alias("key"), "value")
+    raise ValueError(f"unknown fmt {fmt!r}")
+
+
+def split_decoded(decoded: DataFrame, error_col: str = "_error") -> tuple[DataFrame, DataFrame]:
+    """(good, dead letters) of a permissive decode: dead letters keep the original
+    bytes, ``reason='parse_failure'``, the specific cause and a ``dlq_ts``."""
+    good = decoded.filter(F.col(error_col).isNull()).drop(error_col)
+    bad = dead_letters(decoded.filter(F.col(error_col).isNotNull()), error_col)
+    return good, bad
+
+
+def dead_letters(bad: DataFrame, error_col: str = "_error", value_col: str = "value",
+                 keep: list[str] | None = None) -> DataFrame:
+    """Dead-letter row shape: original bytes (re-publishable), ``reason``, the
+    specific ``detail`` and the time the record was routed."""
+    keep = [c for c in (keep if keep is not None else ["key", "offset", "partition"])
+            if c in bad.columns]
+    return bad.select(*keep, F.col(value_col).alias("value"),
+                      F.lit("parse_failure").alias("reason"),
+                      F.col(error_col).alias("detail"),
+                      F.current_timestamp().alias("dlq_ts"))
+
+
+# --- producer-side shaping, re-aimed as DataFrame operators (P-6, P-7) ----------
+
+def normalise_trade(trades: DataFrame, event_time=None) -> DataFrame:
+    """Flattened exchange trade -> trade event (P-6).
+
+    ``symbol = product_id without '-'``, prices parsed with ``try_cast`` (a bad
+    number gives null instead of an error), ``is_buyer_maker = side = 'SELL'``.
+    ``event_time`` (epoch-millis column) stamps ``trade_time`` / ``ingestion_ts``;
+    without it, processing time is used as the reference producer does.  Rows
+    with a missing or unparsable field get ``_error`` set.
+    """
+    t = F.col("_t")
+    stamp = event_time if event_time is not None else F.unix_millis(F.current_timestamp())
+    price = t["price"].try_cast("double")
+    size = t["size"].try_cast("double")
+    err = (F.when(t["product_id"].isNull(), F.lit("missing product_id"))
+            .when(t["side"].isNull(), F.lit("missing side"))
+            .when(price.isNull(), F.lit("bad price"))
+            .when(size.isNull(), F.lit("bad size")))
+    return trades.select(
+        F.replace(t["product_id"], F.lit("-"), F.lit("")).alias("symbol"),
+        price.alias("price"),
+        size.alias("quantity"),
+        stamp.cast("bigint").alias("trade_time"),
+        (t["side"] == "SELL").alias("is_buyer_maker"),
+        stamp.cast("bigint").alias("ingestion_ts"),
+        err.alias("_error"),
+    )
+
+
+COIN_ZERO_DEFAULTS = ("current_price", "market_cap", "market_cap_rank", "total_volume", "ath")
+
+
+def normalise_coin(records: DataFrame, ingestion_ts) -> DataFrame:
+    """Coin REST record -> metadata record (P-7): upper-case symbol, zero for
+    missing price / cap / rank / volume / ATH, nulls kept for the 24 h changes and
+    supply, renamed keys, one ``ingestion_ts`` (epoch millis) for the run."""
+    def zero(c, t):
+        return F.coalesce(F.col(c).cast(t), F.lit(0).cast(t))
+    return records.select(
+        F.col("id").alias("coin_id"),
+        F.upper("symbol").alias("symbol"),
+        "name",
+        zero("current_price", "double").alias("current_price"),
+        zero("market_cap", "bigint").alias("market_cap"),
+        zero("market_cap_rank", "bigint").alias("market_cap_rank"),
+        zero("total_volume", "double").alias("total_volume"),
+        F.col("price_change_24h").cast("double").alias("price_change_24h"),
+        F.col("price_change_percentage_24h").cast("double").alias("price_change_pct_24h"),
+        F.col("circulating_supply").cast("double").alias("circulating_supply"),
+        zero("ath", "double").alias("ath"),
+        F.lit(ingestion_ts).cast("bigint").alias("ingestion_ts") if not hasattr(ingestion_ts, "alias")
+        else ingestion_ts.cast("bigint").alias("ingestion_ts"),
+    )

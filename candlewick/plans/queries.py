@@ -142,3 +142,91 @@ def q_ohlcv_1m(spark, sf_dir):
     bars = ohlcv_bars(fx.lake_trades(spark, sf_dir))
     return bars.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")) \
                .withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+
+
+# --- decode / log shaping ---------------------------------------------------------
+
+@register("json_decode")
+def q_json_decode(spark, sf_dir):
+    """S-2 + P-4: the whole metadata log decoded (damaged records -> null fields)."""
+    return decode.decode_market_meta(fx.meta_log(spark, sf_dir))
+
+
+@register("flatten_market_trades")
+def q_flatten(spark, sf_dir):
+    """P-5 + P-6: exchange messages -> one normalised trade per array element;
+    other channels skipped, unparsable sizes rejected."""
+    msgs = fx.exchange_messages(spark, sf_dir)
+    flat = decode.flatten_market_trades(msgs)
+    norm = decode.normalise_trade(flat, event_time=F.col("msg_time"))
+    return norm.filter(F.col("_error").isNull()).drop("_error")
+
+
+@register("normalise_coin")
+def q_normalise_coin(spark, sf_dir):
+    """P-7: REST coin records -> metadata records (zero defaults, nulls kept)."""
+    from candlewick.schemas import COIN_REST
+    recs = fx.coin_rest_records(spark, sf_dir).select(F.from_json("json", COIN_REST).alias("r")).select("r.*")
+    return decode.normalise_coin(recs, F.lit(fx.META_SNAPSHOT_MS))
+
+
+@register("avro_roundtrip")
+def q_avro_roundtrip(spark, sf_dir):
+    """K-5 encode + P-1..P-3 decode: the good records of the framed trade log."""
+    from candlewick.schemas import TRADE_EVENT_AVRO
+    dec = decode.decode_frames(fx.trade_log(spark, sf_dir), TRADE_EVENT_AVRO, keep=["offset"])
+    good, _ = decode.split_decoded(dec)
+    return good.drop("value")
+
+
+@register("dlq_split")
+def q_dlq_split(spark, sf_dir):
+    """P-3 + P-10 + K-4: the dead-letter rows of the framed trade log."""
+    from candlewick.schemas import TRADE_EVENT_AVRO
+    dec = decode.decode_frames(fx.trade_log(spark, sf_dir), TRADE_EVENT_AVRO, keep=["offset"])
+    _, bad = decode.split_decoded(dec)
+    return bad.select("offset", "reason", "detail")
+
+
+# --- sinks -----------------------------------------------------------------------
+
+@register("upsert_market_meta")
+def q_upsert(spark, sf_dir):
+    """S-2 + P-4 + C-1 + K-6: two ingestion runs (log up to 1998, whole log) merged
+    into the metadata table on ``symbol``."""
+    from candlewick.operators import sinks
+    from candlewick.session import scratch_path
+    decoded = decode.decode_market_meta(fx.meta_log(spark, sf_dir))
+
+    def run(log):
+        return clean.latest_by(log, ["symbol"], ["offset"], ties="keep").drop("offset", "kafka_ts")
+
+    base = scratch_path(spark, "market_meta")
+    sinks.upsert(spark, base, run(decoded.filter(F.col("kafka_ts") < F.lit(fx.META_RUN1_CUTOFF).cast("timestamp_ntz"))),
+                 ["symbol"])
+    return sinks.upsert(spark, base, run(decoded), ["symbol"])
+
+
+@register("replace_day")
+def q_replace_day(spark, sf_dir):
+    """K-3: lake of raw trades partitioned by date; the as-of day is reloaded
+    (deduped) and the previous day, with no new rows, is cleared."""
+    import datetime as _dt
+    from candlewick.operators import sinks
+    from candlewick.session import scratch_path
+    raw = fx.raw_trades(spark, sf_dir)
+    path = scratch_path(spark, "raw_trades")
+    raw.repartition("date").write.partitionBy("date").parquet(path)
+    reload = clean.dedupe_trades_latest(raw.filter(F.col("date") == F.lit(AS_OF)))
+    sinks.replace_days(reload, path, [AS_OF, AS_OF - _dt.timedelta(days=1)])
+    return spark.read.parquet(path)
+
+
+@register("rewrite_deduped")
+def q_rewrite_deduped(spark, sf_dir):
+    """K-2 + C-4: exact-dedupe rewrite of the landed trades into a new snapshot."""
+    from candlewick.operators import sinks
+    from candlewick.session import scratch_path
+    base = scratch_path(spark, "trades_lake")
+    sinks.write_snapshot(fx.lake_trades(spark, sf_dir), base, partition_by=["date"])
+    return sinks.rewrite_table(spark, base, clean.dedupe_exact, partition_by=["date"])

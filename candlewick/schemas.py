@@ -16,6 +16,34 @@ TRADE_EVENT = T.StructType([
     T.StructField("ingestion_ts", T.LongType(), False),     # epoch millis
 ])
 
+# Wire schema of the trade topic (fixed values: field names, types and order).
+TRADE_EVENT_AVRO = json.dumps({
+    "type": "record", "name": "TradeEvent", "namespace": "candlewick",
+    "fields": [
+        {"name": "symbol", "type": "string"},
+        {"name": "price", "type": "double"},
+        {"name": "quantity", "type": "double"},
+        {"name": "trade_time", "type": "long"},
+        {"name": "is_buyer_maker", "type": "boolean"},
+        {"name": "ingestion_ts", "type": "long"},
+    ],
+})
+
+# Coin record as returned by the market-data REST endpoint (numbers may be null).
+COIN_REST = T.StructType([
+    T.StructField("id", T.StringType()),
+    T.StructField("symbol", T.StringType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("current_price", T.DoubleType()),
+    T.StructField("market_cap", T.DoubleType()),
+    T.StructField("market_cap_rank", T.DoubleType()),
+    T.StructField("total_volume", T.DoubleType()),
+    T.StructField("price_change_24h", T.DoubleType()),
+    T.StructField("price_change_percentage_24h", T.DoubleType()),
+    T.StructField("circulating_supply", T.DoubleType()),
+    T.StructField("ath", T.DoubleType()),
+])
+
 # JSON payload of one coin metadata record.  ``nullable=False`` is declarative only:
 # ``from_json`` does not enforce it, so callers filter explicitly.
 MARKET_META = T.StructType([

@@ -19,6 +19,8 @@ from candlewick.functions.exprs import epoch_millis
 AS_OF_DATE = _dt.date(2024, 1, 30)          # last event day
 META_SNAPSHOT_TS = "2024-01-30 00:00:00"   # ingestion time of the metadata snapshot
 ATH = 509.0                                 # all-time high used for every coin
+META_SNAPSHOT_MS = 1706572800000            # the snapshot time as epoch millis
+META_RUN1_CUTOFF = "1998-01-01 00:00:00"   # log content seen by the first ingestion run
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,14 +42,15 @@ def _trade_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id"),
     )
     dup = (base.filter(F.col("event_id") % 10 == 0)
-           .withColumn("ingestion_ts", F.col("ingestion_ts") + F.expr("INTERVAL 1 HOUR")))
-    return base.unionByName(dup)
+           .withColumn("ingestion_ts", F.col("ingestion_ts") + F.expr("INTERVAL 1 HOUR"))
+           .withColumn("copy", F.lit(1)))
+    return base.withColumn("copy", F.lit(0)).unionByName(dup)
 
 
 def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``RAW.TRADES`` shape: symbol, price, quantity, trade_time, is_buyer_maker,
     ingestion_ts (TIMESTAMP_NTZ), date."""
-    return _trade_rows(spark, sf_dir).drop("event_id")
+    return _trade_rows(spark, sf_dir).drop("event_id", "copy")
 
 
 def lake_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,3 +155,73 @@ def meta_log_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         "market_cap_rank", "total_volume", "price_change_24h", "price_change_pct_24h",
         "circulating_supply", "ath", F.col("timestamp").alias("ingestion_ts"),
     )
+
+
+def trade_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trade topic as log rows: framed Avro ``value`` per trade (log position
+    ``offset = event_id * 8 + copy``), plus damaged frames for the dead-letter path:
+    for events with ``event_id % 50`` = 1 / 2 / 3 a frame cut to 4 bytes, a frame
+    with a wrong magic byte, and a frame cut inside the body."""
+    from candlewick.operators.decode import to_log_rows
+    from candlewick.schemas import TRADE_EVENT_AVRO
+
+    t = _trade_rows(spark, sf_dir)
+    wire = t.select(
+        "symbol", "price", "quantity",
+        epoch_millis("trade_time").alias("trade_time"), "is_buyer_maker",
+        epoch_millis("ingestion_ts").alias("ingestion_ts"),
+        (F.col("event_id") * 8 + F.col("copy")).alias("offset"),
+        F.col("ingestion_ts").alias("timestamp"))
+    log = to_log_rows(wire, "symbol", fmt="avro", schema_json=TRADE_EVENT_AVRO,
+                      keep=["offset", "timestamp"])
+    kind = (F.floor(F.col("offset") / 8) % 50).cast("int")
+    src = log.filter((F.col("offset") % 8 == 0) & kind.between(1, 3))
+    v = F.col("value")
+    damaged = src.select(
+        (F.col("offset") + 1 + kind).alias("offset"), "timestamp", "key",
+        F.when(kind == 1, F.substring(v, 1, 4))
+         .when(kind == 2, F.concat(F.lit(bytes([1])), F.substring(v, 2, 1 << 20)))
+         .otherwise(F.substring(v, 1, 9)).alias("value"))
+    return log.unionByName(damaged)
+
+
+def exchange_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exchange JSON messages: one per (symbol, minute) holding an event per side
+    with its trades.  Minutes ending in 9 arrive on a ``status`` channel, and a zero
+    size is sent as an empty string (unparsable)."""
+    t = _trade_rows(spark, sf_dir).filter(F.col("copy") == 0)
+    minute = F.date_trunc("minute", F.col("trade_time")).cast("timestamp_ntz")
+    trade = F.struct(
+        F.concat(F.left("symbol", F.lit(3)), F.lit("-USD")).alias("product_id"),
+        F.col("price").cast("string").alias("price"),
+        F.when(F.col("quantity") == 0, F.lit("")).otherwise(F.col("quantity").cast("string")).alias("size"),
+        F.when(F.col("is_buyer_maker"), F.lit("SELL")).otherwise(F.lit("BUY")).alias("side"))
+    per_side = (t.groupBy("symbol", minute.alias("minute"), "is_buyer_maker")
+                 .agg(F.collect_list(trade).alias("trades")))
+    msgs = (per_side.groupBy("symbol", "minute")
+                    .agg(F.collect_list(F.struct("trades")).alias("events")))
+    channel = F.when(F.minute("minute") % 10 == 9, F.lit("status")).otherwise(F.lit("market_trades"))
+    return msgs.select(
+        F.col("symbol").cast("binary").alias("key"),
+        F.to_json(F.struct(channel.alias("channel"), "events")).cast("binary").alias("value"),
+        epoch_millis("minute").alias("msg_time"))
+
+
+def coin_rest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coin records as the REST endpoint returns them (JSON text, missing numbers
+    omitted), one per customer."""
+    c = read(spark, sf_dir, "customer")
+    k, bal = F.col("c_custkey"), F.col("c_acctbal")
+    rec = F.struct(
+        F.concat(F.lit("coin-"), k.cast("string")).alias("id"),
+        F.concat(F.lit("c"), k.cast("string")).alias("symbol"),
+        F.col("c_name").alias("name"),
+        F.when(k % 7 != 0, bal).alias("current_price"),
+        F.when(k % 11 != 0, F.floor(bal * 1000)).alias("market_cap"),
+        F.when(k % 13 != 0, k + 1).alias("market_cap_rank"),
+        F.when(k % 5 != 0, bal * 3).alias("total_volume"),
+        F.when(k % 2 == 0, bal / 100).alias("price_change_24h"),
+        F.when(k % 3 == 0, bal / 1000).alias("price_change_percentage_24h"),
+        F.when(k % 4 != 0, bal * 10).alias("circulating_supply"),
+        F.when(k % 9 != 0, bal * 2).alias("ath"))
+    return c.select(F.to_json(rec).alias("json"))
