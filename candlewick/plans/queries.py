@@ -230,3 +230,114 @@ def q_rewrite_deduped(spark, sf_dir):
     base = scratch_path(spark, "trades_lake")
     sinks.write_snapshot(fx.lake_trades(spark, sf_dir), base, partition_by=["date"])
     return sinks.rewrite_table(spark, base, clean.dedupe_exact, partition_by=["date"])
+
+
+# --- quality ------------------------------------------------------------------------
+
+def _models(spark, sf_dir) -> dict[str, DataFrame]:
+    stg, meta = stg_trades(spark, sf_dir), stg_market_meta(spark, sf_dir)
+    return {"stg_trades": stg, "stg_market_meta": meta,
+            "int_trades_enriched": enrich.trades_with_meta(stg, meta),
+            "int_price_changes": windows.price_changes(stg),
+            "int_hourly_aggregates": agg.hourly(stg)}
+
+
+@register("quality_report")
+def q_quality_report(spark, sf_dir):
+    """Q-1..Q-3 + Q-5: the reference's 16 data tests over the staged models."""
+    from candlewick.operators import quality
+    return quality.run_suite(_models(spark, sf_dir), quality.REFERENCE_SUITE)
+
+
+@register("freshness")
+def q_freshness(spark, sf_dir):
+    """Q-4: freshness of both raw sources at a fixed ``now``."""
+    from candlewick.operators import quality
+    now = fx.FRESHNESS_NOW
+    return (quality.freshness(fx.raw_trades(spark, sf_dir), "raw.trades", "ingestion_ts", now)
+            .unionByName(quality.freshness(fx.market_meta(spark, sf_dir), "raw.market_meta",
+                                           "ingestion_ts", now)))
+
+
+# --- metrics ------------------------------------------------------------------------
+
+def _trade_log_records(spark, sf_dir) -> DataFrame:
+    from candlewick.schemas import TRADE_EVENT_AVRO
+    dec = decode.decode_frames(fx.trade_log(spark, sf_dir), TRADE_EVENT_AVRO, keep=["offset"])
+    good, _ = decode.split_decoded(dec)
+    return good.withColumn("partition", F.left("symbol", F.lit(3)).cast("int") % 10)
+
+
+def _commit_times(spark, sf_dir) -> DataFrame:
+    return fx.raw_trades(spark, sf_dir).groupBy("date").agg(F.max("ingestion_ts").alias("commit_time"))
+
+
+def _history(spark, sf_dir, kind: str) -> DataFrame:
+    from candlewick.operators import metrics
+    h = fx.job_history(spark, sf_dir)
+    if kind == "copy":
+        pred, n = (F.col("query_type") == "COPY") & (F.col("database_name") == "ANALYTICS"), 20
+    else:
+        pred, n = F.col("query_tag").like("%dbt%") & (F.col("database_name") == "ANALYTICS"), 50
+    return metrics.history_latency(h, pred, n, fx.HISTORY_NOW)
+
+
+@register("latency_summary")
+def q_latency_summary(spark, sf_dir):
+    """A-7 over the ingest latency of every decoded trade record."""
+    from candlewick.operators import metrics
+    recs = _trade_log_records(spark, sf_dir)
+    return metrics.latency_summary(recs.select((F.col("ingestion_ts") - F.col("trade_time")).alias("latency_ms")),
+                                   "latency_ms")
+
+
+@register("last_n_latency")
+def q_last_n_latency(spark, sf_dir):
+    """M-1 + T-4: per log partition, the newest 100 records' ingest latency."""
+    from candlewick.operators import metrics
+    return metrics.ingest_latency(_trade_log_records(spark, sf_dir), n=100)
+
+
+@register("commit_gaps")
+def q_commit_gaps(spark, sf_dir):
+    """M-2 over the commit time of each trade day (its last ingestion)."""
+    from candlewick.operators import metrics
+    return metrics.commit_gaps(_commit_times(spark, sf_dir), "commit_time")
+
+
+@register("history_latency")
+def q_history_latency(spark, sf_dir):
+    """M-3: newest 20 successful COPY jobs of the last day -> A-7."""
+    return _history(spark, sf_dir, "copy")
+
+
+@register("latency_report")
+def q_latency_report(spark, sf_dir):
+    """M-4: the per-stage latency table."""
+    from candlewick.operators import metrics
+    recs = _trade_log_records(spark, sf_dir)
+    lat = metrics.latency_summary(recs.select((F.col("ingestion_ts") - F.col("trade_time")).alias("x")), "x")
+    gaps = metrics.commit_gaps(_commit_times(spark, sf_dir), "commit_time")
+    one = lambda c: gaps.select(F.col(c).cast("double").alias("p50"),
+                                F.lit(None).cast("double").alias("p95"), F.lit(None).cast("double").alias("p99"))
+    return metrics.report([
+        ("producer_to_log", lat, "all records"),
+        ("micro_batch", one("last_gap_ms"), "gap between the last two commits"),
+        ("lake_write", one("span_ms"), "newest minus oldest commit"),
+        ("warehouse_copy", _history(spark, sf_dir, "copy"), "newest 20 COPY jobs"),
+        ("model_run", _history(spark, sf_dir, "dbt"), "newest 50 model jobs"),
+    ])
+
+
+# --- layered build ----------------------------------------------------------------
+
+@register("layered_marts")
+def q_layered_marts(spark, sf_dir):
+    """K-7 + K-9 + P-11 + S-5: raw tables -> views -> mart tables; the market
+    overview mart read back from its table."""
+    from candlewick.plans import layers
+    from candlewick.session import scratch_path
+    root = scratch_path(spark, "warehouse")
+    raw = layers.load_raw(spark, fx.raw_trades(spark, sf_dir), fx.market_meta(spark, sf_dir), root)
+    built = layers.build(spark, raw, layers.reference_models(AS_OF), root)
+    return built["mart_market_overview"]

@@ -21,6 +21,8 @@ META_SNAPSHOT_TS = "2024-01-30 00:00:00"   # ingestion time of the metadata snap
 ATH = 509.0                                 # all-time high used for every coin
 META_SNAPSHOT_MS = 1706572800000            # the snapshot time as epoch millis
 META_RUN1_CUTOFF = "1998-01-01 00:00:00"   # log content seen by the first ingestion run
+HISTORY_NOW = "2001-08-01 12:00:00"         # "now" for the job-history metrics
+FRESHNESS_NOW = "2024-01-31 12:00:00"       # "now" for source freshness
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -225,3 +227,20 @@ def coin_rest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 4 != 0, bal * 10).alias("circulating_supply"),
         F.when(k % 9 != 0, bal * 2).alias("ath"))
     return c.select(F.to_json(rec).alias("json"))
+
+
+def job_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Warehouse job-history rows from ``orders``: one job per order, started on
+    its order date (plus ``o_orderkey % 86400`` seconds), running
+    ``o_totalprice % 100000`` ms."""
+    o = read(spark, sf_dir, "orders")
+    start = F.timestamp_add("SECOND", F.col("o_orderkey") % 86400, F.col("o_orderdate"))
+    dur = F.floor(F.col("o_totalprice")).cast("bigint") % 100000
+    return o.select(
+        F.col("o_orderkey").alias("query_id"),
+        start.alias("start_time"),
+        F.timestamp_add("MILLISECOND", dur, start).alias("end_time"),
+        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "COPY").otherwise("SELECT").alias("query_type"),
+        F.when(F.col("o_orderstatus") == "O", "dbt_run").otherwise("adhoc").alias("query_tag"),
+        F.lit("ANALYTICS").alias("database_name"),
+        F.when(F.col("o_orderkey") % 9 == 0, "FAILED").otherwise("SUCCESS").alias("execution_status"))
