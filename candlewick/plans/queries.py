@@ -341,3 +341,58 @@ def q_layered_marts(spark, sf_dir):
     raw = layers.load_raw(spark, fx.raw_trades(spark, sf_dir), fx.market_meta(spark, sf_dir), root)
     built = layers.build(spark, raw, layers.reference_models(AS_OF), root)
     return built["mart_market_overview"]
+
+
+# --- streaming ------------------------------------------------------------------------
+
+def _stage_stream_input(spark, sf_dir, with_marker: bool = False) -> tuple[str, str]:
+    """Land the wire-shape trades (exact re-deliveries included) as files for a file
+    stream source.  ``with_marker`` adds one end-of-input record, 1 day past the
+    last trade, so the watermark closes every real window (a running stream gets
+    that from later trades)."""
+    from candlewick.session import scratch_path
+    from candlewick.functions.exprs import epoch_millis
+    root = scratch_path(spark, "stream")
+    wire = fx.lake_trades(spark, sf_dir).select(*[f.name for f in TRADE_EVENT_FIELDS()])
+    if with_marker:
+        last = wire.agg(F.max("trade_time").alias("t"))
+        marker = last.select(F.lit(fx.END_MARKER_SYMBOL).alias("symbol"), F.lit(0.0).alias("price"),
+                             F.lit(0.0).alias("quantity"), (F.col("t") + 86_400_000).alias("trade_time"),
+                             F.lit(False).alias("is_buyer_maker"),
+                             (F.col("t") + 86_400_000).alias("ingestion_ts"))
+        wire = wire.unionByName(marker)
+    wire.write.parquet(f"{root}/in")
+    return root, f"{root}/in"
+
+
+def TRADE_EVENT_FIELDS():
+    from candlewick.schemas import TRADE_EVENT
+    return TRADE_EVENT.fields
+
+
+@register("trade_stream_append")
+def q_trade_stream_append(spark, sf_dir):
+    """S-1 + P-8..P-10 + C-5 + K-1: trade stream -> dedupe within watermark ->
+    date/symbol-partitioned append sink (availableNow), read back."""
+    from candlewick.streaming import ingest
+    root, src = _stage_stream_input(spark, sf_dir)
+    events = ingest.trade_stream(spark, src)
+    landed = ingest.dedupe(ingest.landed_trades(events))
+    q = ingest.append_sink(landed, f"{root}/lake", f"{root}/ckpt", trigger={"availableNow": True})
+    ingest.run_bounded(q, None)
+    return spark.read.parquet(f"{root}/lake")
+
+
+@register("ohlcv_1m_stream")
+def q_ohlcv_1m_stream(spark, sf_dir):
+    """W-1 on a stream: watermarked 1-minute bars in append mode, read back."""
+    from candlewick.streaming import ingest
+    root, src = _stage_stream_input(spark, sf_dir, with_marker=True)
+    events = ingest.landed_trades(ingest.trade_stream(spark, src))
+    bars = ingest.ohlcv_stream(events)
+    q = ingest.append_sink(bars, f"{root}/bars", f"{root}/ckpt", partition_by=(),
+                           trigger={"availableNow": True})
+    ingest.run_bounded(q, None)
+    out = spark.read.parquet(f"{root}/bars").filter(F.col("symbol") != fx.END_MARKER_SYMBOL)
+    return (out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+               .withColumn("window_end", F.col("window_end").cast("timestamp_ntz")))

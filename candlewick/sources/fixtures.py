@@ -23,6 +23,7 @@ META_SNAPSHOT_MS = 1706572800000            # the snapshot time as epoch millis
 META_RUN1_CUTOFF = "1998-01-01 00:00:00"   # log content seen by the first ingestion run
 HISTORY_NOW = "2001-08-01 12:00:00"         # "now" for the job-history metrics
 FRESHNESS_NOW = "2024-01-31 12:00:00"       # "now" for source freshness
+END_MARKER_SYMBOL = "~END"                   # end-of-input record of staged streams
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
