@@ -63,14 +63,16 @@ def dedupe(df: DataFrame, keys: Sequence[str] = TRADE_EXACT_KEY, event_time: str
 
 
 def append_sink(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ("date", "symbol"),
-                fmt: str = "parquet", trigger: dict | None = None, salt: int = 8,
+                fmt: str = "parquet", trigger: dict | None = None, salt: int = 1,
                 query_name: str | None = None) -> StreamingQuery:
     """K-1 / W-3: append each micro-batch to a partitioned file table (the file
     sink's log makes it exactly-once), checkpointed.
 
-    Rows are hash-partitioned by the partition columns plus a small salt before
-    writing, so each partition directory gets at most ``salt`` files per batch
-    and a hot symbol is spread over ``salt`` tasks instead of one.
+    Rows are hash-partitioned by the partition columns before writing, so each
+    partition directory gets one file per micro-batch instead of one per task.
+    A micro-batch is bounded by the source's rate limit, which bounds what one
+    hot symbol can put in one task; ``salt > 1`` spreads a partition value over
+    ``salt`` tasks (and files) when that bound is not enough.
     """
     out = df
     if partition_by:
