@@ -2,21 +2,24 @@
 replacement, upsert, warehouse-style loads and clustered mart layout.
 
 Plain Parquet has no transaction log, so "overwrite the table I am reading" and
-"merge into a table" are done by writing a NEW snapshot directory and then
-repointing a one-line pointer file (a tiny Spark text write) -- readers resolve
-the pointer.  This is weaker than an ACID table format (no concurrent-writer
-isolation, pointer replacement is not atomic on every store), and is stated so.
+"merge into a table" write a NEW version directory ``v000001, v000002, ...``.
+The job committer writes ``_SUCCESS`` last, so the current version is the
+highest one that has it: readers list the base directory (no Spark job, no
+pointer file) and never see a half-written version.  This is weaker than an ACID
+table format: no isolation between concurrent writers, and old versions are
+kept until removed.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-POINTER = "_CURRENT"
+_VERSION = re.compile(r"^v(\d{6})$")
 
 
 # --- snapshot tables (K-2, K-6) --------------------------------------------------
@@ -33,10 +36,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def current_version(spark: SparkSession, base: str) -> int | None:
-    if not path_exists(spark, f"{base}/{POINTER}"):
+    """Highest committed version under ``base`` (a listing, not a Spark job)."""
+    fs, p = _fs(spark, base)
+    if not fs.exists(p):
         return None
-    row = spark.read.text(f"{base}/{POINTER}").first()
-    return int(row[0]) if row else None
+    best = None
+    for st in fs.listStatus(p):
+        m = _VERSION.match(st.getPath().getName())
+        if m and st.isDirectory() and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+                st.getPath(), "_SUCCESS")):
+            v = int(m.group(1))
+            best = v if best is None or v > best else best
+    return best
 
 
 def snapshot_path(base: str, version: int) -> str:
@@ -50,32 +61,36 @@ def read_snapshot(spark: SparkSession, base: str, fmt: str = "parquet") -> DataF
     return spark.read.format(fmt).load(snapshot_path(base, v))
 
 
+def spread_partitions(df: DataFrame, partition_by: Sequence[str], files_per_partition: int = 16) -> DataFrame:
+    """Hash-partition by the partition columns plus a salt: a partition value's
+    rows go to at most ``files_per_partition`` tasks (bounded file count), and a
+    hot value (a day holding a third of the data) is split over that many tasks."""
+    if not partition_by:
+        return df
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
+    return df.repartition(*[F.col(c) for c in partition_by], salt)
+
+
 def write_snapshot(df: DataFrame, base: str, partition_by: Sequence[str] = (),
-                   fmt: str = "parquet") -> int:
-    """Write ``df`` as the next version of the table at ``base`` and repoint."""
+                   fmt: str = "parquet", files_per_partition: int | None = None) -> int:
+    """Write ``df`` as the next version of the table at ``base``; it becomes
+    current when the write commits."""
     spark = df.sparkSession
     v = (current_version(spark, base) or 0) + 1
-    w = df.write.mode("errorifexists").format(fmt)
+    out = spread_partitions(df, partition_by, files_per_partition) if files_per_partition else df
+    w = out.write.mode("errorifexists").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(snapshot_path(base, v))
-    spark.createDataFrame([(str(v),)], "v string").coalesce(1) \
-         .write.mode("overwrite").text(f"{base}/{POINTER}")
     return v
 
 
 def rewrite_table(spark: SparkSession, base: str, transform, partition_by: Sequence[str] = (),
-                  cluster: bool = True) -> DataFrame:
-    """K-2: read the current snapshot, apply ``transform`` (e.g. exact dedupe) and
-    write it as a new snapshot -- never overwriting the files being read.
-
-    With ``cluster`` the rows are hash-partitioned by the partition columns first,
-    so each output partition directory gets one file per task that owns it, not
-    one per input task (small-file control)."""
+                  files_per_partition: int = 16) -> DataFrame:
+    """K-2: read the current version, apply ``transform`` (e.g. exact dedupe) and
+    write the result as a new version -- never overwriting the files being read."""
     out = transform(read_snapshot(spark, base))
-    if partition_by and cluster:
-        out = out.repartition(*partition_by)
-    write_snapshot(out, base, partition_by)
+    write_snapshot(out, base, partition_by, files_per_partition=files_per_partition)
     return read_snapshot(spark, base)
 
 
@@ -89,12 +104,10 @@ def upsert(spark: SparkSession, base: str, source: DataFrame, keys: Sequence[str
     null-key source row is inserted on every run.  Like MERGE, it is an error
     when a non-null source key matching the target occurs more than once.
     """
-    target = None
-    if current_version(spark, base) is not None:
-        target = read_snapshot(spark, base)
-    if target is None:
+    if current_version(spark, base) is None:
         write_snapshot(source, base)
         return read_snapshot(spark, base)
+    target = read_snapshot(spark, base)
     if check_unique:
         nn = F.lit(True)
         for k in keys:
@@ -110,14 +123,14 @@ def upsert(spark: SparkSession, base: str, source: DataFrame, keys: Sequence[str
 
 # --- day-partition replacement (K-3) --------------------------------------------
 
-def _fs_delete(spark: SparkSession, path: str) -> None:
+def _fs_delete(spark: SparkSession, path: str) -> None:  # noqa: D401
     fs, p = _fs(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
 
 
 def replace_days(df: DataFrame, path: str, days: Iterable, day_col: str = "date",
-                 partition_by: Sequence[str] | None = None) -> None:
+                 partition_by: Sequence[str] | None = None, files_per_partition: int = 16) -> None:
     """K-3: make the table at ``path`` hold exactly ``df``'s rows for ``days``.
 
     One dynamic partition-overwrite write replaces the day partitions present in
@@ -133,9 +146,10 @@ def replace_days(df: DataFrame, path: str, days: Iterable, day_col: str = "date"
     # len(days) values), so the input is scanned once.
     obs = Observation("replace_days")
     scoped = scoped.observe(obs, F.collect_set(day_col).alias("days"))
-    (scoped.repartition(day_col).write.mode("overwrite")
+    parts = list(partition_by or [day_col])
+    (spread_partitions(scoped, parts, files_per_partition).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic")
-           .partitionBy(*(partition_by or [day_col])).parquet(path))
+           .partitionBy(*parts).parquet(path))
     present = set(obs.get["days"])
     for d in days:
         if d not in present:

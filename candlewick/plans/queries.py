@@ -216,7 +216,7 @@ def q_replace_day(spark, sf_dir):
     from candlewick.session import scratch_path
     raw = fx.raw_trades(spark, sf_dir)
     path = scratch_path(spark, "raw_trades")
-    raw.repartition("date").write.partitionBy("date").parquet(path)
+    sinks.spread_partitions(raw, ["date"]).write.partitionBy("date").parquet(path)
     reload = clean.dedupe_trades_latest(raw.filter(F.col("date") == F.lit(AS_OF)))
     sinks.replace_days(reload, path, [AS_OF, AS_OF - _dt.timedelta(days=1)])
     return spark.read.parquet(path)
