@@ -110,3 +110,32 @@ def test_bounded_broadcast_falls_back(spark):
     hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
     assert not hinted(bounded_broadcast(big, max_bytes=100))
     assert hinted(bounded_broadcast(big, max_bytes=10**9))
+
+
+def test_largest_cap_collision_rule(spark):
+    ts = dt.datetime(2024, 1, 30)
+    meta = _meta(spark, [("small", "AAA", "Small", 1.0, 5, 9, 1.0, None, None, None, 5.0, ts),
+                         ("big", "aaa", "Big", 1.0, 500, 1, 1.0, None, None, None, 5.0, ts)])
+    stg = _trades(spark).filter("coin_symbol = 'AAA'")
+    fan = enrich.trades_with_meta(stg, meta)
+    one = enrich.trades_with_meta(stg, meta, on_collision="largest_cap")
+    assert fan.count() == 2 * stg.count()
+    assert {r.coin_id for r in one.collect()} == {"big"} and one.count() == stg.count()
+
+
+def test_open_close_tiebreak(spark):
+    t = dt.datetime(2024, 1, 30, 10)
+    rows = [("AAA", 1.0, 1.0, t, D2, False, t), ("AAA", 2.0, 1.0, t, D2, False, t + dt.timedelta(seconds=1))]
+    stg = _stg(spark, rows)
+    r = agg.open_close(stg, tiebreak=["ingestion_ts"]).first()
+    assert (r.open_price, r.close_price) == (1.0, 2.0)
+
+
+def test_top_movers_rank_by(spark):
+    from candlewick.plans.queries import ohlcv
+    o = ohlcv(spark, "/root/testdata/sf0.001")
+    by_day = marts.top_movers(o, D2, k=3)
+    by_vwap = marts.top_movers(o, D2, k=3, rank_by="today_vwap")
+    top = by_vwap.filter("gainer_rank = 1").first()
+    assert top.today_vwap == o.filter(F.col("trade_date") == D2).agg(F.max("vwap")).first()[0]
+    assert by_day.filter("gainer_rank <= 3").count() >= 3

@@ -47,3 +47,21 @@ def test_load_table(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS t_raw")
     n = sinks.load_table(spark.range(7), "t_raw.x", mode="overwrite")
     assert n == 7 and spark.table("t_raw.x").count() == 7
+
+
+def test_upsert_idempotent_without_null_keys(spark, tmp_root):
+    s = spark.createDataFrame([("A", 1), ("B", 2)], "symbol string, v int")
+    sinks.upsert(spark, tmp_root, s, ["symbol"])
+    once = sorted(map(tuple, sinks.read_snapshot(spark, tmp_root).collect()))
+    twice = sorted(map(tuple, sinks.upsert(spark, tmp_root, s, ["symbol"]).collect()))
+    assert once == twice == [("A", 1), ("B", 2)]
+
+
+def test_trades_for_day_prunes_partitions(spark, tmp_root):
+    from candlewick.sources.tables import trades_for_day
+    spark.createDataFrame([(1, D1), (2, D2)], "v int, date date").write.partitionBy("date").parquet(tmp_root)
+    df = trades_for_day(spark, tmp_root, D2)
+    assert [r.v for r in df.collect()] == [2]
+    import re
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*date", plan), plan
