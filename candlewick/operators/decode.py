@@ -7,7 +7,7 @@ not on the classpath here; with it present, ``from_avro`` is used instead.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,8 +32,8 @@ def flatten_market_trades(messages: DataFrame, value_col: str = "value",
     parsed = messages.select("*", F.from_json(F.col(value_col).cast("string"),
                                               EXCHANGE_MESSAGE).alias("_msg"))
     return (parsed.filter(F.col("_msg.channel") == channel)
-                  .select("*", F.explode("_msg.events").alias("_ev"))
-                  .select("*", F.explode("_ev.trades").alias("_t"))
+                  .select("*", F.posexplode("_msg.events").alias("_ev_pos", "_ev"))
+                  .select("*", F.posexplode("_ev.trades").alias("_t_pos", "_t"))
                   .drop("_msg", "_ev"))
 
 
@@ -164,7 +164,8 @@ def dead_letters(bad: DataFrame, error_col: str = "_error", value_col: str = "va
 
 # --- producer-side shaping, re-aimed as DataFrame operators (P-6, P-7) ----------
 
-def normalise_trade(trades: DataFrame, event_time=None) -> DataFrame:
+def normalise_trade(trades: DataFrame, event_time=None, reject: str = "row",
+                    message_key: list[str] | None = None) -> DataFrame:
     """Flattened exchange trade -> trade event (P-6).
 
     ``symbol = product_id without '-'``, prices parsed with ``try_cast`` (a bad
@@ -172,6 +173,11 @@ def normalise_trade(trades: DataFrame, event_time=None) -> DataFrame:
     ``event_time`` (epoch-millis column) stamps ``trade_time`` / ``ingestion_ts``;
     without it, processing time is used as the reference producer does.  Rows
     with a missing or unparsable field get ``_error`` set.
+
+    ``reject="row"`` rejects only the bad trade.  ``reject="rest_of_message"``
+    is the producer's behaviour: the first bad trade of a message (in array
+    order) and every trade after it are rejected; ``message_key`` columns
+    identify a message (a window over one message's trades, which is small).
     """
     t = F.col("_t")
     stamp = event_time if event_time is not None else F.unix_millis(F.current_timestamp())
@@ -181,7 +187,9 @@ def normalise_trade(trades: DataFrame, event_time=None) -> DataFrame:
             .when(t["side"].isNull(), F.lit("missing side"))
             .when(price.isNull(), F.lit("bad price"))
             .when(size.isNull(), F.lit("bad size")))
-    return trades.select(
+    out = trades.select(
+        *(message_key or []),
+        *([c for c in ("_ev_pos", "_t_pos") if c in trades.columns and reject != "row"]),
         F.replace(t["product_id"], F.lit("-"), F.lit("")).alias("symbol"),
         price.alias("price"),
         size.alias("quantity"),
@@ -190,6 +198,15 @@ def normalise_trade(trades: DataFrame, event_time=None) -> DataFrame:
         stamp.cast("bigint").alias("ingestion_ts"),
         err.alias("_error"),
     )
+    if reject == "row":
+        return out
+    if reject != "rest_of_message" or not message_key:
+        raise ValueError("reject must be 'row', or 'rest_of_message' with message_key")
+    pos = F.struct("_ev_pos", "_t_pos")
+    first_bad = F.min(F.when(F.col("_error").isNotNull(), pos)).over(Window.partitionBy(*message_key))
+    rest = F.when(F.col("_error").isNull() & first_bad.isNotNull() & (pos > first_bad),
+                  F.lit("after a bad trade in the message")).otherwise(F.col("_error"))
+    return out.withColumn("_error", rest).drop("_ev_pos", "_t_pos")
 
 
 COIN_ZERO_DEFAULTS = ("current_price", "market_cap", "market_cap_rank", "total_volume", "ath")

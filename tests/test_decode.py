@@ -91,3 +91,29 @@ def test_normalise_coin_defaults(spark):
     r = decode.normalise_coin(recs, F.lit(99)).first()
     assert (r.symbol, r.current_price, r.market_cap, r.ath, r.price_change_24h, r.ingestion_ts) == \
         ("BTC", 0.0, 0, 0.0, None, 99)
+
+
+def test_normalise_rest_of_message(spark):
+    msg = {"channel": "market_trades", "events": [
+        {"trades": [{"product_id": "A-USD", "price": "1", "size": "1", "side": "BUY"},
+                    {"product_id": "B-USD", "price": "bad", "size": "1", "side": "BUY"},
+                    {"product_id": "C-USD", "price": "3", "size": "1", "side": "BUY"}]},
+        {"trades": [{"product_id": "D-USD", "price": "4", "size": "1", "side": "SELL"}]}]}
+    ok = {"channel": "market_trades", "events": [{"trades": [
+        {"product_id": "E-USD", "price": "5", "size": "1", "side": "SELL"}]}]}
+    df = spark.createDataFrame([(1, json.dumps(msg)), (2, json.dumps(ok))], "mid long, value string")
+    flat = decode.flatten_market_trades(df)
+    rows = decode.normalise_trade(flat, F.lit(0), reject="rest_of_message", message_key=["mid"]).collect()
+    good = sorted(r.symbol for r in rows if r._error is None)
+    assert good == ["AUSD", "EUSD"]
+    per_row = decode.normalise_trade(flat, F.lit(0)).filter("_error is null").count()
+    assert per_row == 4
+
+
+def test_file_times_and_commit_gaps(spark, tmp_root):
+    from candlewick.operators import metrics
+    for i in range(3):
+        spark.range(1).write.mode("append").parquet(tmp_root)
+    ft = metrics.file_times(spark, tmp_root).filter(F.col("path").endswith(".parquet"))
+    g = metrics.commit_gaps(ft, "modificationTime").first()
+    assert g.n_commits >= 3 and g.span_ms >= g.last_gap_ms >= 0
