@@ -35,19 +35,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def current_version(spark: SparkSession, base: str) -> int | None:
-    """Highest committed version under ``base`` (a listing, not a Spark job)."""
+def _versions(spark: SparkSession, base: str) -> list[tuple[int, bool]]:
+    """(version, committed) for every version directory under ``base``."""
     fs, p = _fs(spark, base)
     if not fs.exists(p):
-        return None
-    best = None
+        return []
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    out = []
     for st in fs.listStatus(p):
         m = _VERSION.match(st.getPath().getName())
-        if m and st.isDirectory() and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-                st.getPath(), "_SUCCESS")):
-            v = int(m.group(1))
-            best = v if best is None or v > best else best
-    return best
+        if m and st.isDirectory():
+            out.append((int(m.group(1)), bool(fs.exists(Path(st.getPath(), "_SUCCESS")))))
+    return out
+
+
+def current_version(spark: SparkSession, base: str) -> int | None:
+    """Highest committed version under ``base`` (a listing, not a Spark job).
+    A version whose writer died before committing has no ``_SUCCESS`` and is
+    ignored."""
+    done = [v for v, ok in _versions(spark, base) if ok]
+    return max(done) if done else None
 
 
 def snapshot_path(base: str, version: int) -> str:
@@ -76,7 +83,9 @@ def write_snapshot(df: DataFrame, base: str, partition_by: Sequence[str] = (),
     """Write ``df`` as the next version of the table at ``base``; it becomes
     current when the write commits."""
     spark = df.sparkSession
-    v = (current_version(spark, base) or 0) + 1
+    # Past every existing directory, committed or not: a crashed writer's partial
+    # version is never reused or read.
+    v = max([v for v, _ in _versions(spark, base)] or [0]) + 1
     out = spread_partitions(df, partition_by, files_per_partition) if files_per_partition else df
     w = out.write.mode("errorifexists").format(fmt)
     if partition_by:

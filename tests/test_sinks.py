@@ -65,3 +65,13 @@ def test_trades_for_day_prunes_partitions(spark, tmp_root):
     import re
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*date", plan), plan
+
+
+def test_uncommitted_version_is_skipped(spark, tmp_root):
+    import os
+    from candlewick.session import local_fs_path
+    sinks.write_snapshot(spark.createDataFrame([(1,)], "v int"), tmp_root)
+    os.makedirs(local_fs_path(f"{tmp_root}/v000002"))          # a writer died here
+    assert sinks.current_version(spark, tmp_root) == 1
+    v = sinks.write_snapshot(spark.createDataFrame([(3,)], "v int"), tmp_root)
+    assert v == 3 and [r.v for r in sinks.read_snapshot(spark, tmp_root).collect()] == [3]
