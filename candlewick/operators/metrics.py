@@ -4,8 +4,8 @@ Percentiles are exact and follow the reference's rule: p50 is the median (mean
 of the two middle values for even n), p95 / p99 are the sorted value at zero-based
 index ``min(floor(n * p), n - 1)``; an empty input gives nulls (N/A).  They are
 computed from per-value counts (a partial hash aggregate) and running sums over
-the distinct values of each group, so no group's raw rows are gathered in one
-task and nothing is collected to the driver.
+distinct values -- per group, or for a global summary per value range -- so no
+raw rows are gathered in one task and nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -31,16 +31,46 @@ def _at(idx: Column) -> Column:
     return F.min(F.when((F.col("_lo") <= idx) & (idx <= F.col("_hi")), F.col("_v")))
 
 
-def latency_summary(df: DataFrame, value_col: str, group: Sequence[str] | None = None) -> DataFrame:
+def _ranked_values(counts: DataFrame, g: list[str], buckets: int) -> DataFrame:
+    """Per distinct value: its first / last zero-based index ``_lo`` / ``_hi`` in
+    the sorted multiset of its group, and the group size ``_n``.
+
+    Grouped: running sums over each group's distinct values.  Global: the
+    distinct values are cut into ``buckets`` contiguous value ranges at
+    approximate-quantile edges (one broadcast row), running sums run per
+    range in parallel, and each range is offset by the totals of the ranges
+    below it (a table of at most ``buckets`` rows).  No step sorts more than one
+    range / group in one task.
+    """
+    if g:
+        w = Window.partitionBy(*g).orderBy("_v")
+        return (counts.withColumn("_hi", F.sum("_c").over(w) - 1)
+                      .withColumn("_lo", F.col("_hi") - F.col("_c") + 1)
+                      .withColumn("_n", F.sum("_c").over(Window.partitionBy(*g))))
+    fracs = [i / buckets for i in range(1, buckets)]
+    # One row holding the edges, broadcast to every task (bounded: buckets-1 values).
+    edges = counts.agg(F.percentile_approx("_v", fracs).alias("_edges")).withColumn("_k0", F.lit(0))
+    cb = (counts.withColumn("_k0", F.lit(0)).join(F.broadcast(edges), "_k0")
+                .withColumn("_b", F.coalesce(F.size(F.filter("_edges", lambda e: e < F.col("_v"))), F.lit(0)))
+                .drop("_k0", "_edges"))
+    totals = cb.groupBy("_b").agg(F.sum("_c").alias("_bc"))                      # <= buckets rows
+    wb = Window.orderBy("_b")
+    offsets = (totals.withColumn("_off", F.coalesce(F.sum("_bc").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
+                                                     F.lit(0)))
+                     .withColumn("_n", F.sum("_bc").over(Window.partitionBy())).drop("_bc"))
+    w = Window.partitionBy("_b").orderBy("_v")
+    return (cb.join(F.broadcast(offsets), "_b")
+              .withColumn("_hi", F.col("_off") + F.sum("_c").over(w) - 1)
+              .withColumn("_lo", F.col("_hi") - F.col("_c") + 1))
+
+
+def latency_summary(df: DataFrame, value_col: str, group: Sequence[str] | None = None,
+                    buckets: int = 256) -> DataFrame:
     """A-7: ``[group..., n, p50, p95, p99]`` over non-null ``value_col``."""
     g = list(group or [])
     counts = (df.filter(F.col(value_col).isNotNull())
                 .groupBy(*g, F.col(value_col).alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
-    w = Window.partitionBy(*g).orderBy("_v")
-    wall = Window.partitionBy(*g)
-    ranked = (counts.withColumn("_hi", F.sum("_c").over(w) - 1)
-                    .withColumn("_lo", F.col("_hi") - F.col("_c") + 1)
-                    .withColumn("_n", F.sum("_c").over(wall)))
+    ranked = _ranked_values(counts, g, buckets)
     n = F.first("_n")
     i95 = F.least(F.floor(F.col("_n") * F.lit(0.95)), F.col("_n") - 1)
     i99 = F.least(F.floor(F.col("_n") * F.lit(0.99)), F.col("_n") - 1)

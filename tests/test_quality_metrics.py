@@ -58,3 +58,12 @@ def test_freshness_status(spark):
     assert st("2024-01-01 12:00:00") == "pass"
     assert st("2024-01-03 00:00:00") == "warn"
     assert st("2024-01-10 00:00:00") == "error"
+
+
+def test_global_percentiles_bucketed_many_values(spark):
+    rnd = random.Random(7)
+    vals = [int(rnd.expovariate(1 / 300)) for _ in range(5000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x long")
+    for b in (1, 4, 64):
+        r = metrics.latency_summary(df, "x", buckets=b).first()
+        assert (r.p50, r.p95, r.p99) == ref_fmt(vals) and r.n == 5000
