@@ -7,8 +7,11 @@ from candlewick.streaming.bars import ohlcv_bars
 
 
 def _write(spark, path, rows):
+    # One file per call: files written by one job share a modification time, and the
+    # file source orders a rate-limited replay by that time.
     spark.createDataFrame(rows, "symbol string, price double, quantity double, trade_time long, "
-                                "is_buyer_maker boolean, ingestion_ts long").write.mode("append").parquet(path)
+                                "is_buyer_maker boolean, ingestion_ts long") \
+         .coalesce(1).write.mode("append").parquet(path)
 
 
 def test_stream_bars_equal_batch_and_late_rows_dropped(spark, tmp_root):
