@@ -99,11 +99,13 @@ def dedupe_exact(df: DataFrame, cols: Sequence[str] = TRADE_EXACT_KEY) -> DataFr
 
 
 def dedupe_stats(df: DataFrame, cols: Sequence[str] = TRADE_EXACT_KEY) -> DataFrame:
-    """One row ``rows_before, rows_after, duplicates_removed`` computed in one job
-    (two global aggregates over the same scan; no driver-side arithmetic)."""
-    before = df.agg(F.count(F.lit(1)).alias("rows_before"))
-    after = dedupe_exact(df, cols).agg(F.count(F.lit(1)).alias("rows_after"))
-    return (before.select(F.col("rows_before"), after.scalar().alias("rows_after"))
+    """One row ``rows_before, rows_after, duplicates_removed`` from one scan and
+    one shuffle: per distinct row its multiplicity (partial-aggregated), then
+    ``sum`` of multiplicities = rows before, number of groups = rows after."""
+    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
+    return (groups.agg(F.sum("_m").cast("bigint").alias("rows_before"),
+                       F.count(F.lit(1)).cast("bigint").alias("rows_after"))
+                  .withColumn("rows_before", F.coalesce("rows_before", F.lit(0).cast("bigint")))
                   .withColumn("duplicates_removed", F.col("rows_before") - F.col("rows_after")))
 
 
