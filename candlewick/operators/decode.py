@@ -7,7 +7,7 @@ not on the classpath here; with it present, ``from_avro`` is used instead.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -209,15 +209,14 @@ def normalise_trade(trades: DataFrame, event_time=None, reject: str = "row",
     return out.withColumn("_error", rest).drop("_ev_pos", "_t_pos")
 
 
-COIN_ZERO_DEFAULTS = ("current_price", "market_cap", "market_cap_rank", "total_volume", "ath")
-
-
 def normalise_coin(records: DataFrame, ingestion_ts) -> DataFrame:
     """Coin REST record -> metadata record (P-7): upper-case symbol, zero for
     missing price / cap / rank / volume / ATH, nulls kept for the 24 h changes and
-    supply, renamed keys, one ``ingestion_ts`` (epoch millis) for the run."""
+    supply, renamed keys, one ``ingestion_ts`` (epoch millis, literal or column)
+    for the run."""
     def zero(c, t):
         return F.coalesce(F.col(c).cast(t), F.lit(0).cast(t))
+    stamp = ingestion_ts if isinstance(ingestion_ts, Column) else F.lit(ingestion_ts)
     return records.select(
         F.col("id").alias("coin_id"),
         F.upper("symbol").alias("symbol"),
@@ -230,6 +229,5 @@ def normalise_coin(records: DataFrame, ingestion_ts) -> DataFrame:
         F.col("price_change_percentage_24h").cast("double").alias("price_change_pct_24h"),
         F.col("circulating_supply").cast("double").alias("circulating_supply"),
         zero("ath", "double").alias("ath"),
-        F.lit(ingestion_ts).cast("bigint").alias("ingestion_ts") if not hasattr(ingestion_ts, "alias")
-        else ingestion_ts.cast("bigint").alias("ingestion_ts"),
+        stamp.cast("bigint").alias("ingestion_ts"),
     )

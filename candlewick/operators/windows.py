@@ -21,8 +21,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.functions.exprs import safe_ratio
-
 
 def _change_columns(df: DataFrame) -> DataFrame:
     prev, p = F.col("prev_price"), F.col("price")

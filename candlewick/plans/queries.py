@@ -350,10 +350,10 @@ def _stage_stream_input(spark, sf_dir, with_marker: bool = False) -> tuple[str,
     stream source.  ``with_marker`` adds one end-of-input record, 1 day past the
     last trade, so the watermark closes every real window (a running stream gets
     that from later trades)."""
+    from candlewick.schemas import TRADE_EVENT
     from candlewick.session import scratch_path
-    from candlewick.functions.exprs import epoch_millis
     root = scratch_path(spark, "stream")
-    wire = fx.lake_trades(spark, sf_dir).select(*[f.name for f in TRADE_EVENT_FIELDS()])
+    wire = fx.lake_trades(spark, sf_dir).select(*TRADE_EVENT.fieldNames())
     if with_marker:
         last = wire.agg(F.max("trade_time").alias("t"))
         marker = last.select(F.lit(fx.END_MARKER_SYMBOL).alias("symbol"), F.lit(0.0).alias("price"),
@@ -365,11 +365,6 @@ def _stage_stream_input(spark, sf_dir, with_marker: bool = False) -> tuple[str,
     return root, f"{root}/in"
 
 
-def TRADE_EVENT_FIELDS():
-    from candlewick.schemas import TRADE_EVENT
-    return TRADE_EVENT.fields
-
-
 @register("trade_stream_append")
 def q_trade_stream_append(spark, sf_dir):
     """S-1 + P-8..P-10 + C-5 + K-1: trade stream -> dedupe within watermark ->

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -68,13 +67,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/candlewick/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
 def local_fs_path(path: str) -> str:
+    """``file:`` URI -> plain local path (tests only)."""
     return path[len("file:"):] if path.startswith("file:") else path
-
-
-def env_default(name: str, default: str) -> str:
-    return os.environ.get(name, default)

@@ -3,7 +3,6 @@
 import datetime as dt
 import decimal
 import math
-import os
 from collections import Counter
 
 import pytest

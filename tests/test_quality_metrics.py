@@ -2,8 +2,6 @@ import datetime as dt
 import random
 import statistics
 
-from pyspark.sql import functions as F
-
 from candlewick.operators import metrics, quality
 
 

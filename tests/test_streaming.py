@@ -1,7 +1,3 @@
-import datetime as dt
-
-from pyspark.sql import functions as F
-
 from candlewick.streaming import ingest
 from candlewick.streaming.bars import ohlcv_bars
 
