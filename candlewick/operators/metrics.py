@@ -4,8 +4,9 @@ Percentiles are exact and follow the reference's rule: p50 is the median (mean
 of the two middle values for even n), p95 / p99 are the sorted value at zero-based
 index ``min(floor(n * p), n - 1)``; an empty input gives nulls (N/A).  They are
 computed from per-value counts (a partial hash aggregate) and running sums over
-distinct values -- per group, or for a global summary per value range -- so no
-raw rows are gathered in one task and nothing is collected to the driver.
+distinct values, per (group, value range) -- so no raw rows are gathered in one
+task, a hot group is spread over its value ranges, and nothing is collected to
+the driver.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.exprs import epoch_millis
+from candlewick.functions.sizing import bounded_broadcast
 
 SUMMARY_COLUMNS = ["n", "p50", "p95", "p99"]
 
@@ -31,37 +33,41 @@ def _at(idx: Column) -> Column:
     return F.min(F.when((F.col("_lo") <= idx) & (idx <= F.col("_hi")), F.col("_v")))
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def _ranked_values(counts: DataFrame, g: list[str], buckets: int) -> DataFrame:
     """Per distinct value: its first / last zero-based index ``_lo`` / ``_hi`` in
     the sorted multiset of its group, and the group size ``_n``.
 
-    Grouped: running sums over each group's distinct values.  Global: the
-    distinct values are cut into ``buckets`` contiguous value ranges at
-    approximate-quantile edges (one broadcast row), running sums run per
-    range in parallel, and each range is offset by the totals of the ranges
-    below it (a table of at most ``buckets`` rows).  No step sorts more than one
-    range / group in one task.
+    Each group's distinct values are cut into ``buckets`` contiguous value ranges
+    at approximate-quantile edges (one row of edges per group).  Running sums
+    run per (group, range) in parallel and are offset by the totals of the lower
+    ranges of the same group (at most ``buckets`` rows per group).  So no step
+    sorts more than one range of one group in one task, however hot the group.
     """
-    if g:
-        w = Window.partitionBy(*g).orderBy("_v")
-        return (counts.withColumn("_hi", F.sum("_c").over(w) - 1)
-                      .withColumn("_lo", F.col("_hi") - F.col("_c") + 1)
-                      .withColumn("_n", F.sum("_c").over(Window.partitionBy(*g))))
+    keys = g or ["_k0"]
+    if not g:
+        counts = counts.withColumn("_k0", F.lit(0))
     fracs = [i / buckets for i in range(1, buckets)]
-    # One row holding the edges, broadcast to every task (bounded: buckets-1 values).
-    edges = counts.agg(F.percentile_approx("_v", fracs).alias("_edges")).withColumn("_k0", F.lit(0))
-    cb = (counts.withColumn("_k0", F.lit(0)).join(F.broadcast(edges), "_k0")
-                .withColumn("_b", F.coalesce(F.size(F.filter("_edges", lambda e: e < F.col("_v"))), F.lit(0)))
-                .drop("_k0", "_edges"))
-    totals = cb.groupBy("_b").agg(F.sum("_c").alias("_bc"))                      # <= buckets rows
-    wb = Window.orderBy("_b")
+    edges = counts.groupBy(*keys).agg(F.percentile_approx("_v", fracs).alias("_edges"))
+    cb = (_null_safe_join(counts, bounded_broadcast(edges), keys)
+          .withColumn("_b", F.coalesce(F.size(F.filter("_edges", lambda e: e < F.col("_v"))), F.lit(0)))
+          .drop("_edges"))
+    totals = cb.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))        # <= buckets rows per group
+    wb = Window.partitionBy(*keys).orderBy("_b")
     offsets = (totals.withColumn("_off", F.coalesce(F.sum("_bc").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
                                                      F.lit(0)))
-                     .withColumn("_n", F.sum("_bc").over(Window.partitionBy())).drop("_bc"))
-    w = Window.partitionBy("_b").orderBy("_v")
-    return (cb.join(F.broadcast(offsets), "_b")
-              .withColumn("_hi", F.col("_off") + F.sum("_c").over(w) - 1)
-              .withColumn("_lo", F.col("_hi") - F.col("_c") + 1))
+                     .withColumn("_n", F.sum("_bc").over(Window.partitionBy(*keys))).drop("_bc"))
+    w = Window.partitionBy(*keys, "_b").orderBy("_v")
+    out = (_null_safe_join(cb, offsets, keys + ["_b"])
+           .withColumn("_hi", F.col("_off") + F.sum("_c").over(w) - 1)
+           .withColumn("_lo", F.col("_hi") - F.col("_c") + 1))
+    return out if g else out.drop("_k0")
 
 
 def latency_summary(df: DataFrame, value_col: str, group: Sequence[str] | None = None,

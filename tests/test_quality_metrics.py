@@ -65,3 +65,13 @@ def test_global_percentiles_bucketed_many_values(spark):
     for b in (1, 4, 64):
         r = metrics.latency_summary(df, "x", buckets=b).first()
         assert (r.p50, r.p95, r.p99) == ref_fmt(vals) and r.n == 5000
+
+
+def test_grouped_percentiles_bucketed_with_null_group(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["a", "b", None]), int(rnd.expovariate(1 / 50))) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "g string, x long")
+    for b in (1, 8, 64):
+        got = {r.g: (r.p50, r.p95, r.p99) for r in metrics.latency_summary(df, "x", ["g"], buckets=b).collect()}
+        for key in ("a", "b", None):
+            assert got[key] == ref_fmt([x for k, x in rows if k == key])
