@@ -51,7 +51,9 @@ def encode_frames(df: DataFrame, schema_json: str, schema_id: int = 1,
     """Rows of the record schema -> framed Avro ``value`` (+ ``keep`` columns)."""
     from candlewick.functions.avro_codec import encode_body, frame
     from candlewick.schemas import avro_field_types
+    from candlewick.session import ship_package
 
+    ship_package(df.sparkSession)
     fields = avro_field_types(schema_json)
     keep = list(keep or [])
     names = [f[0] for f in fields]
@@ -90,7 +92,9 @@ def decode_frames(df: DataFrame, schema_json: str, value_col: str = "value",
         raise ValueError("mode must be 'permissive' or 'failfast'")
     from candlewick.functions.avro_codec import decode_frame
     from candlewick.schemas import avro_field_types, avro_schema_to_struct
+    from candlewick.session import ship_package
 
+    ship_package(df.sparkSession)
     fields = avro_field_types(schema_json)
     struct = avro_schema_to_struct(schema_json)
     keep = [k for k in (keep or []) if k != value_col]

@@ -40,34 +40,41 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def _bucket_of(edges, v: str = "_v"):
+    """Index of the value range holding ``v``: the number of distinct edges below
+    it (plain array expressions, no lambda, so a scalar subquery may feed it)."""
+    pos = F.array_position(F.sort_array(F.array_union(edges, F.array(F.col(v)))), F.col(v))
+    return F.coalesce(pos - 1, F.lit(0))
+
+
 def _ranked_values(counts: DataFrame, g: list[str], buckets: int) -> DataFrame:
     """Per distinct value: its first / last zero-based index ``_lo`` / ``_hi`` in
     the sorted multiset of its group, and the group size ``_n``.
 
     Each group's distinct values are cut into ``buckets`` contiguous value ranges
-    at approximate-quantile edges (one row of edges per group).  Running sums
-    run per (group, range) in parallel and are offset by the totals of the lower
-    ranges of the same group (at most ``buckets`` rows per group).  So no step
-    sorts more than one range of one group in one task, however hot the group.
+    at approximate-quantile edges (a scalar subquery without groups, one row of
+    edges per group otherwise).  Running sums run per (group, range) in parallel
+    and are offset by the totals of the lower ranges of the same group (at most
+    ``buckets`` rows per group).  So no step sorts more than one range of one
+    group in one task, however hot the group.
     """
-    keys = g or ["_k0"]
-    if not g:
-        counts = counts.withColumn("_k0", F.lit(0))
     fracs = [i / buckets for i in range(1, buckets)]
-    edges = counts.groupBy(*keys).agg(F.percentile_approx("_v", fracs).alias("_edges"))
-    cb = (_null_safe_join(counts, bounded_broadcast(edges), keys)
-          .withColumn("_b", F.coalesce(F.size(F.filter("_edges", lambda e: e < F.col("_v"))), F.lit(0)))
-          .drop("_edges"))
-    totals = cb.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))        # <= buckets rows per group
-    wb = Window.partitionBy(*keys).orderBy("_b")
+    pct = F.percentile_approx("_v", fracs)
+    if g:
+        edges = counts.groupBy(*g).agg(pct.alias("_edges"))
+        cb = (_null_safe_join(counts, bounded_broadcast(edges), g)
+              .withColumn("_b", _bucket_of(F.col("_edges"))).drop("_edges"))
+    else:
+        cb = counts.withColumn("_b", _bucket_of(counts.agg(pct).scalar()))
+    totals = cb.groupBy(*g, "_b").agg(F.sum("_c").alias("_bc"))        # <= buckets rows per group
+    wb = Window.partitionBy(*g).orderBy("_b")
     offsets = (totals.withColumn("_off", F.coalesce(F.sum("_bc").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
                                                      F.lit(0)))
-                     .withColumn("_n", F.sum("_bc").over(Window.partitionBy(*keys))).drop("_bc"))
-    w = Window.partitionBy(*keys, "_b").orderBy("_v")
-    out = (_null_safe_join(cb, offsets, keys + ["_b"])
-           .withColumn("_hi", F.col("_off") + F.sum("_c").over(w) - 1)
-           .withColumn("_lo", F.col("_hi") - F.col("_c") + 1))
-    return out if g else out.drop("_k0")
+                     .withColumn("_n", F.sum("_bc").over(Window.partitionBy(*g))).drop("_bc"))
+    w = Window.partitionBy(*g, "_b").orderBy("_v")
+    return (_null_safe_join(cb, bounded_broadcast(offsets), g + ["_b"])
+            .withColumn("_hi", F.col("_off") + F.sum("_c").over(w) - 1)
+            .withColumn("_lo", F.col("_hi") - F.col("_c") + 1))
 
 
 def latency_summary(df: DataFrame, value_col: str, group: Sequence[str] | None = None,
@@ -123,26 +130,29 @@ def ingest_latency(log: DataFrame, n: int = 100, per: Sequence[str] = ("partitio
 def commit_gaps(times: DataFrame, time_col: str = "modificationTime",
                 group: Sequence[str] | None = None) -> DataFrame:
     """M-2: per group, ``n_commits``, first / last time, ``span_ms`` (newest minus
-    oldest) and ``last_gap_ms`` (newest minus the one before)."""
+    oldest) and ``last_gap_ms`` (newest minus the one before; 0 when the two
+    newest are equal, null with a single commit).  One aggregate pass after the
+    newest time per group is known (a scalar subquery, or a join on the group)."""
     g = list(group or [])
-    t = F.col(time_col)
-    w = Window.partitionBy(*g).orderBy(t.desc_nulls_last())
-    top2 = (times.filter(t.isNotNull()).withColumn("_rn", F.row_number().over(w))
-                 .filter(F.col("_rn") <= 2)
-                 .groupBy(*g).agg(F.max(t).alias("_t1"), F.min(t).alias("_t2"),
-                                  F.count(F.lit(1)).alias("_k")))
-    span = (times.filter(t.isNotNull()).groupBy(*g)
-                 .agg(F.count(F.lit(1)).alias("n_commits"),
-                      F.min(t).alias("first_commit"), F.max(t).alias("last_commit")))
-    # Without groups both sides are one row: join on a constant key (no cross join).
-    j = (span.join(top2, g, "inner") if g else
-         span.withColumn("_k0", F.lit(0)).join(top2.withColumn("_k0", F.lit(0)), "_k0"))
-    return j.select(*g, "n_commits", F.col("first_commit").cast("timestamp_ntz").alias("first_commit"),
-                    F.col("last_commit").cast("timestamp_ntz").alias("last_commit"),
-                    (epoch_millis(F.col("last_commit").cast("timestamp_ntz"))
-                     - epoch_millis(F.col("first_commit").cast("timestamp_ntz"))).alias("span_ms"),
-                    F.when(F.col("_k") == 2, epoch_millis(F.col("_t1").cast("timestamp_ntz"))
-                           - epoch_millis(F.col("_t2").cast("timestamp_ntz"))).alias("last_gap_ms"))
+    t = F.col(time_col).cast("timestamp_ntz")
+    rows = times.filter(F.col(time_col).isNotNull()).select(*g, t.alias("_t"))
+    newest = rows.groupBy(*g).agg(F.max("_t").alias("_t1"))
+    if g:
+        rows = _null_safe_join(rows, newest, g)
+    else:
+        rows = rows.withColumn("_t1", newest.select("_t1").scalar())
+    at_newest = F.col("_t") == F.col("_t1")
+    agg = rows.groupBy(*g).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_commits"),
+        F.min("_t").alias("first_commit"), F.max("_t").alias("last_commit"),
+        F.sum(at_newest.cast("bigint")).alias("_k1"),
+        F.max(F.when(~at_newest, F.col("_t"))).alias("_t2"))
+    ms = epoch_millis
+    return agg.select(
+        *g, "n_commits", "first_commit", "last_commit",
+        (ms(F.col("last_commit")) - ms(F.col("first_commit"))).alias("span_ms"),
+        F.when(F.col("_k1") >= 2, F.lit(0).cast("bigint"))
+         .when(F.col("_t2").isNotNull(), ms(F.col("last_commit")) - ms(F.col("_t2"))).alias("last_gap_ms"))
 
 
 def file_times(spark, path: str) -> DataFrame:

@@ -35,9 +35,34 @@ def build_session(master: str = "local[*]", app: str = "candlewick",
 
 
 def ensure_semantics(spark: SparkSession) -> None:
-    """Pin the settings whose values change results (session zone)."""
+    """Pin the settings whose values change results (session zone), and make the
+    package importable by executor Python workers."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
+
+
+_SHIPPED_KEY = "candlewick.pyfile"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """``addPyFile`` a zip of this package once per session (what ``--py-files``
+    does at submit time), so Arrow batch functions resolve on every executor
+    whatever the driver's working directory is."""
+    if spark.conf.get(_SHIPPED_KEY, None):
+        return
+    import os
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="candlewick-pyfiles-"), "candlewick.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    spark.sparkContext.addPyFile(out)
+    spark.conf.set(_SHIPPED_KEY, out)
 
 
 def checkpoint_root(spark: SparkSession) -> str:

@@ -37,6 +37,9 @@ def duck():
 @pytest.mark.parametrize("key", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for op in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert op not in plan, f"{key} plans {op}"
     rows, cols = df.collect(), df.columns
     rel = duck.sql(E.oracle_sql()[key])
     drows, dcols = rel.fetchall(), rel.columns
