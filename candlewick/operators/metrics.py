@@ -72,7 +72,9 @@ def _ranked_values(counts: DataFrame, g: list[str], buckets: int) -> DataFrame:
                                                      F.lit(0)))
                      .withColumn("_n", F.sum("_bc").over(Window.partitionBy(*g))).drop("_bc"))
     w = Window.partitionBy(*g, "_b").orderBy("_v")
-    return (_null_safe_join(cb, bounded_broadcast(offsets), g + ["_b"])
+    # Without groups the offsets table has at most ``buckets`` rows by construction.
+    offsets = bounded_broadcast(offsets) if g else F.broadcast(offsets)
+    return (_null_safe_join(cb, offsets, g + ["_b"])
             .withColumn("_hi", F.col("_off") + F.sum("_c").over(w) - 1)
             .withColumn("_lo", F.col("_hi") - F.col("_c") + 1))
 
