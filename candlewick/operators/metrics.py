@@ -58,6 +58,13 @@ def _ranked_values(counts: DataFrame, g: list[str], buckets: int) -> DataFrame:
     ``buckets`` rows per group).  So no step sorts more than one range of one
     group in one task, however hot the group.
     """
+    if buckets <= 1:
+        # Plain running sums per group: for inputs bounded by construction
+        # (e.g. the newest n records per group).
+        w = Window.partitionBy(*g).orderBy("_v")
+        return (counts.withColumn("_hi", F.sum("_c").over(w) - 1)
+                      .withColumn("_lo", F.col("_hi") - F.col("_c") + 1)
+                      .withColumn("_n", F.sum("_c").over(Window.partitionBy(*g))))
     fracs = [i / buckets for i in range(1, buckets)]
     pct = F.percentile_approx("_v", fracs)
     if g:
@@ -126,7 +133,7 @@ def ingest_latency(log: DataFrame, n: int = 100, per: Sequence[str] = ("partitio
     tt, it = F.col(trade_time), F.col(ingestion_ts)
     ok = tt.isNotNull() & it.isNotNull() & (tt != 0) & (it != 0)
     lat = recent.filter(ok).select(*per, (it - tt).alias("latency_ms"))
-    return latency_summary(lat, "latency_ms", list(per))
+    return latency_summary(lat, "latency_ms", list(per), buckets=1)   # <= n rows per group
 
 
 def commit_gaps(times: DataFrame, time_col: str = "modificationTime",
@@ -173,7 +180,7 @@ def history_latency(history: DataFrame, predicate: Column, n: int, now,
                          & (st >= now_c - F.expr(f"INTERVAL {lookback}")))
     recent = last_n(sel, ["start_time"], n)
     dur = recent.select((epoch_millis(et) - epoch_millis(st)).alias("duration_ms"))
-    return latency_summary(dur.filter(F.col("duration_ms").isNotNull()), "duration_ms")
+    return latency_summary(dur.filter(F.col("duration_ms").isNotNull()), "duration_ms", buckets=1)  # <= n rows
 
 
 def report(rows: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
