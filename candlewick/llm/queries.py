@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import simhash_bktree
-from candlewick.llm.common import prepare, read_table
+from candlewick.llm import decontaminate, quality_rules, simhash_bktree
+from candlewick.llm.common import held_out, prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,3 +31,19 @@ def op1(spark, sf_dir):
     got = simhash_bktree.near_duplicates(read_table(spark, sf_dir, "documents"))
     return got.select("doc_id", simhash_bktree.hex_fingerprint(F.col("fp")).alias("fingerprint"),
                       "component_id")
+
+
+@register("op4_quality_rules")
+def op4(spark, sf_dir):
+    """Quality score of all documents; the model learns from labelled rows that aren't held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality_rules.fit(docs, read_table(spark, sf_dir, "labels"))
+    return quality_rules.classify(docs, model).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+@register("op9_rare_seed_alignment")
+def op9(spark, sf_dir):
+    """Documents that hold a benchmark item, copied, edited or paraphrased, with its score."""
+    return decontaminate.contaminated_pairs(read_table(spark, sf_dir, "documents"),
+                                            read_table(spark, sf_dir, "benchmark"))
