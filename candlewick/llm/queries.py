@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import decontaminate, quality_rules, simhash_bktree
+from candlewick.llm import decontaminate, pii_bootstrap, quality_rules, simhash_bktree
 from candlewick.llm.common import held_out, prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +47,13 @@ def op9(spark, sf_dir):
     """Documents that hold a benchmark item, copied, edited or paraphrased, with its score."""
     return decontaminate.contaminated_pairs(read_table(spark, sf_dir, "documents"),
                                             read_table(spark, sf_dir, "benchmark"))
+
+
+@register("op5_pii_bootstrap")
+def op5(spark, sf_dir):
+    """Base personal data of all documents, and the identifiers their contexts lead to."""
+    got = pii_bootstrap.personal_data(read_table(spark, sf_dir, "documents"))
+    return got.select(
+        "doc_id", *[F.get("n", F.lit(i)).alias(f"n_{k}") for i, k in enumerate(pii_bootstrap.KINDS)],
+        F.sha2(F.array_join("base", ",").cast("binary"), 256).alias("base_sha256"),
+        F.array_join("spans", ",").alias("spans"))

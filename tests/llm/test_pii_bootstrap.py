@@ -1,0 +1,91 @@
+"""Base kinds against the plain patterns; the bootstrap on planted contexts; redaction."""
+
+import random
+import re
+
+import pytest
+
+from candlewick.llm import pii_bootstrap as P
+from candlewick.llm.common import prepare
+
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
+IP = r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
+CARD = r"[0-9]([\x20-]?[0-9])+"
+PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+SCHEMA = "doc_id bigint, text string, kind string, n_chars bigint"
+
+
+def slow_luhn(d):
+    t = [int(c) for c in d[::-1]]
+    return sum(t[::2] + [sum(divmod(2 * x, 10)) for x in t[1::2]]) % 10 == 0
+
+
+def slow_spans(t):
+    out = [(0, *m.span()) for m in re.finditer(EMAIL, t)]
+    out += [(1, *m.span()) for m in re.finditer(IP, t) if all(int(x) <= 255 for x in m.group().split("."))]
+    for m in re.finditer(CARD, t):
+        d = re.sub("[^0-9]", "", m.group())
+        if 13 <= len(d) <= 19 and slow_luhn(d):
+            out.append((2, *m.span()))
+    return out + [(3, *m.span()) for m in re.finditer(PHONE, t) if 9 <= len(re.findall("[0-9]", m.group())) <= 15]
+
+
+@pytest.mark.parametrize("signs", ["a.@-_ 1", "0123456789.", "0123456789 -", "+123456 ().-", "a1@.+ -é\n"])
+def test_base_spans_match_the_patterns(signs):
+    rng = random.Random(signs)
+    for _ in range(1500):
+        t = "".join(rng.choices(signs, k=rng.randint(0, 60)))
+        assert P.base_spans(t) == slow_spans(t), repr(t)
+
+
+def test_known_forms_and_long_runs():
+    t = "mail a.b@x.example.org, 4111 1111-1111 1111 or +1 (555) 010-9999 at 10.0.0.255 not 10.0.0.256 é"
+    assert [P.KINDS[k] for k, _, _ in P.base_spans(t)] == ["email", "ip", "card", "phone"]
+    assert P.base_spans(t) == slow_spans(t)
+    for unit in ("1", "a", "@", ".1", "+1 ", "1-", "a@a."):
+        P.scan_text(unit * (200_000 // len(unit)))
+
+
+def corpus():
+    """``contact ref:`` is always followed by an address or a member number; ``see also`` by anything."""
+    rows = []
+    for i in range(12):
+        rows.append(f"hello contact ref: user{i}@mail.example.org bye")
+        rows.append(f"words see also user{i}@mail.example.org and see also plain words see also others, see also more")
+    rows += [f"hello contact ref: MB-{n}-77X end" for n in (4411, 5522, 6633)]
+    rows += ["elsewhere MB-4411-77X stands alone", "words see also BUILD-2024-11 see also nothing", "only 12345678 here"]
+    return rows
+
+
+def test_contexts_of_seeds_discover_identifiers(spark):
+    prepare(spark)
+    rows = [(i, t, "clash", len(t)) for i, t in enumerate(corpus())] + [(900, None, None, None), (901, "", "x", 0)]
+    df = spark.createDataFrame(rows + rows[:1] + [(None, "a@b.co", "x", 6)], SCHEMA).repartition(3)
+    got = P.personal_data(df).collect()
+    assert len(got) == len(rows) + 2
+    by_id = {r.doc_id: r for r in got}
+    ids = {d: [s for s in r.spans if s.startswith("id:")] for d, r in by_id.items()}
+    found = {rows[d][1][int(s.split(":")[1]):int(s.split(":")[2])] for d, v in ids.items() for s in v if d is not None}
+    assert found == {"MB-4411-77X", "MB-5522-77X", "MB-6633-77X"}
+    assert sum(map(len, ids.values())) == 4  # the lone occurrence too
+    for d, t, _, _ in rows:
+        want = [f"{P.KINDS[k]}:{a}:{b}" for k, a, b in slow_spans(t or "")]
+        assert by_id[d].base == want and by_id[d].spans[:len(want)] == want
+    out = P.redact(df)
+    assert out.columns == df.columns and out.count() == df.count()
+    text = {r.doc_id: r for r in out.collect()}
+    assert text[24].text == "hello contact ref: [ID] end" and text[24].n_chars == len(text[24].text)
+    assert text[0].text == "hello contact ref: [EMAIL] bye" and text[900].text is None
+    assert text[len(rows) - 3].text == "only 12345678 here"
+
+
+def test_no_seeds_no_rows(spark):
+    prepare(spark)
+    df = spark.createDataFrame([(1, "ref: AB-123-456", "x", 1)] * 2, SCHEMA)
+    assert [r.spans for r in P.personal_data(df).collect()] == [[], []]
+    assert P.redact(df).filter("text = 'ref: AB-123-456'").count() == 2
+    assert P.personal_data(df.limit(0)).collect() == [] and P.redact(df.limit(0)).collect() == []
+
+
+def test_overlapping_spans_are_one_replacement():
+    assert P.redacted("abcdefgh", [("ip", 1, 4), ("card", 3, 6), ("id", 7, 8)]) == "a[IP]g[ID]"
