@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import decontaminate, pii_bootstrap, quality_rules, simhash_bktree
+from candlewick.llm import decontaminate, gumbel_segmentation, pii_bootstrap, quality_rules, simhash_bktree
 from candlewick.llm.common import held_out, prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +57,10 @@ def op5(spark, sf_dir):
         "doc_id", *[F.get("n", F.lit(i)).alias(f"n_{k}") for i, k in enumerate(pii_bootstrap.KINDS)],
         F.sha2(F.array_join("base", ",").cast("binary"), 256).alias("base_sha256"),
         F.array_join("spans", ",").alias("spans"))
+
+
+@register("op2_gumbel_segmentation")
+def op2(spark, sf_dir):
+    """Two distinct sampled segmentations of every whole text, with inclusion scores and ids."""
+    return gumbel_segmentation.sample_segmentations(
+        read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
