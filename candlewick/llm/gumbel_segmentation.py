@@ -38,10 +38,8 @@ ZIPF_OFFSET = 2700.0
 #: Words whose lattices a task keeps; it starts afresh beyond that (results do not change).
 KEPT_WORDS = 300_000
 
-#: Units that no piece of a vocabulary crosses: letters, signs or digits with the spaces before them;
-#: or, where a vocabulary mixes these, whole words.
-FINE = re.compile(r"\n| *[^\W\d_²³¹]+| *(?:[^ \n\w]|[_²³¹])+| *\d+| +")
-COARSE = re.compile(r"\n| *[^ \n]+| +")
+#: Units that no piece crosses: a word with the spaces before it, a line break, trailing spaces.
+UNIT = re.compile(r"\n| *[^ \n]+| +")
 SAMPLE = "struct<ids:array<int>,log_prob:double,perturbed:double,log_inclusion:double>"
 
 
@@ -54,7 +52,6 @@ class Vocabulary:
     byte_ids: tuple[int, ...]
     byte_weight: float
     data: tuple[bytes, ...] = field(repr=False)
-    unit: re.Pattern = FINE
 
 
 @lru_cache(maxsize=2)
@@ -79,8 +76,7 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
     norm = np.log(sum(1 / (r + ZIPF_OFFSET) for r in rank.values()))
     weight = {p: float(-np.log(r + ZIPF_OFFSET) - norm) for p, r in rank.items()}
     return Vocabulary(ids, weight, tuple(by_byte[b] for b in range(256)),
-                      float(-np.log(n + ZIPF_OFFSET) - norm), tuple(data),
-                      FINE if all(FINE.fullmatch(p) for p in ids) else COARSE)
+                      float(-np.log(n + ZIPF_OFFSET) - norm), tuple(data))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -248,7 +244,7 @@ class Batch:
         self.lat, self.n = lattices, len(texts)
         words, per = [], []
         for t in texts:
-            got = lattices.vocab.unit.findall(" " + t) if t else []
+            got = UNIT.findall(" " + t) if t else []
             words += got
             per.append(len(got))
         self.number = lattices.numbers(words)
