@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import decontaminate, gumbel_segmentation, pii_bootstrap, quality_rules, simhash_bktree
+from candlewick.llm import (chat_schema, decontaminate, gumbel_segmentation, multiset_hash, pii_bootstrap,
+                            quality_rules, simhash_bktree)
 from candlewick.llm.common import held_out, prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,3 +65,46 @@ def op2(spark, sf_dir):
     """Two distinct sampled segmentations of every whole text, with inclusion scores and ids."""
     return gumbel_segmentation.sample_segmentations(
         read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@register("op7_multiset_hash")
+def op7(spark, sf_dir):
+    """Multiset fingerprints of all documents and of their edited texts."""
+    return multiset_hash.edited_documents(read_table(spark, sf_dir, "documents"))
+
+
+@register("op10_chat_schema")
+def op10(spark, sf_dir):
+    """All conversations, and one that says control strings, formatted and read back."""
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.sql("SELECT -1L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text "
+                    "FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
+    return chat_schema.conversations_digest(rows.unionByName(odd))
+
+
+#: What the reading must give, from the rows alone: the template's own length is left to the query's
+#: definition (markers, escapes), restated here in SQL.
+ORACLE_SQL["op10_chat_schema"] = r"""
+WITH rows_ AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, length(role) + length(text) + length(concat(role, text)) - length(replace(concat(role, text), '\', ''))
+    + (length(concat(role, ' ', text)) - length(replace(concat(role, ' ', text), '<|', ''))) // 2
+    + (length(concat(role, ' ', text)) - length(replace(concat(role, ' ', text), '<s>', ''))) // 3
+    + (length(concat(role, ' ', text)) - length(replace(concat(role, ' ', text), '</s>', ''))) // 4
+    + (length(concat(role, ' ', text)) - length(replace(concat(role, ' ', text), '[INST]', ''))) // 6
+    + (length(concat(role, ' ', text)) - length(replace(concat(role, ' ', text), '[/INST]', ''))) // 7
+    + (length(concat(role, ' ', text)) - length(replace(concat(role, ' ', text), '<<SYS>>', ''))) // 7
+    + (length(concat(role, ' ', text)) - length(replace(concat(role, ' ', text), '<</SYS>>', ''))) // 8
+    + 23 AS chars
+  FROM rows_
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
