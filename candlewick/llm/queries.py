@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import (chat_schema, decontaminate, gumbel_segmentation, multiset_hash, pii_bootstrap,
-                            quality_rules, simhash_bktree)
+from candlewick.llm import (chat_schema, decontaminate, gumbel_segmentation, language_backoff, multiset_hash,
+                            pii_bootstrap, quality_rules, simhash_bktree)
 from candlewick.llm.common import held_out, prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,3 +108,10 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+
+@register("op8_language_backoff")
+def op8(spark, sf_dir):
+    """Language of every whole text, by words first and character n-grams for unseen ones."""
+    docs = read_table(spark, sf_dir, "documents")
+    return language_backoff.predict(docs, language_backoff.fit(docs))
