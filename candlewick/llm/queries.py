@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import (chat_schema, decontaminate, gumbel_segmentation, language_backoff, multiset_hash,
-                            pii_bootstrap, quality_rules, simhash_bktree)
+                            pii_bootstrap, quality_rules, simhash_bktree, warc_normaliser)
 from candlewick.llm.common import held_out, prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +115,24 @@ def op8(spark, sf_dir):
     """Language of every whole text, by words first and character n-grams for unseen ones."""
     docs = read_table(spark, sf_dir, "documents")
     return language_backoff.predict(docs, language_backoff.fit(docs))
+
+
+@register("op6_warc_normaliser")
+def op6(spark, sf_dir):
+    """All pages written to WARC archives, normalised to members, and read back by their offsets."""
+    return warc_normaliser.archive_pages(read_table(spark, sf_dir, "pages"))
+
+
+ORACLE_SQL["op6_warc_normaliser"] = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), d AS (
+  SELECT page_id, octet_length(payload) AS n, sha256(payload) AS digest FROM p
+), least AS (
+  SELECT digest, min(page_id) AS first FROM d WHERE n >= 100 GROUP BY digest
+)
+SELECT d.page_id, CAST(d.n AS BIGINT) AS payload_bytes, d.digest AS payload_digest,
+  CASE WHEN least.first <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN least.first <> d.page_id THEN least.first END AS refers_to
+FROM d LEFT JOIN least ON d.digest = least.digest
+"""
