@@ -23,6 +23,8 @@ THRESHOLD = 0.3
 #: Labelled rows the model is fitted on (chosen by a hash of doc_id), in expectation.
 SAMPLE_ROWS = 20_000
 TREES, DEPTH, LASSO = 12, 4, 0.0005
+#: Tasks of a fitting job: the sample is bounded, so many tasks only add waiting.
+FIT_TASKS = 4
 
 #: Ornament, not the signs that addresses, numbers and code are written with.
 SYMBOLS = "%$&#*!|~^\\<>{}[]"
@@ -129,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, seed
     n, pos = seen.get("n") or 0, seen.get("pos") or 0.0
     if not n or pos in (0, n):
         return RuleModel((), 0.0 if not n else (20.0 if pos else -20.0))
-    vec = rows.select("label", array_to_vector(F.array(*[f"__stats.{s}" for s in STATS])).alias("x"))
+    vec = rows.select("label", array_to_vector(F.array(*[f"__stats.{s}" for s in STATS])).alias("x")).coalesce(FIT_TASKS)
     forest = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=TREES, maxDepth=DEPTH,
                                     maxBins=128, featureSubsetStrategy="0.5", subsamplingRate=0.7,
                                     seed=seed).fit(vec)
@@ -137,7 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, seed
     if not rules:
         return RuleModel((), 20.0 if pos * 2 > n else -20.0)
     hits = staged(rows.select("label", F.array(*[rule_column(r).cast("double") for r in rules]).alias("r")),
-                  "quality-rules").select("label", array_to_vector("r").alias("x"))
+                  "quality-rules").select("label", array_to_vector("r").alias("x")).coalesce(FIT_TASKS)
     lasso = LogisticRegression(featuresCol="x", labelCol="label", regParam=LASSO, elasticNetParam=1.0,
                                maxIter=60, standardization=False).fit(hits)
     kept = tuple((r, float(w)) for r, w in zip(rules, lasso.coefficients) if w)
