@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import (chat_schema, decontaminate, gumbel_segmentation, language_backoff, multiset_hash,
+from candlewick.llm import (chat_schema, decontaminate, gumbel_segmentation, html_crf, language_backoff, multiset_hash,
                             pii_bootstrap, quality_rules, simhash_bktree, warc_normaliser)
 from candlewick.llm.common import held_out, prepare, read_table
 
@@ -136,3 +136,10 @@ SELECT d.page_id, CAST(d.n AS BIGINT) AS payload_bytes, d.digest AS payload_dige
   CASE WHEN least.first <> d.page_id THEN least.first END AS refers_to
 FROM d LEFT JOIN least ON d.digest = least.digest
 """
+
+
+@register("op3_html_crf")
+def op3(spark, sf_dir):
+    """Main text of all pages by the block CRF."""
+    pages = read_table(spark, sf_dir, "pages")
+    return html_crf.main_text(pages, html_crf.fit(pages))
