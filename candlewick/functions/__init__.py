@@ -1,6 +1,5 @@
-"""Column-level helpers (JVM-side expressions only) and plan-level helpers."""
+"""Column-level helpers (JVM-side expressions only)."""
 
 from candlewick.functions.exprs import (  # noqa: F401
-    millis_to_ts, trade_date, safe_ratio, trunc_ts, strip_frame, epoch_millis, to_ntz,
+    millis_to_ts, trade_date, safe_ratio, trunc_ts, strip_frame, frame_fault, epoch_millis, to_ntz,
 )
-from candlewick.functions.sizing import bounded_broadcast, estimate_row_bytes  # noqa: F401

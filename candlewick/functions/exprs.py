@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def _c(col) -> Column:
@@ -56,5 +55,9 @@ def strip_frame(col, header_bytes: int = 5) -> Column:
     return F.substring(c, F.lit(header_bytes + 1), F.length(c) - F.lit(header_bytes))
 
 
-def is_ntz(dtype: T.DataType) -> bool:
-    return isinstance(dtype, T.TimestampNTZType)
+def frame_fault(col, header_bytes: int = 5) -> Column:
+    """Why a framed value's header is invalid: ``too_short`` or ``bad_magic``; null if it is valid.
+    (A null value is too short.)"""
+    c = _c(col)
+    return (F.when(F.coalesce(F.length(c), F.lit(0)) < header_bytes, "too_short")
+             .when(F.substring(c, 1, 1) != F.lit(bytes([0])), "bad_magic"))

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from candlewick.functions.exprs import millis_to_ts, trade_date, trunc_ts
 
+# The key columns of the two dedupe contracts.
 TRADE_BUSINESS_KEY = ("symbol", "price", "quantity", "trade_time", "date")
 TRADE_EXACT_KEY = ("symbol", "price", "quantity", "trade_time", "is_buyer_maker",
                    "ingestion_ts", "trade_timestamp", "date")
@@ -69,6 +70,20 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     return df.withColumn(rank_col, fn.over(w)).filter(F.col(rank_col) == 1).drop(rank_col)
 
 
+def _never_null(df: DataFrame, order: str) -> Column:
+    """``order`` as a long (times: microseconds) with null as the smallest one, or, for other
+    types, as a struct, which is never null and ranks a null inside it lowest."""
+    kind, least = df.schema[order].dataType, F.lit(-(1 << 63)).cast("bigint")
+    if isinstance(kind, T.TimestampType):
+        return F.coalesce(F.unix_micros(order), least)
+    if isinstance(kind, T.TimestampNTZType):
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.coalesce(F.timestamp_diff("MICROSECOND", epoch, F.col(order)), least)
+    if isinstance(kind, T.IntegralType):
+        return F.coalesce(F.col(order).cast("bigint"), least)
+    return F.struct(order)
+
+
 def dedupe_trades_latest(df: DataFrame, keys: Sequence[str] = TRADE_BUSINESS_KEY,
                          order: str = "ingestion_ts", method: str = "aggregate") -> DataFrame:
     """Business-key dedupe keeping the latest ingestion (C-3).
@@ -76,16 +91,19 @@ def dedupe_trades_latest(df: DataFrame, keys: Sequence[str] = TRADE_BUSINESS_KEY
     ``method="aggregate"``: ``groupBy(keys)`` with ``max(order)`` and ``max_by`` for
     the other columns -- a hash aggregate with map-side partial aggregation.  When
     more than one other column exists they travel as one struct so all values come
-    from the same row.  ``method="window"`` is the literal ``row_number() = 1`` form.
+    from the same row.  A null ``order`` is older than any time (``max_by`` alone would
+    skip such rows and lose their values).  Among rows tied on ``order`` any one stays,
+    whole.  ``method="window"`` is the literal ``row_number() = 1`` form.
     """
     if method == "window":
         return latest_by(df, keys, [order], ties="one")
     rest = [c for c in df.columns if c not in keys and c != order]
     aggs = [F.max(order).alias(order)]
+    rank = _never_null(df, order)
     if len(rest) == 1:
-        aggs.append(F.max_by(rest[0], order).alias(rest[0]))
+        aggs.append(F.max_by(rest[0], rank).alias(rest[0]))
     elif rest:
-        aggs.append(F.max_by(F.struct(*rest), order).alias("_rest"))
+        aggs.append(F.max_by(F.struct(*rest), rank).alias("_rest"))
     out = df.groupBy(*keys).agg(*aggs)
     if len(rest) > 1:
         out = out.select(*keys, order, "_rest.*")

@@ -1,8 +1,7 @@
 """Decoding of log records and producer-side record shaping (P-1..P-7, K-5).
 
-JSON goes through ``from_json`` (JVM).  The framed Avro codec of the trade topic
-is a small per-batch Arrow function (``mapInArrow``) because the Avro package is
-not on the classpath here; with it present, ``from_avro`` is used instead.
+Everything is column expressions: JSON goes through ``from_json``, frame headers through binary
+``substring``; Avro bodies go through ``from_avro`` / ``to_avro`` when that package is on the classpath.
 """
 
 from __future__ import annotations
@@ -10,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.avro import functions as avro
 
-from candlewick.schemas import EXCHANGE_MESSAGE, MARKET_META
+from candlewick.functions.exprs import frame_fault, strip_frame
+from candlewick.schemas import EXCHANGE_MESSAGE, MARKET_META, avro_schema_to_struct
 
 
 def decode_market_meta(log: DataFrame, schema: T.StructType = MARKET_META,
@@ -37,113 +38,61 @@ def flatten_market_trades(messages: DataFrame, value_col: str = "value",
                   .drop("_msg", "_ev"))
 
 
-# --- framed Avro (P-1..P-3, K-5) ------------------------------------------------
-
-def _arrow_type(avro_t: str):
-    import pyarrow as pa
-    return {"string": pa.string(), "double": pa.float64(), "float": pa.float32(),
-            "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(),
-            "bytes": pa.binary()}[avro_t]
-
-
-def encode_frames(df: DataFrame, schema_json: str, schema_id: int = 1,
-                  value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
-    """Rows of the record schema -> framed Avro ``value`` (+ ``keep`` columns)."""
-    from candlewick.functions.avro_codec import encode_body, frame
-    from candlewick.schemas import avro_field_types
-    from candlewick.session import ship_package
-
-    ship_package(df.sparkSession)
-    fields = avro_field_types(schema_json)
-    keep = list(keep or [])
-    names = [f[0] for f in fields]
-    in_df = df.select(*dict.fromkeys(names + keep))
-    out_schema = T.StructType([in_df.schema[k] for k in keep] +
-                              [T.StructField(value_col, T.BinaryType(), True)])
-
-    def run(batches):
-        import pyarrow as pa
-        for b in batches:
-            cols = {n: b.column(n).to_pylist() for n in names}
-            vals = []
-            for i in range(b.num_rows):
-                rec = {n: cols[n][i] for n in names}
-                try:
-                    vals.append(frame(schema_id, encode_body(fields, rec)))
-                except (ValueError, TypeError, OverflowError):
-                    vals.append(None)
-            arrays = [b.column(k) for k in keep] + [pa.array(vals, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=keep + [value_col])
-
-    return in_df.mapInArrow(run, out_schema)
-
+# --- framed records (P-1..P-3, K-5) ----------------------------------------------
 
 def decode_frames(df: DataFrame, schema_json: str, value_col: str = "value",
                   keep: list[str] | None = None, mode: str = "permissive",
-                  error_col: str = "_error") -> DataFrame:
-    """Framed Avro ``value`` -> record columns (P-1..P-3).
-
-    ``permissive``: an undecodable frame gives null fields and its cause in
-    ``error_col`` (``too_short`` / ``bad_magic`` / ``parse_failure``); the raw bytes
-    stay in ``value_col`` for the dead-letter sink.  ``failfast``: the task fails
-    on the first bad frame (the reference's default).
+                  error_col: str = "_error", body: str = "json") -> DataFrame:
+    """Framed ``value`` (5-byte header, then the body) -> record columns (P-1..P-3).
+
+    The header is checked and stripped by column expressions.  ``body``: ``json`` is parsed by
+    ``from_json``; ``avro`` by ``from_avro``, for which Spark asks for its Avro package.  ``permissive``: an
+    undecodable frame gives null fields and its cause in ``error_col`` (``too_short`` / ``bad_magic`` /
+    ``parse_failure``); the raw bytes stay in ``value_col`` for the dead-letter sink.  ``failfast``: the
+    job fails on a bad frame (the reference's default).
     """
     if mode not in ("permissive", "failfast"):
         raise ValueError("mode must be 'permissive' or 'failfast'")
-    from candlewick.functions.avro_codec import decode_frame
-    from candlewick.schemas import avro_field_types, avro_schema_to_struct
-    from candlewick.session import ship_package
-
-    ship_package(df.sparkSession)
-    fields = avro_field_types(schema_json)
     struct = avro_schema_to_struct(schema_json)
-    keep = [k for k in (keep or []) if k != value_col]
-    in_df = df.select(*keep, value_col)
-    out_fields = ([in_df.schema[k] for k in keep] + [in_df.schema[value_col]] +
-                  [T.StructField(f.name, f.dataType, True) for f in struct.fields] +
-                  [T.StructField(error_col, T.StringType(), True)])
-    out_schema = T.StructType(out_fields)
-    failfast = mode == "failfast"
-
-    def run(batches):
-        import pyarrow as pa
-        for b in batches:
-            raw = b.column(value_col).to_pylist()
-            cols = {n: [] for n, _, _ in fields}
-            errs = []
-            for buf in raw:
-                rec, err = decode_frame(fields, buf)
-                if err and failfast:
-                    raise ValueError(f"malformed record ({err})")
-                errs.append(err)
-                for n, _, _ in fields:
-                    cols[n].append(None if rec is None else rec[n])
-            arrays = [b.column(k) for k in keep] + [b.column(value_col)]
-            arrays += [pa.array(cols[n], _arrow_type(t)) for n, t, _ in fields]
-            arrays += [pa.array(errs, pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in out_fields])
-
-    return in_df.mapInArrow(run, out_schema)
-
-
-def to_log_rows(df: DataFrame, key_col: str = "symbol", fmt: str = "json",
-                schema_json: str | None = None, schema_id: int = 1,
-                keep: list[str] | None = None) -> DataFrame:
-    """Records -> keyed log rows ``key, value`` (K-5): JSON text of the whole row,
-    or framed Avro.  The key is the UTF-8 bytes of ``key_col``.  Write the result
-    with ``format("kafka")`` when that package is present, else to files."""
+    fault, raw = frame_fault(value_col), strip_frame(value_col)
+    raw = F.when(fault.isNull(), raw)
+    if body == "avro":
+        record = avro.from_avro(raw, schema_json, {"mode": "PERMISSIVE"})
+        broken = record.isNull()
+    elif body == "json":
+        corrupt = T.StructType([*[T.StructField(f.name, f.dataType) for f in struct.fields],
+                                T.StructField("_corrupt", T.StringType())])
+        record = F.from_json(raw.cast("string"), corrupt,
+                             {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+        broken = record.isNull() | record["_corrupt"].isNotNull()
+    else:
+        raise ValueError("body must be 'json' or 'avro'")
+    out = df.select(*[k for k in (keep or []) if k != value_col], value_col, fault.alias("_fault"), record.alias("_r"),
+                    broken.alias("_broken"))
+    error = F.when(F.col("_fault").isNotNull(), F.col("_fault")).when(F.col("_broken"), "parse_failure")
+    if mode == "failfast":
+        error = F.when(error.isNotNull(), F.raise_error(F.concat(F.lit("malformed record: "), error))).cast("string")
+    return out.select(*[c for c in out.columns if c not in ("_fault", "_r", "_broken")],
+                      *[F.when(error.isNull(), F.col("_r")[f.name]).alias(f.name) for f in struct.fields],
+                      error.alias(error_col))
+
+
+def to_log_rows(df: DataFrame, key_col: str = "symbol", framed: bool = False, schema_id: int = 1,
+                keep: list[str] | None = None, body: str = "json", schema_json: str | None = None) -> DataFrame:
+    """Records -> keyed log rows ``key, value`` (K-5): the JSON text of the whole row (or its Avro body),
+    ``framed`` with a magic byte and the schema id in front.  The key is the UTF-8 bytes of ``key_col``.
+    Write the result with ``format("kafka")`` when that package is present, else to files."""
     keep = list(keep or [])
-    if fmt == "json":
-        cols = [c for c in df.columns if c not in keep]
-        return df.select(*keep, F.col(key_col).cast("binary").alias("key"),
-                         F.to_json(F.struct(*cols)).cast("binary").alias("value"))
-    if fmt == "avro":
-        if schema_json is None:
-            raise ValueError("avro needs schema_json")
-        withkey = df.withColumn("_key", F.col(key_col).cast("binary"))
-        enc = encode_frames(withkey, schema_json, schema_id, keep=keep + ["_key"])
-        return enc.select(*keep, F.col("_key").alias("key"), "value")
-    raise ValueError(f"unknown fmt {fmt!r}")
+    record = F.struct(*[c for c in df.columns if c not in keep])
+    if body == "avro":
+        value = avro.to_avro(record, schema_json)
+    elif body == "json":
+        value = F.to_json(record).cast("binary")
+    else:
+        raise ValueError("body must be 'json' or 'avro'")
+    if framed:
+        value = F.concat(F.lit(bytes([0]) + schema_id.to_bytes(4, "big")), value)
+    return df.select(*keep, F.col(key_col).cast("binary").alias("key"), value.alias("value"))
 
 
 def split_decoded(decoded: DataFrame, error_col: str = "_error") -> tuple[DataFrame, DataFrame]:
@@ -155,13 +104,13 @@ def split_decoded(decoded: DataFrame, error_col: str = "_error") -> tuple[DataFr
 
 
 def dead_letters(bad: DataFrame, error_col: str = "_error", value_col: str = "value",
-                 keep: list[str] | None = None) -> DataFrame:
+                 keep: list[str] | None = None, reason: str = "parse_failure") -> DataFrame:
     """Dead-letter row shape: original bytes (re-publishable), ``reason``, the
     specific ``detail`` and the time the record was routed."""
     keep = [c for c in (keep if keep is not None else ["key", "offset", "partition"])
             if c in bad.columns]
     return bad.select(*keep, F.col(value_col).alias("value"),
-                      F.lit("parse_failure").alias("reason"),
+                      F.lit(reason).alias("reason"),
                       F.col(error_col).alias("detail"),
                       F.current_timestamp().alias("dlq_ts"))
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.functions.sizing import DEFAULT_MAX_BROADCAST_BYTES, bounded_broadcast
 from candlewick.operators.clean import latest_by
 
 ENRICHED_COLUMNS = [
@@ -30,20 +29,17 @@ def meta_for_join(meta: DataFrame, on_collision: str = "fanout") -> DataFrame:
     return m
 
 
-def trades_with_meta(trades: DataFrame, meta: DataFrame, on_collision: str = "fanout",
-                     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+def trades_with_meta(trades: DataFrame, meta: DataFrame, on_collision: str = "fanout") -> DataFrame:
     """Left equi-join of staged trades with staged metadata on
     ``upper(coin_symbol) = upper(symbol)`` plus ``trade_value_usd = price * quantity``.
 
-    The metadata side is broadcast when its size is proven small (a dimension: one
-    row per coin), so the trades side is never shuffled for the join; beyond the
-    bound Catalyst plans a sort-merge join and AQE splits skewed symbols.
+    No hint: by the sizes known at run time, Spark broadcasts a small metadata side
+    (the trades are then not shuffled) or joins by sort-merge with skewed symbols split.
     """
     m = meta_for_join(meta, on_collision).select(
         "_msym", "coin_id", F.col("name").alias("coin_name"), "market_cap", "market_cap_rank",
         "circulating_supply", F.col("current_price").alias("latest_price"),
         "price_change_pct_24h", F.col("ingested_at").alias("meta_ingested_at"))
-    m = bounded_broadcast(m, max_broadcast_bytes)
     j = trades.join(m, F.upper(trades["coin_symbol"]) == m["_msym"], "left")
     return j.select(
         "coin_symbol", "price", "quantity", "trade_timestamp", "trade_date", "is_buyer_maker",

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.exprs import safe_ratio
-from candlewick.functions.sizing import DEFAULT_MAX_BROADCAST_BYTES, bounded_broadcast
 from candlewick.operators.agg import daily_trade_stats, day_change_pct, total_market_cap
 from candlewick.operators.enrich import meta_for_join
 from candlewick.operators.ranking import rank_both_ends
+from candlewick.session import staged
 
 OHLCV_COLUMNS = ["trade_date", "coin_symbol", "coin_name", "market_cap_rank", "total_volume",
                  "total_volume_usd", "vwap", "high_price", "low_price", "trade_count",
@@ -33,8 +33,7 @@ def _meta_groups(meta: DataFrame, on_collision: str) -> DataFrame:
 
 
 def coin_daily_ohlcv(stg: DataFrame, meta: DataFrame, with_open_close: bool = True,
-                     on_collision: str = "fanout", tiebreak: Sequence[str] | None = None,
-                     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+                     on_collision: str = "fanout", tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Daily OHLCV per coin (flagship).
 
     Same rows as "enrich every trade, group by (date, coin, name, rank), join the
@@ -47,7 +46,7 @@ def coin_daily_ohlcv(stg: DataFrame, meta: DataFrame, with_open_close: bool = Tr
     d = daily_trade_stats(stg, tiebreak=tiebreak)
     if with_open_close:
         d = d.filter(F.col("trade_date").isNotNull() & F.col("coin_symbol").isNotNull())
-    g = bounded_broadcast(_meta_groups(meta, on_collision), max_broadcast_bytes)
+    g = _meta_groups(meta, on_collision)
     j = d.join(g, F.upper(d["coin_symbol"]) == g["_msym"], "left")
     mult = F.coalesce(F.col("_mult"), F.lit(1))
     out = j.select(
@@ -85,20 +84,19 @@ def top_movers(ohlcv: DataFrame, as_of_date, k: int = 20, rank_by: str = "day_ch
         "total_volume_usd", "trade_count", "market_cap_rank", "day_change_pct",
         safe_ratio(F.col("today_vwap") - F.col("yesterday_vwap"), "yesterday_vwap", 4,
                    scale=100.0).alias("change_24h_pct"))
+    if method == "distributed":  # ranked from four sides: read the joined day, don't redo it
+        j = staged(j, "movers-day")
     ranked = rank_both_ends(j, rank_by, k, "gainer_rank", "loser_rank", method=method)
     return ranked.orderBy(F.col("day_change_pct").desc_nulls_first())
 
 
-def market_overview(ohlcv: DataFrame, meta: DataFrame, as_of_date,
-                    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+def market_overview(ohlcv: DataFrame, meta: DataFrame, as_of_date) -> DataFrame:
     """Today's coins with metadata, market dominance and distance from the
     all-time high.  The market total is a scalar subquery (no cross join)."""
     day = _date(as_of_date)
     total = total_market_cap(meta).scalar()
     o = ohlcv.filter(F.col("trade_date") == F.lit(day))
-    m = bounded_broadcast(
-        meta.select(F.upper("symbol").alias("_msym"), "market_cap", "circulating_supply", "ath"),
-        max_broadcast_bytes)
+    m = meta.select(F.upper("symbol").alias("_msym"), "market_cap", "circulating_supply", "ath")
     j = o.join(m, F.upper(o["coin_symbol"]) == m["_msym"], "inner")
     dominance = safe_ratio(F.col("market_cap").cast("double"), total.cast("double"), 4, 100.0)
     return (j.select(

@@ -17,9 +17,11 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.exprs import epoch_millis
-from candlewick.functions.sizing import bounded_broadcast
+from candlewick.session import staged
 
 SUMMARY_COLUMNS = ["n", "p50", "p95", "p99"]
+#: Value ranges per group that are summed in parallel.
+RANGES = 256
 
 
 def row_stats(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
@@ -69,7 +71,7 @@ def _ranked_values(counts: DataFrame, g: list[str], buckets: int) -> DataFrame:
     pct = F.percentile_approx("_v", fracs)
     if g:
         edges = counts.groupBy(*g).agg(pct.alias("_edges"))
-        cb = (_null_safe_join(counts, bounded_broadcast(edges), g)
+        cb = (_null_safe_join(counts, edges, g)
               .withColumn("_b", _bucket_of(F.col("_edges"))).drop("_edges"))
     else:
         cb = counts.withColumn("_b", _bucket_of(counts.agg(pct).scalar()))
@@ -80,18 +82,23 @@ def _ranked_values(counts: DataFrame, g: list[str], buckets: int) -> DataFrame:
                      .withColumn("_n", F.sum("_bc").over(Window.partitionBy(*g))).drop("_bc"))
     w = Window.partitionBy(*g, "_b").orderBy("_v")
     # Without groups the offsets table has at most ``buckets`` rows by construction.
-    offsets = bounded_broadcast(offsets) if g else F.broadcast(offsets)
+    offsets = offsets if g else F.broadcast(offsets)
     return (_null_safe_join(cb, offsets, g + ["_b"])
             .withColumn("_hi", F.col("_off") + F.sum("_c").over(w) - 1)
             .withColumn("_lo", F.col("_hi") - F.col("_c") + 1))
 
 
-def latency_summary(df: DataFrame, value_col: str, group: Sequence[str] | None = None,
-                    buckets: int = 256) -> DataFrame:
+def latency_summary(df: DataFrame, value_col: str, group: Sequence[str] | None = None) -> DataFrame:
     """A-7: ``[group..., n, p50, p95, p99]`` over non-null ``value_col``."""
-    g = list(group or [])
+    return _summary(df, value_col, list(group or []), RANGES)
+
+
+def _summary(df: DataFrame, value_col: str, g: list[str], buckets: int) -> DataFrame:
+    """``buckets`` 1 is for inputs of a bounded number of rows per group only."""
     counts = (df.filter(F.col(value_col).isNotNull())
                 .groupBy(*g, F.col(value_col).alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
+    if buckets > 1:  # the edges and the ranges both read the counts
+        counts = staged(counts, "value-counts")
     ranked = _ranked_values(counts, g, buckets)
     n = F.first("_n")
     i95 = F.least(F.floor(F.col("_n") * F.lit(0.95)), F.col("_n") - 1)
@@ -133,7 +140,7 @@ def ingest_latency(log: DataFrame, n: int = 100, per: Sequence[str] = ("partitio
     tt, it = F.col(trade_time), F.col(ingestion_ts)
     ok = tt.isNotNull() & it.isNotNull() & (tt != 0) & (it != 0)
     lat = recent.filter(ok).select(*per, (it - tt).alias("latency_ms"))
-    return latency_summary(lat, "latency_ms", list(per), buckets=1)   # <= n rows per group
+    return _summary(lat, "latency_ms", list(per), buckets=1)   # <= n rows per group
 
 
 def commit_gaps(times: DataFrame, time_col: str = "modificationTime",
@@ -180,7 +187,7 @@ def history_latency(history: DataFrame, predicate: Column, n: int, now,
                          & (st >= now_c - F.expr(f"INTERVAL {lookback}")))
     recent = last_n(sel, ["start_time"], n)
     dur = recent.select((epoch_millis(et) - epoch_millis(st)).alias("duration_ms"))
-    return latency_summary(dur.filter(F.col("duration_ms").isNotNull()), "duration_ms", buckets=1)  # <= n rows
+    return _summary(dur.filter(F.col("duration_ms").isNotNull()), "duration_ms", [], buckets=1)  # <= n rows
 
 
 def report(rows: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:

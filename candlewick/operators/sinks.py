@@ -19,6 +19,9 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from candlewick.operators.metrics import row_stats
+from candlewick.session import staged
+
 _VERSION = re.compile(r"^v(\d{6})$")
 
 
@@ -68,25 +71,22 @@ def read_snapshot(spark: SparkSession, base: str, fmt: str = "parquet") -> DataF
     return spark.read.format(fmt).load(snapshot_path(base, v))
 
 
-def spread_partitions(df: DataFrame, partition_by: Sequence[str], files_per_partition: int = 16) -> DataFrame:
-    """Hash-partition by the partition columns plus a salt: a partition value's
-    rows go to at most ``files_per_partition`` tasks (bounded file count), and a
-    hot value (a day holding a third of the data) is split over that many tasks."""
-    if not partition_by:
-        return df
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-    return df.repartition(*[F.col(c) for c in partition_by], salt)
+def spread_partitions(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Bring a partition value's rows together for writing, but split what is larger than
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` over as many tasks (and files) as it needs: a
+    rebalance, which AQE sizes at run time.  A hot day has no fixed limit of tasks."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
 
 
 def write_snapshot(df: DataFrame, base: str, partition_by: Sequence[str] = (),
-                   fmt: str = "parquet", files_per_partition: int | None = None) -> int:
+                   fmt: str = "parquet", spread: bool = False) -> int:
     """Write ``df`` as the next version of the table at ``base``; it becomes
     current when the write commits."""
     spark = df.sparkSession
     # Past every existing directory, committed or not: a crashed writer's partial
     # version is never reused or read.
     v = max([v for v, _ in _versions(spark, base)] or [0]) + 1
-    out = spread_partitions(df, partition_by, files_per_partition) if files_per_partition else df
+    out = spread_partitions(df, partition_by) if spread else df
     w = out.write.mode("errorifexists").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -94,12 +94,11 @@ def write_snapshot(df: DataFrame, base: str, partition_by: Sequence[str] = (),
     return v
 
 
-def rewrite_table(spark: SparkSession, base: str, transform, partition_by: Sequence[str] = (),
-                  files_per_partition: int = 16) -> DataFrame:
+def rewrite_table(spark: SparkSession, base: str, transform, partition_by: Sequence[str] = ()) -> DataFrame:
     """K-2: read the current version, apply ``transform`` (e.g. exact dedupe) and
     write the result as a new version -- never overwriting the files being read."""
     out = transform(read_snapshot(spark, base))
-    write_snapshot(out, base, partition_by, files_per_partition=files_per_partition)
+    write_snapshot(out, base, partition_by, spread=True)
     return read_snapshot(spark, base)
 
 
@@ -108,22 +107,23 @@ def upsert(spark: SparkSession, base: str, source: DataFrame, keys: Sequence[str
     """K-6: matched keys take the source row, unmatched source rows are inserted,
     other target rows stay; the first run creates the table.
 
-    ``target LEFT ANTI JOIN source ON keys`` + ``source``: one shuffle join (AQE
-    may broadcast a small source).  Null keys never match (as in MERGE), so a
-    null-key source row is inserted on every run.  Like MERGE, it is an error
-    when a non-null source key matching the target occurs more than once.
+    The source is evaluated once, into the shared scratch folder; the duplicate check and the
+    merge read that.  ``target LEFT ANTI JOIN source ON keys`` + ``source``: one shuffle join (AQE may
+    broadcast a small source).  Null keys never match (as in MERGE), so a null-key source row is
+    inserted on every run.  Like MERGE, it is an error when a non-null source key matching the
+    target occurs more than once.
     """
     if current_version(spark, base) is None:
         write_snapshot(source, base)
         return read_snapshot(spark, base)
-    target = read_snapshot(spark, base)
+    target, source = read_snapshot(spark, base), staged(source, "upsert-source")
     if check_unique:
         nn = F.lit(True)
         for k in keys:
             nn = nn & F.col(k).isNotNull()
         dup = (source.filter(nn).groupBy(*keys).count().filter(F.col("count") > 1)
                      .join(target.select(*keys), list(keys), "left_semi"))
-        if dup.limit(1).count():
+        if not dup.isEmpty():
             raise ValueError("upsert: a source key matches the target more than once")
     merged = target.join(source.select(*keys), list(keys), "left_anti").unionByName(source)
     write_snapshot(merged, base)
@@ -138,25 +138,34 @@ def _fs_delete(spark: SparkSession, path: str) -> None:  # noqa: D401
         fs.delete(p, True)
 
 
+def only_days(df: DataFrame, days: Sequence[_dt.date], day_col: str) -> DataFrame:
+    """``df``, whose job fails on a row that is outside ``days`` (or has no day)."""
+    inside = F.coalesce(F.col(day_col).isin(*[F.lit(d) for d in days]), F.lit(False))
+    fault = F.raise_error(F.concat(F.lit("a row is outside the days to replace: "),
+                                   F.coalesce(F.col(day_col).cast("string"), F.lit("null"))))
+    return df.filter(F.when(inside, True).otherwise(fault.cast("boolean")))
+
+
+def _days(days: Iterable) -> list[_dt.date]:
+    return sorted({d if isinstance(d, _dt.date) else _dt.date.fromisoformat(str(d)) for d in days})
+
+
 def replace_days(df: DataFrame, path: str, days: Iterable, day_col: str = "date",
-                 partition_by: Sequence[str] | None = None, files_per_partition: int = 16) -> None:
+                 partition_by: Sequence[str] | None = None) -> None:
     """K-3: make the table at ``path`` hold exactly ``df``'s rows for ``days``.
 
     One dynamic partition-overwrite write replaces the day partitions present in
     ``df``; days in ``days`` with no rows are cleared explicitly (dynamic
     overwrite alone would leave them).  Re-runnable: the same input gives the same
-    table.  ``df`` rows outside ``days`` are an error (they would escape the
-    replacement contract).
+    table.  A row outside ``days`` fails the write before it commits: the table stays as it was.
     """
-    spark = df.sparkSession
-    days = sorted({d if isinstance(d, _dt.date) else _dt.date.fromisoformat(str(d)) for d in days})
-    scoped = df.filter(F.col(day_col).isin(*[F.lit(d) for d in days]))
+    spark, days = df.sparkSession, _days(days)
     # The set of days actually written is observed during the write itself (at most
     # len(days) values), so the input is scanned once.
     obs = Observation("replace_days")
-    scoped = scoped.observe(obs, F.collect_set(day_col).alias("days"))
+    scoped = only_days(df, days, day_col).observe(obs, F.collect_set(day_col).alias("days"))
     parts = list(partition_by or [day_col])
-    (spread_partitions(scoped, parts, files_per_partition).write.mode("overwrite")
+    (spread_partitions(scoped, parts).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic")
            .partitionBy(*parts).parquet(path))
     present = set(obs.get["days"])
@@ -165,23 +174,34 @@ def replace_days(df: DataFrame, path: str, days: Iterable, day_col: str = "date"
             _fs_delete(spark, f"{path}/{day_col}={d.isoformat()}")
 
 
+def replace_days_in_table(df: DataFrame, name: str, days: Iterable, day_col: str = "date") -> None:
+    """K-3 on a catalog table partitioned by ``day_col``: drop the partitions of ``days``, append ``df``.
+
+    Delete-then-append is two steps, as in the reference: a run that dies in between is
+    repeated.  The rows are checked against ``days`` before anything is dropped.
+    """
+    spark, days = df.sparkSession, _days(days)
+    new = staged(only_days(df, days, day_col), "replace-days")
+    for d in days:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({day_col} = DATE '{d.isoformat()}')")
+    spread_partitions(new.select(*spark.table(name).columns), [day_col]).write.mode("append").insertInto(name)
+
+
 # --- warehouse-style loads (K-7, K-8, K-9) --------------------------------------
 
 def load_table(df: DataFrame, name: str, mode: str = "append", fmt: str | None = None,
-               options: dict | None = None, count: bool = True) -> int | None:
-    """K-7/K-8: persist, count, write to a catalog table (or any writer format by
-    ``fmt`` / ``options``, e.g. a JDBC or connector sink), unpersist."""
-    cached = df.persist()
-    try:
-        n = cached.count() if count else None
-        w = cached.write.mode(mode)
-        if fmt:
-            w.format(fmt).options(**(options or {})).option("dbtable", name).save()
-        else:
-            w.saveAsTable(name)
-        return n
-    finally:
-        cached.unpersist()
+               options: dict | None = None, partition_by: Sequence[str] = ()) -> int:
+    """K-7/K-8: write to a catalog table (or any writer format by ``fmt`` / ``options``, e.g. a JDBC or
+    connector sink) and return the number of rows, observed during the write: nothing is persisted."""
+    out, rows = row_stats(df, "load_table")
+    w = spread_partitions(out, partition_by).write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    if fmt:
+        w.format(fmt).options(**(options or {})).option("dbtable", name).save()
+    else:
+        w.saveAsTable(name)
+    return int(rows.get["rows"])
 
 
 def write_mart(df: DataFrame, path: str, cluster_by: Sequence[str],

@@ -10,8 +10,9 @@ bucket the last price of the coin's previous non-empty bucket:
 3. one marker row per bucket carrying that price, unioned in front of the trades;
 4. ``lag`` within ``(coin, bucket)``; markers dropped.
 
-Same rows as the plain window (a null price is carried as null, like ``lag``),
-but the largest sort is one coin-bucket.  ``chunk`` picks the bucket width.
+Same rows as the plain window (a null price is carried as null, like ``lag``) where times are
+distinct or ``tiebreak`` orders equal ones; without it, either form may take equal times in any
+order.  The largest sort is one coin-bucket.  ``chunk`` picks the bucket width.
 """
 
 from __future__ import annotations
@@ -27,18 +28,18 @@ def _change_columns(df: DataFrame) -> DataFrame:
     return df.select(
         "coin_symbol", "price", "prev_price", "trade_timestamp", "trade_date",
         F.when(prev.isNull() | (prev == 0), None)
-         .otherwise(F.round((p - prev) / prev * 100, 6)).alias("price_change_pct"),
+         .otherwise(F.round(((p - prev) / prev * 100).cast("decimal(38,12)"), 6).cast("double"))
+         .alias("price_change_pct"),
         F.when(prev.isNull(), None).otherwise(p - prev).alias("price_change_abs"),
     )
 
 
 def price_changes(stg: DataFrame, tiebreak: Sequence[str] | None = None,
-                  method: str = "chunked", chunk: str = "hour",
-                  coin_col: str = "coin_symbol", ts_col: str = "trade_timestamp") -> DataFrame:
+                  method: str = "chunked", chunk: str = "hour") -> DataFrame:
     """Tick-to-tick change per coin.  Time order is ascending with null times last
     (the warehouse's order); ``tiebreak`` columns order equal times."""
     tb = [F.col(c).asc_nulls_last() for c in (tiebreak or [])]
-    ts = F.col(ts_col)
+    coin_col, ts = "coin_symbol", F.col("trade_timestamp")
     if method == "plain":
         w = Window.partitionBy(coin_col).orderBy(ts.asc_nulls_last(), *tb)
         return _change_columns(stg.withColumn("prev_price", F.lag("price").over(w)))

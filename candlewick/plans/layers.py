@@ -1,23 +1,27 @@
 """Layered model build (S-5, K-7, K-9, P-11): raw tables -> staging /
-intermediate views -> mart tables, in dependency order.
+intermediate views -> mart tables, in dependency order, and the run with data tests.
 
 A model is a DataFrame function of its upstream models.  Its layer decides where
 it lands: ``view`` models become temp views named ``<schema>__<model>`` (Spark temp
 views cannot be schema-qualified); ``table`` models are written as Parquet tables
-``<schema>.<model>`` under the shared checkpoint root and later models read the
+``<schema>.<model>`` under the build's root (schemas are named after it) and later models read the
 written table (a mart read by two downstream marts is computed once, and the
 lineage is cut there).
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from candlewick.operators import agg, clean, enrich, marts, sinks, windows
+from candlewick.functions.exprs import millis_to_ts
+from candlewick.operators import agg, clean, enrich, marts, quality, sinks, windows
 from candlewick.schemas import RAW_MARKET_META_COLUMNS, RAW_TRADES_COLUMNS
+from candlewick.session import staged
 
 
 @dataclass
@@ -49,38 +53,24 @@ def reference_models(as_of_date) -> list[Model]:
     ]
 
 
-def topo_order(models: Sequence[Model]) -> list[Model]:
-    by_name = {m.name: m for m in models}
-    done: set[str] = set()
-    out: list[Model] = []
+def schema_name(layer: str, root: str) -> str:
+    """A layer's schema of one build: named after the build's folder, so that another build's
+    tables are never replaced under a DataFrame that still reads them."""
+    return f"{layer}_{re.sub(r'[^a-z0-9]+', '_', root.lower().rstrip('/').rsplit('/', 1)[-1])}"
 
-    def visit(m: Model, path: tuple[str, ...]):
-        if m.name in done:
-            return
-        if m.name in path:
-            raise ValueError(f"dependency cycle: {' -> '.join(path + (m.name,))}")
-        for d in m.deps:
-            if d in by_name:
-                visit(by_name[d], path + (m.name,))
-        done.add(m.name)
-        out.append(m)
 
-    for m in models:
-        visit(m, ())
-    return out
-
-
-def ensure_schema(spark: SparkSession, schema: str, root: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{root}/{schema}.db'")
+def ensure_schema(spark: SparkSession, layer: str, root: str) -> str:
+    name = schema_name(layer, root)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{root}/{layer}.db'")
+    return name
 
 
 def materialize(spark: SparkSession, model: Model, df: DataFrame, root: str) -> DataFrame:
     """K-9: route a model to its schema and materialisation."""
     if model.materialized == "view":
-        df.createOrReplaceTempView(f"{model.schema}__{model.name}")
+        df.createOrReplaceTempView(f"{schema_name(model.schema, root)}__{model.name}")
         return df
-    ensure_schema(spark, model.schema, root)
-    name = f"{model.schema}.{model.name}"
+    name = f"{ensure_schema(spark, model.schema, root)}.{model.name}"
     out = df
     if model.cluster_by:
         out = df.repartitionByRange(*model.cluster_by).sortWithinPartitions(*model.cluster_by)
@@ -91,19 +81,47 @@ def materialize(spark: SparkSession, model: Model, df: DataFrame, root: str) ->
 def load_raw(spark: SparkSession, trades: DataFrame, market_meta: DataFrame, root: str) -> dict[str, DataFrame]:
     """K-7 + P-11: pinned columns, facts appended to an emptied table, the
     dimension fully overwritten."""
-    ensure_schema(spark, "raw", root)
-    sinks.load_table(clean.pin_columns(trades, RAW_TRADES_COLUMNS), "raw.trades", mode="overwrite")
-    sinks.load_table(clean.pin_columns(market_meta, RAW_MARKET_META_COLUMNS), "raw.market_meta",
+    raw = ensure_schema(spark, "raw", root)
+    sinks.load_table(clean.pin_columns(trades, RAW_TRADES_COLUMNS), f"{raw}.trades", mode="overwrite")
+    sinks.load_table(clean.pin_columns(market_meta, RAW_MARKET_META_COLUMNS), f"{raw}.market_meta",
                      mode="overwrite")
-    return {"raw.trades": spark.table("raw.trades"), "raw.market_meta": spark.table("raw.market_meta")}
+    return {"raw.trades": spark.table(f"{raw}.trades"), "raw.market_meta": spark.table(f"{raw}.market_meta")}
+
+
+def load_market_meta(spark: SparkSession, lake: DataFrame, root: str) -> DataFrame:
+    """The metadata load chain: lake snapshots -> latest per coin (C-2) -> pinned columns, epoch
+    millis to timestamps -> full overwrite of the raw table; the table read back."""
+    latest = clean.latest_by(lake, ["coin_id"], ["ingestion_ts", "offset"], ties="one")
+    rows = latest.withColumns({"ingestion_ts": millis_to_ts("ingestion_ts").cast("timestamp_ntz"),
+                               "market_cap": F.col("market_cap").cast("decimal(20,0)")})
+    name = f"{ensure_schema(spark, 'raw', root)}.market_meta"
+    sinks.load_table(clean.pin_columns(rows, RAW_MARKET_META_COLUMNS), name, mode="overwrite")
+    return spark.table(name)
 
 
 def build(spark: SparkSession, sources: dict[str, DataFrame], models: Sequence[Model],
           root: str) -> dict[str, DataFrame]:
+    """Build ``models``, which are listed in dependency order."""
     built: dict[str, DataFrame] = dict(sources)
-    for m in topo_order(models):
+    for m in models:
         missing = [d for d in m.deps if d not in built]
         if missing:
             raise KeyError(f"model {m.name} needs {missing}")
         built[m.name] = materialize(spark, m, m.build(built), root)
     return built
+
+
+def pipeline_run(spark: SparkSession, trades: DataFrame, market_meta: DataFrame, as_of_date, root: str,
+                 suite=quality.REFERENCE_SUITE) -> dict[str, DataFrame]:
+    """Load the raw tables, build the models, run the data tests; a failing test fails the run.
+
+    The tested models are written once and tested from their files.  Returns the built models, with the
+    test results as ``"test_results"``.
+    """
+    raw = load_raw(spark, trades, market_meta, root)
+    tested = {t.model for t in suite}
+    models = [replace(m, materialized="table") if m.name in tested else m for m in reference_models(as_of_date)]
+    built = build(spark, raw, models, root)
+    results = staged(quality.run_suite(built, suite), "test-results")
+    quality.assert_suite(results)
+    return {**built, "test_results": results}

@@ -58,6 +58,18 @@ def q_stg_market_meta(spark, sf_dir):
     return stg_market_meta(spark, sf_dir)
 
 
+@register("stg_trades_strip_quote")
+def q_stg_trades_strip_quote(spark, sf_dir):
+    """P-13 with the quote currency stripped, whatever the length of the base."""
+    return clean.stg_trades(fx.raw_trades(spark, sf_dir), symbol_rule="strip_quote")
+
+
+@register("stg_trades_gaps")
+def q_stg_trades_gaps(spark, sf_dir):
+    """C-3 over trades with null and tied ingestion times."""
+    return clean.stg_trades(fx.trades_with_gaps(spark, sf_dir))
+
+
 @register("dedupe_exact")
 def q_dedupe_exact(spark, sf_dir):
     """C-4 whole-row dedupe of the landed trades table."""
@@ -152,14 +164,27 @@ def q_json_decode(spark, sf_dir):
     return decode.decode_market_meta(fx.meta_log(spark, sf_dir))
 
 
+def _normalised(spark, sf_dir) -> DataFrame:
+    flat = decode.flatten_market_trades(fx.exchange_messages(spark, sf_dir))
+    return decode.normalise_trade(flat, event_time=F.col("msg_time"))
+
+
 @register("flatten_market_trades")
 def q_flatten(spark, sf_dir):
-    """P-5 + P-6: exchange messages -> one normalised trade per array element;
-    other channels skipped, unparsable sizes rejected."""
-    msgs = fx.exchange_messages(spark, sf_dir)
-    flat = decode.flatten_market_trades(msgs)
-    norm = decode.normalise_trade(flat, event_time=F.col("msg_time"))
-    return norm.filter(F.col("_error").isNull()).drop("_error")
+    """P-5 + P-6: exchange messages -> one normalised trade per array element; other channels
+    skipped, rejected trades in ``rejected_trades``."""
+    return _normalised(spark, sf_dir).filter(F.col("_error").isNull()).drop("_error")
+
+
+@register("rejected_trades")
+def q_rejected_trades(spark, sf_dir):
+    """P-6 + K-4: the exchange trades that normalisation rejects, as dead letters with their cause."""
+    bad = _normalised(spark, sf_dir).filter(F.col("_error").isNotNull())
+    letters = decode.dead_letters(bad.withColumn("value", F.to_json(F.struct(
+        *[c for c in bad.columns if c != "_error"])).cast("binary")), reason="rejected")
+    return letters.select(F.get_json_object(F.col("value").cast("string"), "$.symbol").alias("symbol"),
+                          F.get_json_object(F.col("value").cast("string"), "$.trade_time").cast("bigint").alias("trade_time"),
+                          "reason", "detail")
 
 
 @register("normalise_coin")
@@ -170,15 +195,37 @@ def q_normalise_coin(spark, sf_dir):
     return decode.normalise_coin(recs, F.lit(fx.META_SNAPSHOT_MS))
 
 
-@register("avro_roundtrip")
-def q_avro_roundtrip(spark, sf_dir):
-    """K-5 encode + P-1..P-3 decode: the good records of the framed trade log."""
+@register("framed_roundtrip")
+def q_framed_roundtrip(spark, sf_dir):
+    """K-5 frames + P-1..P-3 decode: the good records of the framed trade log."""
     from candlewick.schemas import TRADE_EVENT_AVRO
     dec = decode.decode_frames(fx.trade_log(spark, sf_dir), TRADE_EVENT_AVRO, keep=["offset"])
     good, _ = decode.split_decoded(dec)
     return good.drop("value")
 
 
+@register("publish_records")
+def q_publish_records(spark, sf_dir):
+    """K-5: every trade as a keyed JSON record, as the producer publishes it."""
+    recs = fx.trade_records(spark, sf_dir).drop("timestamp")
+    out = decode.to_log_rows(recs, "symbol", keep=["offset"])
+    return out.select("offset", F.col("key").cast("string").alias("key"),
+                      *[F.get_json_object(F.col("value").cast("string"), f"$.{c}").alias(c)
+                        for c in ("symbol", "trade_time", "is_buyer_maker")])
+
+
+@register("log_batch_scan")
+def q_log_batch_scan(spark, sf_dir):
+    """S-2 + K-5: the metadata log landed as files, scanned as a bounded log: records, bytes and
+    offsets per key."""
+    from candlewick.session import staged
+    from candlewick.sources.tables import log_batch
+    path = staged(fx.meta_log(spark, sf_dir), "meta-log").inputFiles()[0].rsplit("/", 1)[0]
+    log = log_batch(spark, path)
+    return log.groupBy(F.col("key").cast("string").alias("key")).agg(
+        F.count(F.lit(1)).alias("records"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"))
+
+
 @register("dlq_split")
 def q_dlq_split(spark, sf_dir):
     """P-3 + P-10 + K-4: the dead-letter rows of the framed trade log."""
@@ -235,7 +282,8 @@ def q_rewrite_deduped(spark, sf_dir):
 # --- quality ------------------------------------------------------------------------
 
 def _models(spark, sf_dir) -> dict[str, DataFrame]:
-    stg, meta = stg_trades(spark, sf_dir), stg_market_meta(spark, sf_dir)
+    from candlewick.session import staged  # tests read the models' files, as after a build
+    stg, meta = staged(stg_trades(spark, sf_dir), "stg-trades"), staged(stg_market_meta(spark, sf_dir), "stg-meta")
     return {"stg_trades": stg, "stg_market_meta": meta,
             "int_trades_enriched": enrich.trades_with_meta(stg, meta),
             "int_price_changes": windows.price_changes(stg),
@@ -262,10 +310,7 @@ def q_freshness(spark, sf_dir):
 # --- metrics ------------------------------------------------------------------------
 
 def _trade_log_records(spark, sf_dir) -> DataFrame:
-    from candlewick.schemas import TRADE_EVENT_AVRO
-    dec = decode.decode_frames(fx.trade_log(spark, sf_dir), TRADE_EVENT_AVRO, keep=["offset"])
-    good, _ = decode.split_decoded(dec)
-    return good.withColumn("partition", F.left("symbol", F.lit(3)).cast("int") % 10)
+    return fx.trade_records(spark, sf_dir).withColumn("partition", F.left("symbol", F.lit(3)).cast("int") % 10)
 
 
 def _commit_times(spark, sf_dir) -> DataFrame:
@@ -315,9 +360,10 @@ def q_history_latency(spark, sf_dir):
 def q_latency_report(spark, sf_dir):
     """M-4: the per-stage latency table."""
     from candlewick.operators import metrics
+    from candlewick.session import staged
     recs = _trade_log_records(spark, sf_dir)
     lat = metrics.latency_summary(recs.select((F.col("ingestion_ts") - F.col("trade_time")).alias("x")), "x")
-    gaps = metrics.commit_gaps(_commit_times(spark, sf_dir), "commit_time")
+    gaps = staged(metrics.commit_gaps(staged(_commit_times(spark, sf_dir), "commits"), "commit_time"), "gaps")
     one = lambda c: gaps.select(F.col(c).cast("double").alias("p50"),
                                 F.lit(None).cast("double").alias("p95"), F.lit(None).cast("double").alias("p99"))
     return metrics.report([
@@ -343,32 +389,69 @@ def q_layered_marts(spark, sf_dir):
     return built["mart_market_overview"]
 
 
+@register("pipeline_run")
+def q_pipeline_run(spark, sf_dir):
+    """Models, then tests: raw tables loaded, models built, the data tests run on the written models;
+    the test results (a failing test fails the run)."""
+    from candlewick.operators import quality
+    from candlewick.plans import layers
+    from candlewick.session import scratch_path
+    # The generated days have hours without volume, whose VWAP is null by definition: that test
+    # is left to quality_report, which reports it.
+    suite = [quality.TableTests(t.model, [c for c in t.not_null if c != "vwap"], t.unique, t.accepted_values)
+             for t in quality.REFERENCE_SUITE]
+    return layers.pipeline_run(spark, fx.raw_trades(spark, sf_dir), fx.market_meta(spark, sf_dir), AS_OF,
+                               scratch_path(spark, "run"), suite)["test_results"]
+
+
 # --- streaming ------------------------------------------------------------------------
 
-def _stage_stream_input(spark, sf_dir, with_marker: bool = False) -> tuple[str, str]:
-    """Land the wire-shape trades (exact re-deliveries included) as files for a file
-    stream source.  ``with_marker`` adds one end-of-input record, 1 day past the
-    last trade, so the watermark closes every real window (a running stream gets
-    that from later trades)."""
+STREAM_FILES = 6
+
+
+def _stage_stream_input(spark, sf_dir, extra: DataFrame | None = None) -> tuple[str, str]:
+    """Land the wire-shape trades (exact re-deliveries included) as STREAM_FILES files for a file
+    stream source, in order of event time: file times are set in that order, since the source
+    replays by them.  ``extra`` rows come in one more file, last."""
+    from candlewick.operators.sinks import _fs
     from candlewick.schemas import TRADE_EVENT
     from candlewick.session import scratch_path
     root = scratch_path(spark, "stream")
-    wire = fx.lake_trades(spark, sf_dir).select(*TRADE_EVENT.fieldNames())
-    if with_marker:
-        last = wire.agg(F.max("trade_time").alias("t"))
-        marker = last.select(F.lit(fx.END_MARKER_SYMBOL).alias("symbol"), F.lit(0.0).alias("price"),
-                             F.lit(0.0).alias("quantity"), (F.col("t") + 86_400_000).alias("trade_time"),
-                             F.lit(False).alias("is_buyer_maker"),
-                             (F.col("t") + 86_400_000).alias("ingestion_ts"))
-        wire = wire.unionByName(marker)
-    wire.write.parquet(f"{root}/in")
-    return root, f"{root}/in"
+    cols = TRADE_EVENT.fieldNames()
+    wire = fx.lake_trades(spark, sf_dir).select(*cols)
+    wire.repartitionByRange(STREAM_FILES, "trade_time").write.parquet(f"{root}/in/a")
+    if extra is not None:
+        extra.select(*cols).coalesce(1).write.parquet(f"{root}/in/b")
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    at = 1_700_000_000_000
+    for part in ("a", "b") if extra is not None else ("a",):
+        fs, p = _fs(spark, f"{root}/in/{part}")
+        for name in sorted(st.getPath().toString() for st in fs.listStatus(p)):
+            at += 60_000
+            fs.setTimes(Path(name), at, -1)
+    return root, f"{root}/in/*"
+
+
+def _end_marker(spark, sf_dir) -> DataFrame:
+    """One end-of-input record, a day past the last trade, so that the watermark closes every real
+    window (a running stream gets that from later trades)."""
+    last = fx.lake_trades(spark, sf_dir).agg((F.max("trade_time") + 86_400_000).alias("trade_time"))
+    return last.select(F.lit(fx.END_MARKER_SYMBOL).alias("symbol"), F.lit(0.0).alias("price"),
+                       F.lit(0.0).alias("quantity"), "trade_time", F.lit(False).alias("is_buyer_maker"),
+                       F.col("trade_time").alias("ingestion_ts"))
+
+
+def _late_rows(spark, sf_dir) -> DataFrame:
+    """Trades of the first day that arrive again after everything else, with another quantity."""
+    t = fx.trade_records(spark, sf_dir)
+    first = t.agg(F.min("trade_time")).scalar()
+    return t.filter(F.col("trade_time") < first + 86_400_000).withColumn("quantity", F.col("quantity") + 1000)
 
 
 @register("trade_stream_append")
 def q_trade_stream_append(spark, sf_dir):
-    """S-1 + P-8..P-10 + C-5 + K-1: trade stream -> dedupe within watermark ->
-    date-partitioned append sink (availableNow), read back.
+    """S-1 + W-2 + P-8..P-10 + C-5 + K-1: trade stream, one file per micro-batch -> dedupe within
+    watermark -> date-partitioned append sink (availableNow), read back.
 
     The sink's default layout is the reference's ``(date, symbol)``; here the lake
     is partitioned by ``date`` only: ``(date, symbol)`` writes one file per coin per
@@ -376,20 +459,50 @@ def q_trade_stream_append(spark, sf_dir):
     explosion, while ``date`` keeps pruning for the day-scoped loads."""
     from candlewick.streaming import ingest
     root, src = _stage_stream_input(spark, sf_dir)
-    events = ingest.trade_stream(spark, src)
-    landed = ingest.dedupe(ingest.landed_trades(events))
+    landed = ingest.dedupe(ingest.landed_trades(ingest.trade_stream(spark, src, max_per_trigger=1)))
     q = ingest.append_sink(landed, f"{root}/lake", f"{root}/ckpt", partition_by=("date",),
                            trigger={"availableNow": True})
     ingest.run_bounded(q, None)
     return spark.read.parquet(f"{root}/lake")
 
 
+@register("trade_stream_late")
+def q_trade_stream_late(spark, sf_dir):
+    """C-5 + W-2: rows that come behind the watermark, from the side output."""
+    from candlewick.streaming import ingest
+    root, src = _stage_stream_input(spark, sf_dir, _late_rows(spark, sf_dir))
+    landed = ingest.landed_trades(ingest.trade_stream(spark, src, max_per_trigger=1))
+    q = ingest.late_sink(landed, f"{root}/late", f"{root}/ckpt", trigger={"availableNow": True})
+    ingest.run_bounded(q, None)
+    return spark.read.schema(landed.schema).parquet(f"{root}/late").select(*landed.columns)
+
+
+@register("ingest_stream")
+def q_ingest_stream(spark, sf_dir):
+    """The ingest as one path: framed bytes -> decode -> good rows to the lake, bad ones to the dead
+    letters; how many records went where, by day or by cause."""
+    from candlewick.schemas import TRADE_EVENT_AVRO
+    from candlewick.session import scratch_path
+    from candlewick.streaming import ingest
+    root = scratch_path(spark, "ingest")
+    fx.trade_log(spark, sf_dir).select("key", "value").write.parquet(f"{root}/log")
+    log = ingest.trade_stream(spark, f"{root}/log", schema=spark.read.parquet(f"{root}/log").schema, max_per_trigger=1)
+    decoded = decode.decode_frames(log, TRADE_EVENT_AVRO, keep=["key"])
+    for q in ingest.with_dlq(decoded, f"{root}/lake", f"{root}/dlq", f"{root}/ckpt", partition_by=("date",),
+                             trigger={"availableNow": True}):
+        ingest.run_bounded(q, None)
+    lake = spark.read.parquet(f"{root}/lake").groupBy(F.date_format("date", "yyyy-MM-dd").alias("what"))
+    dlq = spark.read.parquet(f"{root}/dlq").groupBy(F.col("detail").alias("what"))
+    return (lake.agg(F.count(F.lit(1)).alias("records")).withColumn("sink", F.lit("lake"))
+            .unionByName(dlq.agg(F.count(F.lit(1)).alias("records")).withColumn("sink", F.lit("dlq"))))
+
+
 @register("ohlcv_1m_stream")
 def q_ohlcv_1m_stream(spark, sf_dir):
     """W-1 on a stream: watermarked 1-minute bars in append mode, read back."""
     from candlewick.streaming import ingest
-    root, src = _stage_stream_input(spark, sf_dir, with_marker=True)
-    events = ingest.landed_trades(ingest.trade_stream(spark, src))
+    root, src = _stage_stream_input(spark, sf_dir, _end_marker(spark, sf_dir))
+    events = ingest.landed_trades(ingest.trade_stream(spark, src, max_per_trigger=1))
     bars = ingest.ohlcv_stream(events)
     q = ingest.append_sink(bars, f"{root}/bars", f"{root}/ckpt", partition_by=(),
                            trigger={"availableNow": True})
@@ -416,8 +529,43 @@ def q_load_day(spark, sf_dir):
     day = (trades_for_day(spark, lake, AS_OF)
            .withColumn("trade_time", millis_to_ts("trade_time"))
            .withColumn("ingestion_ts", millis_to_ts("ingestion_ts")))
-    ensure_schema(spark, "raw_load", root)
-    sinks.load_table(clean.pin_columns(day, ["symbol", "price", "quantity", "trade_time", "is_buyer_maker",
-                                             "ingestion_ts", "date"]), "raw_load.trades", mode="overwrite")
-    assert RAW_TRADES_COLUMNS == spark.table("raw_load.trades").columns
-    return spark.table("raw_load.trades")
+    name = f"{ensure_schema(spark, 'raw_load', root)}.trades"
+    sinks.load_table(clean.pin_columns(day, RAW_TRADES_COLUMNS), name, mode="append")
+    return spark.table(name)
+
+
+@register("reload_days")
+def q_reload_days(spark, sf_dir):
+    """K-3 + K-7 in a catalog table: all days loaded, then the as-of day and the one before are
+    deleted and the deduped as-of day is appended."""
+    import datetime as _dt
+    from candlewick.operators import sinks
+    from candlewick.plans.layers import ensure_schema
+    from candlewick.session import scratch_path
+    raw = fx.raw_trades(spark, sf_dir)
+    name = f"{ensure_schema(spark, 'raw_days', scratch_path(spark, 'reload'))}.trades"
+    sinks.load_table(raw, name, mode="append", partition_by=["date"])
+    reload = clean.dedupe_trades_latest(raw.filter(F.col("date") == F.lit(AS_OF)))
+    sinks.replace_days_in_table(reload, name, [AS_OF, AS_OF - _dt.timedelta(days=1)])
+    return spark.table(name)
+
+
+@register("load_market_meta")
+def q_load_market_meta(spark, sf_dir):
+    """C-2 + P-8 + P-11 + K-7: lake metadata -> latest snapshot per coin -> raw table, overwritten."""
+    from candlewick.plans import layers
+    from candlewick.session import scratch_path
+    return layers.load_market_meta(spark, fx.raw_meta_snapshots(spark, sf_dir), scratch_path(spark, "meta_load"))
+
+
+@register("mart_layout")
+def q_mart_layout(spark, sf_dir):
+    """T-5: the daily mart written clustered by coin and day: per coin, in how many files it is (its
+    key range is in one, or continues into the next) and how many rows it has."""
+    from candlewick.operators import sinks
+    from candlewick.session import scratch_path
+    path = scratch_path(spark, "mart")
+    sinks.write_mart(ohlcv(spark, sf_dir), path, ["coin_symbol", "trade_date"])
+    files = spark.read.parquet(path).groupBy("coin_symbol", F.input_file_name().alias("file")).agg(
+        F.count(F.lit(1)).alias("n"))
+    return files.groupBy("coin_symbol").agg(F.sum("n").alias("n_rows"), (F.count(F.lit(1)) <= 2).alias("together"))

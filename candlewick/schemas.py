@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import types as T
 
-# Wire record of one trade (Avro field order matters for the binary codec).
+# Wire record of one trade (fixed values: field names, types and order).
 TRADE_EVENT = T.StructType([
     T.StructField("symbol", T.StringType(), False),
     T.StructField("price", T.DoubleType(), False),
@@ -44,7 +44,7 @@ COIN_REST = T.StructType([
     T.StructField("ath", T.DoubleType()),
 ])
 
-# JSON payload of one coin metadata record.  ``nullable=False`` is declarative only:
+# JSON payload of one coin metadata record (fixed values).  ``nullable=False`` is declarative only:
 # ``from_json`` does not enforce it, so callers filter explicitly.
 MARKET_META = T.StructType([
     T.StructField("coin_id", T.StringType(), False),
@@ -116,13 +116,6 @@ def avro_schema_to_struct(schema_json: str | dict) -> T.StructType:
     return T.StructType(fields)
 
 
-def avro_field_types(schema_json: str | dict) -> list[tuple[str, str, bool]]:
-    """(name, avro primitive, nullable) per field, in wire order."""
-    st = avro_schema_to_struct(schema_json)
-    back = {v.simpleString(): k for k, v in _AVRO_PRIMITIVES.items()}
-    return [(f.name, back[f.dataType.simpleString()], f.nullable) for f in st.fields]
-
-
 def struct_to_avro_schema(struct: T.StructType, name: str = "Record",
                           namespace: str = "candlewick") -> str:
     """Inverse of :func:`avro_schema_to_struct` for flat primitive structs."""

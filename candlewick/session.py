@@ -79,6 +79,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - Spark Connect has no SparkContext
             root = None
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="candlewick-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
@@ -92,6 +94,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/candlewick/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df, name: str):
+    """Write ``df`` once to the shared scratch folder and read it back: several uses
+    read the files instead of repeating its work."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_fs_path(path: str) -> str:
     """``file:`` URI -> plain local path (tests only)."""
     return path[len("file:"):] if path.startswith("file:") else path

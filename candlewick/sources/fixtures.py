@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions.exprs import epoch_millis
@@ -30,24 +30,26 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def padded(key: str) -> Column:
+    """A key's digits, at least three of them."""
+    digits = F.col(key).cast("string")
+    return F.when(F.length(digits) >= 3, digits).otherwise(F.lpad(digits, 3, "0"))
+
+
 def _trade_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``RAW.TRADES`` shape from ``events`` (keeps ``event_id``), plus re-ingested
     copies of every tenth event (one hour later) so business-key dedupe has work."""
-    ev = read(spark, sf_dir, "events")
-    base = ev.select(
-        F.concat(F.lpad((F.col("user_id") % 1000).cast("string"), 3, "0"), F.lit("USD")).alias("symbol"),
+    copies = F.sequence(F.lit(0), (F.col("event_id") % 10 == 0).cast("int"))
+    ev = read(spark, sf_dir, "events").withColumn("copy", F.explode(copies))
+    return ev.select(
+        F.concat(padded("user_id"), F.lit("USD")).alias("symbol"),
         (F.floor(F.col("value") * 64).cast("double") / 64).alias("price"),
         F.get_json_object("props", "$.k").cast("double").alias("quantity"),
         F.col("ts").alias("trade_time"),
         F.col("event_type").isin("purchase", "error").alias("is_buyer_maker"),
-        (F.col("ts") + F.expr("INTERVAL 5 SECONDS")).alias("ingestion_ts"),
+        (F.col("ts") + F.expr("make_dt_interval(0, copy, 0, 5)")).alias("ingestion_ts"),
         F.to_date("ts").alias("date"),
-        F.col("event_id"),
-    )
-    dup = (base.filter(F.col("event_id") % 10 == 0)
-           .withColumn("ingestion_ts", F.col("ingestion_ts") + F.expr("INTERVAL 1 HOUR"))
-           .withColumn("copy", F.lit(1)))
-    return base.withColumn("copy", F.lit(0)).unionByName(dup)
+        "event_id", "copy")
 
 
 def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,9 +62,8 @@ def lake_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lake ``trades`` shape (wire columns with epoch millis + ``trade_timestamp``,
     ``date``), including exact re-deliveries of every seventh event, as an
     at-least-once log produces."""
-    t = _trade_rows(spark, sf_dir)
-    redelivered = t.filter(F.col("event_id") % 7 == 0)
-    rows = t.unionByName(redelivered)
+    again = F.sequence(F.lit(0), (F.col("event_id") % 7 == 0).cast("int"))
+    rows = _trade_rows(spark, sf_dir).withColumn("delivery", F.explode(again))
     return rows.select(
         "symbol", "price", "quantity",
         epoch_millis("trade_time").alias("trade_time"),
@@ -72,24 +73,37 @@ def lake_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         "date")
 
 
-def trade_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wire shape (times as epoch millis) of the same trades."""
-    t = raw_trades(spark, sf_dir)
+def trade_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wire shape (times as epoch millis) of the same trades, with their log position ``offset`` and
+    record time ``timestamp``."""
+    t = _trade_rows(spark, sf_dir)
     return t.select("symbol", "price", "quantity",
-                    epoch_millis("trade_time").alias("trade_time"),
-                    "is_buyer_maker",
-                    epoch_millis("ingestion_ts").alias("ingestion_ts"))
+                    epoch_millis("trade_time").alias("trade_time"), "is_buyer_maker",
+                    epoch_millis("ingestion_ts").alias("ingestion_ts"),
+                    (F.col("event_id") * 8 + F.col("copy")).alias("offset"),
+                    F.col("ingestion_ts").alias("timestamp"))
+
+
+def trades_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw trades with null and tied ingestion times: the later copy of an event comes without a time
+    (every 20th event), as an equal row (every 30th), or is the only one and has none (event_id % 10 = 3)."""
+    t = _trade_rows(spark, sf_dir)
+    none = ((F.col("event_id") % 20 == 0) & (F.col("copy") == 1)) | (F.col("event_id") % 10 == 3)
+    tied = (F.col("event_id") % 30 == 0) & (F.col("copy") == 1)
+    return (t.withColumn("ingestion_ts", F.when(none, None).when(
+        tied, F.col("ingestion_ts") - F.expr("INTERVAL 1 HOUR")).otherwise(F.col("ingestion_ts")))
+        .drop("event_id", "copy"))
 
 
 def market_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``RAW.MARKET_META`` shape from ``customer``; keys that are multiples of 15 and
-    keys >= 900 have no coin, which leaves trade coins without metadata."""
-    c = read(spark, sf_dir, "customer").filter((F.col("c_custkey") < 900) & (F.col("c_custkey") % 15 != 0))
+    """``RAW.MARKET_META`` shape from ``customer``: a coin for each key but the multiples of 15,
+    which leaves trade coins without metadata."""
+    c = read(spark, sf_dir, "customer").filter(F.col("c_custkey") % 15 != 0)
     odd = (F.col("c_custkey") % 2) == 1
     half = F.when(~odd, F.col("c_acctbal") / 100)
     return c.select(
         F.concat(F.lit("coin-"), F.col("c_custkey").cast("string")).alias("coin_id"),
-        F.lpad(F.col("c_custkey").cast("string"), 3, "0").alias("symbol"),
+        padded("c_custkey").alias("symbol"),
         F.col("c_name").alias("name"),
         (F.lit(10.0) + F.col("c_custkey")).alias("current_price"),
         (F.round(F.col("c_acctbal") * 100).cast("bigint") * F.lit(1000003)).cast("decimal(20,0)").alias("market_cap"),
@@ -148,49 +162,34 @@ def meta_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def meta_log_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metadata as rows of the lake table that ingestion keeps upserting into:
-    ``RAW.MARKET_META`` shape (timestamps as TIMESTAMP_NTZ) plus ``offset``."""
-    r = meta_records(spark, sf_dir)
-    return r.select(
-        "offset", "coin_id", "symbol", "name", "current_price",
-        F.col("market_cap").cast("decimal(20,0)").alias("market_cap"),
-        "market_cap_rank", "total_volume", "price_change_24h", "price_change_pct_24h",
-        "circulating_supply", "ath", F.col("timestamp").alias("ingestion_ts"),
-    )
+def raw_meta_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lake's metadata as ingestion lands it: payload columns (``ingestion_ts`` epoch millis) plus
+    ``offset``, many snapshots per coin."""
+    return meta_records(spark, sf_dir).drop("timestamp", "o_orderstatus")
 
 
 def trade_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trade topic as log rows: framed Avro ``value`` per trade (log position
-    ``offset = event_id * 8 + copy``), plus damaged frames for the dead-letter path:
-    for events with ``event_id % 50`` = 1 / 2 / 3 a frame cut to 4 bytes, a frame
-    with a wrong magic byte, and a frame cut inside the body."""
+    """The trade topic as log rows: a framed ``value`` per trade (5-byte header, JSON body), plus damaged
+    frames for the dead-letter path: for events with ``event_id % 50`` = 1 / 2 / 3 a frame cut to 4
+    bytes, a frame with a wrong magic byte, and a frame cut inside the body."""
     from candlewick.operators.decode import to_log_rows
-    from candlewick.schemas import TRADE_EVENT_AVRO
 
-    t = _trade_rows(spark, sf_dir)
-    wire = t.select(
-        "symbol", "price", "quantity",
-        epoch_millis("trade_time").alias("trade_time"), "is_buyer_maker",
-        epoch_millis("ingestion_ts").alias("ingestion_ts"),
-        (F.col("event_id") * 8 + F.col("copy")).alias("offset"),
-        F.col("ingestion_ts").alias("timestamp"))
-    log = to_log_rows(wire, "symbol", fmt="avro", schema_json=TRADE_EVENT_AVRO,
-                      keep=["offset", "timestamp"])
-    kind = (F.floor(F.col("offset") / 8) % 50).cast("int")
-    src = log.filter((F.col("offset") % 8 == 0) & kind.between(1, 3))
-    v = F.col("value")
-    damaged = src.select(
-        (F.col("offset") + 1 + kind).alias("offset"), "timestamp", "key",
+    log = to_log_rows(trade_records(spark, sf_dir), "symbol", framed=True, keep=["offset", "timestamp"])
+    kind, v = (F.floor(F.col("offset") / 8) % 50).cast("int"), F.col("value")
+    damaged = F.struct(
+        (F.col("offset") + 1 + kind).alias("offset"),
         F.when(kind == 1, F.substring(v, 1, 4))
-         .when(kind == 2, F.concat(F.lit(bytes([1])), F.substring(v, 2, 1 << 20)))
+         .when(kind == 2, F.concat(F.lit(bytes([1])), F.substring(v, F.lit(2), F.length(v) - 1)))
          .otherwise(F.substring(v, 1, 9)).alias("value"))
-    return log.unionByName(damaged)
+    whole = F.struct("offset", "value")
+    sent = F.when((F.col("offset") % 8 == 0) & kind.between(1, 3), F.array(whole, damaged)).otherwise(F.array(whole))
+    return (log.select("key", "timestamp", F.explode(sent).alias("sent"))
+            .select("sent.offset", "timestamp", "key", "sent.value"))
 
 
 def exchange_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exchange JSON messages: one per (symbol, minute) holding an event per side
-    with its trades.  Minutes ending in 9 arrive on a ``status`` channel, and a zero
+    """Exchange JSON messages: one per (symbol, minute, side, 64 event ids),
+    so a message holds at most 64 trades.  Minutes ending in 9 arrive on a ``status`` channel, and a zero
     size is sent as an empty string (unparsable)."""
     t = _trade_rows(spark, sf_dir).filter(F.col("copy") == 0)
     minute = F.date_trunc("minute", F.col("trade_time")).cast("timestamp_ntz")
@@ -199,10 +198,8 @@ def exchange_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("price").cast("string").alias("price"),
         F.when(F.col("quantity") == 0, F.lit("")).otherwise(F.col("quantity").cast("string")).alias("size"),
         F.when(F.col("is_buyer_maker"), F.lit("SELL")).otherwise(F.lit("BUY")).alias("side"))
-    per_side = (t.groupBy("symbol", minute.alias("minute"), "is_buyer_maker")
-                 .agg(F.collect_list(trade).alias("trades")))
-    msgs = (per_side.groupBy("symbol", "minute")
-                    .agg(F.collect_list(F.struct("trades")).alias("events")))
+    msgs = t.groupBy("symbol", minute.alias("minute"), "is_buyer_maker", F.floor(F.col("event_id") / 64)).agg(
+        F.array(F.struct(F.collect_list(trade).alias("trades"))).alias("events"))
     channel = F.when(F.minute("minute") % 10 == 9, F.lit("status")).otherwise(F.lit("market_trades"))
     return msgs.select(
         F.col("symbol").cast("binary").alias("key"),

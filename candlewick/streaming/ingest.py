@@ -50,7 +50,7 @@ def trade_stream(spark: SparkSession, path_or_topic: str, fmt: str = "parquet",
 
 def landed_trades(events: DataFrame) -> DataFrame:
     """Wire trades -> lake rows: ``trade_timestamp`` / ``date`` added (P-8, P-9)
-    and only rows with a symbol kept (P-10)."""
+    and only rows with a symbol kept (P-10; :func:`with_dlq` keeps the others as dead letters)."""
     good, _ = split_valid(with_trade_times(events))
     return good
 
@@ -58,34 +58,53 @@ def landed_trades(events: DataFrame) -> DataFrame:
 def dedupe(df: DataFrame, keys: Sequence[str] = TRADE_EXACT_KEY, event_time: str = "trade_timestamp",
            delay: str = "10 minutes") -> DataFrame:
     """C-5: drop repeats of ``keys`` that arrive within ``delay`` of each other
-    (state is evicted once the watermark passes, so it stays bounded)."""
+    (state is evicted once the watermark passes, so it stays bounded).  Rows behind the watermark are
+    dropped by Spark; :func:`late_sink` keeps them."""
     return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def append_sink(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ("date", "symbol"),
-                fmt: str = "parquet", trigger: dict | None = None, salt: int = 1,
-                query_name: str | None = None) -> StreamingQuery:
+                fmt: str = "parquet", trigger: dict | None = None, query_name: str | None = None,
+                **options) -> StreamingQuery:
     """K-1 / W-3: append each micro-batch to a partitioned file table (the file
     sink's log makes it exactly-once), checkpointed.
 
-    Rows are hash-partitioned by the partition columns before writing, so each
-    partition directory gets one file per micro-batch instead of one per task.
-    A micro-batch is bounded by the source's rate limit, which bounds what one
-    hot symbol can put in one task; ``salt > 1`` spreads a partition value over
-    ``salt`` tasks (and files) when that bound is not enough.
+    Each task writes what it has, so one day (a live stream is always one day) is written by all
+    tasks of the batch.  With ``fmt="kafka"``, ``path`` is the topic of ``key, value`` rows.
     """
-    out = df
-    if partition_by:
-        salt_col = F.pmod(F.xxhash64(*df.columns), F.lit(salt)) if salt > 1 else F.lit(0)
-        out = df.repartition(*[F.col(c) for c in partition_by], salt_col)
-    w = (out.writeStream.format(fmt).outputMode("append")
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "30 seconds"})))
+    w = (df.writeStream.format(fmt).outputMode("append").options(**options)
+           .option("checkpointLocation", checkpoint)
+           .trigger(**(trigger or {"processingTime": "30 seconds"})))
     if partition_by:
         w = w.partitionBy(*partition_by)
     if query_name:
         w = w.queryName(query_name)
-    return w.start(path)
+    return w.option("topic", path).start() if fmt == "kafka" else w.start(path)
+
+
+def late_sink(df: DataFrame, path: str, checkpoint: str, event_time: str = "trade_timestamp",
+              delay_seconds: int = 600, trigger: dict | None = None) -> StreamingQuery:
+    """Side output of late rows: those older than the newest event time of *earlier* batches less the
+    delay, which is the watermark that :func:`dedupe` and the bars drop them by.
+
+    Each batch writes its late rows and its newest time under its own batch id; a repeated batch
+    replaces both, so a restart neither loses nor doubles any.  The newest times are one row per batch.
+    """
+    spark, seen = df.sparkSession, f"{checkpoint}/newest"
+
+    def one(batch: DataFrame, number: int) -> None:
+        newest = None
+        if number:
+            before = spark.read.schema("t timestamp, batch bigint").parquet(seen).filter(F.col("batch") < number)
+            newest = before.agg(F.max("t")).first()[0]
+        late = F.lit(False)
+        if newest is not None:
+            late = F.col(event_time) < F.lit(newest) - F.expr(f"INTERVAL {delay_seconds} SECONDS")
+        batch.filter(late).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        batch.agg(F.max(event_time).alias("t")).write.mode("overwrite").parquet(f"{seen}/batch={number}")
+
+    return (df.writeStream.foreachBatch(one).option("checkpointLocation", f"{checkpoint}/query")
+              .trigger(**(trigger or {"processingTime": "30 seconds"})).start())
 
 
 def with_dlq(decoded: DataFrame, good_path: str, dlq_path: str, checkpoint_root: str,
@@ -93,12 +112,15 @@ def with_dlq(decoded: DataFrame, good_path: str, dlq_path: str, checkpoint_root:
              error_col: str = "_error") -> tuple[StreamingQuery, StreamingQuery]:
     """K-4: a permissive decode split into two exactly-once file sinks -- good
     rows to the lake, dead letters (original bytes, reason, detail, time) to the
-    DLQ -- each with its own checkpoint."""
+    DLQ -- each with its own checkpoint.  Every record goes to one of them: a record that
+    decodes without a symbol is a dead letter as well."""
     from candlewick.operators.decode import dead_letters
-    good = landed_trades(decoded.filter(F.col(error_col).isNull()).drop(error_col, "value"))
-    bad = dead_letters(decoded.filter(F.col(error_col).isNotNull()), error_col)
+    fault = F.coalesce(F.col(error_col), F.when(F.col("symbol").isNull(), F.lit("missing_symbol")))
+    marked = decoded.withColumn(error_col, fault)
+    good = landed_trades(marked.filter(F.col(error_col).isNull()).drop(error_col, "value"))
+    bad = dead_letters(marked.filter(F.col(error_col).isNotNull()), error_col)
     q1 = append_sink(good, good_path, f"{checkpoint_root}/good", partition_by, trigger=trigger)
-    q2 = append_sink(bad, dlq_path, f"{checkpoint_root}/dlq", (), fmt="parquet", trigger=trigger)
+    q2 = append_sink(bad, dlq_path, f"{checkpoint_root}/dlq", (), trigger=trigger)
     return q1, q2
 
 

@@ -40,6 +40,20 @@ def test_dedupe_trades_latest_forms_agree(spark):
     assert "HashAggregate" in a._jdf.queryExecution().executedPlan().toString()
 
 
+def test_dedupe_latest_keeps_values_of_rows_without_a_time(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    data = [("A", True, "x", None), ("B", False, "old", None), ("B", True, "new", t0), ("C", True, "y", t0), ("C", True, "y", t0)]
+    for kind, vals in (("timestamp_ntz", lambda x: x), ("timestamp", lambda x: x), ("long", lambda x: x and 5),
+                       ("string", lambda x: x and "z")):
+        df = spark.createDataFrame([(k, m, v, vals(t)) for k, m, v, t in data],
+                                   f"symbol string, is_buyer_maker boolean, note string, ingestion_ts {kind}")
+        for cols in (df.columns, ["symbol", "is_buyer_maker", "ingestion_ts"]):
+            a = clean.dedupe_trades_latest(df.select(*cols), keys=["symbol"])
+            w = clean.dedupe_trades_latest(df.select(*cols), keys=["symbol"], method="window")
+            assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, w.collect()), key=str)
+            assert a.filter("symbol = 'A'").first().is_buyer_maker is True
+
+
 def test_dedupe_exact_and_stats(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "x int, y string")
     assert clean.dedupe_exact(df, ["x", "y"]).count() == 2

@@ -3,29 +3,14 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from candlewick.functions import avro_codec as ac
 from candlewick.operators import decode
-from candlewick.schemas import TRADE_EVENT_AVRO, avro_field_types, avro_schema_to_struct, struct_to_avro_schema
+from candlewick.schemas import TRADE_EVENT_AVRO, avro_schema_to_struct, struct_to_avro_schema
 
-FIELDS = avro_field_types(TRADE_EVENT_AVRO)
 
-
-def test_codec_roundtrip_pure():
-    rec = {"symbol": "BTCUSD", "price": 42.5, "quantity": 0.001, "trade_time": 1704067207179,
-           "is_buyer_maker": True, "ingestion_ts": -3}
-    buf = ac.frame(7, ac.encode_body(FIELDS, rec))
-    assert buf[0] == 0 and buf[1:5] == (7).to_bytes(4, "big")
-    assert ac.decode_frame(FIELDS, buf) == (rec, None)
-    assert ac.decode_frame(FIELDS, buf[:4]) == (None, "too_short")
-    assert ac.decode_frame(FIELDS, b"\x01" + buf[1:]) == (None, "bad_magic")
-    assert ac.decode_frame(FIELDS, buf[:9]) == (None, "parse_failure")
-
-
-def test_zigzag_values():
-    for n in (0, -1, 1, 63, -64, 64, 2**40, -(2**40), 2**63 - 1, -(2**63)):
-        out = bytearray()
-        ac.write_long(out, n)
-        assert ac.read_long(bytes(out), 0) == (n, len(out))
+def trades(spark):
+    return spark.createDataFrame([("AAAUSD", 1.5, 2.0, 1000, False, 2000, 1), ("BBBUSD", 2.5, 3.0, 1001, True, 2001, 2)],
+                                 "symbol string, price double, quantity double, trade_time long, "
+                                 "is_buyer_maker boolean, ingestion_ts long, offset long")
 
 
 def test_nullable_union_schema():
@@ -33,34 +18,44 @@ def test_nullable_union_schema():
         {"name": "a", "type": ["null", "double"]}, {"name": "b", "type": "string"}]})
     st = avro_schema_to_struct(sch)
     assert [f.nullable for f in st.fields] == [True, False]
-    f = avro_field_types(sch)
-    for rec in ({"a": None, "b": "x"}, {"a": 1.5, "b": ""}):
-        assert ac.decode_frame(f, ac.frame(1, ac.encode_body(f, rec)))[0] == rec
     assert avro_schema_to_struct(struct_to_avro_schema(st)) == \
         avro_schema_to_struct(struct_to_avro_schema(st))
 
 
 def test_frames_roundtrip_and_dead_letters(spark):
-    df = spark.createDataFrame([("AAAUSD", 1.5, 2.0, 1000, False, 2000, 1),
-                                ("BBBUSD", 2.5, 3.0, 1001, True, 2001, 2)],
-                               "symbol string, price double, quantity double, trade_time long, "
-                               "is_buyer_maker boolean, ingestion_ts long, offset long")
-    log = decode.to_log_rows(df, "symbol", fmt="avro", schema_json=TRADE_EVENT_AVRO, keep=["offset"])
-    bad = spark.createDataFrame([(bytearray(b"\x00\x01"), 3), (bytearray(b"{\"a\":1}"), 4)], "value binary, offset long")
+    log = decode.to_log_rows(trades(spark), "symbol", framed=True, keep=["offset"])
+    first = bytes(log.first().value)
+    assert first[0] == 0 and first[1:5] == (1).to_bytes(4, "big") and json.loads(first[5:])["symbol"] == "AAAUSD"
+    bad = spark.createDataFrame([(bytearray(b"\x00\x01"), 3), (bytearray(b"{\"a\":1}"), 4), (None, 5),
+                                 (bytearray(first[:20]), 6), (bytearray(first[:5]), 7)], "value binary, offset long")
     dec = decode.decode_frames(log.select("value", "offset").unionByName(bad), TRADE_EVENT_AVRO, keep=["offset"])
     good, dlq = decode.split_decoded(dec)
-    assert sorted(r.symbol for r in good.collect()) == ["AAAUSD", "BBBUSD"]
+    assert sorted((r.symbol, r.price, r.is_buyer_maker) for r in good.collect()) == \
+        [("AAAUSD", 1.5, False), ("BBBUSD", 2.5, True)]
     d = {r.offset: r.detail for r in dlq.collect()}
-    assert d == {3: "too_short", 4: "bad_magic"}
+    assert d == {3: "too_short", 4: "bad_magic", 5: "too_short", 6: "parse_failure", 7: "parse_failure"}
     assert set(dlq.columns) >= {"value", "reason", "detail", "dlq_ts"}
+    assert good.count() + dlq.count() == dec.count() == 7
 
 
 def test_failfast_raises(spark):
     bad = spark.createDataFrame([(bytearray(b"\x00\x01"),)], "value binary")
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="malformed record"):
         decode.decode_frames(bad, TRADE_EVENT_AVRO, mode="failfast").collect()
 
 
+def test_avro_bodies_say_what_they_need(spark):
+    with pytest.raises(Exception, match="spark-avro"):
+        decode.decode_frames(trades(spark).select(F.lit(b"").alias("value")), TRADE_EVENT_AVRO, body="avro")
+
+
+def test_rejected_and_good_trades_add_up(spark):
+    from candlewick.plans.queries import QUERIES, _normalised
+    sf = "/root/testdata/sf0.001"
+    n = _normalised(spark, sf).count()
+    assert QUERIES["flatten_market_trades"](spark, sf).count() + QUERIES["rejected_trades"](spark, sf).count() == n
+
+
 def test_json_decode_permissive(spark):
     log = spark.createDataFrame([(1, None, bytearray(b'{"coin_id":"c","symbol":"S","ingestion_ts":5}')),
                                  (2, None, bytearray(b'{"coin_id":"c",'))],

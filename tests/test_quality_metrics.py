@@ -63,7 +63,7 @@ def test_global_percentiles_bucketed_many_values(spark):
     vals = [int(rnd.expovariate(1 / 300)) for _ in range(5000)]
     df = spark.createDataFrame([(v,) for v in vals], "x long")
     for b in (1, 4, 64):
-        r = metrics.latency_summary(df, "x", buckets=b).first()
+        r = metrics._summary(df, "x", [], buckets=b).first()
         assert (r.p50, r.p95, r.p99) == ref_fmt(vals) and r.n == 5000
 
 
@@ -72,6 +72,28 @@ def test_grouped_percentiles_bucketed_with_null_group(spark):
     rows = [(rnd.choice(["a", "b", None]), int(rnd.expovariate(1 / 50))) for _ in range(3000)]
     df = spark.createDataFrame(rows, "g string, x long")
     for b in (1, 8, 64):
-        got = {r.g: (r.p50, r.p95, r.p99) for r in metrics.latency_summary(df, "x", ["g"], buckets=b).collect()}
+        got = {r.g: (r.p50, r.p95, r.p99) for r in metrics._summary(df, "x", ["g"], buckets=b).collect()}
         for key in ("a", "b", None):
             assert got[key] == ref_fmt([x for k, x in rows if k == key])
+
+
+def test_a_failing_suite_fails_the_run(spark, tmp_root):
+    import pytest
+
+    from candlewick.plans import layers
+    from candlewick.sources import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    with pytest.raises(AssertionError, match="int_hourly_aggregates.vwap:not_null"):
+        layers.pipeline_run(spark, fx.raw_trades(spark, sf), fx.market_meta(spark, sf), fx.AS_OF_DATE, tmp_root)
+
+
+def test_builds_do_not_share_tables(spark):
+    from candlewick.plans import layers
+    from candlewick.session import scratch_path
+    from candlewick.sources import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    raw, meta = fx.raw_trades(spark, sf), fx.market_meta(spark, sf)
+    first = layers.load_raw(spark, raw, meta, scratch_path(spark, "w"))["raw.trades"]
+    n = first.count()
+    layers.load_raw(spark, raw.limit(5), meta, scratch_path(spark, "w"))
+    assert first.count() == n

@@ -18,6 +18,37 @@ def test_replace_days_idempotent_and_clears_empty_day(spark, tmp_root):
         assert got == [(1, D1), (20, D2), (21, D2)]
 
 
+def test_replace_days_refuses_rows_of_other_days(spark, tmp_root):
+    spark.createDataFrame([(1, D1), (2, D2)], "v int, date date").write.partitionBy("date").parquet(tmp_root)
+    for bad in ([(20, D2), (30, D3)], [(20, D2), (40, None)]):
+        with pytest.raises(Exception, match="outside the days"):
+            sinks.replace_days(spark.createDataFrame(bad, "v int, date date"), tmp_root, [D2])
+        assert sorted(r.v for r in spark.read.parquet(tmp_root).collect()) == [1, 2]
+
+
+def test_replace_days_in_a_catalog_table(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_days")
+    sinks.load_table(spark.createDataFrame([(1, D1), (2, D2), (3, D3)], "v int, date date"), "t_days.x", mode="overwrite",
+                     partition_by=["date"])
+    for _ in range(2):
+        sinks.replace_days_in_table(spark.createDataFrame([(20, D2), (21, D2)], "v int, date date"), "t_days.x", [D2, D3])
+        assert sorted((r.v, r.date) for r in spark.table("t_days.x").collect()) == [(1, D1), (20, D2), (21, D2)]
+    with pytest.raises(Exception, match="outside the days"):
+        sinks.replace_days_in_table(spark.createDataFrame([(9, D1)], "v int, date date"), "t_days.x", [D2])
+    assert spark.table("t_days.x").count() == 3
+
+
+def test_a_hot_day_is_written_by_as_many_tasks_as_it_needs(spark, tmp_root):
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        df = spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("s"), F.lit(D1).alias("date"))
+        sinks.write_snapshot(df.repartition(40), tmp_root, ["date"], spread=True)
+        assert len(sinks.read_snapshot(spark, tmp_root).inputFiles()) > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+
+
 def test_upsert_semantics(spark, tmp_root):
     s1 = spark.createDataFrame([("A", 1), ("B", 2), (None, 3)], "symbol string, v int")
     out = sinks.upsert(spark, tmp_root, s1, ["symbol"])
@@ -40,13 +71,18 @@ def test_rewrite_table_new_snapshot(spark, tmp_root):
 def test_write_mart_clusters(spark, tmp_root):
     df = spark.range(100).select((F.col("id") % 5).cast("string").alias("c"), F.col("id"))
     sinks.write_mart(df, tmp_root, ["c", "id"], num_partitions=4)
-    assert spark.read.parquet(tmp_root).count() == 100
+    got = spark.read.parquet(tmp_root)
+    assert got.count() == 100
+    ranges = sorted((r.lo, r.hi) for r in got.groupBy(F.input_file_name().alias("f")).agg(
+        F.min(F.struct("c", "id")).alias("lo"), F.max(F.struct("c", "id")).alias("hi")).collect())
+    assert len(ranges) > 1 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
 
 
 def test_load_table(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS t_raw")
     n = sinks.load_table(spark.range(7), "t_raw.x", mode="overwrite")
     assert n == 7 and spark.table("t_raw.x").count() == 7
+    assert sinks.load_table(spark.range(3), "t_raw.x") == 3 and spark.table("t_raw.x").count() == 10
 
 
 def test_upsert_idempotent_without_null_keys(spark, tmp_root):

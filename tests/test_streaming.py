@@ -33,8 +33,10 @@ def test_stream_dedupe_and_dlq(spark, tmp_root):
     src = spark.createDataFrame([("A", 1.0, 1.0, base, False, base)] * 2 + [("B", 2.0, 1.0, base + 5, True, base)],
                                 "symbol string, price double, quantity double, trade_time long, "
                                 "is_buyer_maker boolean, ingestion_ts long")
-    log = to_log_rows(src, "symbol", fmt="avro", schema_json=TRADE_EVENT_AVRO)
-    bad = spark.createDataFrame([(bytearray(b"k"), bytearray(b"\x07xx"))], "key binary, value binary")
+    log = to_log_rows(src, "symbol", framed=True)
+    bad = spark.createDataFrame([(bytearray(b"k"), bytearray(b"\x07xx")),
+                                 (bytearray(b"k"), bytearray(b"\x00\x00\x00\x00\x01{\"price\":1.0}"))],
+                                "key binary, value binary")
     log.unionByName(bad).write.parquet(f"{tmp_root}/log")
     stream = spark.readStream.schema("key binary, value binary").parquet(f"{tmp_root}/log")
     dec = decode_frames(stream, TRADE_EVENT_AVRO, keep=["key"])
@@ -43,10 +45,42 @@ def test_stream_dedupe_and_dlq(spark, tmp_root):
     ingest.run_bounded(q1, 120)
     ingest.run_bounded(q2, 120)
     assert spark.read.parquet(f"{tmp_root}/lake").count() == 3
-    assert [r.detail for r in spark.read.parquet(f"{tmp_root}/dlq").collect()] == ["too_short"]
+    # every record is in one of the sinks, the one without a symbol too
+    assert sorted(r.detail for r in spark.read.parquet(f"{tmp_root}/dlq").collect()) == ["missing_symbol", "too_short"]
     src.write.parquet(f"{tmp_root}/srcp")
     dd = ingest.dedupe(ingest.landed_trades(ingest.trade_stream(spark, f"{tmp_root}/srcp")))
     q = ingest.append_sink(dd, f"{tmp_root}/dd", f"{tmp_root}/ck2", partition_by=("date",),
                            trigger={"availableNow": True})
     ingest.run_bounded(q, 120)
     assert spark.read.parquet(f"{tmp_root}/dd").count() == 2
+
+
+def test_late_rows_go_to_the_side_output_and_a_restart_goes_on(spark, tmp_root):
+    base = 1704067200000
+    src, late, lake = f"{tmp_root}/in", f"{tmp_root}/late", f"{tmp_root}/lake"
+
+    def run():
+        landed = ingest.landed_trades(ingest.trade_stream(spark, src, max_per_trigger=1))
+        now = {"availableNow": True}
+        ingest.run_bounded(ingest.append_sink(ingest.dedupe(landed), lake, f"{tmp_root}/c1", ("date",), trigger=now), 120)
+        ingest.run_bounded(ingest.late_sink(landed, late, f"{tmp_root}/c2", trigger=now), 120)
+
+    _write(spark, src, [("A", 1.0, 1.0, base, False, base)])
+    _write(spark, src, [("A", 2.0, 1.0, base + 3_600_000, False, base)])
+    run()
+    _write(spark, src, [("A", 3.0, 1.0, base + 60_000, False, base), ("A", 2.0, 1.0, base + 3_600_000, False, base)])
+    run()  # a new query from the same checkpoints: only the new file is read
+    got = spark.read.parquet(late)
+    assert [r.price for r in got.collect()] == [3.0]
+    assert sorted(r.price for r in spark.read.parquet(lake).collect()) == [1.0, 2.0]
+
+
+def test_a_day_is_written_by_more_than_one_task(spark, tmp_root):
+    base = 1704067200000
+    rows = spark.range(20_000).selectExpr("'A' AS symbol", "1.0D AS price", "1.0D AS quantity",
+                                          f"{base} + id AS trade_time", "false AS is_buyer_maker", f"{base}L AS ingestion_ts")
+    rows.repartition(4).write.parquet(f"{tmp_root}/in")
+    landed = ingest.landed_trades(ingest.trade_stream(spark, f"{tmp_root}/in"))
+    ingest.run_bounded(ingest.append_sink(landed, f"{tmp_root}/out", f"{tmp_root}/ck", ("date",),
+                                          trigger={"availableNow": True}), 120)
+    assert len(spark.read.parquet(f"{tmp_root}/out").inputFiles()) > 1
