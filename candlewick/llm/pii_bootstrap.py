@@ -205,6 +205,7 @@ def discovered(docs: DataFrame, scanned: DataFrame, min_support: int = MIN_SUPPO
     slot = (scanned.select(F.explode("seeds").alias("e")).select("e.pattern", "e.instance", F.lit(True).alias("seed"))
             .unionByName(scanned.select(F.explode("others").alias("e"))
                          .select("e.pattern", "e.instance", F.lit(False).alias("seed"))))
+    slot = slot.filter(F.col("pattern").contains(" "))  # the beginning of a text is no context
     edges = slot.groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed"))
     wide = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("width"), F.max(~F.col("seed")).alias("open"),
                                         F.sum(F.col("seed").cast("int")).alias("seeds"))

@@ -79,6 +79,13 @@ def test_contexts_of_seeds_discover_identifiers(spark):
     assert text[len(rows) - 3].text == "only 12345678 here"
 
 
+def test_the_beginning_of_a_text_is_no_context(spark):
+    prepare(spark)
+    rows = [f"user{i}@mail.example.org wrote" for i in range(9)] + ["KEY-123-456 is not personal", "AKIA1234567 neither"]
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(rows)], SCHEMA)
+    assert all(not s.startswith("id:") for r in P.personal_data(df).collect() for s in r.spans)
+
+
 def test_no_seeds_no_rows(spark):
     prepare(spark)
     df = spark.createDataFrame([(1, "ref: AB-123-456", "x", 1)] * 2, SCHEMA)
