@@ -23,6 +23,8 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import islice
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,7 @@ SMOOTHING = 0.3
 ZIPF_OFFSET = 2700.0
 #: Words whose lattices a task keeps; it starts afresh beyond that (results do not change).
 KEPT_WORDS = 300_000
+RUN_SIGNS = 1 << 20
 
 #: Units that no piece crosses: a word with the spaces before it, a line break, trailing spaces.
 UNIT = re.compile(r"\n| *[^ \n]+| +")
@@ -90,7 +93,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def uniform(seed: np.ndarray, counter: np.ndarray | int) -> np.ndarray:
     """Numbers strictly between 0 and 1, a function of (seed, counter)."""
     c = np.asarray(counter, np.int64).astype(np.uint64)
-    bits = mixed(np.atleast_1d(seed) ^ mixed(np.atleast_1d(c)))
+    bits = mixed(np.atleast_1d(seed) + np.atleast_1d(c) * np.uint64(0xD1342543DE82EF95))
     return ((bits >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0 ** -52
 
 
@@ -106,6 +109,14 @@ def truncated_gumbel_of_one(mass: float, bound: float, u: float) -> float:
     return -(max(a, b) + math.log1p(math.exp(-abs(a - b))))
 
 
+class Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Lattices:
     """Lattices of the words met so far, as flat arrays that grow.
 
@@ -130,16 +141,19 @@ class Lattices:
                     step.append((node[p[:j - 1]] * self.base + int(self.char_no[ord(p[j - 1])]), node[p[:j]]))
             final[node[p]] = (vocab.ids[p], vocab.weight[p])
         self.step_key, self.step_to = (np.array(x, np.int64) for x in zip(*sorted(step)))
+        self.root_to = np.full(self.base, -1)
+        top = self.step_key < self.base
+        self.root_to[self.step_key[top]] = self.step_to[top]
         self.node_id, self.node_weight = np.full(len(node), -1, np.int64), np.zeros(len(node))
         for n, (i, w) in final.items():
             self.node_id[n], self.node_weight[n] = i, w
         self.clear()
 
     def clear(self) -> None:
-        self.word: dict[str, int] = {}
+        self.word = Numbers()
         self.room = {n: np.empty(0, t) for n, t in (("first", np.int64), ("start", np.int64), ("length", np.int32),
-                                                    ("id", np.int32), ("log_p", float), ("log_rest", float),
-                                                    ("key", float))}
+                                                    ("id", np.int32), ("log_p", np.float32),
+                                                    ("log_rest", np.float32), ("key", float))}
         self.used = dict.fromkeys(self.room, 0)
         self.append(first=np.zeros(1, np.int64), start=np.zeros(1, np.int64))
 
@@ -149,40 +163,51 @@ class Lattices:
         size = np.fromiter(map(len, words), np.int64, len(words))
         own = np.repeat(np.arange(len(words)), size)
         stop = np.cumsum(size)[own]
-        at, node, n = np.arange(len(code)), np.zeros(len(code), np.int64), 0
+        at, n = np.arange(len(code)), 1
+        node = self.root_to[self.char_no[code]]
+        at, node = at[node >= 0], node[node >= 0]
         found = []
         while at.size:
-            want = node * self.base + self.char_no[code[at + n]]
-            to = np.searchsorted(self.step_key, want)
-            ok = (self.step_key[np.minimum(to, len(self.step_key) - 1)] == want)
-            at, node, n = at[ok], self.step_to[to[ok]], n + 1
             end = self.node_id[node] >= 0
-            found.append((at[end], np.full(end.sum(), n), self.node_id[node[end]], self.node_weight[node[end]]))
+            found.append((at[end], n, node[end]))
             go = at + n < stop[at]
             at, node = at[go], node[go]
-        src, length, ids, weight = (np.concatenate(x) for x in zip(*found))
+            want = node * self.base + self.char_no[code[at + n]]
+            to = np.minimum(np.searchsorted(self.step_key, want), len(self.step_key) - 1)
+            ok = self.step_key[to] == want
+            at, node, n = at[ok], self.step_to[to[ok]], n + 1
         lone = np.ones(len(code), bool)
-        lone[src[length == 1]] = False
+        if found:
+            lone[found[0][0]] = False
         lone = np.flatnonzero(lone)  # characters that are no piece: their bytes
+        # Edges by state, then length: lengths come in order, so each takes its state's next place.
+        count = np.bincount(np.concatenate([lone, *(x for x, _, _ in found)]), minlength=len(code))
+        place = np.concatenate([[0], np.cumsum(count)])
+        src = np.repeat(np.arange(len(code)), count)
+        length, ids, weight = np.empty(len(src), np.int64), np.empty(len(src), np.int64), np.empty(len(src))
+        place = place[:-1].copy()
         many = 1 + (code[lone] > 0x7F) + (code[lone] > 0x7FF) + (code[lone] > 0xFFFF)
-        src, length = np.concatenate([src, lone]), np.concatenate([length, np.ones(len(lone), np.int64)])
-        ids = np.concatenate([ids, -1 - code[lone]])
-        weight = np.concatenate([weight, self.vocab.byte_weight * many]) * self.smoothing
-        state = src + own[src]
-        left = stop[src] - src
+        length[place[lone]], ids[place[lone]] = 1, -1 - code[lone]
+        weight[place[lone]] = self.vocab.byte_weight * many
+        place[lone] += 1
+        for at, n, node in found:
+            to = place[at]
+            length[to], ids[to], weight[to] = n, self.node_id[node], self.node_weight[node]
+            place[at] += 1
+        weight *= self.smoothing
+        state, left = src + own[src], stop[src] - src
         beta = np.zeros(len(code) + len(words))
-        order = np.argsort((left << 40) + (src << 5) + length)
-        src, length, ids, weight, state, left = (x[order] for x in (src, length, ids, weight, state, left))
-        cuts = np.flatnonzero(np.diff(left, prepend=0, append=0))
-        for a, b in zip(cuts, cuts[1:]):
-            value = weight[a:b] + beta[state[a:b] + length[a:b]]
-            head = np.flatnonzero(np.diff(state[a:b], prepend=-1))
+        order = np.argsort(left.astype(np.uint16) if left.max() < 1 << 16 else left, kind="stable")
+        ends, first = np.bincount(left), 0
+        for many in ends[ends > 0].tolist():
+            e = order[first:first + many]
+            first += many
+            value = weight[e] + beta[state[e] + length[e]]
+            head = np.flatnonzero(np.diff(state[e], prepend=-1))
             most = np.maximum.reduceat(value, head)
-            many = np.diff(np.append(head, b - a))
-            beta[state[a:b][head]] = most + np.log(np.add.reduceat(np.exp(value - np.repeat(most, many)), head))
+            per = np.diff(np.append(head, many))
+            beta[state[e[head]]] = most + np.log(np.add.reduceat(np.exp(value - np.repeat(most, per)), head))
         log_p = np.minimum(weight + beta[state + length] - beta[state], 0.0)
-        order = np.argsort((state << 5) + length)
-        length, ids, state, log_p = (x[order] for x in (length, ids, state, log_p))
         p = np.exp(log_p)
         per = np.bincount(state, minlength=len(code) + len(words))
         begin = np.concatenate([[0], np.cumsum(per)])
@@ -195,14 +220,13 @@ class Lattices:
         states, edges = self.used["start"] - 1, self.used["key"]
         self.append(key=state + states + np.minimum(cum, 1.0), length=length, id=ids, log_p=log_p, log_rest=rest,
                     start=begin[1:] + edges, first=np.cumsum(size + 1) + states)
-        self.word.update(zip(words, range(len(self.word), len(self.word) + len(words))))
 
     def append(self, **parts: np.ndarray) -> None:
         """Add to the flat arrays, whose room doubles when it is used up."""
         for name, part in parts.items():
             room, n = self.room[name], self.used[name]
             if n + len(part) > len(room):
-                room = np.empty(2 * (n + len(part)), room.dtype)
+                room = np.empty(3 * (n + len(part)) // 2, room.dtype)
                 room[:n] = self.room[name][:n]
                 self.room[name] = room
             room[n:n + len(part)] = part
@@ -211,16 +235,13 @@ class Lattices:
 
     def numbers(self, words: list[str]) -> np.ndarray:
         """Word numbers, after adding the lattices that are missing."""
-        get = self.word.get
-        out = [get(w, -1) for w in words]
-        new = list(dict.fromkeys(w for w, i in zip(words, out) if i < 0))
-        if new:
-            if len(self.word) + len(new) > KEPT_WORDS and self.word:
-                self.clear()
-                return self.numbers(words)
-            self.add(new)
-            get = self.word.get
-            out = [get(w) if i < 0 else i for w, i in zip(words, out)]
+        before = len(self.word)
+        out = list(map(self.word.__getitem__, words))
+        if len(self.word) > KEPT_WORDS and before:
+            self.clear()
+            return self.numbers(words)
+        if len(self.word) > before:
+            self.add(list(islice(self.word, before, None)))
         return np.array(out, np.int64)
 
     def walk(self, edge_at: np.ndarray, state: np.ndarray, at: np.ndarray, stop: np.ndarray,
@@ -269,9 +290,9 @@ class Batch:
         lat = self.lat
         at = np.flatnonzero(edge_at >= 0)
         edge = edge_at[at]
-        doc = np.searchsorted(self.cuts, at, "right") - 1
-        run = np.concatenate([[0.0], np.cumsum(lat.log_p[edge])])
         cut = np.searchsorted(at, self.cuts)
+        doc = np.repeat(np.arange(self.n), np.diff(cut))
+        run = np.concatenate([[0.0], np.cumsum(lat.log_p[edge], dtype=float)])
         before = run[:-1] - run[cut[doc]]
         u = uniform(self.seeds(sample, 1)[doc], at - self.cuts[doc])
         value = truncated_gumbel(before + lat.log_rest[edge], bound[doc], u)
@@ -368,7 +389,14 @@ class Batch:
 
 
 def sample_texts(lattices: Lattices, texts: list[str | None], keys: np.ndarray, k: int) -> list[list[dict]]:
-    """For each text its samples, best first: ids, log_prob, perturbed, log_inclusion."""
+    """For each text its samples, best first: ids, log_prob, perturbed, log_inclusion.  Texts are taken in
+    runs of about RUN_SIGNS signs, which bounds the arrays."""
+    size = np.cumsum([len(t or "") for t in texts]) // RUN_SIGNS
+    cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), len(texts)]
+    return [x for a, b in zip(cuts, cuts[1:]) if a < b for x in _sample_run(lattices, texts[a:b], keys[a:b], k)]
+
+
+def _sample_run(lattices: Lattices, texts: list[str | None], keys: np.ndarray, k: int) -> list[list[dict]]:
     b = Batch(lattices, texts, keys)
     b.first()
     while len(b.paths) < k and b.next():
@@ -389,8 +417,9 @@ def sample_texts(lattices: Lattices, texts: list[str | None], keys: np.ndarray,
 
 def decode_ids(vocab: Vocabulary, ids) -> str:
     """Text of a segmentation: the pieces' bytes, without the word mark in front."""
-    data = vocab.data
-    return b"".join([data[i] for i in ids]).decode("utf-8", "replace")[1:]
+    if len(ids) < 2:
+        return b"".join(vocab.data[i] for i in ids).decode("utf-8", "replace")[1:]
+    return b"".join(itemgetter(*ids)(vocab.data)).decode("utf-8", "replace")[1:]
 
 
 _KEPT: dict[tuple, Lattices] = {}
