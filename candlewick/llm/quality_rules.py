@@ -125,7 +125,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, seed
     wide = 1 << 20
     if n > sample_rows:
         known = known.filter(F.pmod(F.xxhash64("__id"), F.lit(wide)) < wide * sample_rows // n)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("__id"), "text").join(known, "__id")
+    # The sample's ids are bounded by sample_rows: sent to the texts, which are not shuffled.
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("__id"), "text").join(F.broadcast(known), "__id")
     rows = with_statistics(rows).select("label", "__stats")
     rows, seen = staged_with(rows, "quality-sample", n=F.count(F.lit(1)), pos=F.sum("label"))
     n, pos = seen.get("n") or 0, seen.get("pos") or 0.0
