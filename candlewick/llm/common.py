@@ -48,3 +48,11 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
     text = F.coalesce(F.col(doc_id).cast("string") if isinstance(doc_id, str)
                       else doc_id.cast("string"), F.lit(""))
     return F.pmod(F.crc32(text.cast("binary")), F.lit(5)) == 0
+
+
+class Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number

@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlewick.llm.common import Numbers
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 #: Below 1, flatter than the pieces' own weights: more varied segmentations.
@@ -109,14 +111,6 @@ def truncated_gumbel_of_one(mass: float, bound: float, u: float) -> float:
     return -(max(a, b) + math.log1p(math.exp(-abs(a - b))))
 
 
-class Numbers(dict):
-    """Numbers words in the order in which they are first asked for."""
-
-    def __missing__(self, word: str) -> int:
-        number = self[word] = len(self)
-        return number
-
-
 class Lattices:
     """Lattices of the words met so far, as flat arrays that grow.
 

@@ -12,13 +12,14 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import held_out, staged
+from candlewick.llm.common import Numbers, held_out, staged
 
 #: Bounds of the model: labelled rows in expectation, and the most frequent words and grams of
 #: each language (rarer words are unseen words: their grams speak for them).
@@ -26,7 +27,7 @@ SAMPLE_ROWS = 20_000
 KEPT_WORDS, KEPT_GRAMS = 20_000, 20_000
 LONGEST = 5
 #: Words whose scores a task keeps (results do not depend on it).
-CACHE = 200_000
+CACHE = 400_000
 #: Log frequency of what a language has not shown, below its rarest kept entry.
 UNSEEN_GAP = 1.0
 #: Mean log-odds per word are multiplied by at most this many words' evidence.
@@ -135,39 +136,71 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, kept_words: int = KEPT_
     return Model(langs, tables.pop(0), tables)
 
 
+class Scorer:
+    """The model as index tables, which score many words together; keeps the words met, by number."""
+
+    def __init__(self, model: Model):
+        self.model, self.size = model, len(model.langs)
+        self.tables = {n: self._indexed(t) for n, t in {0: model.words, **model.grams}.items()}
+        self.clear()
+
+    def _indexed(self, table: dict[str, np.ndarray]) -> tuple[dict[str, int], np.ndarray]:
+        return {x: i for i, x in enumerate(table)}, np.array(list(table.values())).reshape(-1, self.size)
+
+    def clear(self) -> None:
+        self.number, self.known = Numbers(), np.zeros((0, self.size))
+
+    def score_words(self, words: list[str]) -> np.ndarray:
+        """:meth:`Model.score_word` of each word, as rows."""
+        out, todo = np.zeros((len(words), self.size)), np.arange(len(words))
+        for n in (0, *range(LONGEST, 0, -1)):
+            table, rows = self.tables[n]
+            get, ids, per = table.get, [], []
+            for i in todo.tolist():
+                own = grams_of(words[i], n) if n else [words[i]]
+                ids += [get(x, -1) for x in own]
+                per.append(len(own))
+            ids, own = np.array(ids, np.int64), np.repeat(np.arange(len(todo)), per)
+            hit = ids >= 0
+            ids, own = ids[hit], own[hit]
+            count = np.bincount(own, minlength=len(todo))
+            done = count > 0
+            for lang in range(self.size):
+                total = np.bincount(own, rows[ids, lang], minlength=len(todo))
+                out[todo[done], lang] = total[done] / count[done]
+            todo = todo[~done]
+            if not todo.size:
+                break
+        return out
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """(languages, scores) of texts."""
+        if len(self.number) > CACHE:
+            self.clear()
+        number, ids, per = self.number.__getitem__, [], []
+        for t in texts:
+            words = words_of(t) if t and self.size else []
+            ids += map(number, words)
+            per.append(len(words))
+        new = list(islice(self.number, len(self.known), None))
+        if new:
+            self.known = np.concatenate([self.known, self.score_words(new)])
+        ids, per = np.array(ids, np.int64), np.array(per)
+        doc = np.repeat(np.arange(len(texts)), per)
+        if not self.size:
+            return [UNDETERMINED] * len(texts), [0.0] * len(texts)
+        mean = np.stack([np.bincount(doc, self.known[ids, i], minlength=len(texts)) for i in range(self.size)], 1)
+        mean = mean / np.maximum(per, 1)[:, None]
+        odds = np.exp((mean - mean.max(1, keepdims=True)) * np.minimum(per, EVIDENCE)[:, None])
+        best = mean.argmax(1)
+        score = np.where(per > 0, odds[np.arange(len(texts)), best] / odds.sum(1), 0.0)
+        return [self.model.langs[i] if n else UNDETERMINED for i, n in zip(best.tolist(), per.tolist())], score.tolist()
+
+
 def _predict_batches(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
-    model = sent.value
-    room = np.zeros((CACHE, max(1, len(model.langs))))
-    number: dict[str, int] = {}
+    scorer = Scorer(sent.value)
     for b in batches:
-        lang, score = [], []
-        for t in b.column(b.num_columns - 1).to_pylist():
-            words = words_of(t) if t else []
-            if not words or not model.langs:
-                lang.append(UNDETERMINED)
-                score.append(0.0)
-                continue
-            total = np.zeros(len(model.langs))
-            for at in range(0, len(words), CACHE // 2):
-                part = words[at:at + CACHE // 2]
-                if len(number) > CACHE // 2:
-                    number.clear()
-                get = number.get
-                ids = [get(w, -1) for w in part]
-                if -1 in ids:
-                    for j, i in enumerate(ids):
-                        if i < 0:
-                            w = part[j]
-                            if w not in number:
-                                number[w] = len(number)
-                                room[number[w]] = model.score_word(w)
-                            ids[j] = number[w]
-                total += room[ids].sum(axis=0)
-            mean = total / len(words)
-            odds = np.exp((mean - mean.max()) * min(len(words), EVIDENCE))
-            best = int(np.argmax(mean))
-            lang.append(model.langs[best])
-            score.append(float(odds[best] / odds.sum()))
+        lang, score = scorer.predict(b.column(b.num_columns - 1).to_pylist())
         yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                                          names=[*b.schema.names[:-1], "lang_pred", "score"])
 
