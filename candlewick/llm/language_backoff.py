@@ -145,7 +145,7 @@ class Scorer:
         self.clear()
 
     def _indexed(self, table: dict[str, np.ndarray]) -> tuple[dict[str, int], np.ndarray]:
-        return {x: i for i, x in enumerate(table)}, np.array(list(table.values())).reshape(-1, self.size)
+        return {x: i for i, x in enumerate(table)}, np.array(list(table.values())).reshape(len(table), self.size)
 
     def clear(self) -> None:
         self.number, self.known = Numbers(), np.zeros((0, self.size))
