@@ -48,6 +48,18 @@ def test_held_out_accuracy_and_sparse_rules(fitted):
     assert len(rows) > 50 and right / len(rows) >= 0.95
 
 
+def test_lasso_is_at_its_optimum():
+    import numpy as np
+    rng = np.random.default_rng(1)
+    x, n = rng.integers(0, 2, (80, 12)).astype(float), rng.integers(1, 9, 80).astype(float)
+    y = (x[:, 0] + x[:, 1] * x[:, 2] + rng.random(80) > 1.2).astype(float)
+    w, b = Q.lasso(x, y, n, 0.01)
+    gap = (n / n.sum()) * (1 / (1 + np.exp(-(x @ w + b))) - y)
+    grad = x.T @ gap
+    assert abs(gap.sum()) < 1e-5 and 0 < (w != 0).sum() < 12
+    assert np.allclose(grad[w != 0], -0.01 * np.sign(w[w != 0]), atol=1e-5) and (abs(grad[w == 0]) <= 0.01 + 1e-5).all()
+
+
 def test_compiled_score_is_the_rules_sum(spark, fitted):
     docs, _, model = fitted
     import math
