@@ -35,6 +35,9 @@ DIGITS = "0123456789"
 STATS = ["chars", "words", "mean_word", "symbol_share", "upper_share", "digit_share",
          "stop_share", "comma_share", "distinct_words", "distinct_lines", "repeated_words"]
 
+STAT = "__s_"
+STAT_COLUMNS = [STAT + s for s in STATS]
+
 #: (statistic, greater than?, threshold), all of which must hold.
 Rule = tuple[tuple[str, bool, float], ...]
 
@@ -43,8 +46,12 @@ def _share(text: Column, chars: str, n: Column) -> Column:
     return (F.length(text) - F.length(F.translate(text, chars, ""))) / n
 
 
-def with_statistics(docs: DataFrame, text_col: str = "text", out: str = "__stats") -> DataFrame:
-    """Adds struct ``out`` of doubles, STATS, of the whole text (null: empty)."""
+def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Adds a double column ``__s_NAME`` for each of STATS, of the whole text (null: empty).
+
+    They are columns and not a struct: Spark inlines a struct's fields wherever they are read, and every
+    rule would compute its statistics anew.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     df = docs.withColumn("__text", text)
     t = F.col("__text")
@@ -61,7 +68,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text", out: str = "__stats
         "repeated_words": F.size(F.filter("__words", lambda w, i: (i > 0) & (
             w == F.get(F.col("__words"), i - 1)))) / words,
     }
-    df = df.withColumn(out, F.struct(*[stats[s].cast("double").alias(s) for s in STATS]))
+    df = df.withColumns({STAT + s: stats[s].cast("double") for s in STATS})
     return df.drop("__text", "__words", "__lines")
 
 
@@ -89,10 +96,10 @@ def simplified(path: Rule) -> Rule:
     return tuple((n, a, v) for (n, a), v in sorted(best.items()))
 
 
-def rule_column(rule: Rule, stats: str = "__stats") -> Column:
+def rule_column(rule: Rule) -> Column:
     out = None
     for name, above, at in rule:
-        x = F.col(f"{stats}.{name}")
+        x = F.col(STAT + name)
         part = x > F.lit(at) if above else x <= F.lit(at)
         out = part if out is None else out & part
     return out
@@ -105,10 +112,10 @@ class RuleModel:
     rules: tuple[tuple[Rule, float], ...]
     intercept: float
 
-    def score(self, stats: str = "__stats") -> Column:
+    def score(self) -> Column:
         total = F.lit(self.intercept)
         for rule, weight in self.rules:
-            total = total + F.when(rule_column(rule, stats), F.lit(weight)).otherwise(F.lit(0.0))
+            total = total + F.when(rule_column(rule), F.lit(weight)).otherwise(F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
@@ -129,12 +136,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, seed
         known = known.filter(F.pmod(F.xxhash64("__id"), F.lit(wide)) < wide * sample_rows // n)
     # The sample's ids are bounded by sample_rows: sent to the texts, which are not shuffled.
     rows = docs.select(F.col("doc_id").cast("bigint").alias("__id"), "text").join(F.broadcast(known), "__id")
-    rows = with_statistics(rows).select("label", "__stats")
+    rows = with_statistics(rows).select("label", *STAT_COLUMNS)
     rows, seen = staged_with(rows, "quality-sample", n=F.count(F.lit(1)), pos=F.sum("label"))
     n, pos = seen.get("n") or 0, seen.get("pos") or 0.0
     if not n or pos in (0, n):
         return RuleModel((), 0.0 if not n else (20.0 if pos else -20.0))
-    vec = rows.select("label", array_to_vector(F.array(*[f"__stats.{s}" for s in STATS])).alias("x")).coalesce(FIT_TASKS)
+    vec = rows.select("label", array_to_vector(F.array(*STAT_COLUMNS)).alias("x")).coalesce(FIT_TASKS)
     forest = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=TREES, maxDepth=DEPTH,
                                     maxBins=128, featureSubsetStrategy="0.5", subsamplingRate=0.7,
                                     seed=seed).fit(vec)
@@ -172,11 +179,15 @@ def classify(docs: DataFrame, model: RuleModel, threshold: float = THRESHOLD) ->
     """``docs`` with ``score`` (0 to 1, higher: better text) and ``predicted`` (1 if at least the
     threshold).  Null and empty texts are scored by their statistics; rows, order of columns and
     other columns stay (columns named score or predicted are replaced)."""
-    return (with_statistics(docs).withColumn("score", model.score()).drop("__stats")
+    return (with_statistics(docs).withColumn("score", model.score()).drop(*STAT_COLUMNS)
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
 
 
 def keep_good(docs: DataFrame, model: RuleModel, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that the model does not reject, unchanged."""
-    stats = with_statistics(docs)
-    return stats.filter(model.score() >= threshold).drop("__stats")
+    """The rows of ``docs`` that the model does not reject, unchanged.
+
+    The decision passes through an outer ``explode``: a plain filter would be pushed below the
+    statistics, and every rule would compute its statistics anew.
+    """
+    kept = F.explode_outer(F.array(model.score() >= threshold))
+    return with_statistics(docs).withColumn("__kept", kept).filter("__kept").drop(*STAT_COLUMNS, "__kept")

@@ -25,7 +25,7 @@ def test_statistics_match_brute_force(spark):
     texts = ["A b, b B!! c.\n\nA b", "", None, "  x\ty ", "%%% $$$", "one\none\none", "é É 1"]
     df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "doc_id int, text string, score string")
     for r in Q.with_statistics(df).collect():
-        assert list(r["__stats"]) == pytest.approx(slow_statistics(r.text)), r.text
+        assert [r[c] for c in Q.STAT_COLUMNS] == pytest.approx(slow_statistics(r.text)), r.text
 
 
 def test_held_out_is_crc32_of_the_id(spark):
@@ -64,7 +64,7 @@ def test_compiled_score_is_the_rules_sum(spark, fitted):
     docs, _, model = fitted
     import math
     for r in Q.with_statistics(docs).withColumn("s", model.score()).limit(80).collect():
-        stat = r["__stats"].asDict()
+        stat = {n: r[Q.STAT + n] for n in Q.STATS}
         z = model.intercept + sum(w for rule, w in model.rules
                                   if all((stat[n] > v) if a else (stat[n] <= v) for n, a, v in rule))
         assert r.s == pytest.approx(1 / (1 + math.exp(-z)))
