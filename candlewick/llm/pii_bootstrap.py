@@ -4,15 +4,17 @@ The base kinds (email, ip, card, phone) are found in one Arrow pass over whole t
 a bootstrap in the manner of pattern-based extraction:
 
 * a *pattern* is the pair of lexical units (words or single signs) right before an instance;
-* an *instance* is a base match, or an identifier-like string (6 to 64 signs, 3 digits or more);
+* an *instance* is a base match, or an identifier-like string (6 signs, 3 digits or more);
 * Spark scores the bipartite graph in rounds: a pattern's confidence is the score of what fills its
   slot over all its occurrences in the corpus (ordinary words count as misses), an instance's
-  score is the noisy-or of its confident patterns; seeds stay at 1;
+  score is the noisy-or of its confident patterns; seeds stay at 1.  Scores only rise, and the
+  rounds end when none does any more;
 * an instance that reaches MIN_SCORE is an identifier (kind ``id``) wherever it occurs.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterable, Iterator
 
@@ -25,7 +27,12 @@ from candlewick.llm.common import staged, staged_with
 
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "id"
-MIN_SUPPORT, MIN_CONFIDENCE, MIN_SCORE, ROUNDS = 3, 0.6, 0.6, 4
+MIN_SUPPORT, MIN_CONFIDENCE, MIN_SCORE = 3, 0.6, 0.6
+#: Scores that rise by no more than this have stopped; rounds after which it is an error if they have not
+#: (a chain of contexts takes a round per hop).
+STILL, MAX_ROUNDS = 1e-9, 1000
+#: Instances longer than this are known by their hash.
+NAME_SIGNS = 64
 #: Patterns counted in one pass over the corpus (collected and broadcast together).
 BLOCK_PATTERNS = 200_000
 
@@ -90,7 +97,7 @@ def pattern_before(t: str, start: int) -> str:
 
 
 def identifier_like(t: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    """Strings of letters, digits and joining signs with 3 digits or more, 6 to 64 long, cut at
+    """Strings of letters, digits and joining signs with 3 digits or more, 6 signs or longer, cut at
     spans that are taken already."""
     end, taken = 0, sorted(taken)
     busy = 0
@@ -111,10 +118,17 @@ def identifier_like(t: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int,
             a += 1
         while b > a and not t[b - 1].isalnum():
             b -= 1
-        if 6 <= b - a <= 64 and sum(c in "0123456789" for c in t[a:b]) >= 3:
+        if 6 <= b - a and sum(c in "0123456789" for c in t[a:b]) >= 3:
             yield a, b
 
 
+def name_of(instance: str) -> str:
+    """The instance itself, or, of a long one, a name of bounded length that no short one has."""
+    if len(instance) <= NAME_SIGNS:
+        return instance
+    return "sha256:" + hashlib.sha256(instance.encode("utf-8", "surrogatepass")).hexdigest()
+
+
 def scan_text(t: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
     base = base_spans(t)
     return base, list(identifier_like(t, [(a, b) for _, a, b in base]))
@@ -132,7 +146,7 @@ def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             n.append([sum(k == i for k, _, _ in found) for i in range(len(KINDS))])
             base.append([f"{KINDS[k]}:{x}:{y}" for k, x, y in found])
             seeds.append([{"instance": t[x:y], "pattern": pattern_before(t, x)} for _, x, y in found])
-            others.append([{"start": x, "stop": y, "instance": t[x:y], "pattern": pattern_before(t, x)}
+            others.append([{"start": x, "stop": y, "instance": name_of(t[x:y]), "pattern": pattern_before(t, x)}
                            for x, y in like])
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip((b.column(0).to_pylist(), b.column(1).to_pylist(), n, base, seeds, others),
@@ -199,8 +213,9 @@ def pattern_totals(docs: DataFrame, patterns: DataFrame, block: int = BLOCK_PATT
 
 def discovered(docs: DataFrame, scanned: DataFrame, min_support: int = MIN_SUPPORT,
                min_confidence: float = MIN_CONFIDENCE, min_score: float = MIN_SCORE,
-               rounds: int = ROUNDS) -> DataFrame:
-    """``(instance, score)``: identifier-like strings that patterns of the seeds vouch for."""
+               max_rounds: int = MAX_ROUNDS) -> DataFrame:
+    """``(instance, score)``: identifier-like strings that patterns of the seeds vouch for.  Raises if
+    scores still rise after ``max_rounds``."""
     spark = docs.sparkSession
     slot = (scanned.select(F.explode("seeds").alias("e")).select("e.pattern", "e.instance", F.lit(True).alias("seed"))
             .unionByName(scanned.select(F.explode("others").alias("e"))
@@ -217,24 +232,24 @@ def discovered(docs: DataFrame, scanned: DataFrame, min_support: int = MIN_SUPPO
     total = pattern_totals(docs, wide)
     edges = staged(edges.join(wide.select("pattern"), "pattern")
                    .join(total, "pattern", "left"), "pii-edges")
-    score = edges.groupBy("instance").agg(F.max("seed").cast("double").alias("score"))
-    last = None
-    for _ in range(rounds):
-        scored = edges.join(score, "instance")
+    own = F.max("seed").cast("double")
+    score = edges.groupBy("instance").agg(own.alias("own"), own.alias("score"))
+    for _ in range(max_rounds):
+        scored = edges.join(score.select("instance", "score"), "instance")
         trust = (scored.groupBy("pattern").agg(
             (F.sum(F.col("n") * F.col("score")) / F.greatest(F.max("total"), F.sum("n"))).alias("confidence"),
             F.sum((F.col("score") >= min_score).cast("int")).alias("support"))
             .filter((F.col("support") >= min_support) & (F.col("confidence") >= min_confidence)))
         heard = (edges.join(trust, "pattern").groupBy("instance").agg(
             (1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.999)))))).alias("heard")))
-        score = edges.groupBy("instance").agg(F.max("seed").cast("double").alias("own")).join(heard, "instance", "left")
-        score, seen = staged_with(score.select("instance", "own", F.greatest("own", F.coalesce("heard", F.lit(0.0)))
-                                               .alias("score")), "pii-round",
-                                  n=F.sum((F.col("score") >= min_score).cast("int")))
-        if seen.get("n") == last:
+        new = (score.withColumnRenamed("score", "was").join(heard, "instance", "left")
+               .select("instance", "own", "was", F.greatest("own", F.coalesce("heard", F.lit(0.0))).alias("score")))
+        score, seen = staged_with(new, "pii-round", rise=F.max(F.col("score") - F.col("was")))
+        if (seen.get("rise") or 0.0) <= STILL:
             break
-        last = seen.get("n")
         score = score.select("instance", "own", "score")
+    else:
+        raise RuntimeError(f"scores still rise after {max_rounds} rounds")
     return score.filter((F.col("own") < 1) & (F.col("score") >= min_score)).select("instance", "score")
 
 
@@ -271,7 +286,7 @@ def _redact(t: str | None, known: set[str]) -> str | None:
         return None
     base, like = scan_text(t)
     spans = [(KINDS[k], a, b) for k, a, b in base]
-    spans += [(FOUND, a, b) for a, b in like if t[a:b] in known]
+    spans += [(FOUND, a, b) for a, b in like if name_of(t[a:b]) in known]
     return redacted(t, spans) if spans else t
 
 

@@ -96,3 +96,40 @@ def test_no_seeds_no_rows(spark):
 
 def test_overlapping_spans_are_one_replacement():
     assert P.redacted("abcdefgh", [("ip", 1, 4), ("card", 3, 6), ("id", 7, 8)]) == "a[IP]g[ID]"
+
+
+def bootstrapped(spark, rows):
+    prepare(spark)
+    df = spark.createDataFrame([(i, t, "x", len(t)) for i, t in enumerate(rows)], SCHEMA).repartition(3)
+    found = {rows[r.doc_id][int(s.split(":")[1]):int(s.split(":")[2])]
+             for r in P.personal_data(df).collect() for s in r.spans if s.startswith("id:")}
+    return df, found
+
+
+def test_rounds_go_on_while_scores_rise(spark):
+    """Slot A: 65 % seeds, 35 % x.  Slot B: 75 % x, 25 % y, so B is trusted only once x is past 0.8."""
+    xs = [f"MB-{n}-77X" for n in range(4400, 4407)]
+    rows = [f"hello contact ref: user{i}@mail.example.org bye" for i in range(13)]
+    rows += [f"hello contact ref: {x} bye" for x in xs]
+    rows += [f"the member card, {x} was seen" for x in xs[:6]] + [f"the member card, QQ-{n}-55Y was seen" for n in (8811, 8822)]
+    assert bootstrapped(spark, rows)[1] == {*xs, "QQ-8811-55Y", "QQ-8822-55Y"}
+
+
+def test_long_chains_of_contexts_are_followed_and_bounded(spark):
+    rows, names = [], []
+    for k in range(7):  # slot k: the three names of hop k twice, once the three of hop k + 1
+        own = [f"user{i}@mail.example.org" for i in range(3)] if not k else names[-1]
+        names.append([f"H{k}-{n}-77X" for n in (4400, 4401, 4402)])
+        rows += [f"about slot{'abcdefg'[k]} : {x} end" for x in own * 6 + names[-1]]
+    df, found = bootstrapped(spark, rows)
+    assert found == {x for own in names for x in own}
+    with pytest.raises(RuntimeError):
+        P.personal_data(df, max_rounds=4)
+
+
+def test_long_identifiers_are_found_and_redacted(spark):
+    long = [f"tok-{n}-" + "a1b2" * 40 for n in (4411, 5522)]
+    rows = corpus()[:24] + [f"hello contact ref: {x} end" for x in long] + ["elsewhere " + long[0]]
+    df, found = bootstrapped(spark, rows)
+    assert found == set(long)
+    assert [r.text for r in P.redact(df).orderBy("doc_id").collect()][-3:] == ["hello contact ref: [ID] end"] * 2 + ["elsewhere [ID]"]
