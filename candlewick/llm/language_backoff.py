@@ -34,6 +34,8 @@ UNSEEN_GAP = 1.0
 EVIDENCE = 20.0
 
 LETTERS = re.compile(r"[^\W\d_]+")
+#: The same signs for the engine's own expressions.
+LETTER = r"[\p{L}\p{N}&&[^\p{Nd}]]"
 UNDETERMINED = "und"
 
 
@@ -67,7 +69,8 @@ class Model:
 
 
 def _table(rows, langs: tuple[str, ...]) -> dict[str, np.ndarray]:
-    """{entry: log frequency by language}; absent: below the language's rarest entry."""
+    """{entry: log frequency by language}; absent: below the language's rarest entry, or, of a
+    language without entries, below every other language's."""
     total, least, counts = np.zeros(len(langs)), np.full(len(langs), np.inf), {}
     number = {x: i for i, x in enumerate(langs)}
     for r in rows:
@@ -75,7 +78,10 @@ def _table(rows, langs: tuple[str, ...]) -> dict[str, np.ndarray]:
         counts.setdefault(r.entry, {})[i] = r.n
         total[i] += r.n
         least[i] = min(least[i], r.n)
-    floor = np.log(np.where(np.isfinite(least), least, 1) / np.maximum(total, 1)) - UNSEEN_GAP
+    some = total > 0
+    floor = np.log(np.where(some, least, 1) / np.maximum(total, 1)) - UNSEEN_GAP
+    if not some.all():  # a language without entries of this length is below all others
+        floor[~some] = floor[some].min(initial=0.0) - UNSEEN_GAP
     out = {}
     for entry, by in counts.items():
         v = floor.copy()
@@ -107,24 +113,24 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, kept_words: int = KEPT_
         kept_grams: int = KEPT_GRAMS) -> Model:
     """Model from texts and non-null languages of documents that are not held out.
 
-    About ``sample_rows`` rows are used, the same number in expectation from each language (those with
-    the smallest hash of doc_id), and of each language's words and grams the most frequent (ties by
-    the entry itself).  Without any usable row, the model knows no language.
+    Only texts with a letter count.  About ``sample_rows`` of them are used, the same number in expectation from each
+    language (those with the smallest hash of doc_id and text), and of each language's words and grams the most
+    frequent (ties by the entry itself).  A language has no part in the model if none of its texts has a letter.
+    Without any usable row, the model knows no language.
     """
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id"))
-    sizes = {r.lang: r.n for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    langs = tuple(sorted(sizes))
-    if not langs:
-        return Model((), {}, {n: {} for n in range(1, LONGEST + 1)})
-    wide, share = 1 << 20, sample_rows / len(langs)
-    limit = F.lit(wide)
-    for lang, n in sizes.items():
-        if n > share:
-            limit = F.when(F.col("lang") == lang, int(wide * share / n)).otherwise(limit)
-    rows = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(wide)) < limit).select("lang", F.col("text").cast("string"))
+    known = (docs.filter(F.col("lang").isNotNull() & ~held_out("doc_id") & F.col("text").cast("string").rlike(LETTER))
+             .select("lang", F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("h")))
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("least")).collect()
+    share, limit = sample_rows / max(len(sizes), 1), F.lit((1 << 63) - 1)
+    for r in sizes:
+        if r.n > share:  # a part of the hash's range, with the smallest hash in it at any size
+            limit = F.when(F.col("lang") == r.lang,
+                           F.lit(max(r.least, int((1 << 64) * share / r.n) - (1 << 63)))).otherwise(limit)
+    rows = known.filter(F.col("h") <= limit).select("lang", "text")
     counts = (rows.mapInArrow(_count_batches, "kind int, lang string, entry string, n bigint")
               .groupBy("kind", "lang", "entry").agg(F.sum("n").alias("n")))
     counts = staged(counts, "language-counts")
+    langs = tuple(sorted(r.lang for r in counts.filter("kind = 0").select("lang").distinct().collect()))
     tables = {}
     for kind in range(LONGEST + 1):
         kept = kept_grams if kind else kept_words

@@ -68,3 +68,37 @@ def test_defined_cases(spark, fitted):
     assert all(0 <= r.score <= 1 for r in got) and L.predict(df.limit(0), m).collect() == []
     none = L.fit(df.selectExpr("doc_id", "text", "CAST(NULL AS string) AS lang"))
     assert {r.lang_pred for r in L.predict(df, none).collect()} == {"und"}
+
+
+DOCS = "doc_id bigint, text string, lang string"
+
+
+def test_every_language_is_sampled_at_any_size(spark):
+    """A share far below one row in 2**20, as of a language of 1e9 documents."""
+    prepare(spark)
+    rows = [(i, "the cat sat on the mat", "en") for i in range(200)] + [(i, "le chat est sur la table", "fr") for i in range(200)]
+    m = L.fit(spark.createDataFrame(rows, DOCS), sample_rows=1e-4)
+    assert m.langs == ("en", "fr") and {"cat", "chat"} <= set(m.words)
+
+
+def test_a_language_without_letters_wins_nothing(spark):
+    prepare(spark)
+    rows = [(i, "the cat sat on the mat", "en") for i in range(20)] + [(i, "le chat est sur la table", "fr") for i in range(20)]
+    rows += [(i, t, "zz") for i, t in enumerate(["123 456", "", "... !", "_ 7"] * 5)]
+    docs = spark.createDataFrame(rows, DOCS)
+    m = L.fit(docs)
+    assert m.langs == ("en", "fr")
+    texts = spark.createDataFrame([(1, "the mat", "x"), (2, "la table", "x"), (3, "unknown", "x")], DOCS)
+    assert [r.lang_pred for r in L.predict(texts, m).orderBy("doc_id").collect()][:2] == ["en", "fr"]
+    assert all(r.lang_pred != "zz" for r in L.predict(docs, m).collect())
+    alone = spark.createDataFrame([r for r in rows if r[2] == "zz"], DOCS)
+    assert L.fit(alone).langs == ()
+
+
+def test_a_language_without_long_grams_is_below_all_others(spark):
+    prepare(spark)
+    rows = [(i, "elephants wander everywhere", "en") for i in range(20)] + [(i, "a b c d", "xx") for i in range(20)]
+    m = L.fit(spark.createDataFrame(rows, DOCS))
+    for table in m.grams[5], m.grams[4]:
+        assert table and all(v[1] < v[0] for v in table.values())
+    assert L.Scorer(m).predict(["elephantine wanderers"])[0] == ["en"]
