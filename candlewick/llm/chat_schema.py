@@ -21,6 +21,13 @@ TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 #: Own markers all begin with the first; the others are control strings of common chat templates.
 CONTROL = ("<|", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 TURNS = "array<struct<role:string,text:string>>"
+#: The parser's own limit is 20,000,000 signs a string; a turn may be longer.
+ANY_LENGTH = {"maxStringLen": str((1 << 31) - 1)}
+#: A JSON string; what comes before the next string value (keys included), and that value; equal objects of
+#: empty strings in a row.  Possessive, so that no length needs a deep stack or a second try.
+STRING = r'"(?:[^"\\\x00-\x1f]++|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*+"'
+VALUE = rf'\G((?:[^"]++|{STRING}\s*+:)*+){STRING}'
+REPEATS = r'(\{(?:"[^"{}\\]*+":"",?)++\})(?:,\1)++'
 
 
 @dataclass(frozen=True)
@@ -49,7 +56,7 @@ class Mapping:
     def turns(self, record: Column) -> Column:
         if self.list_field:
             kind = f"`{self.list_field}` array<struct<`{self.role_field}`:string,`{self.text_field}`:string>>"
-            items = F.from_json(record, kind)[self.list_field]
+            items = F.from_json(record, kind, ANY_LENGTH)[self.list_field]
 
             def role(x: Column) -> Column:
                 out = x[self.role_field]
@@ -60,7 +67,7 @@ class Mapping:
             return F.transform(items, lambda x: F.struct(role(x).alias("role"), F.coalesce(
                 x[self.text_field], F.lit("")).alias("text")))
         kind = ", ".join(f"`{f}` string" for _, f in self.fields)
-        obj = F.from_json(record, kind)
+        obj = F.from_json(record, kind, ANY_LENGTH)
         return F.array(*[F.struct(F.lit(r).alias("role"), F.coalesce(obj[f], F.lit("")).alias("text"))
                          for r, f in self.fields])
 
@@ -76,9 +83,19 @@ MAPPINGS = (
 BY_NAME = {m.name: m for m in MAPPINGS}
 
 
+def emptied(record: Column) -> Column:
+    """The record with empty string values, and one of equal neighbours: as small as its fields, and valid
+    JSON if and only if the record is."""
+    return F.regexp_replace(F.regexp_replace(record, VALUE, '$1""'), REPEATS, "$1")
+
+
 def structure(record: Column) -> Column:
-    """Nested field paths of a JSON record (null for invalid JSON)."""
-    schema = F.schema_of_variant(F.try_parse_json(record))
+    """Nested field paths of a JSON record (null for invalid JSON).
+
+    The values are left out before parsing, since a string or record beyond the parser's limits (20,000,000
+    signs, 128 MiB) would count as invalid.
+    """
+    schema = F.schema_of_variant(F.try_parse_json(emptied(record)))
     return F.regexp_replace(schema, r": (?:STRING|BIGINT|DOUBLE|BOOLEAN|VOID|DECIMAL\(\d+,\s*\d+\))(?=[,>])", "")
 
 
@@ -174,8 +191,14 @@ def records_of(rows: DataFrame) -> DataFrame:
 
 
 def conversations_digest(rows: DataFrame) -> DataFrame:
-    """Format all conversations and sum up what the output says when it is read back."""
-    out = formatted(canonical_turns(records_of(rows)))
+    """Format all conversations and sum up what the output says when it is read back.
+
+    A conversation whose own record cannot be read fails the query.
+    """
+    out = canonical_turns(records_of(rows))
+    lost = F.raise_error(F.concat(F.lit("unreadable record of conversation "),
+                                  F.coalesce(F.col("conv_id").cast("string"), F.lit("null")))).cast(TURNS)
+    out = formatted(out.withColumn("turns", F.coalesce("turns", lost)))
     back = read_back(out.select("conv_id", "formatted", "loss_spans"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(

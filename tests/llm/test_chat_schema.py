@@ -79,3 +79,32 @@ def test_every_layout_is_met_and_plans_are_native(spark):
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
     assert C.conversations_digest(df.limit(0)).collect() == []
     assert C.formatted(out).filter(F.length("formatted") == 0).count() == 0
+
+
+def test_turns_beyond_the_parsers_string_limit(spark):
+    """One turn of over 20,000,000 signs, in a layout with a list and in one with fields."""
+    prepare(spark)
+    n = 20_000_010
+    long = spark.range(2).select(F.col("id").alias("c"), F.repeat(F.lit("a\\b"), n // 3).alias("t"))
+    list_ = F.to_json(F.struct(F.array(F.struct(F.lit("user").alias("role"), F.col("t").alias("content"))).alias("messages")))
+    pair = F.to_json(F.struct(F.col("t").alias("prompt"), F.lit("yes").alias("completion")))
+    got = C.canonical_turns(long.select("c", F.when(F.col("c") == 0, list_).otherwise(pair).alias("record")))
+    got = got.select("c", "layout", F.size("turns").alias("n"), F.length(F.col("turns")[0]["text"]).alias("chars")).collect()
+    assert sorted(map(tuple, got)) == [(0, "messages", 1, n), (1, "prompt_completion", 2, n)]
+
+
+def test_field_paths_do_not_need_the_values(spark):
+    prepare(spark)
+    turns = [{"role": "user", "content": 'a": "b\\ {"'}, {"role": "x", "content": ""}] * 3
+    cases = [json.dumps({"messages": turns}), json.dumps({"messages": turns}, separators=(",", ":")),
+             '{ "prompt" : "q\\"" , "completion" : null }', '{"a{":[{"k":""},{"k":""},{"k":1}],"{\\"b\\":\\"\\"}":"x"}', '["a","b"]', '"a"', "7",
+             '{"prompt":"a\nb","completion":"c"}', '{"prompt":"\\x","completion":"c"}', '{"prompt":"a" "b"}', '{"prompt":"a', "[1,2,"]
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, record string")
+    plain = F.regexp_replace(F.schema_of_variant(F.try_parse_json("record")),
+                             r": (?:STRING|BIGINT|DOUBLE|BOOLEAN|VOID|DECIMAL\(\d+,\s*\d+\))(?=[,>])", "")
+    rows = df.select("i", plain.alias("want"), C.structure(F.col("record")).alias("got")).collect()
+    assert all(r.got == r.want for r in rows), rows
+    assert sum(r.got is None for r in rows) == 5
+    small = spark.range(1).select(C.emptied(F.to_json(F.struct(F.array_repeat(F.struct(
+        F.lit("user").alias("role"), F.lit("x\"y").alias("content")), 300_000).alias("messages")))).alias("x")).first().x
+    assert small == '{"messages":[{"role":"","content":""}]}'
