@@ -50,6 +50,12 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(5)) == 0
 
 
+def smallest_hashes(h: Column, rows: int, n: int) -> Column:
+    """True for about ``rows`` of ``n`` values of the 64-bit hash ``h``: the smallest part of its range, which no
+    size of a table rounds to nothing."""
+    return h <= F.lit((1 << 64) * min(rows, n) // n - (1 << 63) - 1)
+
+
 class Numbers(dict):
     """Numbers words in the order in which they are first asked for."""
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pages (in expectation) whose texts fill the training layouts, and texts kept of each.
+#: Pages (distinct) whose texts fill the training layouts, and texts kept of each.
 SAMPLE_PAGES, TEXTS_PER_PAGE = 200, 12
 TRAINING_PAGES = 500
 EPOCHS, RATE, DECAY = 150, 0.15, 1e-4
@@ -330,15 +330,28 @@ def training_page(rng: random.Random, texts: list[str]) -> tuple[str, list[int]]
     return f"<html><head><title>t</title></head><body>{head}{body}{tail}</body></html>", labels
 
 
+def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, first texts) of the batches' distinct pages."""
+    seen: set[int] = set()
+    for b in batches:
+        new = {h: t for h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if h not in seen}
+        seen.update(new)
+        texts = [[x.text[:2000] for x in blocks_of(t)[:TEXTS_PER_PAGE]] for t in new.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(new, pa.int64()), pa.array(texts, pa.list_(pa.string()))],
+                                         names=["h", "texts"])
+
+
 def sample_texts(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> list[str]:
-    """Texts of leaf blocks of about ``sample_pages`` pages, those with the smallest hash of page_id."""
-    n, wide = pages.count(), 1 << 20
-    rows = pages.select("page_id", F.col("html").cast("string").alias("html"))
-    if n > sample_pages:
-        rows = rows.filter(F.pmod(F.xxhash64("page_id"), F.lit(wide)) < wide * sample_pages // n)
-    out: list[str] = []
-    for r in rows.orderBy("page_id", "html").collect():
-        out += [b.text[:2000] for b in blocks_of(r.html)[:TEXTS_PER_PAGE]]
+    """Texts of leaf blocks of the ``sample_pages`` distinct pages with the smallest hash of page_id and html (not empty).
+
+    Repeated rows are one page; the blocks are cut on the executors, and only their texts, bounded in number
+    and length, reach the driver.
+    """
+    h = F.xxhash64("page_id", "html")
+    rows = pages.select("page_id", F.col("html").cast("string").alias("html")).filter("html <> ''").select(h.alias("h"), "html")
+    least = rows.select("h").distinct().orderBy("h").limit(sample_pages)
+    kept = rows.join(F.broadcast(least), "h").mapInArrow(_cut_batches, "h bigint, texts array<string>")
+    out = [t for r in kept.groupBy("h").agg(F.min("texts").alias("texts")).orderBy("h").collect() for t in r.texts]
     return out or ["a line of text that says nothing."]
 
 

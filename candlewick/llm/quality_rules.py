@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import held_out, staged_with
+from candlewick.llm.common import held_out, smallest_hashes, staged_with
 
 THRESHOLD = 0.3
 #: Labelled rows the model is fitted on (chosen by a hash of doc_id), in expectation.
@@ -131,9 +131,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, seed
              .select(F.col("doc_id").cast("bigint").alias("__id"), F.col("quality").cast("double").alias("label"))
              .distinct())
     n = known.count()
-    wide = 1 << 20
     if n > sample_rows:
-        known = known.filter(F.pmod(F.xxhash64("__id"), F.lit(wide)) < wide * sample_rows // n)
+        known = known.filter(smallest_hashes(F.xxhash64("__id"), sample_rows, n))
     # The sample's ids are bounded by sample_rows: sent to the texts, which are not shuffled.
     rows = docs.select(F.col("doc_id").cast("bigint").alias("__id"), "text").join(F.broadcast(known), "__id")
     rows = with_statistics(rows).select("label", *STAT_COLUMNS)

@@ -100,3 +100,15 @@ def test_defined_cases(spark, model):
     assert sorted(r.n_chars for r in got.collect()) == [0, 0, 0, 21 * 20_000 - 1]
     assert H.main_text(df.limit(0), model).collect() == []
     assert H.fit(df.limit(0)).weight
+
+
+def test_the_sample_is_bounded_and_never_empty(spark):
+    """Ids that say nothing: all rows of one id, or of none, and one page repeated."""
+    prepare(spark)
+    for page_id in (None, 1, 2, 3):
+        rows = [(page_id, f"<p>text {i}</p>") for i in range(300)] + [(page_id, "<p>again</p>")] * 300 + [(page_id, "")] * 300
+        df = spark.createDataFrame(rows, "page_id bigint, html string").repartition(4)
+        got = H.sample_texts(df, 5)
+        assert len(got) == len(set(got)) == 5 and all(x.startswith(("text", "again")) for x in got)
+        assert got == H.sample_texts(df.repartition(2), 5)
+    assert len(H.sample_texts(df, 1000)) == 301

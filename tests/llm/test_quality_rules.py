@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlewick.llm import quality_rules as Q
-from candlewick.llm.common import held_out, prepare
+from candlewick.llm.common import held_out, prepare, smallest_hashes
 
 DIR = "/root/testdata/sf0.01"
 
@@ -89,3 +89,12 @@ def test_labels_of_one_kind_or_none(spark):
         model = Q.fit(docs, spark.createDataFrame(labels, "doc_id bigint, quality int"))
         got = Q.classify(docs, model).agg(F.min("score"), F.max("score")).first()
         assert got[0] == got[1] == pytest.approx(score, abs=1e-6)
+
+
+@pytest.mark.parametrize("n", [30_000, 10**9, 10**12])
+def test_the_samples_share_of_the_hash_range_holds_at_any_size(spark, n):
+    prepare(spark)
+    share = 20_000 / n
+    hashes = [(int((1 << 64) * share * x) - (1 << 63),) for x in (0.0, 0.5, 0.99, 1.01, 1.4)]
+    got = spark.createDataFrame(hashes, "h bigint").select(smallest_hashes(F.col("h"), 20_000, n).alias("x")).collect()
+    assert [r.x for r in got] == [True, True, True, False, False]
