@@ -4,12 +4,15 @@ A document is a multiset of paragraphs (its non-empty lines).  Every paragraph h
 and the document's vector is their sum, lane by lane, modulo powers of two:
 
 * 16 *equality* lanes modulo 2**32: the SHA-512 of the paragraph, cut into 16 numbers;
-* 128 *likeness* lanes modulo 2**16: each sentence of the paragraph adds a number, hashed from it, to
-  one lane, chosen by its hash.
+* levels of 128 *likeness* lanes modulo 2**16: each sentence of the paragraph adds a number, hashed from it,
+  to one lane of one level, both chosen by its hash; half of all sentences belong to level 0, a quarter to
+  level 1, and so on (levels after the last one in use are left out).
 
 So the order of paragraphs does not matter, a paragraph is inserted by adding its vector and deleted by
 subtracting it, and two documents are equal as multisets when all lanes are.  A change of few
-sentences touches few likeness lanes: the share of used lanes that agree is the likeness.
+sentences touches few likeness lanes.  The levels from l on, added up, hold a sample of 1 / 2**l of the
+sentences; the likeness is the share of used lanes that agree in the largest sample that uses at most half of
+the lanes, so that it is graded at any length.
 
 Everything is one projection of a row (higher-order functions): no shuffle, no group.
 """
@@ -23,6 +26,9 @@ from candlewick.llm.common import staged
 
 EQUAL_LANES, EQUAL_BITS = 16, 32
 ROWS, PER_ROW, LIKE_BITS = 16, 8, 16
+LANES = ROWS * PER_ROW
+#: Lanes in use beyond which a sample is too large to compare.
+SATURATED = LANES // 2
 SENTENCE_END = r"(?<=[.!?:;])\s+"
 
 
@@ -44,8 +50,20 @@ def equality_vector(parts: Column) -> Column:
                        lambda acc, h: F.zip_with(acc, lanes, lambda a, i: (a + number(h, i)).bitwiseAND(full)))
 
 
+def _level(h: Column) -> Column:
+    """Trailing zeros of the hash's bits from 31 on."""
+    x = F.shiftrightunsigned(h, 31).bitwiseOR(F.lit(1 << 33))
+    return F.bit_count(x.bitwiseAND(-x) - 1)
+
+
+def _trimmed(like: Column) -> Column:
+    """Without the levels after the last one in use; at least one."""
+    last = F.array_max(F.transform(like, lambda v, i: F.when(v != 0, i)))
+    return F.slice(like, 1, (F.floor(F.coalesce(last, F.lit(0)) / LANES).cast("int") + 1) * LANES)
+
+
 def likeness_vector(parts: Column) -> Column:
-    """Sum of the sentences' numbers in their lanes, array<int> of ROWS * PER_ROW."""
+    """Sum of the sentences' numbers in their lanes, array<int> of LANES for each level."""
     hashes = F.transform(F.flatten(F.transform(parts, lambda p: F.split(p, SENTENCE_END))), lambda s: F.xxhash64(s))
     zero = F.array_repeat(F.array_repeat(F.lit(0).cast("bigint"), PER_ROW), ROWS)
     value = lambda h: _cut(h, 16, LIKE_BITS - 1) * 2 + 1  # noqa: E731  never 0
@@ -56,7 +74,13 @@ def likeness_vector(parts: Column) -> Column:
             _cut(h, 0, 4) == i, F.transform(row, lambda v, j: F.when(
                 _cut(h, 4, 3) == j, (v + value(h)).bitwiseAND(full)).otherwise(v))).otherwise(row))
 
-    return F.transform(F.flatten(F.aggregate(hashes, zero, add)), lambda v: v.cast("int"))
+    def levels(all_: Column) -> Column:
+        top = F.coalesce(F.array_max(F.transform(all_, _level)), F.lit(0))
+        return F.flatten(F.transform(F.sequence(F.lit(0), top), lambda n: F.flatten(
+            F.aggregate(F.filter(all_, lambda h: _level(h) == n), zero, add))))
+
+    named = lambda x, f: F.transform(F.array(x), f)[0]  # noqa: E731  x is worked out once
+    return named(F.transform(named(hashes, levels), lambda v: v.cast("int")), _trimmed)
 
 
 def vector(text: Column) -> Column:
@@ -69,24 +93,50 @@ def combined(a: Column, b: Column, sign: int = 1) -> Column:
     """Vector of the paragraphs of ``a`` and ``b`` together; sign -1: of ``a`` without those of ``b``."""
     return F.struct(
         F.zip_with(a["equal"], b["equal"], lambda x, y: F.pmod(x + sign * y, F.lit(1 << EQUAL_BITS))).alias("equal"),
-        F.zip_with(a["like"], b["like"], lambda x, y: F.pmod(x + sign * y, F.lit(1 << LIKE_BITS))).alias("like"))
+        _trimmed(F.zip_with(a["like"], b["like"], lambda x, y: F.pmod(
+            F.coalesce(x, F.lit(0)) + sign * F.coalesce(y, F.lit(0)), F.lit(1 << LIKE_BITS)))).alias("like"))
+
+
+def _added(acc: Column, like: Column, n: Column) -> Column:
+    """``acc`` and level ``n`` of ``like`` (none: zeros), lane by lane."""
+    return F.zip_with(acc, F.slice(like, n * LANES + 1, LANES), lambda x, y: (x + F.coalesce(y, F.lit(0))).bitwiseAND(
+        F.lit((1 << LIKE_BITS) - 1)))
+
+
+def _downwards(size: Column) -> Column:
+    """Numbers of the levels of a vector of ``size`` likeness lanes, the last one first."""
+    return F.sequence(F.floor(size / LANES).cast("int") - 1, F.lit(0), F.lit(-1))
 
 
 def fingerprint(v: Column) -> Column:
-    """The vector as lower-case hex digits."""
+    """The vector as lower-case hex digits, its levels added up."""
     hexed = lambda lanes, n: F.array_join(
         F.transform(lanes, lambda x: F.lpad(F.lower(F.hex(x)), n, "0")), "")
-    return F.concat(hexed(v["equal"], EQUAL_BITS // 4), hexed(v["like"], LIKE_BITS // 4))
+    like = F.aggregate(_downwards(F.size(v["like"])), F.array_repeat(F.lit(0), LANES),
+                       lambda acc, n: _added(acc, v["like"], n))
+    return F.concat(hexed(v["equal"], EQUAL_BITS // 4), hexed(like, LIKE_BITS // 4))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """1 for equal vectors, else the share of likeness lanes in use that agree (below 1)."""
-    pairs = F.arrays_zip(a["like"].alias("x"), b["like"].alias("y"))
-    count = lambda test: F.size(F.filter(pairs, test)).cast("double")
-    used = count(lambda p: (p["x"] != 0) | (p["y"] != 0))
-    same = count(lambda p: (p["x"] != 0) & (p["x"] == p["y"]))
-    return F.when(a["equal"] == b["equal"], 1.0).otherwise(F.least(F.coalesce(F.try_divide(same, used), F.lit(0.0)),
-                                                                  F.lit(0.999)))
+    """1 for equal vectors, else the share of likeness lanes in use that agree (below 1), of the levels from
+    the first on with which no more than SATURATED lanes are in use."""
+    zero = F.array_repeat(F.lit(0), LANES)
+    start = F.struct(zero.alias("x"), zero.alias("y"), F.lit(0.0).alias("near"))
+
+    def step(acc: Column, n: Column) -> Column:
+        x, y = _added(acc["x"], a["like"], n), _added(acc["y"], b["like"], n)
+        return F.transform(F.array(F.struct(x.alias("x"), y.alias("y"))), lambda s: F.struct(
+            s["x"].alias("x"), s["y"].alias("y"), shared(s["x"], s["y"], acc["near"]).alias("near")))[0]
+
+    def shared(x: Column, y: Column, before: Column) -> Column:
+        # 1: a lane that differs, 2: one that agrees, 0: not in use
+        marks = F.zip_with(x, y, lambda p, q: F.when(p != q, 1).when(p != 0, 2).otherwise(0))
+        return F.transform(F.array(F.filter(marks, lambda m: m > 0)), lambda used: F.when(
+            (F.size(used) <= SATURATED) & (F.size(used) > 0),
+            F.size(F.filter(used, lambda m: m == 2)) / F.size(used)).otherwise(before))[0]
+
+    near = F.aggregate(_downwards(F.greatest(F.size(a["like"]), F.size(b["like"]))), start, step)["near"]
+    return F.when(a["equal"] == b["equal"], 1.0).otherwise(F.least(near, F.lit(0.999)))
 
 
 def neighbours(ids: DataFrame) -> DataFrame:

@@ -77,3 +77,18 @@ def test_edited_texts_are_nearer_than_next_ones(spark):
     for r in rows:
         by.setdefault(r.fingerprint, set()).add(r.n_chars)
     assert all(len(x) == 1 for x in by.values())
+
+
+def test_likeness_is_graded_at_every_length(spark):
+    """A third of the sentences replaced, and none kept."""
+    prepare(spark)
+    rows, sentence = [], lambda *x: " ".join(map(str, x)) + "."
+    for n in (21, 180, 500, 1600, 20_000):
+        own = [sentence("one", n, i) for i in range(n)]
+        rows.append((n, " ".join(own), " ".join(own[:n - n // 3] + [sentence("two", n, i) for i in range(n // 3)]),
+                     " ".join(sentence("three", n, i) for i in range(n))))
+    df = spark.createDataFrame(rows, "n int, a string, b string, c string")
+    df = df.select("n", *[M.vector(F.col(x)).alias(x) for x in "abc"])
+    got = df.select("n", M.likeness(F.col("a"), F.col("b")).alias("near"), M.likeness(F.col("a"), F.col("c")).alias("far"),
+                    (M.combined(M.combined(F.col("a"), F.col("b")), F.col("b"), -1) == F.col("a")).alias("back")).collect()
+    assert len(got) == 5 and all(0.25 < r.near < 0.75 and r.far < 0.1 and r.back for r in got), got
