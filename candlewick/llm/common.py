@@ -62,3 +62,13 @@ class Numbers(dict):
     def __missing__(self, word: str) -> int:
         number = self[word] = len(self)
         return number
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened until no column of ``df`` has it (whatever the case of its letters)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import (chat_schema, decontaminate, gumbel_segmentation, html_crf, language_backoff, multiset_hash,
-                            pii_bootstrap, quality_rules, simhash_bktree, warc_normaliser)
+from candlewick.llm import (chat_schema, decontaminate, gumbel_segmentation, html_crf, language_backoff, line_dedup,
+                            multiset_hash, pii_bootstrap, quality_rules, simhash_bktree, warc_normaliser)
 from candlewick.llm.common import held_out, prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,3 +143,32 @@ def op3(spark, sf_dir):
     """Main text of all pages by the block CRF."""
     pages = read_table(spark, sf_dir, "pages")
     return html_crf.main_text(pages, html_crf.fit(pages))
+
+
+@register("op12_line_dedup")
+def op12(spark, sf_dir):
+    """Lines of at least 20 signs that 3 documents share, dropped from all but the last of them."""
+    got = line_dedup.drop_shared_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", "n_lines", "n_dropped",
+                      F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op12_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), shared AS (
+  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+  SELECT k.*, coalesce(k.doc_id < s.last, false) AS gone FROM keyed k LEFT JOIN shared s ON k.key = s.key
+)
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""

@@ -12,6 +12,9 @@ COLUMNS = {
     "op4": ["doc_id", "held_out", "score", "predicted"],
     "op5": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
     "op8": ["doc_id", "held_out", "lang_pred", "score"],
+    "op11": ["word", "form", "root", "n", "n_near", "form_n"],
+    "op12": ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
+    "op13": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
 }
 
 
@@ -37,4 +40,4 @@ def test_contract_columns(spark, op):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
