@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import (chat_schema, decontaminate, gumbel_segmentation, html_crf, language_backoff, line_dedup,
-                            multiset_hash, pii_bootstrap, quality_rules, simhash_bktree, warc_normaliser)
+                            merkle_manifest, multiset_hash, pii_bootstrap, quality_rules, simhash_bktree,
+                            warc_normaliser)
 from candlewick.llm.common import held_out, prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,3 +173,79 @@ SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+@register("op13_merkle_manifest")
+def op13(spark, sf_dir):
+    """Merkle manifest of all documents, a version for every tampered leaf, and what its proof says."""
+    return merkle_manifest.manifest(read_table(spark, sf_dir, "documents"))
+
+
+#: crc32 by its table (polynomial 0xEDB88320), levels and folds by recursion.
+ORACLE_SQL["op13_merkle_manifest"] = r"""
+WITH RECURSIVE bits(i, c, k) AS (
+  SELECT i, CAST(i AS BIGINT), 0 FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY i) AS tbl FROM bits WHERE k = 8
+), coded AS (
+  SELECT doc_id, lang, n_chars,
+    concat(coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-'),
+           coalesce(octet_length(encode(source)) || ':' || source, '-'),
+           coalesce(octet_length(encode(lang)) || ':' || lang, '-')) AS a,
+    coalesce(octet_length(encode(text)) || ':' || text, '-') AS z,
+    xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+          list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+        lambda s, x: xor(s >> 8, tbl[(xor(s, x) & 255) + 1])), 4294967295) % 7 = 0 AS odd
+  FROM documents, crc
+), leaves AS (
+  SELECT doc_id, lang,
+    sha256(concat(a, coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-'), z)) AS leaf,
+    CASE WHEN odd THEN sha256(concat(a, coalesce(length(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-'), z)) END AS fake,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+  FROM coded
+), tree(lang, level, pos, n, h) AS (
+  SELECT lang, 0, pos, n, leaf FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM tree WHERE n > 1
+  GROUP BY lang, level, pos // 2, n
+), subroots AS (
+  SELECT lang, level AS height, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+  FROM tree WHERE n = 1
+), top(level, pos, n, h) AS (
+  SELECT 0, place, n, h FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM top WHERE n > 1
+  GROUP BY level, pos // 2, n
+), all_nodes AS (
+  SELECT lang, level, pos, h FROM tree WHERE n > 1
+  UNION ALL
+  SELECT s.lang, s.height + t.level, t.pos, t.h FROM top t, subroots s WHERE t.n > 1
+), steps AS (
+  SELECT l.lang, l.pos AS leaf_pos, g.i AS level,
+    CASE WHEN g.i < s.height THEN l.pos >> g.i ELSE s.place >> (g.i - s.height) END AS at,
+    s.height + (SELECT max(level) FROM top) AS height
+  FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang, range(64) g(i)
+  WHERE g.i < s.height + (SELECT max(level) FROM top)
+), siblings AS (
+  SELECT p.lang, p.leaf_pos, p.level, p.at % 2 = 1 AS is_right, n.h
+  FROM steps p LEFT JOIN all_nodes n ON n.lang IS NOT DISTINCT FROM p.lang AND n.level = p.level AND n.pos = xor(p.at, 1)
+), proofs AS (
+  SELECT lang, leaf_pos, string_agg(h, '' ORDER BY level) AS proof FROM siblings GROUP BY lang, leaf_pos
+), folds(lang, leaf_pos, level, h) AS (
+  SELECT lang, pos, 0, coalesce(fake, leaf) FROM leaves
+  UNION ALL
+  SELECT f.lang, f.leaf_pos, f.level + 1,
+    sha256(CASE WHEN s.h IS NULL THEN f.h WHEN s.is_right THEN s.h || f.h ELSE f.h || s.h END)
+  FROM folds f JOIN siblings s ON f.lang IS NOT DISTINCT FROM s.lang AND f.leaf_pos = s.leaf_pos AND f.level = s.level
+), folded AS (
+  SELECT lang, leaf_pos, arg_max(h, level) AS h FROM folds GROUP BY lang, leaf_pos
+), root AS (
+  SELECT h FROM top WHERE n = 1
+)
+SELECT l.doc_id, l.leaf, s.h AS subroot, root.h AS root, sha256(coalesce(p.proof, '')) AS proof_sha256,
+  f.h AS folded_root, f.h = root.h AS verified
+FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+LEFT JOIN proofs p ON p.lang IS NOT DISTINCT FROM l.lang AND p.leaf_pos = l.pos
+JOIN folded f ON f.lang IS NOT DISTINCT FROM l.lang AND f.leaf_pos = l.pos, root
+"""
