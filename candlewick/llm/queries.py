@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from candlewick.llm import (chat_schema, decontaminate, gumbel_segmentation, html_crf, language_backoff, line_dedup,
                             merkle_manifest, multiset_hash, pii_bootstrap, quality_rules, simhash_bktree,
-                            warc_normaliser)
+                            spelling_variants, warc_normaliser)
 from candlewick.llm.common import held_out, prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -249,3 +249,58 @@ FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
 LEFT JOIN proofs p ON p.lang IS NOT DISTINCT FROM l.lang AND p.leaf_pos = l.pos
 JOIN folded f ON f.lang IS NOT DISTINCT FROM l.lang AND f.leaf_pos = l.pos, root
 """
+
+
+@register("op11_vgram_variants")
+def op11(spark, sf_dir):
+    """Words of all documents, each with the more frequent word that it is a spelling variant of."""
+    return spelling_variants.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
+#: Near words by their deletions (equal after deleting one place, or a word and another's deletion); crc32 by table.
+ORACLE_SQL["op11_vgram_variants"] = r"""
+WITH RECURSIVE bits(i, c, k) AS (
+  SELECT i, CAST(i AS BIGINT), 0 FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY i) AS tbl FROM bits WHERE k = 8
+), found AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), counted AS (
+  SELECT doc_id, run, count(*) AS n FROM found WHERE length(run) >= 5 GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+        string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+        lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)]
+                  ELSE [CAST(192 + (unicode(x) >> 6) AS BIGINT), CAST(128 + (unicode(x) & 63) AS BIGINT)] END))),
+      lambda s, x: xor(s >> 8, tbl[(xor(s, x) & 255) + 1])), 4294967295) AS h
+  FROM counted, crc
+), words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+    CAST(sum(n) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3
+), cut AS (
+  SELECT word, n, unnest(range(length(word))) AS i, left(word, i) || substr(word, i + 2) AS less FROM words
+), pairs AS (
+  SELECT a.word, b.word AS near, b.n AS m FROM cut a JOIN cut b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+    AND length(a.word) = length(b.word)
+  UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.less = w.word
+  UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.less = w.word
+), best AS (
+  SELECT word, count(*) AS n_near, max(m) AS m FROM pairs GROUP BY word
+), named AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+    CASE WHEN b.m >= 2 * w.n THEN (SELECT min(p.near) FROM pairs p WHERE p.word = w.word AND p.m = b.m) END AS form,
+    CASE WHEN b.m >= 2 * w.n THEN b.m END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word
+), chain(word, tip, step) AS (
+  SELECT word, word, 0 FROM named
+  UNION ALL SELECT c.word, n.form, step + 1 FROM chain c JOIN named n ON c.tip = n.word WHERE n.form IS NOT NULL
+), roots AS (
+  SELECT word, arg_max(tip, step) AS root FROM chain GROUP BY word
+)
+SELECT n.word, n.form, r.root, n.n, CAST(n.n_near AS BIGINT) AS n_near, n.form_n
+FROM named n JOIN roots r ON n.word = r.word
+"""
