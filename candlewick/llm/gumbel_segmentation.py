@@ -12,18 +12,17 @@ each step of that walk.  The members popped first are the k best perturbed ones:
 without replacement, with their inclusion probabilities.
 
 No piece crosses a word start or a line break, so the lattice is a chain of the lattices of words, which
-a task keeps for the words it meets (bounded) and walks for all texts of a batch together.  All random
+a task keeps for the words it meets (up to a number of bytes) and walks for all texts of a batch together.  All random
 numbers are hashes of (row key, sample, position): results do not depend on batches or tasks.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
-from itertools import islice
+from functools import cached_property, lru_cache
+from hashlib import sha256
 from operator import itemgetter
 
 import numpy as np
@@ -39,12 +38,17 @@ SAMPLES = 2
 #: Below 1, flatter than the pieces' own weights: more varied segmentations.
 SMOOTHING = 0.3
 ZIPF_OFFSET = 2700.0
-#: Words whose lattices a task keeps; it starts afresh beyond that (results do not change).
-KEPT_WORDS = 220_000
-RUN_SIGNS = 1 << 20
-
-#: Units that no piece crosses: a word with the spaces before it, a line break, trailing spaces.
-UNIT = re.compile(r"\n| *[^ \n]+| +")
+#: Bytes of word lattices that a task keeps beside those of the texts at hand; it starts afresh beyond that
+#: (results do not change).  A word counts by its size, so texts without spaces are no exception.
+KEPT_BYTES = 128 << 20
+#: Bytes of a word's entry in the dictionary.
+ENTRY = 160
+RUN_SIGNS = 1 << 19
+#: Letters (ASCII and Latin-1 first) that the pieces' trie has a table for; the others are searched.
+TABLED = 192
+
+#: Base of the words' polynomial hash, modulo 2**64 (odd: it has an inverse).
+HASH_BASE = 0x9E6C63D0876A9A63
 SAMPLE = "struct<ids:array<int>,log_prob:double,perturbed:double,log_inclusion:double>"
 
 
@@ -58,6 +62,18 @@ class Vocabulary:
     byte_weight: float
     data: tuple[bytes, ...] = field(repr=False)
 
+    @cached_property
+    def flat(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All pieces' bytes in a row, where each begins, and its size."""
+        size = np.fromiter(map(len, self.data), np.int32, len(self.data))
+        return np.frombuffer(b"".join(self.data), np.uint8), np.cumsum(size, dtype=np.int32) - size, size
+
+    @cached_property
+    def digest(self) -> str:
+        """Tells vocabularies apart: pieces, weights and byte fallbacks."""
+        return sha256(repr((sorted(self.ids.items()), sorted(self.weight.items()), self.byte_ids, self.byte_weight)).encode()
+                      ).hexdigest()
+
 
 @lru_cache(maxsize=2)
 def load_vocabulary(path: str = MODEL) -> Vocabulary:
@@ -111,12 +127,42 @@ def truncated_gumbel_of_one(mass: float, bound: float, u: float) -> float:
     return -(max(a, b) + math.log1p(math.exp(-abs(a - b))))
 
 
+def unit_starts(code: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where the units begin that no piece crosses: a word with the spaces before it, a line break, or spaces
+    that no word follows.  ``first``: where texts begin."""
+    line, space = code == 10, code == 32
+    start = line.copy()
+    start[1:] |= line[:-1] | (space[1:] & ~space[:-1])
+    start[first] = True
+    return np.flatnonzero(start)
+
+
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """HASH_BASE and its inverse to the power of 0 to n - 1, modulo 2**64."""
+    out = []
+    for x in (HASH_BASE, pow(HASH_BASE, -1, 1 << 64)):
+        p = np.full(n, x, np.uint64)
+        p[0] = 1
+        out.append(np.cumprod(p, dtype=np.uint64))
+    return out[0], out[1]
+
+
+def word_hashes(code: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word ``code[begin:begin + size]``.  (Two words of one hash would be taken for the same;
+    ``round_trip`` would tell.)"""
+    up, down = _powers(1 << max(16, len(code).bit_length()))
+    total = np.zeros(len(code) + 1, np.uint64)
+    np.cumsum(mixed(code.astype(np.uint64)) * up[:len(code)], out=total[1:])
+    return mixed((total[begin + size] - total[begin]) * down[begin] + size.astype(np.uint64))
+
+
 class Lattices:
     """Lattices of the words met so far, as flat arrays that grow.
 
     A word of n characters has n + 1 states.  ``start[s]:start[s + 1]`` are the edges of state s:
-    length, id (below 0: fallback of that code point), log probability, log of the rest, and
-    ``key`` = state number + cumulative probability, which one sorted search turns into a draw.
+    length, id (below 0: fallback of that code point), log probability, log of the rest, and the
+    cumulative probability ``cum``, by which a draw finds its edge.
     """
 
     def __init__(self, vocab: Vocabulary, smoothing: float):
@@ -138,6 +184,12 @@ class Lattices:
         self.root_to = np.full(self.base, -1)
         top = self.step_key < self.base
         self.root_to[self.step_key[top]] = self.step_to[top]
+        tabled = self.step_key % self.base < TABLED
+        inner, row = np.unique(self.step_key[tabled] // self.base, return_inverse=True)
+        self.row_of = np.zeros(len(node), np.int32)  # row 0: no step
+        self.row_of[inner] = np.arange(1, len(inner) + 1)
+        self.table = np.full((len(inner) + 1, TABLED), -1, np.int32)
+        self.table[row + 1, self.step_key[tabled] % self.base] = self.step_to[tabled]
         self.node_id, self.node_weight = np.full(len(node), -1, np.int64), np.zeros(len(node))
         for n, (i, w) in final.items():
             self.node_id[n], self.node_weight[n] = i, w
@@ -145,20 +197,35 @@ class Lattices:
 
     def clear(self) -> None:
         self.word = Numbers()
-        self.room = {n: np.empty(0, t) for n, t in (("first", np.int64), ("start", np.int64), ("length", np.int32),
+        self.room = {n: np.empty(0, t) for n, t in (("first", np.int64), ("start", np.int64), ("length", np.int16),
                                                     ("id", np.int32), ("log_p", np.float32),
-                                                    ("log_rest", np.float32), ("key", float))}
+                                                    ("log_rest", np.float32), ("cum", np.float32))}
         self.used = dict.fromkeys(self.room, 0)
         self.append(first=np.zeros(1, np.int64), start=np.zeros(1, np.int64))
 
-    def add(self, words: list[str]) -> None:
-        """Build the lattices of new words, all together."""
-        code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        own = np.repeat(np.arange(len(words)), size)
+    def bytes_kept(self) -> int:
+        return sum(r.nbytes for r in self.room.values()) + ENTRY * len(self.word)
+
+    def step(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
+        """Trie nodes one letter further, -1 where there is none."""
+        if not char.size or int(char.max()) < TABLED:
+            return self.table[self.row_of[node], char]
+        near = char < TABLED
+        to = np.full(len(node), -1, np.int64)
+        to[near] = self.table[self.row_of[node[near]], char[near]]
+        want = node[~near] * self.base + char[~near]
+        at = np.minimum(np.searchsorted(self.step_key, want), len(self.step_key) - 1)
+        to[~near] = np.where(self.step_key[at] == want, self.step_to[at], -1)
+        return to
+
+    def add(self, code: np.ndarray, size: np.ndarray) -> None:
+        """Build the lattices of new words (their letters in a row, and their sizes), all together."""
+        code, words = code.astype(np.int64), len(size)
+        own = np.repeat(np.arange(words), size)
         stop = np.cumsum(size)[own]
         at, n = np.arange(len(code)), 1
-        node = self.root_to[self.char_no[code]]
+        char = self.char_no[code]
+        node = self.root_to[char]
         at, node = at[node >= 0], node[node >= 0]
         found = []
         while at.size:
@@ -166,10 +233,9 @@ class Lattices:
             found.append((at[end], n, node[end]))
             go = at + n < stop[at]
             at, node = at[go], node[go]
-            want = node * self.base + self.char_no[code[at + n]]
-            to = np.minimum(np.searchsorted(self.step_key, want), len(self.step_key) - 1)
-            ok = self.step_key[to] == want
-            at, node, n = at[ok], self.step_to[to[ok]], n + 1
+            to = self.step(node, char[at + n])
+            ok = to >= 0
+            at, node, n = at[ok], to[ok].astype(np.int64), n + 1
         lone = np.ones(len(code), bool)
         if found:
             lone[found[0][0]] = False
@@ -190,7 +256,7 @@ class Lattices:
             place[at] += 1
         weight *= self.smoothing
         state, left = src + own[src], stop[src] - src
-        beta = np.zeros(len(code) + len(words))
+        beta = np.zeros(len(code) + words)
         order = np.argsort(left.astype(np.uint16) if left.max() < 1 << 16 else left, kind="stable")
         ends, first = np.bincount(left), 0
         for many in ends[ends > 0].tolist():
@@ -203,7 +269,7 @@ class Lattices:
             beta[state[e[head]]] = most + np.log(np.add.reduceat(np.exp(value - np.repeat(most, per)), head))
         log_p = np.minimum(weight + beta[state + length] - beta[state], 0.0)
         p = np.exp(log_p)
-        per = np.bincount(state, minlength=len(code) + len(words))
+        per = np.bincount(state, minlength=len(code) + words)
         begin = np.concatenate([[0], np.cumsum(per)])
         total = np.concatenate([[0.0], np.cumsum(p)])
         cum = total[1:] - total[begin[state]]
@@ -211,8 +277,8 @@ class Lattices:
         cum[last] = 1.0
         with np.errstate(divide="ignore"):
             rest = np.where(per[state] > 1, np.log1p(-np.minimum(p, 1 - 1e-16)), -np.inf)
-        states, edges = self.used["start"] - 1, self.used["key"]
-        self.append(key=state + states + np.minimum(cum, 1.0), length=length, id=ids, log_p=log_p, log_rest=rest,
+        states, edges = self.used["start"] - 1, self.used["cum"]
+        self.append(cum=np.minimum(cum, 1.0), length=length, id=ids, log_p=log_p, log_rest=rest,
                     start=begin[1:] + edges, first=np.cumsum(size + 1) + states)
 
     def append(self, **parts: np.ndarray) -> None:
@@ -220,31 +286,37 @@ class Lattices:
         for name, part in parts.items():
             room, n = self.room[name], self.used[name]
             if n + len(part) > len(room):
-                room = np.empty(3 * (n + len(part)) // 2, room.dtype)
+                room = np.empty(5 * (n + len(part)) // 4, room.dtype)
                 room[:n] = self.room[name][:n]
                 self.room[name] = room
             room[n:n + len(part)] = part
             self.used[name] = n + len(part)
             setattr(self, name, room[:self.used[name]])
 
-    def numbers(self, words: list[str]) -> np.ndarray:
-        """Word numbers, after adding the lattices that are missing."""
-        before = len(self.word)
-        out = list(map(self.word.__getitem__, words))
-        if len(self.word) > KEPT_WORDS and before:
+    def numbers(self, code: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Numbers of the words ``code[begin:begin + size]``, after adding the lattices that are missing."""
+        if self.bytes_kept() > KEPT_BYTES:
             self.clear()
-            return self.numbers(words)
-        if len(self.word) > before:
-            self.add(list(islice(self.word, before, None)))
-        return np.array(out, np.int64)
+        told, first, at = np.unique(word_hashes(code, begin, size), return_index=True, return_inverse=True)
+        before = len(self.word)
+        own = np.fromiter(map(self.word.__getitem__, told.tolist()), np.int64, len(told))
+        new = first[own >= before]  # numbers are given in this order
+        if new.size:
+            many = size[new]
+            self.add(code[np.repeat(begin[new] - (np.cumsum(many) - many), many) + np.arange(many.sum())], many)
+        return own[at]
 
     def walk(self, edge_at: np.ndarray, state: np.ndarray, at: np.ndarray, stop: np.ndarray,
              seed: np.ndarray, char: np.ndarray) -> None:
         """Draw edges from each start state to its word's end; ``edge_at[position]`` gets them."""
         while state.size:
             u = uniform(seed, char)
-            edge = np.searchsorted(self.key, state + u, "right")
-            edge = np.minimum(np.maximum(edge, self.start[state]), self.start[state + 1] - 1)
+            edge = self.start[state]
+            left = np.flatnonzero(self.cum[edge] <= u)
+            while left.size:  # the last edge's cumulative probability is 1
+                on = edge[left] + 1
+                edge[left] = on
+                left = left[self.cum[on] <= u[left]]
             edge_at[at] = edge
             n = self.length[edge]
             go = at + n < stop
@@ -257,19 +329,14 @@ class Batch:
 
     def __init__(self, lattices: Lattices, texts: list[str | None], keys: np.ndarray):
         self.lat, self.n = lattices, len(texts)
-        words, per = [], []
-        for t in texts:
-            got = UNIT.findall(" " + t) if t else []
-            words += got
-            per.append(len(got))
-        self.number = lattices.numbers(words)
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        self.stop = np.cumsum(size)
-        self.begin = self.stop - size
-        self.doc = np.repeat(np.arange(self.n), per)
-        cut = np.concatenate([[0], np.cumsum(per)])
-        total = np.concatenate([[0], self.stop])
-        self.cuts = total[cut]          # positions of each text
+        texts = [" " + t if t else "" for t in texts]
+        code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        length = np.fromiter(map(len, texts), np.int64, self.n)
+        self.cuts = np.concatenate([[0], np.cumsum(length)])  # positions of each text
+        self.begin = unit_starts(code, self.cuts[:-1][length > 0])
+        self.stop = np.append(self.begin[1:], len(code)) if len(code) else self.begin
+        self.doc = np.searchsorted(self.cuts[1:], self.begin, "right")
+        self.number = lattices.numbers(code, self.begin, self.stop - self.begin)
         self.key = keys.astype(np.int64).view(np.uint64)
         order = np.argsort(self.number, kind="stable")  # neighbouring states: quicker searches
         self.order = order
@@ -383,30 +450,89 @@ class Batch:
 
 
 def sample_texts(lattices: Lattices, texts: list[str | None], keys: np.ndarray, k: int) -> list[list[dict]]:
-    """For each text its samples, best first: ids, log_prob, perturbed, log_inclusion.  Texts are taken in
-    runs of about RUN_SIGNS signs, which bounds the arrays."""
+    """For each text its samples, best first: ids, log_prob, perturbed, log_inclusion."""
+    out: list[list[dict]] = [[] for _ in texts]
+    for got in sample_runs(lattices, texts, keys, k):
+        at = 0
+        for d, n in enumerate(got.many.tolist(), got.start):
+            for x in range(at, at + n):
+                out[d].append({"ids": got.ids[got.cuts[x]:got.cuts[x + 1]]} | {c: float(v[x]) for c, v in got.value.items()})
+            at += n
+    return out
+
+
+VALUES = ("log_prob", "perturbed", "log_inclusion")
+
+
+@dataclass
+class Samples:
+    """Samples of a run of texts, text by text, best first."""
+
+    start: int                      # number of the run's first text
+    many: np.ndarray                # samples of each text
+    ids: np.ndarray                 # of all samples in a row
+    cuts: np.ndarray                # where each sample's ids begin and end
+    value: dict[str, np.ndarray]    # VALUES of each sample
+    same: np.ndarray                # every sample of the text decodes to it
+
+
+def sample_runs(lattices: Lattices, texts: list[str | None], keys: np.ndarray, k: int) -> Iterator[Samples]:
+    """Samples of all texts, taken in runs of about RUN_SIGNS signs, which bounds the arrays."""
     size = np.cumsum([len(t or "") for t in texts]) // RUN_SIGNS
     cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), len(texts)]
-    return [x for a, b in zip(cuts, cuts[1:]) if a < b for x in _sample_run(lattices, texts[a:b], keys[a:b], k)]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield _sample_run(lattices, texts[a:b], keys[a:b], k, a)
 
 
-def _sample_run(lattices: Lattices, texts: list[str | None], keys: np.ndarray, k: int) -> list[list[dict]]:
+def _sample_run(lattices: Lattices, texts: list[str | None], keys: np.ndarray, k: int, start: int) -> Samples:
     b = Batch(lattices, texts, keys)
     b.first()
     while len(b.paths) < k and b.next():
         pass
     bound = b.best()[0]  # the next best perturbed value: what a sample had to exceed
-    out: list[list[dict]] = [[] for _ in texts]
-    for p in b.paths:
-        ids, cut = b.ids(p)
+    has = np.array([p["has"] for p in b.paths])
+    many = has.sum(0)
+    place = (np.cumsum(has, 0) - 1) + np.concatenate([[0], np.cumsum(many)[:-1]])  # of a sample, text by text
+    n = int(many.sum())
+    size, value = np.zeros(n, np.int64), {c: np.empty(n) for c in VALUES}
+    parts = [b.ids(p) for p in b.paths]
+    for p, (_, cut), at, own in zip(b.paths, parts, place, has):
         with np.errstate(over="ignore", divide="ignore"):
             gap = p["log_prob"] - bound
             inside = np.where(gap < -30, gap, np.log(-np.expm1(-np.exp(np.maximum(gap, -30)))))
-        for d in np.flatnonzero(p["has"]).tolist():
-            out[d].append({"ids": ids[cut[d]:cut[d + 1]], "log_prob": round(float(p["log_prob"][d]), 6),
-                           "perturbed": round(float(p["perturbed"][d]), 6),
-                           "log_inclusion": round(float(inside[d]), 6)})
-    return out
+        size[at[own]] = np.diff(cut)[own]
+        for c, v in zip(VALUES, (p["log_prob"], p["perturbed"], inside)):
+            value[c][at[own]] = np.round(v[own], 6)
+    cuts = np.concatenate([[0], np.cumsum(size)])
+    ids = np.empty(int(cuts[-1]), np.int32)
+    for (got, cut), at, own in zip(parts, place, has):
+        if own.all():
+            ids[np.arange(len(got)) + np.repeat(cuts[at] - cut[:-1], np.diff(cut))] = got
+        else:  # texts without this sample have no ids of it
+            length = np.where(own, np.diff(cut), 0)
+            src = np.repeat(own, np.diff(cut))
+            ids[np.flatnonzero(src) + np.repeat(cuts[np.where(own, at, 0)] - cut[:-1], length)] = got[src]
+    return Samples(start, many, ids, cuts, value, _decode_to(lattices.vocab, ids, cuts, texts, many))
+
+
+def _decode_to(vocab: Vocabulary, ids: np.ndarray, cuts: np.ndarray, texts: list[str | None], many: np.ndarray) -> np.ndarray:
+    """True for the texts that all their samples decode to: all pieces' bytes in a row against the texts' bytes."""
+    data, begin, size = vocab.flat
+    ends = np.concatenate([[0], np.cumsum(size[ids])])
+    want = [(" " + t).encode() if t else b"" for t in texts]
+    own = np.repeat(np.arange(len(texts)), many)
+    length = np.fromiter(map(len, want), np.int64, len(want))
+    right = np.diff(ends[cuts]) == length[own]
+    from_ = np.concatenate([[0], np.cumsum(length)])[:-1]
+    whole = np.frombuffer(b"".join(want), np.uint8)
+    for x in np.flatnonzero(right & (length[own] > 0)).tolist():
+        a, b = int(cuts[x]), int(cuts[x + 1])
+        n = size[ids[a:b]]
+        at = np.arange(int(length[own[x]]), dtype=np.int32) + np.repeat(begin[ids[a:b]] - (np.cumsum(n, dtype=np.int32) - n), n)
+        f = int(from_[own[x]])
+        right[x] = np.array_equal(data[at], whole[f:f + len(at)])
+    return np.bincount(own, ~right, len(texts)) == 0
 
 
 def decode_ids(vocab: Vocabulary, ids) -> str:
@@ -416,31 +542,34 @@ def decode_ids(vocab: Vocabulary, ids) -> str:
     return b"".join(itemgetter(*ids)(vocab.data)).decode("utf-8", "replace")[1:]
 
 
+#: The lattices of this worker, by vocabulary and smoothing: one at a time.
 _KEPT: dict[tuple, Lattices] = {}
 
 
+def _lattices(vocab: Vocabulary, smoothing: float) -> Lattices:
+    """Lattices of the vocabulary, told by all its pieces; those of another one are given up."""
+    key = vocab.digest, smoothing
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = Lattices(vocab, smoothing)
+    return _KEPT[key]
+
+
 def _sample_batches(batches: Iterator[pa.RecordBatch], sent, k: int, smoothing: float) -> Iterator[pa.RecordBatch]:
-    vocab = sent.value
-    lattices = _KEPT.setdefault((len(vocab.data), smoothing), None) or Lattices(vocab, smoothing)
-    _KEPT[len(vocab.data), smoothing] = lattices
-    kind = pa.list_(pa.struct([("ids", pa.list_(pa.int32())), ("log_prob", pa.float64()),
-                               ("perturbed", pa.float64()), ("log_inclusion", pa.float64())]))
+    lattices = _lattices(sent.value, smoothing)
+    kind = pa.struct([("ids", pa.list_(pa.int32())), *((c, pa.float64()) for c in VALUES)])
     for b in batches:
         texts = b.column(b.schema.get_field_index("__text")).to_pylist()
         keys = b.column(b.schema.get_field_index("__key")).to_numpy(zero_copy_only=False)
-        got = sample_texts(lattices, texts, keys, k)
-        per = np.cumsum([0, *map(len, got)])
-        flat = [s for own in got for s in own]
-        ends = np.cumsum([0, *(len(s["ids"]) for s in flat)])
-        ids = np.concatenate([s["ids"] for s in flat] or [np.zeros(0)]).astype(np.int32)
-        fields = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
-                  *(pa.array([s[n] for s in flat], pa.float64()) for n in ("log_prob", "perturbed", "log_inclusion"))]
-        items = pa.StructArray.from_arrays(fields, fields=list(kind.value_type))
-        same = [all(decode_ids(vocab, s["ids"].tolist()) == (t or "") for s in own if t) for t, own in zip(texts, got)]
-        out = b.drop_columns(["__text", "__key"])
-        yield pa.RecordBatch.from_arrays(
-            [*out.columns, pa.ListArray.from_arrays(pa.array(per, pa.int32()), items), pa.array(same)],
-            names=[*out.schema.names, "samples", "round_trip"])
+        own = b.drop_columns(["__text", "__key"])
+        for got in sample_runs(lattices, texts, keys, k):
+            ids = pa.ListArray.from_arrays(pa.array(got.cuts, pa.int32()), pa.array(got.ids))
+            items = pa.StructArray.from_arrays([ids, *(pa.array(got.value[c]) for c in VALUES)], fields=list(kind))
+            per = pa.array(np.concatenate([[0], np.cumsum(got.many)]), pa.int32())
+            out = own.slice(got.start, len(got.many))
+            yield pa.RecordBatch.from_arrays([*out.columns, pa.ListArray.from_arrays(per, items), pa.array(got.same)],
+                                             names=[*out.schema.names, "samples", "round_trip"])
+    lattices.clear()  # an idle worker keeps no words
 
 
 def sample_segmentations(docs: DataFrame, k: int = SAMPLES, model: str = MODEL, smoothing: float = SMOOTHING,

@@ -87,7 +87,7 @@ def test_batches_and_kept_words_do_not_change_samples(lattices, monkeypatch):
     texts = [t for t in TEXTS if t] * 2
     keys = np.arange(len(texts))
     want = G.sample_texts(lattices, texts, keys, 3)
-    monkeypatch.setattr(G, "KEPT_WORDS", 3)
+    monkeypatch.setattr(G, "KEPT_BYTES", 3)
     for i in reversed(range(len(texts))):
         own = G.sample_texts(lattices, [texts[i]], keys[i:i + 1], 3)[0]
         assert [s["ids"].tolist() for s in own] == [s["ids"].tolist() for s in want[i]]
@@ -106,3 +106,58 @@ def test_operator_and_decode(spark):
     same = [r.samples for r in got.filter("doc_id = 0").collect()]
     assert len(same) == 2 and same[0] == same[1]
     assert G.sample_segmentations(df.limit(0)).collect() == []
+
+
+def test_units_split_texts_as_stated():
+    texts = [" Hello  world\nfoo", "   ", " a \n\n  b  ", " x", " \n"]
+    code = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    first = np.cumsum([0, *map(len, texts)])[:-1]
+    begin = G.unit_starts(code, first).tolist()
+    whole = "".join(texts)
+    got = [whole[a:b] for a, b in zip(begin, begin[1:] + [len(whole)])]
+    assert got == [" Hello", "  world", "\n", "foo", "   ", " a", " ", "\n", "\n", "  b", "  ", " x", " ", "\n"]
+
+
+def test_equal_words_alone_have_equal_hashes():
+    texts = ["ab", "abc", "ba", "ab", "b", "abab", "\n", " ab", "ab"]
+    code = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    size = np.array([*map(len, texts)])
+    h = G.word_hashes(code, np.cumsum(size) - size, size)
+    assert [(x == y) for x in h for y in h] == [(x == y) for x in texts for y in texts]
+
+
+def test_kept_lattices_are_bounded_by_bytes(lattices, monkeypatch):
+    """Long words fill the room sooner; samples stay the same."""
+    rng = np.random.default_rng(1)
+    texts = ["".join(map(chr, rng.integers(97, 123, 400))) for _ in range(300)]
+    keys = np.arange(300)
+    want = G.sample_texts(lattices, texts, keys, 2)
+    monkeypatch.setattr(G, "KEPT_BYTES", 2 << 20)
+    monkeypatch.setattr(G, "RUN_SIGNS", 4000)
+    small, most = G.Lattices(lattices.vocab, 0.3), 0
+    for i in range(0, 300, 10):
+        got = G.sample_texts(small, texts[i:i + 10], keys[i:i + 10], 2)
+        assert [[s["ids"].tolist() for s in x] for x in got] == [[s["ids"].tolist() for s in x] for x in want[i:i + 10]]
+        most = max(most, small.bytes_kept())
+    assert most < (2 << 20) + (2 << 20)
+
+
+def test_models_of_one_size_do_not_share_lattices(lattices):
+    """Two vocabularies of as many pieces, one after the other in a worker."""
+    import pyarrow as pa
+    vocab = lattices.vocab
+    a, b = vocab.ids["the"], vocab.ids["and"]
+    swapped = {**vocab.ids, "the": b, "and": a}
+    data = list(vocab.data)
+    data[a], data[b] = data[b], data[a]
+    other = G.Vocabulary(swapped, vocab.weight, vocab.byte_ids, vocab.byte_weight, tuple(data))
+    assert other.digest != vocab.digest
+    batch = pa.RecordBatch.from_arrays([pa.array(["the and the"] * 9), pa.array(range(9), pa.int64())], names=["__text", "__key"])
+
+    class Sent:
+        def __init__(self, value):
+            self.value = value
+
+    for v in (vocab, other, vocab):
+        out, = G._sample_batches(iter([batch]), Sent(v), 2, 0.3)
+        assert all(out.column("round_trip").to_pylist())
