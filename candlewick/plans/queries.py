@@ -406,25 +406,27 @@ def q_pipeline_run(spark, sf_dir):
 
 # --- streaming ------------------------------------------------------------------------
 
-STREAM_FILES = 6
+#: Records of a micro-batch (the reference's limit): a file source takes one file of at most this many.
+BATCH_RECORDS = 500_000
 
 
 def _stage_stream_input(spark, sf_dir, extra: DataFrame | None = None) -> tuple[str, str]:
-    """Land the wire-shape trades (exact re-deliveries included) as STREAM_FILES files for a file
-    stream source, in order of event time: file times are set in that order, since the source
-    replays by them.  ``extra`` rows come in one more file, last."""
+    """Land the wire-shape trades (exact re-deliveries included) as files for a file stream source, in order of
+    event time: file times are set in that order, since the source replays by them.  The files are ranges
+    of event time sized by the data (BATCH_RECORDS, at least four).  ``extra`` rows come in files after them."""
     from candlewick.operators.sinks import _fs
     from candlewick.schemas import TRADE_EVENT
     from candlewick.session import scratch_path
     root = scratch_path(spark, "stream")
     cols = TRADE_EVENT.fieldNames()
-    wire = fx.lake_trades(spark, sf_dir).select(*cols)
-    wire.repartitionByRange(STREAM_FILES, "trade_time").write.parquet(f"{root}/in/a")
+    parts = {"a": (fx.lake_trades(spark, sf_dir).select(*cols), 4)}
     if extra is not None:
-        extra.select(*cols).coalesce(1).write.parquet(f"{root}/in/b")
+        parts["b"] = (extra.select(*cols), 1)
     Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     at = 1_700_000_000_000
-    for part in ("a", "b") if extra is not None else ("a",):
+    for part, (rows, least) in parts.items():
+        files = max(least, 2 * rows.count() // BATCH_RECORDS)  # ranges are equal to within a sample's error
+        rows.repartitionByRange(files, "trade_time").write.parquet(f"{root}/in/{part}")
         fs, p = _fs(spark, f"{root}/in/{part}")
         for name in sorted(st.getPath().toString() for st in fs.listStatus(p)):
             at += 60_000
@@ -466,35 +468,61 @@ def q_trade_stream_append(spark, sf_dir):
     return spark.read.parquet(f"{root}/lake")
 
 
-@register("trade_stream_late")
-def q_trade_stream_late(spark, sf_dir):
-    """C-5 + W-2: rows that come behind the watermark, from the side output."""
-    from candlewick.streaming import ingest
+def _split_stream(spark, sf_dir) -> tuple[str, DataFrame]:
+    """The trades as a stream, a file per micro-batch, late rows after them, split by one writer: (root, stream)."""
+    from candlewick.streaming import ingest, split
     root, src = _stage_stream_input(spark, sf_dir, _late_rows(spark, sf_dir))
     landed = ingest.landed_trades(ingest.trade_stream(spark, src, max_per_trigger=1))
-    q = ingest.late_sink(landed, f"{root}/late", f"{root}/ckpt", trigger={"availableNow": True})
+    q = split.split_sink(landed, root, f"{root}/ckpt", trigger={"availableNow": True})
     ingest.run_bounded(q, None)
-    return spark.read.schema(landed.schema).parquet(f"{root}/late").select(*landed.columns)
+    return root, landed
+
+
+@register("trade_stream_split")
+def q_trade_stream_split(spark, sf_dir):
+    """C-5 + K-1 + W-3: every row of the trade stream with the one output it went to: lake, duplicate or late."""
+    from candlewick.streaming import split
+    root, landed = _split_stream(spark, sf_dir)
+    out = [split.output(spark, root, name, landed.schema).select(*landed.columns, F.lit(name).alias("sink"))
+           for name in ("lake", "duplicate", "late")]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@register("trade_stream_late")
+def q_trade_stream_late(spark, sf_dir):
+    """C-5 + W-2: rows that come behind the watermark, from their output."""
+    from candlewick.streaming import split
+    root, landed = _split_stream(spark, sf_dir)
+    return split.output(spark, root, "late", landed.schema).select(*landed.columns)
 
 
 @register("ingest_stream")
 def q_ingest_stream(spark, sf_dir):
-    """The ingest as one path: framed bytes -> decode -> good rows to the lake, bad ones to the dead
-    letters; how many records went where, by day or by cause."""
+    """The ingest as one path: framed bytes -> decode -> good rows to the lake, their repeats and late ones beside it,
+    bad ones to the dead letters, all by one writer; how many records went where, by day or by cause."""
+    from candlewick.operators.sinks import _fs
     from candlewick.schemas import TRADE_EVENT_AVRO
     from candlewick.session import scratch_path
-    from candlewick.streaming import ingest
+    from candlewick.streaming import ingest, split
     root = scratch_path(spark, "ingest")
-    fx.trade_log(spark, sf_dir).select("key", "value").write.parquet(f"{root}/log")
-    log = ingest.trade_stream(spark, f"{root}/log", schema=spark.read.parquet(f"{root}/log").schema, max_per_trigger=1)
-    decoded = decode.decode_frames(log, TRADE_EVENT_AVRO, keep=["key"])
-    for q in ingest.with_dlq(decoded, f"{root}/lake", f"{root}/dlq", f"{root}/ckpt", partition_by=("date",),
-                             trigger={"availableNow": True}):
-        ingest.run_bounded(q, None)
-    lake = spark.read.parquet(f"{root}/lake").groupBy(F.date_format("date", "yyyy-MM-dd").alias("what"))
-    dlq = spark.read.parquet(f"{root}/dlq").groupBy(F.col("detail").alias("what"))
-    return (lake.agg(F.count(F.lit(1)).alias("records")).withColumn("sink", F.lit("lake"))
-            .unionByName(dlq.agg(F.count(F.lit(1)).alias("records")).withColumn("sink", F.lit("dlq"))))
+    log = fx.trade_log(spark, sf_dir)
+    files = max(4, 2 * log.count() // BATCH_RECORDS)
+    log.repartitionByRange(files, "timestamp", "offset").select("key", "value").write.parquet(f"{root}/log")
+    fs, p = _fs(spark, f"{root}/log")
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for i, name in enumerate(sorted(st.getPath().toString() for st in fs.listStatus(p))):
+        fs.setTimes(Path(name), 1_700_000_000_000 + 60_000 * i, -1)
+    stream = ingest.trade_stream(spark, f"{root}/log", schema=spark.read.parquet(f"{root}/log").schema, max_per_trigger=1)
+    decoded = decode.decode_frames(stream, TRADE_EVENT_AVRO, keep=["key"])
+    # Copies ingested hours later are records of their own: nothing is late within a day.
+    ingest.run_bounded(ingest.with_dlq(decoded, f"{root}/out", f"{root}/ckpt", partition_by=("date",),
+                                       trigger={"availableNow": True}, delay_seconds=86_400), None)
+    day = F.date_format("date", "yyyy-MM-dd").alias("what")
+    n = F.count(F.lit(1)).alias("records")
+    out = [split.output(spark, f"{root}/out", name, "symbol string, date date").groupBy(day).agg(n)
+           .withColumn("sink", F.lit(name)) for name in ("lake", "duplicate", "late")]
+    dead = split.output(spark, f"{root}/out", "dead", "detail string").groupBy(F.col("detail").alias("what")).agg(n)
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(dead.withColumn("sink", F.lit("dlq")))
 
 
 @register("ohlcv_1m_stream")

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from candlewick.operators.clean import TRADE_EXACT_KEY, split_valid, with_trade_times
 from candlewick.schemas import TRADE_EVENT
 from candlewick.streaming.bars import ohlcv_bars
+from candlewick.streaming.split import split_sink
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -58,8 +59,8 @@ def landed_trades(events: DataFrame) -> DataFrame:
 def dedupe(df: DataFrame, keys: Sequence[str] = TRADE_EXACT_KEY, event_time: str = "trade_timestamp",
            delay: str = "10 minutes") -> DataFrame:
     """C-5: drop repeats of ``keys`` that arrive within ``delay`` of each other
-    (state is evicted once the watermark passes, so it stays bounded).  Rows behind the watermark are
-    dropped by Spark; :func:`late_sink` keeps them."""
+    (state is evicted once the watermark passes, so it stays bounded).  Spark drops repeats and the rows
+    behind the watermark; :func:`candlewick.streaming.split.split_sink` keeps both."""
     return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
@@ -82,46 +83,20 @@ def append_sink(df: DataFrame, path: str, checkpoint: str, partition_by: Sequenc
     return w.option("topic", path).start() if fmt == "kafka" else w.start(path)
 
 
-def late_sink(df: DataFrame, path: str, checkpoint: str, event_time: str = "trade_timestamp",
-              delay_seconds: int = 600, trigger: dict | None = None) -> StreamingQuery:
-    """Side output of late rows: those older than the newest event time of *earlier* batches less the
-    delay, which is the watermark that :func:`dedupe` and the bars drop them by.
-
-    Each batch writes its late rows and its newest time under its own batch id; a repeated batch
-    replaces both, so a restart neither loses nor doubles any.  The newest times are one row per batch.
-    """
-    spark, seen = df.sparkSession, f"{checkpoint}/newest"
-
-    def one(batch: DataFrame, number: int) -> None:
-        newest = None
-        if number:
-            before = spark.read.schema("t timestamp, batch bigint").parquet(seen).filter(F.col("batch") < number)
-            newest = before.agg(F.max("t")).first()[0]
-        late = F.lit(False)
-        if newest is not None:
-            late = F.col(event_time) < F.lit(newest) - F.expr(f"INTERVAL {delay_seconds} SECONDS")
-        batch.filter(late).write.mode("overwrite").parquet(f"{path}/batch={number}")
-        batch.agg(F.max(event_time).alias("t")).write.mode("overwrite").parquet(f"{seen}/batch={number}")
-
-    return (df.writeStream.foreachBatch(one).option("checkpointLocation", f"{checkpoint}/query")
-              .trigger(**(trigger or {"processingTime": "30 seconds"})).start())
-
-
-def with_dlq(decoded: DataFrame, good_path: str, dlq_path: str, checkpoint_root: str,
-             partition_by: Sequence[str] = ("date", "symbol"), trigger: dict | None = None,
-             error_col: str = "_error") -> tuple[StreamingQuery, StreamingQuery]:
-    """K-4: a permissive decode split into two exactly-once file sinks -- good
-    rows to the lake, dead letters (original bytes, reason, detail, time) to the
-    DLQ -- each with its own checkpoint.  Every record goes to one of them: a record that
-    decodes without a symbol is a dead letter as well."""
+def with_dlq(decoded: DataFrame, root: str, checkpoint: str, partition_by: Sequence[str] = ("date", "symbol"),
+             trigger: dict | None = None, error_col: str = "_error", delay_seconds: int = 600,
+             keys: Sequence[str] = TRADE_EXACT_KEY) -> StreamingQuery:
+    """K-4 + C-5 in one pass: a permissive decode split into ``root/lake``, ``root/duplicate``, ``root/late`` and
+    ``root/dead`` (original bytes, reason, detail, time).  The source is read and decoded once per batch.  Every record
+    goes to one of them: a record that decodes without a symbol is a dead letter as well."""
     from candlewick.operators.decode import dead_letters
     fault = F.coalesce(F.col(error_col), F.when(F.col("symbol").isNull(), F.lit("missing_symbol")))
-    marked = decoded.withColumn(error_col, fault)
-    good = landed_trades(marked.filter(F.col(error_col).isNull()).drop(error_col, "value"))
-    bad = dead_letters(marked.filter(F.col(error_col).isNotNull()), error_col)
-    q1 = append_sink(good, good_path, f"{checkpoint_root}/good", partition_by, trigger=trigger)
-    q2 = append_sink(bad, dlq_path, f"{checkpoint_root}/dlq", (), trigger=trigger)
-    return q1, q2
+    kept = [c for c in ("key", "offset", "partition") if c in decoded.columns]
+    return split_sink(
+        decoded.withColumn(error_col, fault), root, checkpoint, keys=keys, delay_seconds=delay_seconds,
+        partition_by=partition_by, dead=F.col(error_col).isNotNull(), trigger=trigger,
+        dead_rows=lambda bad: dead_letters(bad, error_col, keep=kept),
+        good_rows=lambda good: landed_trades(good.drop(error_col, "value")))
 
 
 def ohlcv_stream(events: DataFrame, width: str = "1 minute", delay: str = "2 minutes",
