@@ -16,7 +16,7 @@ import datetime as _dt
 import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.operators.metrics import row_stats
@@ -130,6 +130,71 @@ def upsert(spark: SparkSession, base: str, source: DataFrame, keys: Sequence[str
     return read_snapshot(spark, base)
 
 
+# --- bucket-wise upsert (K-6) ------------------------------------------------------
+
+BUCKET = "_bucket"
+
+
+def _bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """The bucket that Spark's own bucketing deals a row to."""
+    return F.pmod(F.hash(*keys), F.lit(buckets))
+
+
+def upsert_bucketed(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str], buckets: int = 64,
+                    check_unique: bool = True) -> DataFrame:
+    """K-6 on a large catalog table: :func:`upsert`'s result, with only the touched buckets read and written.
+
+    The table is bucketed by ``keys`` and partitioned by the same bucket number, so that a bucket is a folder.  Only
+    the source is shuffled: the buckets that its keys fall into are joined with it by a bucketed scan (no exchange
+    of the target) and replaced by dynamic partition overwrite (copy on write, moved in when the job commits);
+    the other buckets' files stay as they are.  The first run creates the table with ``buckets`` buckets; size them
+    so that a bucket is a few hundred megabytes.  Returns the table without its bucket column.
+    """
+    n = _buckets_of(spark, name, buckets)
+    dealt = staged(source.withColumn(BUCKET, _bucket_of(keys, n)), "upsert-source")
+    if not spark.catalog.tableExists(name):
+        dealt.repartition(n, *keys).write.partitionBy(BUCKET).bucketBy(n, *keys).sortBy(*keys).saveAsTable(name)
+        return spark.table(name).drop(BUCKET)
+    touched = [r[0] for r in dealt.select(BUCKET).distinct().collect()]  # at most as many as buckets
+    if touched:
+        # A session of its own: insertInto takes the overwrite mode from the session alone.
+        own = spark.newSession()
+        for c in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold"):
+            own.conf.set(c, spark.conf.get(c))
+        own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        rows = own.read.schema(dealt.schema).parquet(*dealt.inputFiles())
+        merged_buckets(own, name, rows, keys, touched, check_unique).write.mode("overwrite").insertInto(name)
+        spark.catalog.refreshTable(name)
+    return spark.table(name).drop(BUCKET)
+
+
+def _buckets_of(spark: SparkSession, name: str, default: int) -> int:
+    """The number of buckets of the table; of a new one, ``default``."""
+    if not spark.catalog.tableExists(name):
+        return default
+    rows = spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Num Buckets'").collect()
+    if not rows:
+        raise ValueError(f"{name} is not a bucketed table")
+    return int(rows[0]["data_type"])
+
+
+def merged_buckets(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str], touched: Sequence[int],
+                   check_unique: bool = True) -> DataFrame:
+    """The new rows of the ``touched`` buckets of the table, given the source rows with their bucket."""
+    table = spark.table(name)
+    target = table.filter(F.col(BUCKET).isin(*touched))
+    if check_unique:
+        whole = F.lit(True)
+        for k in keys:
+            whole = whole & F.col(k).isNotNull()
+        twice = source.filter(whole).groupBy(*keys).count().filter("count > 1")
+        if not target.select(*keys).join(twice, list(keys), "left_semi").isEmpty():
+            raise ValueError("upsert: a source key matches the target more than once")
+    n = _buckets_of(spark, name, 0)
+    kept = target.join(source.select(*keys), list(keys), "left_anti")
+    return kept.select(*table.columns).unionByName(source.repartition(n, *keys).select(*table.columns))
+
+
 # --- day-partition replacement (K-3) --------------------------------------------
 
 def _fs_delete(spark: SparkSession, path: str) -> None:  # noqa: D401
@@ -150,28 +215,103 @@ def _days(days: Iterable) -> list[_dt.date]:
     return sorted({d if isinstance(d, _dt.date) else _dt.date.fromisoformat(str(d)) for d in days})
 
 
+def _folders(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """``df`` is a partitioned file table: its partitions and their folders."""
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    return df.select(*parts, folder.alias("_folder")).distinct()
+
+
+def _replace(new: DataFrame, path: str, parts: Sequence[str], days: DataFrame, day_col: str) -> None:
+    """Overwrite the partitions that ``new`` has, then remove those of ``days`` that it has not."""
+    spark = new.sparkSession
+    (spread_partitions(new, parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*parts).parquet(path))
+    if not path_exists(spark, path):
+        return
+    table = spark.read.parquet(path)
+    # Days are partitions of the table, so there are few; with the join the scan lists theirs alone.
+    there = _folders(table.join(F.broadcast(days), table[day_col].eqNullSafe(days["_day"]), "left_semi"), parts)
+    have = new.select(*[F.col(p).alias(f"_{p}") for p in parts]).distinct()
+    same = F.lit(True)
+    for p in parts:
+        # the table's type of a partition column is read off its folder names
+        same = same & F.col(p).cast("string").eqNullSafe(F.col(f"_{p}").cast("string"))
+    for row in there.join(have, same, "left_anti").select("_folder").toLocalIterator():
+        # file paths of a scan are URIs: what folder names escape is escaped once more
+        _fs_delete(spark, spark.sparkContext._jvm.java.net.URI.create(row[0]))
+
+
 def replace_days(df: DataFrame, path: str, days: Iterable, day_col: str = "date",
                  partition_by: Sequence[str] | None = None) -> None:
     """K-3: make the table at ``path`` hold exactly ``df``'s rows for ``days``.
 
-    One dynamic partition-overwrite write replaces the day partitions present in
-    ``df``; days in ``days`` with no rows are cleared explicitly (dynamic
-    overwrite alone would leave them).  Re-runnable: the same input gives the same
+    ``partition_by`` is the table's layout, ``day_col`` at any place of it.  One dynamic partition-overwrite write
+    replaces the partitions present in ``df``; partitions of ``days`` that ``df`` has no rows for (an empty
+    day, a symbol that is gone from its day) are removed after it.  Re-runnable: the same input gives the same
     table.  A row outside ``days`` fails the write before it commits: the table stays as it was.
     """
-    spark, days = df.sparkSession, _days(days)
-    # The set of days actually written is observed during the write itself (at most
-    # len(days) values), so the input is scanned once.
-    obs = Observation("replace_days")
-    scoped = only_days(df, days, day_col).observe(obs, F.collect_set(day_col).alias("days"))
-    parts = list(partition_by or [day_col])
-    (spread_partitions(scoped, parts).write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic")
-           .partitionBy(*parts).parquet(path))
-    present = set(obs.get["days"])
-    for d in days:
-        if d not in present:
-            _fs_delete(spark, f"{path}/{day_col}={d.isoformat()}")
+    spark, days, parts = df.sparkSession, _days(days), list(partition_by or [day_col])
+    if day_col not in parts:
+        raise ValueError(f"the table is not partitioned by {day_col}")
+    new = staged(only_days(df, days, day_col), "replace-days")
+    _replace(new, path, parts, spark.createDataFrame([(d,) for d in days], "_day date"), day_col)
+
+
+# --- days found by an ingestion high-water mark -------------------------------------
+
+def _mark_path(path: str) -> str:
+    return path.rstrip("/") + "_mark"
+
+
+def high_water_mark(spark: SparkSession, path: str):
+    """The newest ingestion time that :func:`sync_days` has taken over into the table at ``path`` (none yet: None)."""
+    base = _mark_path(path)
+    return None if current_version(spark, base) is None else read_snapshot(spark, base).first()["mark"]
+
+
+def touched_days(source: DataFrame, mark, ingest_col: str, day_col: str) -> DataFrame:
+    """``_day``: the days of the rows that came in since ``mark`` (rows of that very time again: they may be new)."""
+    new = source if mark is None else source.filter(F.col(ingest_col) >= F.lit(mark))
+    return new.select(F.col(day_col).alias("_day")).distinct()
+
+
+def affected_rows(source: DataFrame, mark, ingest_col: str, day_col: str) -> DataFrame:
+    """All rows of the days that rows came in for since ``mark``.  Where ``source`` is partitioned by the day, its
+    partitions are pruned at run time by these days (the broadcast holds at most one row per day partition)."""
+    if mark is None:
+        return source
+    days = touched_days(source, mark, ingest_col, day_col)
+    return source.join(F.broadcast(days), source[day_col] == days["_day"], "left_semi")
+
+
+def sync_days(source: DataFrame, path: str, ingest_col: str = "ingestion_ts", day_col: str = "date",
+              partition_by: Sequence[str] | None = None, transform=None) -> DataFrame:
+    """K-3 without a list of days: bring the table at ``path`` up to date with ``source``.
+
+    The days that rows of ``source`` came in for since the table's high-water mark are read whole, shaped by
+    ``transform`` (e.g. a dedupe) and replaced; the mark then becomes the newest ingestion time seen.  Late rows of
+    an old day reload that day; a run without new rows replaces the days of the mark's own time by the same rows.
+    The mark is written last: a run that dies before is repeated whole.  ``source`` must not change during the
+    call (pass a snapshot), and needs a day in every row.
+    """
+    spark, parts = source.sparkSession, list(partition_by or [day_col])
+    mark = high_water_mark(spark, path)
+    rows = affected_rows(source, mark, ingest_col, day_col)
+    obs = Observation("sync_days")
+    seen = staged(rows.observe(obs, F.max(ingest_col).alias("mark")), "sync-rows")
+    new = seen if transform is None else staged(transform(seen), "sync-days")
+    # An old day that has no rows left after the transform is replaced by nothing.
+    _replace(new, path, parts, seen.select(F.col(day_col).alias("_day")).distinct(), day_col)
+    newest = obs.get["mark"]
+    if newest is not None:
+        write_snapshot(spark.createDataFrame([(max(newest, mark) if mark else newest,)],
+                                             f"mark {seen.schema[ingest_col].dataType.simpleString()}").coalesce(1),
+                       _mark_path(path))
+    return spark.read.schema(_with_parts_last(new, parts)).parquet(path)
+
+
+def _with_parts_last(df: DataFrame, parts: Sequence[str]):
+    return df.select(*[c for c in df.columns if c not in parts], *parts).schema
 
 
 def replace_days_in_table(df: DataFrame, name: str, days: Iterable, day_col: str = "date") -> None:

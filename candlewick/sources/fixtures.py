@@ -96,14 +96,14 @@ def trades_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def market_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``RAW.MARKET_META`` shape from ``customer``: a coin for each key but the multiples of 15,
-    which leaves trade coins without metadata."""
-    c = read(spark, sf_dir, "customer").filter(F.col("c_custkey") % 15 != 0)
+    """``RAW.MARKET_META`` shape from ``customer``, a coin for each key.  Multiples of 15 have a symbol that no
+    trade has, which leaves trade coins without metadata."""
+    c = read(spark, sf_dir, "customer")
     odd = (F.col("c_custkey") % 2) == 1
     half = F.when(~odd, F.col("c_acctbal") / 100)
     return c.select(
         F.concat(F.lit("coin-"), F.col("c_custkey").cast("string")).alias("coin_id"),
-        padded("c_custkey").alias("symbol"),
+        F.concat(F.when(F.col("c_custkey") % 15 == 0, "~").otherwise(""), padded("c_custkey")).alias("symbol"),
         F.col("c_name").alias("name"),
         (F.lit(10.0) + F.col("c_custkey")).alias("current_price"),
         (F.round(F.col("c_acctbal") * 100).cast("bigint") * F.lit(1000003)).cast("decimal(20,0)").alias("market_cap"),

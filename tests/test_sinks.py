@@ -111,3 +111,113 @@ def test_uncommitted_version_is_skipped(spark, tmp_root):
     assert sinks.current_version(spark, tmp_root) == 1
     v = sinks.write_snapshot(spark.createDataFrame([(3,)], "v int"), tmp_root)
     assert v == 3 and [r.v for r in sinks.read_snapshot(spark, tmp_root).collect()] == [3]
+
+
+ROWS = "v int, date date, symbol string"
+
+
+def rows_of(spark, path):
+    return sorted((r.v, r.date, r.symbol) for r in spark.read.schema(ROWS).parquet(path).collect())
+
+
+@pytest.mark.parametrize("parts", [["date", "symbol"], ["symbol", "date"]])
+def test_replace_days_removes_a_symbol_that_is_gone(spark, tmp_root, parts):
+    """A day reloaded with symbol A alone: the old B, the null and the odd symbol of that day go, other days stay."""
+    old = [(1, D1, "A"), (2, D1, "B"), (3, D2, "A"), (4, D2, "B"), (5, D2, None), (6, D2, "x/y=z %"), (7, D3, "B")]
+    spark.createDataFrame(old, ROWS).write.partitionBy(*parts).parquet(tmp_root)
+    new = spark.createDataFrame([(30, D2, "A"), (31, D2, "A")], ROWS)
+    for _ in range(2):
+        sinks.replace_days(new, tmp_root, [D2, D3], partition_by=parts)
+        assert rows_of(spark, tmp_root) == [(1, D1, "A"), (2, D1, "B"), (30, D2, "A"), (31, D2, "A")]
+    sinks.replace_days(new.limit(0), tmp_root, [D2], partition_by=parts)
+    assert rows_of(spark, tmp_root) == [(1, D1, "A"), (2, D1, "B")]
+
+
+def test_replace_days_of_a_new_table(spark, tmp_root):
+    sinks.replace_days(spark.createDataFrame([(1, D1, "A")], ROWS), f"{tmp_root}/t", [D1, D2], partition_by=["date", "symbol"])
+    assert rows_of(spark, f"{tmp_root}/t") == [(1, D1, "A")]
+
+
+@pytest.mark.parametrize("parts", [["date"], ["date", "symbol"], ["symbol", "date"]])
+def test_sync_days_reloads_old_days_without_a_list(spark, tmp_root, parts):
+    """Late rows of an old day, a symbol that the transform takes away, an untouched day, a run without news."""
+    schema = ROWS + ", at timestamp_ntz"
+    when = lambda h: dt.datetime(2024, 1, 5, h)
+    first = [(1, D1, "A", when(1)), (2, D1, "B", when(1)), (3, D2, "A", when(1)), (4, D3, "C", when(2))]
+    later = first + [(10, D1, "A", when(3)), (0, D1, "B", when(4))]
+    last = later + [(11, D1, "A", when(4))]
+    lake, table = f"{tmp_root}/lake", f"{tmp_root}/table"
+
+    def newest(rows):
+        """The newest row of a symbol and day; v = 0 takes the symbol away."""
+        from pyspark.sql import Window
+        w = Window.partitionBy("date", "symbol").orderBy(F.desc("at"), F.desc("v"))
+        return rows.withColumn("n", F.row_number().over(w)).filter("n = 1 AND v > 0").drop("n")
+
+    for source, want, mark in ((first, [1, 2, 3, 4], 2), (later, [3, 4, 10], 4), (later, [3, 4, 10], 4), (last, [3, 4, 11], 4)):
+        spark.createDataFrame(source, schema).write.mode("overwrite").partitionBy("date").parquet(lake)
+        got = sinks.sync_days(spark.read.schema(schema).parquet(lake), table, "at", "date", parts, newest)
+        assert sorted(r.v for r in got.collect()) == want
+        assert sinks.high_water_mark(spark, table) == when(mark)
+        untouched = [f for f in spark.read.parquet(table).inputFiles() if "2024-01-02" in f]
+        assert len(untouched) == 1
+        kept = untouched if source is first else kept
+        assert untouched == kept  # the day without news was not written again
+
+
+def test_affected_rows_prune_partitions_at_run_time(spark, tmp_root):
+    rows = spark.range(2000).selectExpr("id AS v", "date_add(DATE '2024-01-01', CAST(id % 20 AS INT)) AS date",
+                                        "timestamp_seconds(id) AS at")
+    rows.write.partitionBy("date").parquet(tmp_root)
+    source = spark.read.parquet(tmp_root)
+    mark = source.filter("v = 1995").first()["at"]
+    got = sinks.affected_rows(source, mark, "at", "date")
+    assert got.count() == 500 and got.select("date").distinct().count() == 5
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan, plan
+
+
+def test_upsert_bucketed_touches_only_the_buckets_of_its_keys(spark, tmp_root):
+    """Same rows as the plain upsert; one key of 2,000 rewrites one bucket; the target has no exchange."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_buckets")
+    spark.sql("DROP TABLE IF EXISTS t_buckets.x")
+    name, keys = "t_buckets.x", ["symbol"]
+    base = spark.range(2000).selectExpr("concat('s', id) AS symbol", "CAST(id AS INT) AS v").unionByName(
+        spark.createDataFrame([(None, -1)], "symbol string, v int"))
+    sinks.upsert(spark, tmp_root, base, keys)
+    assert sinks.upsert_bucketed(spark, name, base, keys, buckets=16).count() == 2001
+    files = set(spark.table(name).inputFiles())
+    news = spark.createDataFrame([("s7", 70)], "symbol string, v int")
+    sinks.upsert_bucketed(spark, name, news, keys)
+    after = set(spark.table(name).inputFiles())
+    gone, came = files - after, after - files
+    assert len({f.split("_bucket=")[1].split("/")[0] for f in gone | came}) == 1 and len(gone) == 1
+    sinks.upsert(spark, tmp_root, news, keys)
+    news = spark.createDataFrame([("s8", 80), ("new", 1), (None, 2), ("s9", 90), ("odd", 1), ("odd", 2)], "symbol string, v int")
+    got = sinks.upsert_bucketed(spark, name, news, keys)
+    want = sinks.upsert(spark, tmp_root, news, keys)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    with pytest.raises(ValueError):
+        sinks.upsert_bucketed(spark, name, spark.createDataFrame([("s1", 5), ("s1", 6)], "symbol string, v int"), keys)
+    sinks.upsert_bucketed(spark, name, news.limit(0), keys)
+    assert sorted(map(str, spark.table(name).drop("_bucket").collect())) == sorted(map(str, want.collect()))
+
+
+def test_merged_buckets_do_not_exchange_the_target(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_buckets")
+    spark.sql("DROP TABLE IF EXISTS t_buckets.y")
+    base = spark.range(500).selectExpr("concat('s', id) AS symbol", "CAST(id AS INT) AS v")
+    sinks.upsert_bucketed(spark, "t_buckets.y", base, ["symbol"], buckets=16)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        source = base.limit(5).withColumn("_bucket", sinks._bucket_of(["symbol"], 16))
+        merged = sinks.merged_buckets(spark, "t_buckets.y", source, ["symbol"], [1, 2, 3], False)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    scan = next(i for i, x in enumerate(plan.splitlines()) if "FileScan" in x and "y[" in x and "SelectedBucketsCount" in x)
+    left = plan.splitlines()[:scan]
+    join = max(i for i, x in enumerate(left) if "Join" in x)
+    assert not any("Exchange" in x for x in left[join:]), plan
+    assert "PartitionFilters: [_bucket" in plan or "_bucket#" in plan.splitlines()[scan]
