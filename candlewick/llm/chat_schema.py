@@ -171,7 +171,7 @@ def records_of(rows: DataFrame) -> DataFrame:
     turns = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct(
         "turn", F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text")))).alias("t"))
-    roles = F.array_join("t.role", "\n")
+    said_by = lambda *names: F.col("t.role") == F.array(*map(F.lit, names))
     text = lambda i: F.get("t.text", F.lit(i))
     listed = F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("content")))
     said = F.transform("t", lambda x: F.struct(
@@ -179,11 +179,11 @@ def records_of(rows: DataFrame) -> DataFrame:
         x["text"].alias("value")))
     plain = F.size(F.filter("t", lambda x: x["role"].isin("human", "gpt"))) == 0
     pick = F.pmod(F.xxhash64("conv_id"), F.lit(3))
-    record = (F.when((roles == "user\nassistant") & (pick == 0), F.to_json(F.struct(
+    record = (F.when(said_by("user", "assistant") & (pick == 0), F.to_json(F.struct(
         text(0).alias("prompt"), text(1).alias("completion"))))
-        .when((roles == "user\nassistant") & (pick == 1), F.to_json(F.struct(
+        .when(said_by("user", "assistant") & (pick == 1), F.to_json(F.struct(
             text(0).alias("instruction"), text(1).alias("output"))))
-        .when((roles == "system\nuser\nassistant") & (pick != 2), F.to_json(F.struct(
+        .when(said_by("system", "user", "assistant") & (pick != 2), F.to_json(F.struct(
             text(0).alias("system"), text(1).alias("prompt"), text(2).alias("response"))))
         .when(plain & (pick == 1), F.to_json(F.struct(said.alias("conversations"))))
         .otherwise(F.to_json(F.struct(listed.alias("messages")))))

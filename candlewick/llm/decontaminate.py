@@ -4,11 +4,15 @@ The benchmark is the query set.  It is handled in blocks of a bounded number of
 which is small enough to broadcast; a larger benchmark means more blocks, never a larger one.
 For each block the corpus is read twice, in Arrow batches and without a shuffle of texts:
 
-1. count every n-gram of the block in all documents (a sum per gram, partial in each task);
-2. take as seeds the rarest share of each item's grams, find them in the documents and align the
-   item with the words around the seeds.
-
-Rarity is relative to the item, so an item that was copied a million times keeps its seeds.
+1. count every n-gram and every word of the block in all documents (a sum each, partial in each task);
+2. take as seeds the rarest share of each item's grams, and its rarest words, find them in the documents and
+   align the item with the words around the seeds.
+
+Rarity is relative to the item, so an item that was copied a million times keeps its seeds.  Seeds are word pairs: an
+alignment of at least half a perfect copy's score has at most a third of the words replaced or dropped, which
+leaves n / 3 - 1 pairs of n words intact; all but a quarter of the pairs are seeds, so from ten words on one of them
+is.  Words pushed in between can break every pair and still leave that score; the single words find those.
+A pair of item and document is dropped only by a bound of its whole score: the words it shares.
 """
 
 from __future__ import annotations
@@ -20,23 +24,25 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import staged
+from candlewick.llm.common import free_names, staged
 
-SEED_WORDS = 3
+SEED_WORDS = 2
 #: Share of an item's grams, rarest first (ties included), that are seeds.
 SEED_SHARE = 0.75
+#: Share of an item's words, rarest first, that are seeds of their own (two of them must meet), and the words
+#: an item needs for that: a word or two of a short one say nothing.
+WORD_SHARE, WORD_SEEDS_FROM = 0.25, 10
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Alignment score over that of a perfect copy, from which a document holds the item.
 MIN_SCORE = 0.5
-#: Words of benchmark text handled (collected, broadcast) at once, and of one aligned piece.
+#: Words of benchmark text handled (collected, broadcast) at once.
 BLOCK_WORDS = 1 << 20
-PIECE_WORDS = 512
 
 WORD = re.compile(r"\w+")
-PAIRS = "doc_id bigint, item_id bigint, score double, seeds bigint"
+PAIRS = "doc_id bigint, item_id bigint, score double, seeds bigint, key bigint"
 
 
 def words_of(text: str | None) -> list[str]:
@@ -59,7 +65,7 @@ def align(item: np.ndarray, window: np.ndarray) -> int:
 
 
 class Block:
-    """Items of a benchmark block, cut into pieces, with their n-grams as sorted integer keys.
+    """Items of a benchmark block, with their n-grams and words as sorted integer keys.
 
     Word numbers start at 1; 0 is a word the block does not have, and no gram holds it.  An item
     of fewer than ``n`` words is one gram of all its words.
@@ -71,15 +77,20 @@ class Block:
         self.length: Counter = Counter()
         for item, text in items:
             ids = np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in words_of(text)], np.int64)
+            if len(ids) and self.pieces and self.pieces[-1][0] == item:  # items come sorted: their texts in a row
+                self.pieces[-1] = item, np.concatenate([self.pieces[-1][1], ids])
+            elif len(ids):
+                self.pieces.append((item, ids))
             self.length[item] += len(ids)
-            self.pieces += [(item, ids[i:i + PIECE_WORDS]) for i in range(0, len(ids), PIECE_WORDS)]
         self.base = len(self.vocab) + 1
+        if self.base ** n >= 1 << 63:
+            raise ValueError(f"grams of {n} words of a block of {self.base} do not fit: take fewer, or smaller blocks")
         self.n = n
         grams: dict[int, list[tuple[int, int, int]]] = {}
         for p, (_, ids) in enumerate(self.pieces):
-            k = min(n, len(ids))
-            key = self.keys(ids, k)
-            grams.setdefault(k, []).extend((x, p, i) for i, x in enumerate(key.tolist()))
+            for k in {1, n} if len(ids) >= max(n, WORD_SEEDS_FROM) else {min(n, len(ids))}:
+                key = self.keys(ids, k)
+                grams.setdefault(k, []).extend((x, p, i) for i, x in enumerate(key.tolist()))
         #: by gram length: sorted keys, and the (key number, piece, position) of each occurrence
         self.grams: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for k, rows in grams.items():
@@ -88,8 +99,7 @@ class Block:
             self.grams[k] = keys, np.column_stack([number, at[:, 1:]])
 
     def keys(self, ids: np.ndarray, k: int) -> np.ndarray:
-        """Keys of all k-grams of ``ids`` (0 where a word is unknown); Python integers never
-        appear, as base**3 of a block's vocabulary fits 63 bits."""
+        """Keys of all k-grams of ``ids`` (0 where a word is unknown)."""
         m = max(0, len(ids) - k + 1)
         key, known = np.zeros(m, np.int64), np.ones(m, bool)
         for j in range(k):
@@ -107,47 +117,63 @@ class Block:
         hit = keys[np.minimum(num, len(keys) - 1)] == own[at]
         return at[hit], num[hit]
 
-    def rare(self, counts: dict[int, np.ndarray], share: float) -> None:
-        """Keep as seeds the grams of each piece whose corpus count is within its rarest share."""
+    def rare(self, counts: dict[int, np.ndarray], share: float, word_share: float = WORD_SHARE) -> None:
+        """Keep as seeds the grams of each item whose corpus count is within its rarest share (ties
+        included), and its rarest words (at least two; of ties, the first)."""
         self.seeds = {}
         for k, (keys, at) in self.grams.items():
             n = counts[k][at[:, 0]]
             keep = np.zeros(len(at), bool)
-            order = np.lexsort([n, at[:, 1]])
+            order = np.lexsort([at[:, 2], n, at[:, 1]])
             for own in np.split(order, np.flatnonzero(np.diff(at[order, 1])) + 1):
-                most = n[own[max(0, int(np.ceil(share * len(own))) - 1)]]
-                keep[own] = n[own] <= most
+                if k < min(self.n, len(self.pieces[at[own[0], 1]][1])):
+                    keep[own[:max(2, int(word_share * len(own)))]] = True
+                else:
+                    most = n[own[max(0, int(np.ceil(share * len(own))) - 1)]]
+                    keep[own] = n[own] <= most
             at = at[keep]
             start = np.searchsorted(at[:, 0], np.arange(len(keys) + 1))
             self.seeds[k] = at, start
 
-    def matches(self, ids: np.ndarray) -> list[tuple[int, int, int]]:
-        """(item, score, seeds) of one document's words, for items with a seed in it."""
-        where: dict[int, list[int]] = {}
+    def matches(self, ids: np.ndarray, min_score: float) -> list[tuple[int, int, int]]:
+        """(item, score, seeds) of one document's words, for the items with seeds in it whose score may reach
+        ``min_score`` of a perfect copy's."""
+        where: dict[int, list[tuple[int, int, int]]] = {}
         for k, (at, start) in self.seeds.items():
             for pos, num in zip(*(x.tolist() for x in self.find(ids, k))):
                 for _, piece, i in at[start[num]:start[num + 1]].tolist():
-                    where.setdefault(piece, []).append(pos - i)
-        score, seeds = Counter(), Counter()
-        for piece, begins in where.items():
+                    where.setdefault(piece, []).append((pos - i, k, i))
+        out = []
+        for piece, hits in where.items():
             item, own = self.pieces[piece]
-            slack = len(own) // 3 + 4
-            spans: list[list[int]] = []
-            for b in sorted(begins):
-                lo, hi = max(0, b - slack), min(len(ids), b + len(own) + slack)
+            gram = min(self.n, len(own))
+            slack = len(own) // 2 + 4
+            spans: list[list] = []
+            for begin, k, i in sorted(hits):
+                lo, hi = max(0, begin - slack), min(len(ids), begin + len(own) + slack)
                 if spans and lo <= spans[-1][1]:
                     spans[-1][1] = max(hi, spans[-1][1])
+                    spans[-1][2].add((k, i))
                 else:
-                    spans.append([lo, hi])
-            score[item] += max(self.aligned(own, ids[lo:hi]) for lo, hi in spans)
-            seeds[item] += len(begins)
-        return [(i, s, seeds[i]) for i, s in score.items()]
-
-    def aligned(self, own: np.ndarray, window: np.ndarray) -> int:
-        """Alignment score, or 0 when too few words are shared for a piece to count at all."""
-        if MATCH * np.isin(own, window).sum() < MIN_SCORE / 2 * MATCH * len(own):
-            return 0
-        return align(own, window)
+                    spans.append([lo, hi, {(k, i)}])
+            # a gram, or two different words
+            spans = [x for x in spans if len(x[2]) > 1 or next(iter(x[2]))[0] == gram]
+            best = max((self.aligned(own, ids[lo:hi], min_score) for lo, hi, _ in spans), default=0)
+            if best:
+                out.append((item, best, sum(k == gram for _, k, _ in hits)))
+        return out
+
+    def aligned(self, own: np.ndarray, window: np.ndarray, min_score: float) -> int:
+        """Alignment score, or 0 where the words they share bound it below ``min_score``."""
+        n = len(self.vocab) + 1
+        if len(own) > 64 and n < 1 << 20:
+            seen = np.zeros(n, bool)
+            seen[window] = True
+            shared = int(seen[own].sum())
+        else:
+            there = set(window.tolist())
+            shared = sum(x in there for x in own.tolist())
+        return align(own, window) if shared >= min_score * len(own) else 0
 
     def doc_words(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers of all texts, one unknown word after each, and the texts' bounds."""
@@ -183,14 +209,14 @@ def _match_batches(batches: Iterator[pa.RecordBatch], block, min_score: float) -
             hit[pos[start[num + 1] > start[num]]] = True
         out = []
         for d in np.unique(np.searchsorted(cuts, np.flatnonzero(hit), "right") - 1).tolist():
-            for item, score, seeds in own.matches(ids[cuts[d]:cuts[d + 1] - own.n]):
+            for item, score, seeds in own.matches(ids[cuts[d]:cuts[d + 1] - own.n], min_score):
                 score /= MATCH * own.length[item]
                 if score >= min_score:
-                    out.append((b.column(0)[d].as_py(), item, score, seeds))
+                    out.append((b.column(0)[d].as_py(), item, score, seeds, b.column(2)[d].as_py()))
         if out:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.float64(), pa.int64()))],
-                names=["doc_id", "item_id", "score", "seeds"])
+                [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()))],
+                names=["doc_id", "item_id", "score", "seeds", "key"])
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, seed_words: int = SEED_WORDS,
@@ -199,20 +225,32 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, seed_words: int =
     """``(doc_id, item_id, score, seeds)``: documents that hold a benchmark item, whole or edited.
 
     ``score`` is the best local alignment of the item's words (lower case, runs of word characters)
-    over the score of a perfect copy; pairs of at least ``min_score`` are returned.  Items longer
-    than PIECE_WORDS are aligned piece by piece and the scores added.  Defined cases: null and
+    over the score of a perfect copy; pairs of at least ``min_score`` are returned; an item of any
+    length is aligned whole.  Defined cases: null and
     wordless texts and items without an id match nothing; items with equal text match alike;
     rows of the benchmark that repeat count once, an item_id with several texts is their
     concatenation in text order; repeated documents are answered each; an empty table on
     either side gives no pairs; other columns are ignored.
     """
+    return _keyed_pairs(docs, benchmark, seed_words, seed_share, min_score, block_words).drop("key")
+
+
+def _row_key(docs: DataFrame) -> Column:
+    """Rows of equal key have equal doc_id and text, so equal matches."""
+    return F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+
+
+def _keyed_pairs(docs: DataFrame, benchmark: DataFrame, seed_words: int, seed_share: float, min_score: float,
+                 block_words: int) -> DataFrame:
+    """:func:`contaminated_pairs` with the key of the row."""
     spark = docs.sparkSession
     items = (benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text")
              .filter("item_id IS NOT NULL AND text IS NOT NULL").distinct())
     size = F.size(F.split("text", r"\W+"))
     total = items.agg(F.sum(size)).first()[0] or 0
     blocks = max(1, -(-total // block_words))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"),
+                        _row_key(docs).alias("key"))
     found = []
     for i in range(blocks):
         own = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == i).sort("item_id", "text")
@@ -238,9 +276,11 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, seed_words: int =
     return out
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item (rows without a doc_id stay: a
-    pair cannot name them)."""
-    bad = staged(contaminated_pairs(docs, benchmark, **options).filter("doc_id IS NOT NULL")
-                 .select(F.col("doc_id").alias("__bad")).distinct(), "contaminated")
-    return docs.join(bad, docs["doc_id"] == bad["__bad"], "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, seed_words: int = SEED_WORDS,
+                      seed_share: float = SEED_SHARE, min_score: float = MIN_SCORE,
+                      block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``docs`` without the rows whose text holds a benchmark item (with or without a doc_id)."""
+    bad, = free_names(docs, "__bad")
+    keys = staged(_keyed_pairs(docs, benchmark, seed_words, seed_share, min_score, block_words)
+                  .select(F.col("key").alias(bad)).distinct(), "contaminated")
+    return docs.join(keys, _row_key(docs) == keys[bad], "left_anti")

@@ -5,6 +5,8 @@ a bootstrap in the manner of pattern-based extraction:
 
 * a *pattern* is the pair of lexical units (words or single signs) right before an instance;
 * an *instance* is a base match, or an identifier-like string (6 signs, 3 digits or more);
+* *seeds* are the base matches and the strings that have the shape of a secret (key numbers with a known
+  prefix, long runs of hexadecimal digits), which count as identifiers by themselves;
 * Spark scores the bipartite graph in rounds: a pattern's confidence is the score of what fills its
   slot over all its occurrences in the corpus (ordinary words count as misses), an instance's
   score is the noisy-or of its confident patterns; seeds stay at 1.  Scores only rise, and the
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -45,10 +48,14 @@ DIGITS = re.compile(r"[0-9]+")
 TOKEN = re.compile(r"[A-Za-z0-9@._:/+#-]+")
 TOKEN_END = re.compile(r"[A-Za-z0-9@._:/+#-]*")
 UNIT = re.compile(r"[^\W\d_]+|[\d_]+|[^\w\s]")
+#: Shapes of secrets (fixed values of public formats): access key numbers, access tokens, hexadecimal digests.
+KEY_PREFIXES = ("AKIA", "ASIA")
+KEY = re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])")
+SECRET = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|[0-9a-f]{16,}|[0-9A-F]{16,}")
 LEFT_SIGNS = 80
 
 SCAN = ("doc_id bigint, key bigint, n array<bigint>, base array<string>, seeds array<struct<instance:string,pattern:string>>, "
-        "others array<struct<start:int,stop:int,instance:string,pattern:string>>")
+        "others array<struct<start:int,stop:int,instance:string,pattern:string,secret:boolean>>")
 
 
 def luhn(digits: str) -> bool:
@@ -129,16 +136,33 @@ def name_of(instance: str) -> str:
     return "sha256:" + hashlib.sha256(instance.encode("utf-8", "surrogatepass")).hexdigest()
 
 
+def is_secret(instance: str) -> bool:
+    """The string has the shape of a secret; of hexadecimal digits, both letters and figures must be there."""
+    return (SECRET.fullmatch(instance) is not None
+            and sum(c.isdigit() for c in instance) < len(instance) - 2)
+
+
 def scan_text(t: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
+    """Base spans, and the places of identifier-like strings (key numbers need no figures)."""
     base = base_spans(t)
-    return base, list(identifier_like(t, [(a, b) for _, a, b in base]))
+    taken = [(a, b) for _, a, b in base]
+    like = list(identifier_like(t, taken))
+    if any(x in t for x in KEY_PREFIXES):
+        taken = sorted(taken + like)
+        starts = [a for a, _ in taken]
+        for m in KEY.finditer(t):
+            i = bisect_right(starts, m.start())
+            if (not i or taken[i - 1][1] <= m.start()) and (i == len(taken) or m.end() <= taken[i][0]):
+                like.append(m.span())
+        like.sort()
+    return base, like
 
 
 def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()),
              pa.list_(pa.struct([("instance", pa.string()), ("pattern", pa.string())])),
              pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()),
-                                 ("instance", pa.string()), ("pattern", pa.string())]))]
+                                 ("instance", pa.string()), ("pattern", pa.string()), ("secret", pa.bool_())]))]
     for b in batches:
         n, base, seeds, others = [], [], [], []
         for t in b.column(2).to_pylist():
@@ -146,8 +170,8 @@ def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             n.append([sum(k == i for k, _, _ in found) for i in range(len(KINDS))])
             base.append([f"{KINDS[k]}:{x}:{y}" for k, x, y in found])
             seeds.append([{"instance": t[x:y], "pattern": pattern_before(t, x)} for _, x, y in found])
-            others.append([{"start": x, "stop": y, "instance": name_of(t[x:y]), "pattern": pattern_before(t, x)}
-                           for x, y in like])
+            others.append([{"start": x, "stop": y, "instance": name_of(t[x:y]), "pattern": pattern_before(t, x),
+                            "secret": is_secret(t[x:y])} for x, y in like])
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip((b.column(0).to_pylist(), b.column(1).to_pylist(), n, base, seeds, others),
                                             types)],
@@ -214,12 +238,12 @@ def pattern_totals(docs: DataFrame, patterns: DataFrame, block: int = BLOCK_PATT
 def discovered(docs: DataFrame, scanned: DataFrame, min_support: int = MIN_SUPPORT,
                min_confidence: float = MIN_CONFIDENCE, min_score: float = MIN_SCORE,
                max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """``(instance, score)``: identifier-like strings that patterns of the seeds vouch for.  Raises if
-    scores still rise after ``max_rounds``."""
+    """``(instance, score)``: identifier-like strings, no seeds, that patterns of the seeds vouch for.  Raises
+    if scores still rise after ``max_rounds``."""
     spark = docs.sparkSession
     slot = (scanned.select(F.explode("seeds").alias("e")).select("e.pattern", "e.instance", F.lit(True).alias("seed"))
             .unionByName(scanned.select(F.explode("others").alias("e"))
-                         .select("e.pattern", "e.instance", F.lit(False).alias("seed"))))
+                         .select("e.pattern", "e.instance", F.col("e.secret").alias("seed"))))
     slot = slot.filter(F.col("pattern").contains(" "))  # the beginning of a text is no context
     edges = slot.groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed"))
     wide = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("width"), F.max(~F.col("seed")).alias("open"),
@@ -257,14 +281,15 @@ def personal_data(docs: DataFrame, **options) -> DataFrame:
     """Per row of ``docs(doc_id, text, ...)``: counts and spans of the base kinds, and all spans.
 
     Columns: doc_id, n (one count per base kind), base and spans (arrays of ``kind:start:end``, code
-    points, end exclusive, by kind as listed, then start).  Defined cases: a null text is empty; repeated rows
+    points, end exclusive, by kind as listed, then start; ``id`` for secrets and discovered identifiers).  Defined cases: a null text is empty; repeated rows
     are answered each; a null doc_id stays null; an empty table gives no rows; other columns
     are ignored; a text of any length is scanned whole, in linear time.
     """
     rows = staged(scan(docs), "pii-scan")
     found = discovered(docs, rows, **options)
-    more = (rows.select("key", F.explode("others").alias("e")).select("key", "e.*")
-            .join(found.select("instance"), "instance")
+    like = rows.select("key", F.explode("others").alias("e")).select("key", "e.*")
+    more = (like.filter("secret").select("key", "start", "stop")
+            .unionByName(like.filter("NOT secret").join(found.select("instance"), "instance").select("key", "start", "stop"))
             .groupBy("key").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("ids")))
     text = F.transform(F.coalesce("ids", F.expr("CAST(array() AS array<struct<start:int,stop:int>>)")),
                        lambda e: F.concat(F.lit(f"{FOUND}:"), e["start"], F.lit(":"), e["stop"]))
@@ -286,7 +311,7 @@ def _redact(t: str | None, known: set[str]) -> str | None:
         return None
     base, like = scan_text(t)
     spans = [(KINDS[k], a, b) for k, a, b in base]
-    spans += [(FOUND, a, b) for a, b in like if name_of(t[a:b]) in known]
+    spans += [(FOUND, a, b) for a, b in like if is_secret(t[a:b]) or name_of(t[a:b]) in known]
     return redacted(t, spans) if spans else t
 
 

@@ -108,3 +108,19 @@ def test_field_paths_do_not_need_the_values(spark):
     small = spark.range(1).select(C.emptied(F.to_json(F.struct(F.array_repeat(F.struct(
         F.lit("user").alias("role"), F.lit("x\"y").alias("content")), 300_000).alias("messages")))).alias("x")).first().x
     assert small == '{"messages":[{"role":"","content":""}]}'
+
+
+def test_odd_roles_take_no_others_layout(spark):
+    """A role that holds a line break, or looks like several roles, is one turn's role."""
+    prepare(spark)
+    rows = [(i, 0, role, f"text {i}") for i, role in enumerate(
+        ["user\nassistant", "system\nuser\nassistant", "", None, "\n", "user\nassistant", "user\nassistant"])]
+    rows += [(20, 0, "system\nuser", "a"), (20, 1, "assistant", "b"), (21, 0, "user", "a"), (21, 1, "assistant", "b")]
+    got = {r.conv_id: r for r in C.conversations_digest(
+        spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).collect()}
+    assert len(got) == 9 and [got[i].n_turns for i in (0, 1, 20, 21)] == [1, 1, 2, 2]
+    import hashlib
+    for i in (0, 1, 5, 6):
+        said = f"{rows[i][2]}\ntext {i}\n"
+        assert got[i].turns_sha256 == hashlib.sha256(said.encode()).hexdigest() and got[i].loss_chars == 0
+    assert got[20].loss_chars == got[21].loss_chars == 1

@@ -67,8 +67,7 @@ def test_pairs_match_brute_force(spark, case, block_words):
     number: dict[str, int] = {}
     num = lambda ws: [number.setdefault(w, len(number)) for w in D.words_of(" ".join(ws))]
     for (d, i), score in got.items():
-        if len(item[i]) <= D.PIECE_WORDS:
-            assert score == pytest.approx(slow_align(num(item[i]), num(docs[d])) / (2 * len(item[i])), abs=0.03)
+        assert score == pytest.approx(D.align(np.array(num(item[i])), np.array(num(docs[d]))) / (2 * len(item[i])), abs=1e-9)
     for d in range(8, 60):
         for i in range(12):
             assert slow_align(num(item[i]), num(docs[d])) / (2 * len(item[i])) < D.MIN_SCORE or (d, i) in planted
@@ -92,3 +91,46 @@ def test_dropping_and_empty_tables(spark, case):
     assert D.contaminated_pairs(d, i.limit(0)).collect() == []
     assert D.contaminated_pairs(d.limit(0), i).collect() == []
     assert D.drop_contaminated(d, i.limit(0)).count() == d.count()
+
+
+def edited(words, how, rng):
+    """A third of the words replaced at random, every third one, or a word pushed in after every word but the last."""
+    if how == "random":
+        return [w if rng.random() >= 1 / 3 else f"new{rng.randrange(9)}" for w in words]
+    if how == "regular":
+        return [w if i % 3 != 2 else f"new{rng.randrange(9)}" for i, w in enumerate(words)]
+    return [x for i, w in enumerate(words) for x in ((w, f"new{rng.randrange(9)}") if i + 1 < len(words) else (w,))]
+
+
+@pytest.mark.parametrize("how", ["random", "regular", "pushed"])
+def test_recall_of_heavy_edits_against_full_alignment(spark, how):
+    """All pairs that the whole alignment of item and document puts at MIN_SCORE or more; long items too."""
+    prepare(spark)
+    rng = random.Random(how)
+    vocab = [f"w{i}" for i in range(900)] + ["the", "of", "and"] * 90
+    item = {i: rng.choices(vocab, k=n) for i, n in enumerate([12, 15, 20, 30, 45, 60, 60, 90, 150, 600, 2000] * 2)}
+    docs = {}
+    for i, words in item.items():
+        docs[i] = rng.choices(vocab, k=rng.randrange(60)) + edited(words, how, rng) + rng.choices(vocab, k=rng.randrange(60))
+    got = {(r.doc_id, r.item_id): r.score for r in D.contaminated_pairs(*frames(spark, docs, item)).collect()}
+    number: dict[str, int] = {}
+    num = lambda ws: np.array([number.setdefault(w, len(number)) for w in ws])
+    full = {(i, i): D.align(num(item[i]), num(docs[i])) / (2 * len(item[i])) for i in item}
+    want = {p for p, s in full.items() if s >= D.MIN_SCORE}
+    assert len(want) > (8 if how == "random" else 20)
+    assert len(want & set(got)) >= 0.95 * len(want)
+    assert all(got[p] == pytest.approx(full[p], abs=1e-9) for p in want & set(got))
+    assert set(got) <= want
+
+
+def test_rows_without_an_id_are_dropped_too(spark):
+    prepare(spark)
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(None, text, "a"), (None, "clean", "b"), (1, text, "c"), (1, "clean too", "d"), (2, None, "e")], DOCS)
+    items = spark.createDataFrame([(7, text, "")], ITEMS)
+    assert sorted(r[2] for r in D.drop_contaminated(docs, items).collect()) == ["b", "d", "e"]
+
+
+def test_grams_that_do_not_fit_are_an_error():
+    with pytest.raises(ValueError, match="do not fit"):
+        D.Block([(1, " ".join(f"w{i}" for i in range(3000)))], 6)
