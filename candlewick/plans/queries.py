@@ -108,7 +108,7 @@ def q_trades_enriched(spark, sf_dir):
 
 @register("price_changes")
 def q_price_changes(spark, sf_dir):
-    """F-1 tick-to-tick change (chunked lag)."""
+    """F-1 tick-to-tick change (lag in ranges, with carry)."""
     return windows.price_changes(stg_trades(spark, sf_dir))
 
 

@@ -42,3 +42,38 @@ def test_pct_null_when_prev_zero(spark):
     df = _df(spark, [("A", 0.0, t, t.date()), ("A", 2.0, t + dt.timedelta(hours=2), t.date())])
     r = [x for x in windows.price_changes(df).collect() if x.price == 2.0][0]
     assert r.price_change_pct is None and r.price_change_abs == 2.0
+
+
+def _tied_trades(seed, n=240):
+    """Null and tied times, null prices, one coin with most trades in one hour."""
+    rnd = random.Random(seed)
+    t0 = dt.datetime(2024, 1, 1)
+    out = []
+    for i in range(n):
+        ts = None if rnd.random() < 0.05 else t0 + dt.timedelta(seconds=rnd.randint(0, 60))
+        out.append(("A" if rnd.random() < .8 else rnd.choice("BC"), None if rnd.random() < 0.05 else float(i), ts,
+                    t0.date(), i))
+    return out
+
+
+def test_ranges_equal_plain_with_ties_and_null_times(spark):
+    for seed, parts in ((1, 1), (2, 7), (3, 40)):
+        df = spark.createDataFrame(_tied_trades(seed), "coin_symbol string, price double, trade_timestamp timestamp_ntz, "
+                                                       "trade_date date, seq int").repartition(5)
+        for method in ("ranges", "chunked"):
+            a = windows.price_changes(df, ["seq"], method=method, parts=parts)
+            b = windows.price_changes(df, ["seq"], method="plain")
+            assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+def test_a_hot_hour_spreads_over_all_ranges(spark):
+    """One coin has all its trades at one time: no range holds more than its share."""
+    from pyspark.sql import functions as F
+    df = spark.range(40_000, numPartitions=4).select(
+        F.lit("A").alias("coin_symbol"), F.col("id").cast("double").alias("price"),
+        F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("trade_timestamp"), F.lit(dt.date(2024, 1, 1)).alias("trade_date"))
+    sizes = [r["count"] for r in windows._in_ranges(df, [F.col("trade_timestamp").asc_nulls_last()], 8).groupBy("_b").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 40_000 / 8
+    got = windows.price_changes(df, parts=8)
+    assert got.count() == 40_000 and got.filter("prev_price IS NULL").count() == 1
+    assert got.select("prev_price").distinct().count() == 40_000
