@@ -15,6 +15,7 @@ import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,14 @@ ENDS_P = BLOCK - {"button", "option", "optgroup", "legend", "summary", "caption"
 LISTS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"},
          "option": {"select"}, "tbody": {"table"}}
 
+#: Elements whose content is skipped, but that do not take the rest of a page with them when they stay open.
+NESTED = frozenset("svg template noscript".split())
+
+#: Comments, declarations and tags.  A quote opens a value only right after the equals sign; elsewhere, also in a
+#: value without quotes, it is a sign like any other.
 PIECE = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)(?:>|\Z)""", re.S)
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"""
+    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?)*+)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAME = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
@@ -113,8 +120,8 @@ def blocks_of(page: str | None) -> list[Block]:
                     flush()
             continue
         if tag in RAW:
-            end = re.compile(f"</{tag}(?=[\\s/>])[^>]*>?", re.I).search(text, at)
-            at = end.end() if end else len(text)
+            if not (tag == "svg" and m.group(3).rstrip().endswith("/")):
+                at = _skipped(text, tag, at)
             continue
         if tag == "br":
             parts.append(" ")
@@ -132,6 +139,25 @@ def blocks_of(page: str | None) -> list[Block]:
     return out
 
 
+@lru_cache(maxsize=64)
+def _tags_of(tag: str) -> re.Pattern:
+    return re.compile(f"<(/?){tag}(?=[\\s/>])[^>]*>?", re.I)
+
+
+def _skipped(text: str, tag: str, at: int) -> int:
+    """Where the content of the raw element ``tag`` that begins at ``at`` ends: after its own end tag (NESTED ones may
+    hold their like); without one, at the end of the page, or of NESTED ones at once."""
+    depth = 1
+    for m in _tags_of(tag).finditer(text, at):
+        if m.group(1):
+            depth -= 1
+        elif tag in NESTED and not m.group().rstrip(">").rstrip().endswith("/"):
+            depth += 1
+        if not depth:
+            return m.end()
+    return at if tag in NESTED else len(text)
+
+
 def _close(stack, tags: set[str], until: set[str] | frozenset[str], pop_to) -> None:
     """End the outermost open element of ``tags`` inside the nearest one of ``until``."""
     found = None

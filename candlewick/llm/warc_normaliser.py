@@ -196,7 +196,8 @@ def _write_batches(batches: Iterator[pa.RecordBatch], root: str, archive_bytes:
     for b in batches:
         for row in zip(*(c.to_pylist() for c in b.columns)):
             if out is None:
-                name, size = f"part-{part:05d}-{len(done):05d}.warc.gz", 0
+                # An attempt's own names: one that ends late, or runs beside another, replaces nothing.
+                name, size = f"part-{part:05d}-{attempt}-{len(done):05d}.warc.gz", 0
                 temp = f"{base}/_{attempt}-{name}"
                 out, engine = fs.open_output_stream(temp, compression=None), zlib.compressobj(WHOLE_LEVEL, zlib.DEFLATED, GZIP)
             data = record(*row)
@@ -214,9 +215,10 @@ def _normalise_batches(batches: Iterator[pa.RecordBatch], raw: str, root: str, i
     attempt = TaskContext.get().taskAttemptId()
     for b in batches:
         files, counts = b.column(0).to_pylist(), []
-        for name in files:
-            n, temps = 0, (f"{dst}/_{attempt}-{name}", f"{idx}/_{attempt}-{name}.json")
-            with fs.open_input_stream(f"{src}/{name}", compression=None) as source, \
+        for i, file in enumerate(files):
+            name = files[i] = f"{file.removesuffix('.warc.gz')}-{attempt}.warc.gz"
+            n, temps = 0, (f"{dst}/_{name}", f"{idx}/_{name}.json")
+            with fs.open_input_stream(f"{src}/{file}", compression=None) as source, \
                     fs.open_output_stream(temps[0], compression=None) as sink, \
                     fs.open_output_stream(temps[1], compression=None) as side:
                 for entry in normalise_stream(source, sink):
@@ -274,8 +276,8 @@ def write_monolithic(pages: DataFrame, root: str, archive_bytes: int = ARCHIVE_B
 
 
 def normalise(files: DataFrame, raw: str, root: str, index: str) -> DataFrame:
-    """Normalise the archives ``files(file)`` of ``raw`` into ``root``, with sidecars in ``index``;
-    returns (file, records)."""
+    """Normalise the archives ``files(file)`` of ``raw`` into ``root``, with sidecars in ``index``; returns
+    (file, records) of the archives that committed attempts wrote (others may have left theirs beside them)."""
     for x in (root, index):
         fs, base = _file_system(x)
         fs.create_dir(base, recursive=True)
@@ -300,5 +302,5 @@ def archive_pages(pages: DataFrame, root: str | None = None) -> DataFrame:
     spark = pages.sparkSession
     root = root or scratch_path(spark, "warc")
     raw, done, index = f"{root}/whole", f"{root}/records", f"{root}/index"
-    normalise(write_monolithic(pages, raw), raw, done, index)
-    return read_index(spark.read.schema(INDEX).json(index), done)
+    files = normalise(write_monolithic(pages, raw), raw, done, index)
+    return read_index(spark.read.schema(INDEX).json(index).join(files.select("file"), "file"), done)

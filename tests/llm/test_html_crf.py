@@ -112,3 +112,18 @@ def test_the_sample_is_bounded_and_never_empty(spark):
         assert len(got) == len(set(got)) == 5 and all(x.startswith(("text", "again")) for x in got)
         assert got == H.sample_texts(df.repartition(2), 5)
     assert len(H.sample_texts(df, 1000)) == 301
+
+
+@pytest.mark.parametrize("page,texts", [
+    ('<p>a</p><svg class="i"/><p>kept</p>', ["a", "kept"]),
+    ('<p>a</p><svg class="i"><text>no</text><p>kept</p>', ["a", "no", "kept"]),
+    ('<p>a</p><svg><g><svg/><svg>no</svg>no</g></svg><p>kept</p>', ["a", "kept"]),
+    ("<p><a onclick=don't>link</a> more</p>", ["link more"]),
+    ('<p title=a"b>one</p><p title="a>b" x=\'c>d\'>two</p><p a"b>three</p>', ["one", "two", "three"]),
+    ("<template>x<template>y</template>no</template><p>kept</p>", ["kept"]),
+    ("<template><p>kept</p>", ["kept"]),
+    ("<noscript><p>kept", ["kept"]),
+    ("<p>a</p><script>if (a < b) '<p>no</p>'</script><p>kept</p><script>var open = 1", ["a", "kept"]),
+])
+def test_tags_end_where_html_ends_them(page, texts):
+    assert [b.text for b in H.blocks_of(page)] == texts

@@ -55,11 +55,12 @@ def test_members_offsets_and_rolling(spark):
     for name in sorted(os.listdir(raw)):
         if not name.endswith(".warc.gz"):
             continue
-        whole, members = (open(f"{d}/{name}", "rb").read() for d in (raw, done))
+        own, = (x for x in os.listdir(done) if x.startswith(name.removesuffix(".warc.gz")))  # and its attempt
+        whole, members = open(f"{raw}/{name}", "rb").read(), open(f"{done}/{own}", "rb").read()
         one = zlib.decompressobj(31)
         assert one.decompress(whole) == gzip.decompress(members) and one.eof and not one.unused_data
         end = 0
-        for line in open(f"{index}/{name}.json"):
+        for line in open(f"{index}/{own}.json"):
             e = json.loads(line)
             assert e["offset"] == end
             end += e["length"]
@@ -79,3 +80,23 @@ def test_streams_of_members_long_records_and_damage():
             list(W.normalise_stream(io.BytesIO(data[:-30]), io.BytesIO()))
     with pytest.raises(ValueError):
         W.read_record(recs[1].replace(b"x" * 10, b"x" * 9 + b"y"))
+
+
+def test_files_of_other_attempts_change_nothing(spark, tmp_root, monkeypatch):
+    """A late or speculative attempt leaves whole archives and sidecars beside the committed ones."""
+    prepare(spark)
+    rows = [(i, f"http://x/{i}", f"<p>page {i}</p>" * 20) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    normalise = W.normalise
+
+    def twice(files, raw, root, index):
+        normalise(files.limit(1), raw, root, index)  # an attempt whose result nobody takes
+        return normalise(files, raw, root, index)
+
+    monkeypatch.setattr(W, "normalise", twice)
+    W.write_monolithic(pages.limit(7), f"{tmp_root}/whole")  # another attempt's archives
+    got = W.archive_pages(pages, tmp_root).collect()
+    assert sorted(r.page_id for r in got) == list(range(40))
+    import os
+    from candlewick.session import local_fs_path
+    assert len(os.listdir(local_fs_path(f"{tmp_root}/index"))) > spark.read.json(f"{tmp_root}/index").select("file").distinct().count() - 1
