@@ -83,6 +83,11 @@ class Block:
                 self.pieces.append((item, ids))
             self.length[item] += len(ids)
         self.base = len(self.vocab) + 1
+        #: all pieces' words in a row, where each piece starts, and a mark for each word
+        self.sizes = np.array([len(ids) for _, ids in self.pieces], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.concatenate([ids for _, ids in self.pieces] or [np.zeros(0, np.int64)])
+        self.seen = np.zeros(self.base, bool)
         if self.base ** n >= 1 << 63:
             raise ValueError(f"grams of {n} words of a block of {self.base} do not fit: take fewer, or smaller blocks")
         self.n = n
@@ -135,21 +140,39 @@ class Block:
             start = np.searchsorted(at[:, 0], np.arange(len(keys) + 1))
             self.seeds[k] = at, start
 
-    def matches(self, ids: np.ndarray, min_score: float) -> list[tuple[int, int, int]]:
-        """(item, score, seeds) of one document's words, for the items with seeds in it whose score may reach
-        ``min_score`` of a perfect copy's."""
-        where: dict[int, list[tuple[int, int, int]]] = {}
-        for k, (at, start) in self.seeds.items():
-            for pos, num in zip(*(x.tolist() for x in self.find(ids, k))):
-                for _, piece, i in at[start[num]:start[num + 1]].tolist():
-                    where.setdefault(piece, []).append((pos - i, k, i))
+    def hits(self, pos: np.ndarray, num: np.ndarray, k: int) -> np.ndarray:
+        """(position, piece, place in the piece, k) for every seed that the k-grams ``num`` at ``pos`` are, as rows."""
+        at, start = self.seeds[k]
+        many = start[num + 1] - start[num]
+        row = np.repeat(start[num] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        return np.column_stack([np.repeat(pos, many), at[row, 1:], np.full(len(row), k)])
+
+    def candidates(self, ids: np.ndarray, found: np.ndarray, min_score: float) -> Iterator[tuple[int, np.ndarray]]:
+        """(piece, its rows of ``found``) of one document, for the pieces whose score may reach ``min_score``: all of
+        the words that a piece and its alignment share are words of the document."""
+        found = found[np.lexsort([found[:, 2], found[:, 3], found[:, 0] - found[:, 2], found[:, 1]])]
+        edges = np.flatnonzero(np.diff(found[:, 1], prepend=-1, append=-1))
+        piece, size = found[edges[:-1], 1], self.sizes
+        self.seen[ids] = True
+        self.seen[0] = False
+        own, many = size[piece], size[piece]
+        first = np.cumsum(many) - many
+        flat = np.repeat(self.starts[piece] - first, many) + np.arange(many.sum())
+        shared = np.add.reduceat(self.seen[self.flat[flat]], first, dtype=np.int64)
+        self.seen[ids] = False
+        for x in np.flatnonzero(shared >= min_score * own).tolist():
+            yield int(piece[x]), found[edges[x]:edges[x + 1]]
+
+    def matches(self, ids: np.ndarray, found: np.ndarray, min_score: float) -> list[tuple[int, int, int]]:
+        """(item, score, seeds) of one document's words with the seeds ``found`` in it, for the items whose score may
+        reach ``min_score`` of a perfect copy's."""
         out = []
-        for piece, hits in where.items():
+        for piece, rows in self.candidates(ids, found, min_score):
             item, own = self.pieces[piece]
             gram = min(self.n, len(own))
             slack = len(own) // 2 + 4
             spans: list[list] = []
-            for begin, k, i in sorted(hits):
+            for begin, k, i in zip((rows[:, 0] - rows[:, 2]).tolist(), rows[:, 3].tolist(), rows[:, 2].tolist()):
                 lo, hi = max(0, begin - slack), min(len(ids), begin + len(own) + slack)
                 if spans and lo <= spans[-1][1]:
                     spans[-1][1] = max(hi, spans[-1][1])
@@ -160,7 +183,7 @@ class Block:
             spans = [x for x in spans if len(x[2]) > 1 or next(iter(x[2]))[0] == gram]
             best = max((self.aligned(own, ids[lo:hi], min_score) for lo, hi, _ in spans), default=0)
             if best:
-                out.append((item, best, sum(k == gram for _, k, _ in hits)))
+                out.append((item, best, int((rows[:, 3] == gram).sum())))
         return out
 
     def aligned(self, own: np.ndarray, window: np.ndarray, min_score: float) -> int:
@@ -203,13 +226,20 @@ def _match_batches(batches: Iterator[pa.RecordBatch], block, min_score: float) -
     own = block.value
     for b in batches:
         ids, cuts = own.doc_words(b.column(1).to_pylist())
-        hit = np.zeros(len(ids), bool)
-        for k, (at, start) in own.seeds.items():
-            pos, num = own.find(ids, k)
-            hit[pos[start[num + 1] > start[num]]] = True
+        # where seeds are: (position, gram number) by gram length, in the texts' order
+        places = {k: own.find(ids, k) for k in own.seeds}
+        at = {}
+        for k, (pos, num) in places.items():
+            start = own.seeds[k][1]
+            hit = start[num + 1] > start[num]
+            pos, num = pos[hit], num[hit]
+            at[k] = pos, num, np.searchsorted(pos, cuts)
+        some = sum(np.diff(edge) for _, _, edge in at.values())
         out = []
-        for d in np.unique(np.searchsorted(cuts, np.flatnonzero(hit), "right") - 1).tolist():
-            for item, score, seeds in own.matches(ids[cuts[d]:cuts[d + 1] - own.n], min_score):
+        for d in np.flatnonzero(some).tolist():
+            found = np.concatenate([own.hits(pos[edge[d]:edge[d + 1]] - cuts[d], num[edge[d]:edge[d + 1]], k)
+                                    for k, (pos, num, edge) in at.items()])
+            for item, score, seeds in own.matches(ids[cuts[d]:cuts[d + 1] - own.n], found, min_score):
                 score /= MATCH * own.length[item]
                 if score >= min_score:
                     out.append((b.column(0)[d].as_py(), item, score, seeds, b.column(2)[d].as_py()))
