@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import staged
+from candlewick.llm.common import free_names, staged, staged_with
 from candlewick.llm.components import star_components
 
 SHINGLE_WORDS = 4
@@ -38,6 +38,8 @@ SEED = 42
 TREE_SIZE = 1 << 14
 FRONTIER = 1 << 21
 HASH_CHUNK = 1 << 14
+#: Labels with more than this part of all distinct fingerprints (fewer than that many) are joined by a broadcast.
+LARGE_LABELS = 1_000
 LINKS = "u bigint, v bigint"
 
 
@@ -65,13 +67,18 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Ite
     for b in batches:
         got = [fingerprint(t, shingle) for t in b.column(1).cast(pa.binary()).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(np.array(got, np.uint64).view(np.int64))], names=["doc_id", "fp"])
+            [b.column(0), pa.array(np.array(got, np.uint64).view(np.int64)), b.column(2)], names=["doc_id", "fp", "text_hash"])
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.col("text").cast("string"))
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """``(doc_id bigint, fp bigint)`` for every row; null and wordless texts: 0."""
-    return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"))
-            .mapInArrow(partial(_fingerprint_batches, shingle=shingle), "doc_id bigint, fp bigint"))
+    """``(doc_id bigint, fp bigint, text_hash bigint)`` for every row; null and wordless texts: fp 0."""
+    return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"),
+                        _text_hash().alias("text_hash"))
+            .mapInArrow(partial(_fingerprint_batches, shingle=shingle), "doc_id bigint, fp bigint, text_hash bigint"))
 
 
 def _bands(fp: Column, max_bits: int) -> Column:
@@ -256,14 +263,30 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS,
     component (a component of null ids only has a null id); an empty table gives none;
     other columns are ignored.
     """
+    fps, node, comp, large = _components(docs, shingle, max_bits, tree_size)
+    comp = comp.select("label", F.col("least.doc_id").alias("component_id"), "n")
+    own = F.broadcast(comp.filter(F.col("n") > large).select("label", "component_id"))
+    named = (node.join(own, "label").select("fp", "component_id").unionByName(
+        node.join(own, "label", "left_anti").join(comp.filter(F.col("n") <= large), "label")
+        .select("fp", "component_id")))
+    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def _components(docs: DataFrame, shingle: int, max_bits: int,
+                tree_size: int) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """Fingerprints, their labels ``(fp, least, label)``, the labels' smallest rows ``(label, least, n)``, and the
+    number of fingerprints beyond which a label is large (fewer than LARGE_LABELS labels are)."""
     fps = staged(fingerprints(docs, shingle), "simhash-fp")
-    rep = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    row = F.struct("doc_id", F.col("fp").alias("own"), "text_hash")
+    rep = fps.groupBy("fp").agg(F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), row)), F.min(row)).alias("least"))
     star = star_components(links(fps, max_bits, tree_size))
-    node = (rep.join(star.select(F.col("u").alias("fp"), "v"), "fp", "left")
-            .select("fp", "least", F.coalesce("v", "fp").alias("label")))
-    comp = node.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = node.join(comp, "label").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    node, seen = staged_with(
+        rep.join(star.select(F.col("u").alias("fp"), "v"), "fp", "left")
+        .select("fp", "least", F.coalesce("v", "fp").alias("label")), "simhash-labels", n=F.count(F.lit(1)))
+    some = F.when(F.col("least.doc_id").isNotNull(), F.col("least"))
+    comp = staged(node.groupBy("label").agg(F.coalesce(F.min(some), F.min("least")).alias("least"),
+                                            F.count(F.lit(1)).alias("n")), "simhash-components")
+    return fps, node, comp, (seen.get("n") or 0) // LARGE_LABELS
 
 
 def hex_fingerprint(fp: Column) -> Column:
@@ -272,11 +295,17 @@ def hex_fingerprint(fp: Column) -> Column:
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS,
                          max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each component: the one its component is named by (rows
-    repeating its doc_id: one of them).  Rows without a doc_id are kept: they cannot be named."""
-    keep = (near_duplicates(docs, shingle, max_bits)
-            .filter("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct())
-    named = docs.filter("doc_id IS NOT NULL")
-    kept = (named.join(keep, named["doc_id"] == keep["__keep"], "left_semi")
-            .dropDuplicates(["doc_id"]))
+    """``docs`` with one document of each component: the one its component is named by.
+
+    Of rows that share this doc_id, the one with the smallest fingerprint of the component stays (then the smallest
+    hash of its text; of equal rows, one).  Rows without a doc_id are kept: they cannot be named.
+    """
+    _, _, comp, _ = _components(docs, shingle, max_bits, TREE_SIZE)
+    doc, text = free_names(docs, "__keep", "__text")
+    keep = (comp.filter("least.doc_id IS NOT NULL")
+            .select(F.col("least.doc_id").alias(doc), F.col("least.text_hash").alias(text)).distinct())
+    named = docs.filter("doc_id IS NOT NULL").withColumn(text, _text_hash())
+    kept = (named.join(keep.withColumnRenamed(text, text + "_"),
+                       (named["doc_id"].cast("bigint") == F.col(doc)) & (named[text] == F.col(text + "_")), "left_semi")
+            .dropDuplicates(["doc_id", text]).drop(text))
     return kept.unionByName(docs.filter("doc_id IS NULL"))

@@ -126,3 +126,25 @@ def test_query_columns(spark):
     df = QUERIES["op1_simhash_bktree"](spark, "/root/testdata/sf0.001")
     assert df.dtypes == [("doc_id", "bigint"), ("fingerprint", "string"), ("component_id", "bigint")]
     assert df.filter(~F.col("fingerprint").rlike("^[0-9a-f]{16}$")).count() == 0
+
+
+def test_the_survivor_is_the_row_that_names_its_component(spark):
+    """Rows that share a doc_id and differ in text: only the one that no other document repeats stays."""
+    prepare(spark)
+    one, two = "alpha beta gamma delta epsilon", "something else is written over here"
+    three = "the third text has words of its own"
+    rows = [(1, one, "x"), (5, one, "a"), (5, two, "b"), (7, two, "c"), (9, three, "d"), (9, three, "d"), (None, one, "n")]
+    for _ in range(2):
+        got = S.drop_near_duplicates(spark.createDataFrame(rows, SCHEMA.replace("fp", "__text")).repartition(4)).collect()
+        assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(1, one), (5, two), (9, three), (None, one)], key=str)
+        rows.reverse()
+
+
+def test_a_large_component_is_named_without_a_join_on_its_label(spark, monkeypatch):
+    prepare(spark)
+    rows = [(i * 3 % 101 + 1000 * (i // 101), t, "clash") for i, t in enumerate(texts())]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = sorted(map(tuple, S.near_duplicates(df).collect()))
+    for large in (1, 20, 10 ** 9):  # none, some and all labels are large
+        monkeypatch.setattr(S, "LARGE_LABELS", large)
+        assert sorted(map(tuple, S.near_duplicates(df).collect())) == want
