@@ -1,6 +1,6 @@
 """Language identification: words first, then ever shorter character n-grams.
 
-A text's words (runs of letters, lower case) are scored one by one.  A word the model knows counts by its
+A text's words (runs of letters and their marks, lower case) are scored one by one.  A word the model knows counts by its
 log frequency in each language.  An unseen word falls back to its character n-grams, with a mark at
 both ends: the longest n of which any gram is known decides, by the mean log frequency of its known
 grams.  The model is a bounded table: word and gram counts of a bounded sample of labelled rows.
@@ -9,14 +9,14 @@ grams.  The model is a bounded table: word and gram counts of a bounded sample o
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import regex
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.llm.common import Numbers, held_out, staged
@@ -33,9 +33,9 @@ UNSEEN_GAP = 1.0
 #: Mean log-odds per word are multiplied by at most this many words' evidence.
 EVIDENCE = 20.0
 
-LETTERS = re.compile(r"[^\W\d_]+")
-#: The same signs for the engine's own expressions.
-LETTER = r"[\p{L}\p{N}&&[^\p{Nd}]]"
+#: A word is a run of letters with the marks that they carry (in the engine's own expressions: a letter).
+LETTER = r"\p{L}"
+LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 UNDETERMINED = "und"
 
 
@@ -131,14 +131,14 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, kept_words: int = KEPT_
               .groupBy("kind", "lang", "entry").agg(F.sum("n").alias("n")))
     counts = staged(counts, "language-counts")
     langs = tuple(sorted(r.lang for r in counts.filter("kind = 0").select("lang").distinct().collect()))
-    tables = {}
-    for kind in range(LONGEST + 1):
-        kept = kept_grams if kind else kept_words
-        best = []
-        for lang in langs:  # a bounded top list of each language
-            best += (counts.filter((F.col("kind") == kind) & (F.col("lang") == lang))
-                     .orderBy(F.col("n").desc(), "entry").limit(kept).collect())
-        tables[kind] = _table(best, langs)
+    tables: dict[int, list] = {kind: [] for kind in range(LONGEST + 1)}
+    rank = F.row_number().over(Window.partitionBy("kind", "lang").orderBy(F.col("n").desc(), "entry"))
+    kept = F.when(F.col("kind") == 0, kept_words).otherwise(kept_grams)
+    best = (counts.withColumn("rank", rank).filter(F.col("rank") <= max(kept_words, kept_grams))
+            .filter(F.col("rank") <= kept).select("kind", "lang", "entry", "n"))
+    for r in best.collect():  # one bounded list for each kind and language
+        tables[r.kind].append(r)
+    tables = {kind: _table(rows, langs) for kind, rows in tables.items()}
     return Model(langs, tables.pop(0), tables)
 
 

@@ -102,3 +102,13 @@ def test_a_language_without_long_grams_is_below_all_others(spark):
     for table in m.grams[5], m.grams[4]:
         assert table and all(v[1] < v[0] for v in table.values())
     assert L.Scorer(m).predict(["elephantine wanderers"])[0] == ["en"]
+
+
+def test_letters_keep_their_marks_and_numbers_are_none(spark, fitted):
+    assert L.words_of("नमस्ते दुनिया, x²½①३ Straße") == ["नमस्ते", "दुनिया", "x", "straße"]
+    _, m = fitted
+    texts = [(1, "²³ ½ ① ३", "x"), (2, "́́", "x")]
+    assert [r.lang_pred for r in L.predict(spark.createDataFrame(texts, DOCS), m).collect()] == ["und", "und"]
+    rows = [(i, "²³ ½ ①", "zz") for i in range(20)] + [(i, "नमस्ते दुनिया", "hi") for i in range(20)]
+    m = L.fit(spark.createDataFrame(rows, DOCS))
+    assert m.langs == ("hi",) and set(m.words) == {"नमस्ते", "दुनिया"}
