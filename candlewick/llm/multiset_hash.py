@@ -19,6 +19,8 @@ Everything is one projection of a row (higher-order functions): no shuffle, no g
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,15 +58,24 @@ def _level(h: Column) -> Column:
     return F.bit_count(x.bitwiseAND(-x) - 1)
 
 
+def _once(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f(x), with x worked out once."""
+    return F.transform(F.array(x), f)[0]
+
+
 def _trimmed(like: Column) -> Column:
     """Without the levels after the last one in use; at least one."""
     last = F.array_max(F.transform(like, lambda v, i: F.when(v != 0, i)))
     return F.slice(like, 1, (F.floor(F.coalesce(last, F.lit(0)) / LANES).cast("int") + 1) * LANES)
 
 
-def likeness_vector(parts: Column) -> Column:
+def sentences(parts: Column) -> Column:
+    return F.flatten(F.transform(parts, lambda p: F.split(p, SENTENCE_END)))
+
+
+def likeness_vector(said: Column) -> Column:
     """Sum of the sentences' numbers in their lanes, array<int> of LANES for each level."""
-    hashes = F.transform(F.flatten(F.transform(parts, lambda p: F.split(p, SENTENCE_END))), lambda s: F.xxhash64(s))
+    hashes = F.transform(said, lambda s: F.xxhash64(s))
     zero = F.array_repeat(F.array_repeat(F.lit(0).cast("bigint"), PER_ROW), ROWS)
     value = lambda h: _cut(h, 16, LIKE_BITS - 1) * 2 + 1  # noqa: E731  never 0
     full = F.lit((1 << LIKE_BITS) - 1).cast("bigint")
@@ -79,22 +90,21 @@ def likeness_vector(parts: Column) -> Column:
         return F.flatten(F.transform(F.sequence(F.lit(0), top), lambda n: F.flatten(
             F.aggregate(F.filter(all_, lambda h: _level(h) == n), zero, add))))
 
-    named = lambda x, f: F.transform(F.array(x), f)[0]  # noqa: E731  x is worked out once
-    return named(F.transform(named(hashes, levels), lambda v: v.cast("int")), _trimmed)
+    return _once(F.transform(_once(hashes, levels), lambda v: v.cast("int")), _trimmed)
 
 
 def vector(text: Column) -> Column:
     """struct<equal:array<bigint>, like:array<int>> of a text (null: empty, all lanes 0)."""
     parts = paragraphs(text)
-    return F.struct(equality_vector(parts).alias("equal"), likeness_vector(parts).alias("like"))
+    return F.struct(equality_vector(parts).alias("equal"), likeness_vector(sentences(parts)).alias("like"))
 
 
 def combined(a: Column, b: Column, sign: int = 1) -> Column:
     """Vector of the paragraphs of ``a`` and ``b`` together; sign -1: of ``a`` without those of ``b``."""
     return F.struct(
         F.zip_with(a["equal"], b["equal"], lambda x, y: F.pmod(x + sign * y, F.lit(1 << EQUAL_BITS))).alias("equal"),
-        _trimmed(F.zip_with(a["like"], b["like"], lambda x, y: F.pmod(
-            F.coalesce(x, F.lit(0)) + sign * F.coalesce(y, F.lit(0)), F.lit(1 << LIKE_BITS)))).alias("like"))
+        _once(F.zip_with(a["like"], b["like"], lambda x, y: F.pmod(
+            F.coalesce(x, F.lit(0)) + sign * F.coalesce(y, F.lit(0)), F.lit(1 << LIKE_BITS))), _trimmed).alias("like"))
 
 
 def _added(acc: Column, like: Column, n: Column) -> Column:
@@ -109,12 +119,25 @@ def _downwards(size: Column) -> Column:
 
 
 def fingerprint(v: Column) -> Column:
-    """The vector as lower-case hex digits, its levels added up."""
+    """The vector as lower-case hex digits: its equality lanes, then its likeness lanes, level by level."""
     hexed = lambda lanes, n: F.array_join(
         F.transform(lanes, lambda x: F.lpad(F.lower(F.hex(x)), n, "0")), "")
-    like = F.aggregate(_downwards(F.size(v["like"])), F.array_repeat(F.lit(0), LANES),
-                       lambda acc, n: _added(acc, v["like"], n))
-    return F.concat(hexed(v["equal"], EQUAL_BITS // 4), hexed(like, LIKE_BITS // 4))
+    return F.concat(hexed(v["equal"], EQUAL_BITS // 4), hexed(v["like"], LIKE_BITS // 4))
+
+
+def with_end_replaced(v: Column, head: Column, old: Column, new: Column) -> Column:
+    """Vector of ``head + new``, from the vector ``v`` of ``head + old``: what the old end adds is deleted and
+    what the new one adds is inserted.  Paragraphs that end in ``head`` are not hashed again, nor are the
+    sentences that end in it."""
+    open_ = F.substring_index(head, "\n", -1)
+
+    def end(tail: Column) -> Column:
+        parts = paragraphs(F.concat(open_, tail))
+        kept = F.size(F.split(open_, SENTENCE_END))  # the last one may go on
+        later = _once(sentences(parts), lambda said: F.slice(said, kept, F.greatest(F.size(said) - kept + 1, F.lit(0))))
+        return F.struct(equality_vector(parts).alias("equal"), likeness_vector(later).alias("like"))
+
+    return combined(combined(v, end(old), -1), end(new))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -180,12 +203,13 @@ def edited_documents(docs: DataFrame) -> DataFrame:
         "asker", F.struct(F.substring("text", F.lit(1), F.col("need")).alias("prefix"),
                           F.sha2(F.col("text").cast("binary"), 256).alias("sha"), "v", "doc_id").alias("n"))
         .groupBy(F.col("asker").alias("k")).agg(F.min("n").alias("n")))
-    both = full.join(sent, "k").withColumn("third", third).withColumn("edited", F.concat(
-        F.substring("text", F.lit(1), F.length("text") - F.col("third")),
-        F.substring("n.prefix", F.lit(1), F.col("third"))))
-    both = both.withColumn("e", vector(F.col("edited")))
+    both = (full.join(sent, "k").withColumn("third", third)
+            .withColumn("head", F.substring("text", F.lit(1), F.length("text") - F.col("third")))
+            .withColumn("new", F.substring("n.prefix", F.lit(1), F.col("third"))))
+    both = both.withColumn("e", with_end_replaced(
+        F.col("v"), F.col("head"), F.substring("text", F.length("head") + 1, F.col("third")), F.col("new")))
     return both.select(
         "doc_id", F.length("text").cast("bigint").alias("n_chars"),
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        F.sha2(F.concat("head", "new").cast("binary"), 256).alias("edited_sha256"),
         fingerprint(F.col("v")).alias("fingerprint"), fingerprint(F.col("e")).alias("edited_fingerprint"),
         likeness(F.col("v"), F.col("e")).alias("near_edited"), likeness(F.col("v"), F.col("n.v")).alias("near_next"))
