@@ -582,6 +582,28 @@ def q_ohlcv_1m_stream(spark, sf_dir):
                .withColumn("window_end", F.col("window_end").cast("timestamp_ntz")))
 
 
+def _corrections(spark, sf_dir) -> DataFrame:
+    """Trades of the last day that come again after everything else, with another quantity."""
+    t = fx.trade_records(spark, sf_dir)
+    last = t.agg(F.max("trade_time")).scalar()
+    return t.filter(F.col("trade_time") > last - 86_400_000).withColumn("quantity", F.col("quantity") + 1000)
+
+
+@register("ohlcv_1m_corrected")
+def q_ohlcv_1m_corrected(spark, sf_dir):
+    """W-1 in update mode: bars are in the table from their first trade on, and trades that come late within the
+    allowance (here two days) correct them there."""
+    from candlewick.streaming import corrections, ingest
+    root, src = _stage_stream_input(spark, sf_dir, _corrections(spark, sf_dir))
+    bars = ingest.ohlcv_stream(ingest.landed_trades(ingest.trade_stream(spark, src, max_per_trigger=1)), delay="2 days")
+    # A replayed file holds many days: the table is partitioned by the day here, by the hour for a live stream.
+    q = corrections.merge_sink(bars, f"{root}/corrected", f"{root}/ckpt", unit="day", trigger={"availableNow": True})
+    ingest.run_bounded(q, None)
+    out = corrections.bars_table(spark, f"{root}/corrected", bars.schema)
+    return (out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+               .withColumn("window_end", F.col("window_end").cast("timestamp_ntz")))
+
+
 @register("load_day")
 def q_load_day(spark, sf_dir):
     """S-3 + P-8 + P-11 + K-7/K-8: the as-of day of the date-partitioned lake
