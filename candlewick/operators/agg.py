@@ -8,6 +8,7 @@ rows and a hot coin costs one partial row per task in the shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,8 +59,32 @@ def daily(enriched: DataFrame) -> DataFrame:
                          F.count(F.lit(1)).alias("trade_count")))
 
 
-def _time_order(ts_col: str, tiebreak: Sequence[str] | None) -> Column:
-    return F.struct(F.col(ts_col), *[F.col(c) for c in tiebreak]) if tiebreak else F.col(ts_col)
+def _whole(df: DataFrame, col: str) -> Column | None:
+    """``col`` as a 64-bit whole number in the same order; None for types that have no such number."""
+    t, c = df.schema[col].dataType, F.col(col)
+    if isinstance(t, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(t, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    if isinstance(t, T.DateType):
+        return F.unix_date(c).cast("bigint")
+    return c.cast("bigint") if isinstance(t, (T.IntegralType, T.BooleanType)) else None
+
+
+def _time_order(df: DataFrame, ts_col: str, tiebreak: Sequence[str] | None) -> Column:
+    """The order of ``min_by`` / ``max_by``: time, then ``tiebreak`` (its nulls first); null where the time is null.
+
+    A time and one tiebreak of a whole-number type (time, date, integer, boolean) become one decimal, time * 2^65 +
+    tiebreak + 2^63 + 1 (a null tiebreak: 0).  It has a fixed width, so the aggregate stays a hash aggregate; with a
+    struct, for other tiebreaks, Spark sorts.
+    """
+    if not tiebreak:
+        return F.col(ts_col)
+    keys = [_whole(df, ts_col), _whole(df, tiebreak[0])] if len(tiebreak) == 1 else [None]
+    if all(k is not None for k in keys):
+        time, tie = (k.cast("decimal(20,0)") for k in keys)
+        return time * F.lit(Decimal(2 ** 65)) + F.coalesce(tie + F.lit(Decimal(2 ** 63 + 1)), F.lit(Decimal(0)))
+    return F.when(F.col(ts_col).isNotNull(), F.struct(F.col(ts_col), *[F.col(c) for c in tiebreak]))
 
 
 def open_close(df: DataFrame, keys: Sequence[str] = ("trade_date", "coin_symbol"),
@@ -68,10 +93,9 @@ def open_close(df: DataFrame, keys: Sequence[str] = ("trade_date", "coin_symbol"
 
     ``min_by`` / ``max_by`` replace ``first_value`` windows + ``QUALIFY``: one hash
     aggregate instead of two sorts and a join.  Rows with a null time are skipped.
-    A ``tiebreak`` orders equal times (then the order key is a struct and Spark
-    uses a sort-based aggregate).
+    A ``tiebreak`` orders equal times, see :func:`_time_order`.
     """
-    order = _time_order(ts_col, tiebreak)
+    order = _time_order(df, ts_col, tiebreak)
     return (df.filter(F.col(ts_col).isNotNull())
               .groupBy(*keys)
               .agg(F.min_by(_p(), order).alias("open_price"),
@@ -87,9 +111,7 @@ def daily_trade_stats(stg: DataFrame, ts_col: str = "trade_timestamp",
     """Per ``(trade_date, coin_symbol)``: sums, count, high / low, open / close in
     ONE hash aggregate over staged trades -- the pre-aggregation that lets the
     daily mart join metadata after the data has shrunk to one row per coin-day."""
-    order = _time_order(ts_col, tiebreak)
-    if tiebreak:  # a struct order is never null: skip null times explicitly
-        order = F.when(F.col(ts_col).isNotNull(), order)
+    order = _time_order(stg, ts_col, tiebreak)
     return (stg.groupBy("trade_date", "coin_symbol")
                .agg(F.sum(_q()).alias("_sum_q"),
                     F.sum(_p() * _q()).alias("_sum_pq"),

@@ -131,3 +131,66 @@ def test_top_movers_rank_by(spark):
     top = by_vwap.filter("gainer_rank = 1").first()
     assert top.today_vwap == o.filter(F.col("trade_date") == D2).agg(F.max("vwap")).first()[0]
     assert by_day.filter("gainer_rank <= 3").count() >= 3
+
+
+def test_salted_enrichment_is_even_and_equal_to_the_join(spark):
+    """Broadcast off, one symbol with a third of the trades, another third without a symbol: no task has over twice
+    the median of rows, and the rows are those of the plain join (a symbol of two coins doubles its trades)."""
+    stg = spark.range(30_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'Hot' WHEN id % 3 = 1 THEN NULL ELSE concat('S', id % 400) END AS coin_symbol",
+        "cast(id AS double) AS price", "1.0D AS quantity", "cast(timestamp_millis(id) AS timestamp_ntz) AS trade_timestamp",
+        "DATE'2024-01-30' AS trade_date", "false AS is_buyer_maker", "cast(timestamp_millis(id) AS timestamp_ntz) AS ingestion_ts")
+    t = dt.datetime(2024, 1, 30)
+    meta = _meta(spark, [(f"c{i}", s, s, 1.0, 10 + i, i, 1.0, 0.0, 0.0, 1.0, 1.0, t)
+                         for i, s in enumerate(["hot", "HOT", None, *[f"s{k}" for k in range(0, 400, 2)]])])
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = enrich.trades_with_meta(stg, meta, method="salted")
+        # metadata matches double the hot rows: count trades, as they were dealt
+        per_task = sorted(r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count_distinct("price").alias("n")).collect())
+        assert len(per_task) == 8 and per_task[-1] <= 2 * per_task[len(per_task) // 2]
+        plain = enrich.trades_with_meta(stg, meta)
+        assert out.exceptAll(plain).isEmpty() and plain.exceptAll(out).isEmpty() and out.count() == 40_000
+        assert [tuple(r) for r in enrich.heavy_symbols(stg, 8).collect()] == [("HOT", 64)]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_salted_enrichment_of_empty_tables(spark):
+    t = dt.datetime(2024, 1, 30)
+    stg, meta = _trades(spark), _meta(spark, [("c", "aaa", "A", 1.0, 1, 1, 1.0, 0.0, 0.0, 1.0, 1.0, t)])
+    assert enrich.trades_with_meta(stg.limit(0), meta, method="salted").count() == 0
+    assert enrich.trades_with_meta(stg, meta.limit(0), method="salted").count() == stg.count()
+
+
+def test_tiebreak_keeps_hash_aggregation(spark):
+    """Open / close with equal times, null times and null tiebreaks, as a window gives them; no sort in the plan."""
+    rng = random.Random(3)
+    t0 = dt.datetime(1969, 12, 31, 23, 59)
+    rows = [(rng.choice("AB"), float(i), 1.0, rng.choice([None, *[t0 + dt.timedelta(minutes=m) for m in range(4)]]), D1,
+             False, None if i == 7 else t0 + dt.timedelta(seconds=997 * i % 1009)) for i in range(400)]
+    stg = _stg(spark, rows)
+    for tie in ("ingestion_ts", "seq"):
+        # whole numbers of the full 64-bit range
+        df = stg.withColumn("seq", F.when(F.col("price") != 9, F.xxhash64("price")))
+        got = agg.open_close(df, tiebreak=[tie])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "HashAggregate" in plan
+        assert "SortAggregate" not in agg.daily_trade_stats(df, tiebreak=[tie])._jdf.queryExecution().executedPlan().toString()
+        order = {(r.price): (r.trade_timestamp, r[tie] is not None, r[tie]) for r in df.collect() if r.trade_timestamp}
+        sym = {r[1]: r[0] for r in rows}
+        for r in got.collect():
+            prices = sorted((p for p in order if sym[p] == r.coin_symbol), key=lambda p: tuple(
+                x if x is not None else -1 for x in order[p]))
+            assert (r.open_price, r.close_price) == (prices[0], prices[-1])
+        daily = {r.coin_symbol: (r.open_price, r.close_price) for r in agg.daily_trade_stats(df, tiebreak=[tie]).collect()}
+        assert daily == {r.coin_symbol: (r.open_price, r.close_price) for r in got.collect()}
+    # other tiebreaks (two columns, doubles) are compared as structs
+    two = agg.open_close(stg.filter("ingestion_ts IS NOT NULL"), tiebreak=["ingestion_ts", "quantity"])
+    one = agg.open_close(stg.filter("ingestion_ts IS NOT NULL"), tiebreak=["ingestion_ts"])
+    assert sorted(map(tuple, two.collect())) == sorted(map(tuple, one.collect()))
