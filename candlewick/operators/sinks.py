@@ -344,11 +344,65 @@ def load_table(df: DataFrame, name: str, mode: str = "append", fmt: str | None =
     return int(rows.get["rows"])
 
 
+#: Bits of a column's place in an interleaved key: 256 ranges of each column.
+KEY_BITS = 8
+
+
+def range_edges(df: DataFrame, col: str, ranges: int = 2 ** KEY_BITS) -> list:
+    """Largest values of at most ``ranges`` ranges of the distinct values of ``col``, ascending, by the engine's own range
+    partitioning: the number of edges is bounded, the values are not gathered."""
+    dealt = df.select(col).filter(F.col(col).isNotNull()).distinct().repartitionByRange(ranges, col)
+    tops = dealt.groupBy(F.spark_partition_id().alias("_p")).agg(F.max(col).alias("top"))
+    return sorted(r["top"] for r in tops.select("top").collect())
+
+
+def range_number(col: str, edges: Sequence, ranges: int = 2 ** KEY_BITS) -> Column:
+    """The place of a value among ``edges``, stretched to 0 .. ranges - 1 (null: 0), by a binary search in expressions."""
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo * ranges // max(len(edges), 1))
+        mid = (lo + hi) // 2
+        return F.when(F.col(col) <= F.lit(edges[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
+    # values above the last edge (none, if the edges are of the same rows) belong to the last range
+    return F.when(F.col(col).isNull(), F.lit(0)).otherwise(search(0, max(len(edges) - 1, 0)))
+
+
+def interleaved(numbers: Sequence[Column], bits: int = KEY_BITS) -> Column:
+    """One number from the bits of ``numbers``, highest first, in turn: near in it is near in all of them."""
+    n, key = len(numbers), F.lit(0).cast("bigint")
+    for bit in range(bits):
+        for i, number in enumerate(numbers):
+            one = F.shiftright(number.cast("bigint"), bit).bitwiseAND(F.lit(1).cast("bigint"))
+            key = key.bitwiseOR(F.shiftleft(one, bit * n + n - 1 - i))
+    return key
+
+
 def write_mart(df: DataFrame, path: str, cluster_by: Sequence[str],
-               num_partitions: int | None = None) -> None:
-    """T-5: clustered mart layout -- range-partition and sort on ``cluster_by`` so
-    files hold disjoint, sorted key ranges (min/max stats then skip files)."""
-    parts = [F.col(c) for c in cluster_by]
+               num_partitions: int | None = None, layout: str = "sorted") -> None:
+    """T-5: clustered mart layout -- files hold disjoint key ranges (min/max stats then skip files).
+
+    ``sorted``: range-partitioned and sorted on ``cluster_by``; filters on its first column skip files.
+    ``interleaved``: range-partitioned on the interleaved bits of the columns' range numbers (a space-filling
+    key), so that a filter on any one of up to seven columns skips most files.  ``df`` is written once before it, as
+    the columns' ranges and the layout both read it.
+    """
+    if layout not in ("sorted", "interleaved"):
+        raise ValueError(f"unknown layout {layout!r}")
+    parts, columns = [F.col(c) for c in cluster_by], df.columns
+    if layout == "interleaved":
+        df = staged(df, "mart-rows")
+        numbers = {f"_number{i}": range_number(c, range_edges(df, c)) for i, c in enumerate(cluster_by)}
+        # a column each first, so that a search runs once for all bits
+        df = df.withColumns(numbers).withColumn("_key", interleaved([F.col(n) for n in numbers]))
+        parts = [F.col("_key"), *parts]
     out = (df.repartitionByRange(num_partitions, *parts) if num_partitions
            else df.repartitionByRange(*parts))
-    out.sortWithinPartitions(*parts).write.mode("overwrite").parquet(path)
+    out.sortWithinPartitions(*parts).select(*columns).write.mode("overwrite").parquet(path)
+
+
+def file_ranges(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """Per file its rows and, per column, ``<column>_min`` and ``<column>_max``: what a reader skips files by (worked
+    out from the rows, by one aggregate)."""
+    aggs = [f(c).alias(f"{c}_{name}") for c in columns for name, f in (("min", F.min), ("max", F.max))]
+    return spark.read.parquet(path).groupBy(F.input_file_name().alias("file")).agg(
+        F.count(F.lit(1)).alias("n_rows"), *aggs)

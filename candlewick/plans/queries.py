@@ -106,6 +106,20 @@ def q_trades_enriched(spark, sf_dir):
     return enrich.trades_with_meta(stg_trades(spark, sf_dir), stg_market_meta(spark, sf_dir))
 
 
+@register("trades_enriched_salted")
+def q_trades_enriched_salted(spark, sf_dir):
+    """J-1 for metadata too large to broadcast: heavy symbols measured, salted and their metadata replicated."""
+    return enrich.trades_with_meta(clean.stg_trades(fx.raw_trades(spark, sf_dir)), stg_market_meta(spark, sf_dir),
+                                   method="salted")
+
+
+@register("open_close_tiebreak")
+def q_open_close_tiebreak(spark, sf_dir):
+    """A-3 with many equal times: trades ordered by their hour, ties by their exact time (one hash aggregate)."""
+    stg = stg_trades(spark, sf_dir).withColumn("hour_ts", F.date_trunc("hour", "trade_timestamp").cast("timestamp_ntz"))
+    return agg.open_close(stg, ts_col="hour_ts", tiebreak=["trade_timestamp"])
+
+
 @register("price_changes")
 def q_price_changes(spark, sf_dir):
     """F-1 tick-to-tick change (lag in ranges, with carry)."""
@@ -604,6 +618,23 @@ def q_ohlcv_1m_corrected(spark, sf_dir):
                .withColumn("window_end", F.col("window_end").cast("timestamp_ntz")))
 
 
+@register("stream_latency")
+def q_stream_latency(spark, sf_dir):
+    """M-2 + A-7 from the stream's own progress: the append stream's micro-batches, logged by a listener; the rows they
+    took, and whether there were several and their percentiles are in order (the times themselves vary)."""
+    from candlewick.streaming import ingest, progress
+    root, src = _stage_stream_input(spark, sf_dir)
+    with progress.ProgressLog(spark, f"{root}/progress") as log:
+        landed = ingest.landed_trades(ingest.trade_stream(spark, src, max_per_trigger=1))
+        q = ingest.append_sink(landed, f"{root}/lake", f"{root}/ckpt", partition_by=("date",), trigger={"availableNow": True})
+        ingest.run_bounded(q, None)
+        log.wait(q)
+    batches = progress.progress_table(spark, f"{root}/progress")
+    times = progress.batch_latency(batches, ())
+    return times.select(batches.agg(F.sum("rows").alias("r")).scalar().alias("records"), (F.col("n") >= 4).alias("several"),
+                        ((F.col("p50") > 0) & (F.col("p50") <= F.col("p95")) & (F.col("p95") <= F.col("p99"))).alias("in_order"))
+
+
 @register("load_day")
 def q_load_day(spark, sf_dir):
     """S-3 + P-8 + P-11 + K-7/K-8: the as-of day of the date-partitioned lake
@@ -661,3 +692,22 @@ def q_mart_layout(spark, sf_dir):
     files = spark.read.parquet(path).groupBy("coin_symbol", F.input_file_name().alias("file")).agg(
         F.count(F.lit(1)).alias("n"))
     return files.groupBy("coin_symbol").agg(F.sum("n").alias("n_rows"), (F.count(F.lit(1)) <= 2).alias("together"))
+
+
+@register("mart_layout_interleaved")
+def q_mart_layout_interleaved(spark, sf_dir):
+    """T-5 on both keys: the daily mart in 64 files by the interleaved bits of coin and day; per column, the rows, and
+    whether a filter on one of its ranges alone skips more than half of the files."""
+    from candlewick.operators import sinks
+    from candlewick.session import scratch_path
+    path, keys = scratch_path(spark, "mart"), ["coin_symbol", "trade_date"]
+    sinks.write_mart(ohlcv(spark, sf_dir), path, keys, num_partitions=64, layout="interleaved")
+    mart, files = spark.read.parquet(path), sinks.file_ranges(spark, path, keys)
+    out = None
+    for c in keys:
+        edges = sinks.range_edges(mart, c)
+        low, high = (sinks.range_number(f"{c}_{end}", edges) for end in ("min", "max"))
+        share = F.avg((high - low + 1) / F.lit(2 ** sinks.KEY_BITS))
+        one = files.agg(F.sum("n_rows").alias("n_rows"), (share < 0.5).alias("skips_most")).withColumn("key", F.lit(c))
+        out = one if out is None else out.unionByName(one)
+    return out

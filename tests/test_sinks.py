@@ -221,3 +221,40 @@ def test_merged_buckets_do_not_exchange_the_target(spark):
     join = max(i for i, x in enumerate(left) if "Join" in x)
     assert not any("Exchange" in x for x in left[join:]), plan
     assert "PartitionFilters: [_bucket" in plan or "_bucket#" in plan.splitlines()[scan]
+
+
+def _share_of_files(spark, path, column, values):
+    """Average share of the files that a reader cannot skip for a filter on one value."""
+    files = sinks.file_ranges(spark, path, [column]).collect()
+    hit = sum(f[f"{column}_min"] <= v <= f[f"{column}_max"] for v in values for f in files)
+    return hit / (len(files) * len(values)), len(files)
+
+
+def test_interleaved_layout_skips_files_on_each_column(spark, tmp_root):
+    """40 coins (one has a third of the rows) x 64 days: a filter on either column reads a small part of the files."""
+    df = spark.range(24_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("c07")).otherwise(F.format_string("c%02d", F.col("id") * 7 % 40)).alias("coin"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.hash("id") % 64 + 64).cast("int") % 64).alias("day"), F.col("id"))
+    coins = [f"c{i:02d}" for i in range(40)]
+    days = [r[0] for r in df.select("day").distinct().collect()]
+    sinks.write_mart(df, f"{tmp_root}/z", ["coin", "day"], num_partitions=64, layout="interleaved")
+    sinks.write_mart(df, f"{tmp_root}/s", ["coin", "day"], num_partitions=64)
+    got = spark.read.parquet(f"{tmp_root}/z")
+    assert got.exceptAll(df).isEmpty() and got.count() == 24_000
+    day, n = _share_of_files(spark, f"{tmp_root}/z", "day", days)
+    coin, _ = _share_of_files(spark, f"{tmp_root}/z", "coin", coins)
+    sorted_day, _ = _share_of_files(spark, f"{tmp_root}/s", "day", days)
+    assert n >= 48 and day < 0.3 and coin < 0.3 and sorted_day > 0.6, (n, day, coin, sorted_day)
+
+
+def test_range_numbers_and_interleaved_bits(spark, tmp_root):
+    df = spark.createDataFrame([(None,), (1,), (5,), (5,), (9,), (100,)], "v int")
+    edges = sinks.range_edges(df, "v", 4)
+    assert edges[-1] == 100 and edges == sorted(set(edges)) and len(edges) <= 4
+    got = {r.v: r.n for r in df.select("v", sinks.range_number("v", edges, 4).alias("n")).collect()}
+    assert got[None] == 0 and got[1] <= got[5] <= got[9] <= got[100] <= 3 and got[100] > got[1]
+    assert df.limit(0).select(sinks.range_number("v", []).alias("n")).collect() == []
+    pair = spark.createDataFrame([(0b101, 0b011)], "a int, b int")
+    assert pair.select(sinks.interleaved([F.col("a"), F.col("b")], 3)).first()[0] == 0b100111
+    sinks.write_mart(df.limit(0), f"{tmp_root}/none", ["v"], layout="interleaved")
+    assert spark.read.schema("v int").parquet(f"{tmp_root}/none").count() == 0
