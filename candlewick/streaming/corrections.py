@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from candlewick.operators.sinks import _fs_delete, path_exists, spread_partitions
+from candlewick.streaming.sizing import STATE_PARTITIONS, batch_sized
 
 PART = "part"
 _FORMATS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
@@ -55,11 +56,12 @@ def merged(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def merge_sink(bars: DataFrame, root: str, checkpoint: str, keys: Sequence[str] = ("window_start", "symbol"),
-               unit: str = "hour", trigger: dict | None = None) -> StreamingQuery:
+               unit: str = "hour", trigger: dict | None = None, partitions: int = STATE_PARTITIONS) -> StreamingQuery:
     """Run the aggregated stream ``bars`` in update mode and merge each micro-batch into the table at ``root``.
 
     The first of ``keys`` is the bar's time; ``unit`` (hour or day of it) is the table's partition.  ``root`` and
     ``checkpoint`` belong together: batch numbers are those of the checkpoint.  A batch without rows changes nothing.
+    ``partitions``: see :func:`candlewick.streaming.sizing.batch_sized`.
     """
     spark, layout = bars.sparkSession, _with_part(bars.schema)
 
@@ -90,5 +92,6 @@ def merge_sink(bars: DataFrame, root: str, checkpoint: str, keys: Sequence[str]
         (spread_partitions(rows, [PART]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(PART).parquet(f"{root}/bars"))
 
-    return (bars.writeStream.outputMode("update").foreachBatch(one).option("checkpointLocation", checkpoint)
-                .trigger(**(trigger or {"processingTime": "30 seconds"})).start())
+    with batch_sized(spark, partitions):
+        return (bars.writeStream.outputMode("update").foreachBatch(one).option("checkpointLocation", checkpoint)
+                    .trigger(**(trigger or {"processingTime": "30 seconds"})).start())
