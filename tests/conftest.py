@@ -16,6 +16,7 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
+         .config("spark.sql.maxMetadataStringLength", "1000")  # plans show whole paths, wherever the temp folder is
          .config("spark.checkpoint.dir", ckpt)
          .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="candlewick-test-wh-"))
          .getOrCreate())
